@@ -59,6 +59,16 @@ def flow_rows(connections: DataFrame, tiebreak: list[str] | None = None) -> Data
     )
 
 
+def exact_sum(c: str):
+    """Order-independent sum of a double column (decimal(38,9) accumulator).
+
+    A float sum depends on the order rows arrive in, i.e. on partitioning;
+    summing at nanounit precision in decimal makes the result identical for
+    any shuffle order (and equal to the oracle's), then it is cast back.
+    """
+    return F.sum(F.col(c).cast("decimal(38,9)"))
+
+
 def _order_cols(df: DataFrame) -> list[Column]:
     tbs = sorted(c for c in df.columns if c.startswith("_tb"))
     return [F.col("ts_us").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tbs]
@@ -78,7 +88,7 @@ def _window_stage(rows: DataFrame, min_connections: int) -> DataFrame:
         F.min("_ps").over(whole).alias("_lo"),
         F.max("_ps").over(whole).alias("_hi"),
         F.sum("_tot").over(whole).alias("_stot"),
-        F.sum("_dur").over(whole).alias("_sdur"),
+        exact_sum("_dur").over(whole).alias("_sdur"),
     ).where(F.col("_n") >= F.lit(min_connections))
     s1 = s1.withColumns({
         "_d_us": F.col("ts_us") - F.col("_prev"),
@@ -86,7 +96,7 @@ def _window_stage(rows: DataFrame, min_connections: int) -> DataFrame:
         "_mu": F.when(F.col("_m") > 1,
                       (F.col("_tmax") - F.col("_tmin")) / (F.col("_m") - 1) / F.lit(US)),
         "_mtot": F.col("_stot") / F.col("_n"),
-        "_mdur": F.col("_sdur") / F.col("_n"),
+        "_mdur": F.col("_sdur").cast("double") / F.col("_n"),
     })
     lags = [F.lag("_d_us", k).over(w).alias(f"_dl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)]
     s2 = s1.select("*", *lags)
@@ -125,7 +135,7 @@ def feature_aggregates() -> list[Column]:
         F.sum("_sent").alias("_ssent"), F.sum("_recv").alias("_srecv"),
         F.max("_hi").alias("_hi"), F.max("_lo").alias("_lo"),
         *[F.count_if(F.col("_bin") == F.lit(b)).alias(f"_b{b}") for b in range(ENTROPY_BINS)],
-        F.sum("_dur").alias("_sdur"),
+        exact_sum("_dur").alias("_sdur"),
         F.sum((F.col("_dur") - F.col("_mdur")) * (F.col("_dur") - F.col("_mdur"))).alias("_ssdur"),
         F.sum("_failed").alias("_sfailed"), F.sum("_dns").alias("_sdns"),
         _first_domain_from_cols().alias("dst_domain"),
@@ -174,7 +184,7 @@ def finish_features(agg: DataFrame) -> DataFrame:
         "num_connections": n,
         # dst_port is part of the flow key, so every flow has exactly one (T5)
         "num_unique_ports": F.lit(1),
-        "mean_connection_duration": F.col("_sdur") / n,
+        "mean_connection_duration": F.col("_sdur").cast("double") / n,
         "std_connection_duration": F.when(n > 1, F.sqrt(F.col("_ssdur") / (n - 1))).otherwise(F.lit(0.0)),
         "failed_connection_ratio": F.col("_sfailed") / n,
         "is_direct_ip_no_dns": F.when(F.col("_sdns") / n < 0.5, 1).otherwise(0),
@@ -224,3 +234,16 @@ def engineer_features(connections: DataFrame, min_connections: int = MIN_CONNECT
         from beatline.operators import hotflows
         per_flow = hotflows.split_and_compute(rows, min_connections, hot_flow_rows)
     return add_cross_flow(per_flow).select(*FLOW_KEY, "dst_domain", *FEATURE_COLUMNS)
+
+
+def inter_arrivals(connections: DataFrame, min_connections: int = MIN_CONNECTIONS,
+                   tiebreak: list[str] | None = None) -> DataFrame:
+    """Each record of a retained flow with the seconds since the flow's
+    previous record in time order (NULL for the first and for NULL times)."""
+    rows = flow_rows(connections, tiebreak)
+    w = Window.partitionBy(*FLOW_KEY).orderBy(*_order_cols(rows))
+    n = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    out = rows.select("*", n.alias("_n"), F.lag("ts_us", 1).over(w).alias("_prev"))
+    return (out.where(F.col("_n") >= F.lit(min_connections))
+            .withColumn("inter_arrival_s", (F.col("ts_us") - F.col("_prev")) / F.lit(US))
+            .drop("_prev"))
