@@ -260,3 +260,259 @@ def q_a10(spark, sf):
     """A10: count and share per verdict, all four listed."""
     from beatline.operators.verdict import verdict_counts
     return rounded(verdict_counts(_results_off(spark, sf)))
+
+
+# --- evaluation ---------------------------------------------------------------
+
+def _merged_off(spark, sf) -> DataFrame:
+    from beatline.operators.evaluate import merge_with_truth
+    return merge_with_truth(_results_off(spark, sf), td.ground_truth(spark, sf))
+
+
+_GT = O.duckdb_views()["gt"]
+MERGED = VERD + [("gt", _GT), ("m", f"""select vd.*, gt.is_malicious, gt.beacon_type, gt.mitre_technique_id
+  from vd join gt using ({KEYS})"""),
+                 ("mp", """select *, case when deterministic_score > 75.0 then 1 else 0 end as p_deterministic,
+  case when ml_score > 70.0 then 1 else 0 end as p_ml,
+  case when final_verdict in ('HIGH', 'MEDIUM') then 1 else 0 end as p_combined from m""")]
+
+
+def _rate_sql(a: str, b: str) -> str:
+    return O.r6(f"case when ({b}) > 0 then ({a}) / ({b}) else 0.0 end")
+
+
+@register("j2_merge_truth", O.with_(MERGED, f"""select {KEYS}, final_verdict, is_malicious, beacon_type,
+  mitre_technique_id from m"""))
+def q_j2(spark, sf):
+    """Results joined to deduplicated truth on the flow key."""
+    return _merged_off(spark, sf).select(*FLOW_KEY, "final_verdict", "is_malicious", "beacon_type",
+                                         "mitre_technique_id")
+
+
+@register("e9_evaluation_model_off", O.with_(MERGED + [("cells", """select method,
+  cast(count_if(is_malicious <> 1 and p = 0) as bigint) as tn, cast(count_if(is_malicious <> 1 and p = 1) as bigint) as fp,
+  cast(count_if(is_malicious = 1 and p = 0) as bigint) as fn, cast(count_if(is_malicious = 1 and p = 1) as bigint) as tp
+  from (select 'deterministic' as method, is_malicious, p_deterministic as p from mp
+        union all select 'ml', is_malicious, p_ml from mp
+        union all select 'combined', is_malicious, p_combined from mp) t group by method""")],
+    f"""select method, tn, fp, fn, tp, {_rate_sql('tp', 'tp + fp')} as precision,
+  {_rate_sql('tp', 'tp + fn')} as recall, {_rate_sql('2 * tp', '2 * tp + fp + fn')} as f1,
+  {_rate_sql('fp', 'fp + tn')} as fp_rate from cells"""))
+def q_e9(spark, sf):
+    """Precision, recall, F1, FP rate of the three methods (model off)."""
+    from beatline.operators.evaluate import evaluate
+    return rounded(evaluate(_merged_off(spark, sf)))
+
+
+@register("e5_recall_by_type", O.with_(MERGED, f"""select beacon_type,
+  {O.r6('avg(case when p_combined = 1 then 1.0 else 0.0 end)')} as recall, count(*) as count
+  from mp where beacon_type is not null and beacon_type <> 'none' group by beacon_type"""))
+def q_e5(spark, sf):
+    """E5: recall and count per truth beacon class (combined prediction)."""
+    from beatline.operators.evaluate import by_beacon_type
+    return rounded(by_beacon_type(_merged_off(spark, sf)))
+
+
+@register("e6_false_positives", O.with_(MERGED, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score,
+  {O.r6('ml_score')} as ml_score, final_verdict, ml_explanation from m
+  where is_malicious = 0 and final_verdict in ('HIGH', 'MEDIUM')"""))
+def q_e6(spark, sf):
+    """Benign flows flagged HIGH/MEDIUM."""
+    from beatline.operators.evaluate import false_positives
+    return rounded(false_positives(_merged_off(spark, sf)).select(
+        *FLOW_KEY, "deterministic_score", "ml_score", "final_verdict", "ml_explanation"))
+
+
+@register("e7_confusion_cells", O.with_(MERGED, """select method, y_true, y_pred, count(*) as count from (
+  select 'deterministic' as method, is_malicious as y_true, p_deterministic as y_pred from mp
+  union all select 'ml', is_malicious, p_ml from mp
+  union all select 'combined', is_malicious, p_combined from mp) t group by method, y_true, y_pred"""))
+def q_e7(spark, sf):
+    """Confusion-matrix cells of the three methods."""
+    from beatline.operators.evaluate import confusion_cells
+    return confusion_cells(_merged_off(spark, sf))
+
+
+@register("e8_ntp_slice", O.with_(MERGED, """select count(*) as num_flows,
+  cast(count_if(final_verdict in ('HIGH', 'MEDIUM')) as bigint) as num_false_positives,
+  floor((case when count(*) > 0 then sum(cast(floor(deterministic_score * 100.0 + 0.5) as bigint)) / count(*) / 100.0 end)
+        * 1e6 + 0.5) / 1e6 as avg_deterministic_score
+  from m where dst_port = 123 and is_malicious = 0"""))
+def q_e8(spark, sf):
+    """Benign NTP flows: count, false positives, mean score."""
+    from beatline.operators.evaluate import known_benign_slice
+    return rounded(known_benign_slice(_merged_off(spark, sf)))
+
+
+@register("p13_truth_malicious", O.with_(MERGED, f"select {KEYS}, beacon_type from m where is_malicious = 1"))
+def q_p13(spark, sf):
+    """The malicious slice of the merged table."""
+    from beatline.operators.evaluate import truth_slice
+    return truth_slice(_merged_off(spark, sf), "malicious").select(*FLOW_KEY, "beacon_type")
+
+
+@register("t17_dropped_truth", O.with_(VERD + [("gt", _GT)], f"""select {KEYS}, is_malicious from gt
+  where not exists (select 1 from vd where vd.src_ip = gt.src_ip and vd.dst_ip = gt.dst_ip
+                    and vd.dst_port = gt.dst_port)"""))
+def q_t17(spark, sf):
+    """Truth flows with no result row (left anti join)."""
+    from beatline.operators.evaluate import dropped_truth
+    return dropped_truth(_results_off(spark, sf), td.ground_truth(spark, sf)).select(*FLOW_KEY, "is_malicious")
+
+
+@register("e9_evaluation_with_model", None)
+def q_e9_model(spark, sf):
+    """E9 with the isolation forest on (random trees: rows-only check)."""
+    from beatline.operators.evaluate import evaluate, merge_with_truth
+    from beatline.plans.pipeline import run_pipeline
+    res = run_pipeline(_cx(spark, sf), sort=False)
+    return rounded(evaluate(merge_with_truth(res, td.ground_truth(spark, sf))))
+
+
+# --- exploration -------------------------------------------------------------
+
+@register("p8_alert_filter", O.with_(VERD, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score,
+  final_verdict from vd where final_verdict in ('HIGH', 'MEDIUM') and deterministic_score >= 50.0
+  and ml_score >= 0.0"""))
+def q_p8(spark, sf):
+    """Alerts with verdict HIGH/MEDIUM and score ≥ 50."""
+    from beatline.operators.explore import alert_filter
+    return rounded(alert_filter(_results_off(spark, sf), verdicts=["HIGH", "MEDIUM"], min_det=50.0)
+                   .select(*FLOW_KEY, "deterministic_score", "final_verdict"))
+
+
+@register("p9_flow_drilldown", O.with_(O.base_ctes(), """select flow_id, ts_us, packet_size from cx
+  where src_ip = '10.0.0.1' and dst_ip = '45.33.0.1' and dst_port = 443"""))
+def q_p9(spark, sf):
+    """One flow's records in time order."""
+    from beatline.operators.explore import flow_drilldown
+    return flow_drilldown(_cx(spark, sf), "10.0.0.1", "45.33.0.1", 443).select("flow_id", "ts_us", "packet_size")
+
+
+@register("p10_host_pivot", O.with_(VERD, f"""select dst_ip, dst_domain, dst_port, final_verdict,
+  {O.r6('deterministic_score')} as deterministic_score, {O.r6('ml_score')} as ml_score, num_connections,
+  beacon_type_guess from vd where src_ip = '10.0.0.1'"""))
+def q_p10(spark, sf):
+    """P10: all flows of one internal host."""
+    from beatline.operators.explore import host_pivot
+    return rounded(host_pivot(_results_off(spark, sf), "10.0.0.1"))
+
+
+@register("p12_high_slice", O.with_(VERD, f"select {KEYS}, {O.r6('deterministic_score')} as deterministic_score"
+                                     " from vd where final_verdict = 'HIGH'"))
+def q_p12(spark, sf):
+    """The HIGH verdict slice."""
+    from beatline.operators.verdict import verdict_slice
+    return rounded(verdict_slice(_results_off(spark, sf), "HIGH").select(*FLOW_KEY, "deterministic_score"))
+
+
+@register("o4_top10_high", O.with_(VERD, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score
+  from vd where final_verdict = 'HIGH' order by deterministic_score desc, {KEYS} limit 10"""))
+def q_o4(spark, sf):
+    """Top 10 HIGH flows by score."""
+    from beatline.operators.explore import top_k
+    from beatline.operators.verdict import verdict_slice
+    return rounded(top_k(verdict_slice(_results_off(spark, sf), "HIGH"), 10).select(*FLOW_KEY, "deterministic_score"))
+
+
+@register("o5_host_list", O.with_(VERD, "select distinct src_ip from vd"))
+def q_o5(spark, sf):
+    """Sorted distinct internal hosts."""
+    from beatline.operators.explore import host_list
+    return host_list(_results_off(spark, sf))
+
+
+@register("o6_sample_per_class", O.with_([("gt", _GT)], f"""select beacon_type,
+  min_by(src_ip, k) as src_ip, min_by(dst_ip, k) as dst_ip, min_by(dst_port, k) as dst_port from (
+  select *, md5(concat_ws('|', src_ip, dst_ip, cast(dst_port as varchar), '42')) as k from gt) t
+  group by beacon_type"""))
+def q_o6(spark, sf):
+    """One seeded pseudo-random flow per truth class."""
+    from beatline.operators.explore import sample_per_class
+    return sample_per_class(td.ground_truth(spark, sf))
+
+
+@register("w8_timeline", O.with_(O.base_ctes(), f"""select {KEYS}, ts_us,
+  {O.r6(f'(ts_us - min(ts_us) over (partition by {KEYS})) / {O.US}')} as offset_s from cx
+  where src_ip is not null and dst_ip is not null and dst_port is not null"""))
+def q_w8(spark, sf):
+    """Seconds since each flow's first record."""
+    from beatline.operators.explore import timeline
+    return rounded(timeline(_cx(spark, sf)))
+
+
+@register("w8_timeline_caption", O.with_(O.base_ctes(), f"""select {KEYS}, count(*) as num_connections,
+  {O.r6(f'(max(ts_us) - min(ts_us)) / count(d) / {O.US}')} as mean_interval,
+  {O.r6(f'case when (max(ts_us) - min(ts_us)) / count(d) / {O.US} > 0 then stddev_pop(d) / ((max(ts_us) - min(ts_us)) / count(d) / {O.US}) else 0.0 end')} as cov
+  from (select *, (ts_us - lag(ts_us) over (partition by {KEYS} order by ts_us asc nulls last, flow_id asc nulls last)) / {O.US} as d
+        from cx where src_ip is not null and dst_ip is not null and dst_port is not null) t group by {KEYS}"""))
+def q_w8c(spark, sf):
+    """Per-flow mean interval and population-std CoV (plot caption)."""
+    from beatline.operators.explore import timeline_caption
+    return rounded(timeline_caption(_cx(spark, sf)))
+
+
+def _hist_sql(src: str, value: str, by: str, bins: int = 30, density: bool = False) -> str:
+    lo = "(case when hi_ > lo_ then lo_ else lo_ - 0.5 end)"
+    hi = "(case when hi_ > lo_ then hi_ else hi_ + 0.5 end)"
+    w = f"(({hi} - {lo}) / {float(bins)!r})"
+    b = f"least({bins - 1}, floor((x - {lo}) / ({hi} - {lo}) * {float(bins)!r}))"
+    dens = f", {O.r6(f'count(*) / (n_ * {w})')} as density" if density else ""
+    return f"""select {by}, cast(bin as bigint) as bin, {O.r6('bin_start')} as bin_start, {O.r6('bin_end')} as bin_end, count(*) as count{dens.replace(w, 'w_')}
+from (select {by}, {b} as bin, {lo} + {b} * {w} as bin_start, {lo} + ({b} + 1) * {w} as bin_end, n_, {w} as w_
+      from (select {by}, x, min(x) over (partition by {by}) as lo_, max(x) over (partition by {by}) as hi_,
+                   count(*) over (partition by {by}) as n_
+            from (select {by}, cast({value} as double) as x from {src}) s where x is not null) r) t
+group by {by}, bin, bin_start, bin_end, n_, w_"""
+
+
+@register("a14_hist_score_by_verdict", O.with_(VERD, _hist_sql("vd", "deterministic_score", "final_verdict")))
+def q_a14(spark, sf):
+    """30-bin histogram of the composite score per verdict."""
+    from beatline.operators.explore import histogram
+    return rounded(histogram(_results_off(spark, sf), "deterministic_score", by="final_verdict"))
+
+
+@register("a14_hist_cov_by_truth", O.with_(MERGED, _hist_sql("m", "least(interval_cov, 2.0)", "is_malicious",
+                                                              density=True)))
+def q_a14b(spark, sf):
+    """Density histogram of CoV (clipped at 2) per truth class."""
+    from beatline.operators.explore import histogram
+    return rounded(histogram(_merged_off(spark, sf), "interval_cov", by="is_malicious", density=True,
+                             clip_upper=2.0))
+
+
+@register("a15_scatter_density", O.with_(VERD, """select final_verdict,
+  cast(case when interval_cov > 0 then floor(log10(interval_cov) * 10.0) end as double) as cov_cell,
+  cast(floor(log10(cast(num_connections as double)) * 10.0) as bigint) as conn_cell, count(*) as count
+  from vd group by all"""))
+def q_a15(spark, sf):
+    """CoV × connections on a log-log grid per verdict."""
+    from beatline.operators.explore import scatter_density
+    # nullable cell index as double on both sides (NULL = zero CoV)
+    out = scatter_density(_results_off(spark, sf))
+    return out.withColumn("cov_cell", F.col("cov_cell").cast("double"))
+
+
+@register("a11_protocol_counts", O.with_(O.base_ctes(), "select protocol, count(*) as count from cx group by protocol"))
+def q_a11a(spark, sf):
+    """Records per protocol."""
+    from beatline.operators.explore import protocol_counts
+    return protocol_counts(_cx(spark, sf))
+
+
+@register("a11_top_ports", O.with_(O.base_ctes(), """select dst_port, count(*) as count from cx group by dst_port
+  order by count desc, dst_port limit 10"""))
+def q_a11b(spark, sf):
+    """Ten most frequent destination ports."""
+    from beatline.operators.explore import top_ports
+    return top_ports(_cx(spark, sf))
+
+
+@register("a11_parse_summary", O.with_(O.base_ctes(), """select count(*) as num_records,
+  count(distinct src_ip) as unique_src, count(distinct dst_ip) as unique_dst,
+  min(packet_size) as min_size, max(packet_size) as max_size from cx"""))
+def q_a11c(spark, sf):
+    """Distinct sources/destinations and the size range."""
+    from beatline.operators.explore import parse_summary
+    return parse_summary(_cx(spark, sf))
