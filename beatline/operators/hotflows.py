@@ -1,10 +1,146 @@
-"""Route for flows too large for one task (placeholder, filled in below)."""
+"""Features for flows too large for one task (the hot-key route).
+
+The ordinary route sorts each flow inside one window partition; a flow with
+a large share of all records would then be processed by a single task.
+Flows with more than ``hot_flow_rows`` records come here instead:
+
+1. **find them** — ``groupBy(key).count()`` is a partial aggregate (map-side
+   combine), so even a flow with a third of all rows costs one small row
+   per map task.  There are at most ``N / hot_flow_rows`` hot flows; that
+   bound is checked before their table is broadcast.
+2. **order-free features** (volumes, durations, counts, entropy bins,
+   first domain) are plain aggregates by key — partial aggregation again.
+3. **inter-arrival features** need time order.  Each hot flow is cut into
+   ``ceil(m / hot_flow_rows)`` equal-width time slices; lags 1–6 are
+   computed per (flow, slice) window.  A slice's first six rows lack their
+   predecessors, which are the last rows of earlier slices: a small table
+   of every slice's first and last six rows, windowed per flow, supplies
+   them exactly.  Deltas and lagged deltas follow from the six lags.
+4. the delta statistics (count, centred sums of squares and lag products,
+   median, MAD) are reduced through a ``(flow, delta)`` value-count
+   aggregate — partial aggregation again — and medians are weighted
+   percentiles (``percentile(x, 0.5, frequency)``) over it.
+
+The output has the columns of the ordinary route's aggregate, so the same
+finishing expressions turn it into F1–F19.  Limitation: slices are equal
+width in time, so a hot flow whose records crowd into one slice-width of
+time still yields one large slice; the exact medians hold one entry per
+distinct delta of a flow.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from beatline.functions.columns import hour_of_day_utc
+from beatline.operators import features as ft
+from beatline.schemas import AUTOCORR_MAX_LAG, ENTROPY_BINS, FLOW_KEY, OFF_HOURS
+
+LAGS = AUTOCORR_MAX_LAG + 1          # ts lags needed for a delta and its 5 predecessors
+MAX_BROADCAST_HOT_FLOWS = 1_000_000
+US = ft.US
+
+
+def hot_flow_table(rows: DataFrame, hot_flow_rows: int, min_connections: int = 1) -> DataFrame:
+    """Per hot flow: record count, timed-record count, first and last time."""
+    stats = rows.groupBy(*FLOW_KEY).agg(F.count(F.lit(1)).alias("_n"), F.count("ts_us").alias("_m"),
+                                        F.min("ts_us").alias("_tmin"), F.max("ts_us").alias("_tmax"))
+    return stats.where((F.col("_n") > F.lit(hot_flow_rows)) & (F.col("_n") >= F.lit(min_connections)))
 
 
 def split_and_compute(rows: DataFrame, min_connections: int, hot_flow_rows: int) -> DataFrame:
-    from beatline.operators.features import per_flow_features
-    return per_flow_features(rows, min_connections)
+    """Per-flow F0–F19 raw columns, hot flows routed through time slices."""
+    hot = hot_flow_table(rows, hot_flow_rows, min_connections)
+    hot_rows_n = hot.count()          # small action: at most N / hot_flow_rows rows
+    if hot_rows_n == 0:
+        return ft.per_flow_features(rows, min_connections)
+    hot = hot.checkpoint(eager=True) if _can_checkpoint(rows) else hot
+    hb = F.broadcast(hot) if hot_rows_n <= MAX_BROADCAST_HOT_FLOWS else hot
+    cold_rows = rows.join(hb.select(*FLOW_KEY), FLOW_KEY, "left_anti")
+    hot_rows = rows.join(hb, FLOW_KEY, "inner")
+    cold = ft.per_flow_features(cold_rows, min_connections)
+    return cold.unionByName(hot_features(hot_rows, hot, hot_flow_rows, hot_rows_n))
+
+
+def _can_checkpoint(df: DataFrame) -> bool:
+    from beatline.session import checkpoint_dir
+    checkpoint_dir(df.sparkSession)
+    return True
+
+
+def hot_features(hot_rows: DataFrame, hot: DataFrame, hot_flow_rows: int, n_hot: int) -> DataFrame:
+    """F0–F19 (pre-finish columns) for rows of hot flows joined with their stats."""
+    bc = (lambda d: F.broadcast(d)) if n_hot <= MAX_BROADCAST_HOT_FLOWS else (lambda d: d)
+    rows = ft._with_tbkey(hot_rows)
+
+    # -- order-free part: per-flow means first (for two-pass variances) -------
+    means = rows.groupBy(*FLOW_KEY).agg(F.sum("_tot").alias("_stot"), ft.exact_sum("_dur").alias("_sdur"),
+                                        F.min("_ps").alias("_lo"), F.max("_ps").alias("_hi"))
+    r = rows.join(bc(means), FLOW_KEY).withColumns({
+        "_mtot": F.col("_stot") / F.col("_n"),
+        "_mdur": F.col("_sdur").cast("double") / F.col("_n"),
+        "_mu": F.when(F.col("_m") > 1, (F.col("_tmax") - F.col("_tmin")) / (F.col("_m") - 1) / F.lit(US)),
+    }).withColumn("_bin", ft._entropy_bin())
+    plain = r.groupBy(*FLOW_KEY).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("ts_us").alias("_tmax"), F.min("ts_us").alias("_tmin"),
+        F.sum(F.when(F.col("ts_us").isNotNull()
+                     & hour_of_day_utc("ts_us").between(*OFF_HOURS), 1).otherwise(0)).alias("_off"),
+        F.sum("_tot").alias("_stot"), F.max("_tot").alias("_maxtot"),
+        F.sum((F.col("_tot") - F.col("_mtot")) * (F.col("_tot") - F.col("_mtot"))).alias("_sstot"),
+        F.sum("_sent").alias("_ssent"), F.sum("_recv").alias("_srecv"),
+        F.max("_hi").alias("_hi"), F.max("_lo").alias("_lo"),
+        *[F.count_if(F.col("_bin") == F.lit(b)).alias(f"_b{b}") for b in range(ENTROPY_BINS)],
+        ft.exact_sum("_dur").alias("_sdur"),
+        F.sum((F.col("_dur") - F.col("_mdur")) * (F.col("_dur") - F.col("_mdur"))).alias("_ssdur"),
+        F.sum("_failed").alias("_sfailed"), F.sum("_dns").alias("_sdns"),
+        ft._first_domain_from_cols().alias("dst_domain"),
+    )
+
+    # -- ordered part: time slices, in-slice lags, stitched slice heads --------
+    n_sl = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_m") / F.lit(float(hot_flow_rows))))
+    width = F.floor((F.col("_tmax") - F.col("_tmin")) / n_sl) + F.lit(1)
+    sliced = rows.withColumn("_slice", F.when(F.col("ts_us").isNull(), n_sl)
+                             .otherwise(F.floor((F.col("ts_us") - F.col("_tmin")) / width)))
+    order = ft._order_cols(sliced)
+    w = Window.partitionBy(*FLOW_KEY, "_slice").orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    main = sliced.select(*FLOW_KEY, "_slice", "ts_us", "_tbkey", F.row_number().over(w).alias("_rn"),
+                         F.count(F.lit(1)).over(whole).alias("_c"),
+                         *[F.lag("ts_us", j).over(w).alias(f"_lag{j}") for j in range(1, LAGS + 1)])
+    edges = main.where((F.col("_rn") <= LAGS) | (F.col("_rn") > F.col("_c") - LAGS))
+    w2 = Window.partitionBy(*FLOW_KEY).orderBy(F.col("_slice"), F.col("ts_us").asc_nulls_last(),
+                                               F.col("_tbkey").asc_nulls_last())
+    heads = (edges.select(*FLOW_KEY, "ts_us", "_rn",
+                          *[F.lag("ts_us", j).over(w2).alias(f"_lag{j}") for j in range(1, LAGS + 1)])
+             .where(F.col("_rn") <= LAGS).drop("_rn"))
+    body = main.where(F.col("_rn") > LAGS).select(*FLOW_KEY, "ts_us",
+                                                  *[f"_lag{j}" for j in range(1, LAGS + 1)])
+    deltas = heads.unionByName(body).select(
+        *FLOW_KEY, (F.col("ts_us") - F.col("_lag1")).alias("_d_us"),
+        *[(F.col(f"_lag{k}") - F.col(f"_lag{k + 1}")).alias(f"_dl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)])
+
+    # -- delta statistics through a (flow, delta) value-count aggregate --------
+    vc = deltas.where(F.col("_d_us").isNotNull()).groupBy(*FLOW_KEY, "_d_us").agg(
+        F.count(F.lit(1)).alias("_cnt"),
+        *[F.sum(F.col(f"_dl{k}") / F.lit(US)).alias(f"_sdl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)],
+        *[F.count(f"_dl{k}").alias(f"_cdl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)])
+    vc = vc.checkpoint(eager=True)
+    mu = hot.select(*FLOW_KEY, F.when(F.col("_m") > 1, (F.col("_tmax") - F.col("_tmin"))
+                                      / (F.col("_m") - 1) / F.lit(US)).alias("_mu"))
+    v = vc.join(bc(mu), FLOW_KEY)
+    c = F.col("_d_us") / F.lit(US) - F.col("_mu")
+    dstats = v.groupBy(*FLOW_KEY).agg(
+        F.sum("_cnt").alias("_L"),
+        F.sum(F.col("_cnt") * c * c).alias("_var"),
+        *[F.sum(c * (F.col(f"_sdl{k}") - F.col("_mu") * F.col(f"_cdl{k}"))).alias(f"_ac{k}")
+          for k in range(1, AUTOCORR_MAX_LAG + 1)],
+        F.percentile(F.col("_d_us"), F.lit(0.5), F.col("_cnt")).alias("_med"))
+    med = dstats.select(*FLOW_KEY, "_med")
+    mad = (vc.join(bc(med), FLOW_KEY).groupBy(*FLOW_KEY)
+           .agg(F.percentile(F.abs(F.col("_d_us") - F.col("_med")), F.lit(0.5), F.col("_cnt"))
+                .alias("_mad_us")))
+    out = (plain.join(dstats.drop("_med"), FLOW_KEY, "left").join(mad, FLOW_KEY, "left")
+           .withColumns({"_L": F.coalesce(F.col("_L"), F.lit(0).cast("bigint")),
+                         "_var": F.coalesce(F.col("_var"), F.lit(0.0))}))
+    return ft.finish_features(out)

@@ -145,3 +145,26 @@ def test_time_from_strings_and_ntz(spark):
     assert got == [1704078000000000, 1704078000000000]
     ntz = df.withColumn("timestamp", F.to_timestamp_ntz(F.lit("2024-07-01 03:00:00")))
     assert normalize_connections(ntz).first().ts_us == 1719802800000000
+
+
+@pytest.mark.parametrize("hot_rows", [4, 11])
+def test_hot_flow_route_matches_window_route(spark, hot_rows):
+    import numpy as np
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(6):
+        n = 30 + 7 * i
+        ts = np.cumsum(rng.exponential(20, size=n)).tolist()
+        ts[3] = None if i % 2 else ts[3]
+        rows += flow(ts, sizes=rng.integers(50, 500, size=n).tolist(), src=f"10.2.0.{i}", start_id=1000 * i)
+    rows += flow([60 * j for j in range(12)], src="10.3.0.1", start_id=9000)   # stays below the bound
+    df = frame(spark, rows)
+    a = {r[:3]: r for r in engineer_features(df, hot_flow_rows=None).collect()}
+    b = {r[:3]: r for r in engineer_features(df, hot_flow_rows=hot_rows).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        for x, y in zip(a[k], b[k]):
+            if isinstance(x, float):
+                assert x == pytest.approx(y, rel=1e-9, abs=1e-9)
+            else:
+                assert x == y
