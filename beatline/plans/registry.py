@@ -516,3 +516,62 @@ def q_a11c(spark, sf):
     """Distinct sources/destinations and the size range."""
     from beatline.operators.explore import parse_summary
     return parse_summary(_cx(spark, sf))
+
+
+# --- baseline -----------------------------------------------------------------
+
+def _baseline(spark, sf) -> DataFrame:
+    from beatline.sources.baseline import baseline_features, benign_rows
+    return baseline_features(benign_rows(td.baseline_raw(spark, sf)))
+
+
+_BL = [("bl", O.duckdb_views()["bl"]),
+       ("bb", """select cast(flow_duration as double) as flow_duration, cast(fwd_packets as double) as fwd_packets,
+  cast(bwd_packets as double) as bwd_packets, cast(total_fwd_bytes as double) as total_fwd_bytes,
+  cast(total_bwd_bytes as double) as total_bwd_bytes, cast(fwd_iat_mean as double) as fwd_iat_mean,
+  cast(fwd_iat_std as double) as fwd_iat_std, cast(bwd_iat_mean as double) as bwd_iat_mean,
+  cast(bwd_iat_std as double) as bwd_iat_std, cast(dst_port as double) as dst_port,
+  cast(protocol as double) as protocol from bl where upper(trim(label)) = 'BENIGN'"""),
+       ("bd1", """select *, fwd_iat_mean as mean_interval, fwd_iat_std as std_interval,
+  floor((case when fwd_iat_mean > 0 then fwd_iat_std / fwd_iat_mean else 0.0 end) * 1e6 + 0.5) / 1e6 as interval_cov,
+  floor((case when fwd_packets + bwd_packets > 0 then (total_fwd_bytes + total_bwd_bytes) / (fwd_packets + bwd_packets)
+        else 0.0 end) * 100.0 + 0.5) / 100.0 as mean_bytes from bb"""),
+       ("bd", f"""select *, floor(least(greatest(case when mean_bytes > 0 then abs(total_fwd_bytes - total_bwd_bytes)
+  / {2.0 ** 0.5!r} / (mean_bytes * (fwd_packets + bwd_packets)) else 0.0 end, 0.0), 10.0) * 1e6 + 0.5) / 1e6 as bytes_cov
+  from bd1""")]
+
+
+@register("s7_baseline_features", O.with_(_BL, "select " + ", ".join(
+    O.r6(c) + f" as {c}" for c in ["flow_duration", "fwd_packets", "bwd_packets", "total_fwd_bytes",
+                                   "total_bwd_bytes", "fwd_iat_mean", "fwd_iat_std", "bwd_iat_mean",
+                                   "bwd_iat_std", "dst_port", "protocol", "mean_interval", "std_interval",
+                                   "interval_cov", "mean_bytes", "bytes_cov"]) + " from bd"))
+def q_s7(spark, sf):
+    """Benign labelled flow statistics with derived features."""
+    return rounded(_baseline(spark, sf))
+
+
+@register("s8_baseline_matrix", O.with_(_BL, "select " + ", ".join(
+    O.r6(c) + f" as {c}" for c in ["mean_interval", "std_interval", "interval_cov", "mean_bytes",
+                                   "bytes_cov"]) + " from bd"))
+def q_s8(spark, sf):
+    """The baseline's five-column feature matrix (distributed)."""
+    from beatline.sources.baseline import feature_matrix
+    return rounded(feature_matrix(_baseline(spark, sf)))
+
+
+@register("a13_baseline_ports", O.with_(_BL, """select dst_port, count(*) as count from bd group by dst_port
+  order by count desc, dst_port limit 10"""))
+def q_a13(spark, sf):
+    """Ten most frequent destination ports of the baseline."""
+    from beatline.sources.baseline import top_ports
+    return top_ports(_baseline(spark, sf))
+
+
+@register("a13_baseline_profile", O.with_(_BL, " union all ".join(
+    f"select '{c}' as column, {O.r6(f'avg({c})')} as mean, {O.r6(f'stddev_samp({c})')} as std, "
+    f"min({c}) as min, max({c}) as max from bd" for c in ["fwd_packets", "bwd_packets", "dst_port", "protocol"])))
+def q_a13p(spark, sf):
+    """Mean, std, min, max per baseline column (integer-valued columns)."""
+    from beatline.sources.baseline import profile
+    return rounded(profile(_baseline(spark, sf), ["fwd_packets", "bwd_packets", "dst_port", "protocol"]))
