@@ -575,3 +575,86 @@ def q_a13p(spark, sf):
     """Mean, std, min, max per baseline column (integer-valued columns)."""
     from beatline.sources.baseline import profile
     return rounded(profile(_baseline(spark, sf), ["fwd_packets", "bwd_packets", "dst_port", "protocol"]))
+
+
+# --- captures -------------------------------------------------------------------
+
+_PK = [("pk", O.duckdb_views()["pk"])]
+_ROLL = _PK + [
+    ("pp", """select *, row_number() over (partition by file, src_ip, dst_ip, dst_port, protocol
+          order by ts_us asc nulls last, packet_idx) as rn_,
+       count(*) over (partition by file, src_ip, dst_ip, dst_port, protocol) as n_ from pk"""),
+    ("pg", """select file, src_ip, dst_ip, dst_port, protocol, min(ts_us) as ts_us, max(ts_us) as last_,
+  min(packet_idx) as first_idx_, cast(sum(coalesce(cast(packet_size as bigint), 0)) as bigint) as packet_size,
+  cast(sum(case when rn_ <= greatest(1, floor(n_ / 2)) then coalesce(cast(packet_size as bigint), 0) else 0 end) as bigint) as bytes_sent,
+  cast(sum(case when rn_ > greatest(1, floor(n_ / 2)) then coalesce(cast(packet_size as bigint), 0) else 0 end) as bigint) as recv_,
+  max(has_dns_lookup) as has_dns_lookup from pp group by file, src_ip, dst_ip, dst_port, protocol"""),
+    ("pf", """select file, src_ip, dst_ip, dst_port, protocol, ts_us, packet_size,
+  floor(greatest(0.001, (last_ - ts_us) / 1e6) * 10000.0 + 0.5) / 10000.0 as connection_duration,
+  bytes_sent, case when recv_ = 0 then bytes_sent else recv_ end as bytes_received, 0 as is_failed,
+  coalesce(has_dns_lookup, 0) as has_dns_lookup, '' as dst_domain, first_idx_ from pg"""),
+]
+_ROLL_COLS = ["file", "src_ip", "dst_ip", "dst_port", "protocol", "ts_us", "packet_size", "connection_duration",
+              "bytes_sent", "bytes_received", "is_failed", "has_dns_lookup", "dst_domain"]
+
+
+def _rollup(spark, sf) -> DataFrame:
+    from beatline.sources.captures import packets_to_flows
+    return packets_to_flows(td.packets(spark, sf))
+
+
+@register("a1_packet_rollup", O.with_(_ROLL, "select " + ", ".join(
+    O.r6(c) + f" as {c}" if c == "connection_duration" else c for c in _ROLL_COLS) + " from pf"))
+def q_a1(spark, sf):
+    """A1: packets rolled up per (file, src, dst, port, protocol)."""
+    return rounded(_rollup(spark, sf).select(*_ROLL_COLS))
+
+
+@register("a2_flow_ids", O.with_(_ROLL + [("pc", """select file, count(*) as cnt_ from pf group by file"""),
+                                          ("po", "select file, sum(cnt_) over (order by file) - cnt_ as off_ from pc")],
+    """select pf.file, src_ip, dst_ip, dst_port, protocol,
+  printf('pcap_flow_%06d', off_ + row_number() over (partition by pf.file order by first_idx_, src_ip, dst_ip,
+         dst_port, protocol) - 1) as flow_id
+  from pf join po using (file)"""))
+def q_a2(spark, sf):
+    """A2: flow ids by first appearance, numbered across files in name order."""
+    from beatline.sources.captures import number_flows
+    return number_flows(_rollup(spark, sf)).select("file", "src_ip", "dst_ip", "dst_port", "protocol", "flow_id")
+
+
+@register("j1_dns_enrichment", O.with_(_ROLL + [("dn", O.duckdb_views()["dns"]),
+                                                ("dl", """select file, ip, domain from (select *, row_number() over
+  (partition by file, ip order by packet_idx desc, answer_idx desc) as r_ from dn) t where r_ = 1""")],
+    """select pf.file, src_ip, pf.dst_ip, dst_port, protocol, coalesce(dl.domain, '') as dst_domain
+  from pf left join dl on pf.file = dl.file and pf.dst_ip = dl.ip"""))
+def q_j1(spark, sf):
+    """Destination domain from the same capture file's last DNS answer."""
+    from beatline.sources.captures import enrich_domains
+    out = enrich_domains(_rollup(spark, sf), td.dns_answers(spark, sf))
+    return out.select("file", "src_ip", "dst_ip", "dst_port", "protocol", "dst_domain")
+
+
+@register("a12_host_domains", O.with_(_ROLL + [("dn", O.duckdb_views()["dns"]),
+                                               ("dl", """select file, ip, domain from (select *, row_number() over
+  (partition by file, ip order by packet_idx desc, answer_idx desc) as r_ from dn) t where r_ = 1"""),
+                                               ("en", """select pf.*, coalesce(dl.domain, '') as dst_domain2
+  from pf left join dl on pf.file = dl.file and pf.dst_ip = dl.ip""")],
+    """select dst_domain2 as dst_domain, count(*) as count from en where src_ip = '10.0.0.1' and dst_domain2 <> ''
+  group by dst_domain2"""))
+def q_a12(spark, sf):
+    """Domain counts of one host's enriched flows ('' excluded)."""
+    from beatline.operators.explore import host_domain_counts
+    from beatline.sources.captures import enrich_domains
+    return host_domain_counts(enrich_domains(_rollup(spark, sf), td.dns_answers(spark, sf)), "10.0.0.1")
+
+
+@register("t1_packets_as_records", O.with_(_PK + [("pr", """select src_ip, dst_ip, dst_port, ts_us, packet_idx as flow_id,
+  packet_size, cast(0.0 as double) as connection_duration, packet_size as bytes_sent,
+  cast(null as bigint) as bytes_received, 0 as is_failed, has_dns_lookup from pk""")]
+    + O.features_ctes(src="pr"), f"select {KEYS}, {O.feature_select()} from feat"))
+def q_t1(spark, sf):
+    """Packets taken directly as connection records, then F1–F20."""
+    from beatline.operators.features import engineer_features
+    from beatline.sources.captures import packets_as_connections
+    recs = packets_as_connections(td.packets(spark, sf)).drop("file").withColumnRenamed("packet_idx", "flow_id")
+    return rounded(engineer_features(recs).select(*FLOW_KEY, *FEATURE_COLUMNS))
