@@ -340,3 +340,11 @@ def explain_all(scored: DataFrame, stats: dict, threshold: float = 70.0, sigma:
     return scored.withColumn("ml_explanation",
                              F.when(F.col("ml_score") > F.lit(threshold), explanation(stats, sigma))
                              .otherwise(F.lit("")))
+
+
+def training_stats_table(train: DataFrame, features: list[str] = ML_FEATURES) -> DataFrame:
+    """A5/A6 as a table: (feature, mean, std, pstd) — mean, sample and
+    population standard deviation of each model feature."""
+    wide = moments(train, features)
+    stack = ", ".join(f"'{c}', `{c}__mean`, `{c}__std`, `{c}__pstd`" for c in features)
+    return wide.selectExpr(f"stack({len(features)}, {stack}) as (feature, mean, std, pstd)")

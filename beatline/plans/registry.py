@@ -658,3 +658,99 @@ def q_t1(spark, sf):
     from beatline.sources.captures import packets_as_connections
     recs = packets_as_connections(td.packets(spark, sf)).drop("file").withColumnRenamed("packet_idx", "flow_id")
     return rounded(engineer_features(recs).select(*FLOW_KEY, *FEATURE_COLUMNS))
+
+
+# --- anomaly layer ----------------------------------------------------------------
+
+def _training_rows(spark, sf) -> DataFrame:
+    from beatline.operators.anomaly import training_matrix
+    from beatline.operators.verdict import benign_for_training
+    return training_matrix(_scored(spark, sf).where(benign_for_training()))
+
+
+_TRAIN = SCORED + [("tr", "select * from sc where destination_in_allowlist or deterministic_score < 40.0")]
+
+
+@register("a5_a6_training_stats", O.with_(_TRAIN, " union all ".join(
+    f"select '{c}' as feature, {O.r6(f'avg(cast({c} as double))')} as mean, "
+    f"{O.r6(f'stddev_samp(cast({c} as double))')} as std, {O.r6(f'stddev_pop(cast({c} as double))')} as pstd from tr"
+    for c in ["interval_cov", "mean_interval", "std_interval", "bytes_cov", "mean_bytes", "num_connections",
+              "session_duration", "pct_connections_off_hours", "mean_connection_duration",
+              "failed_connection_ratio", "payload_entropy"])))
+def q_a5(spark, sf):
+    """Mean, sample and population std of the 11 model features
+    over the benign training rows."""
+    from beatline.operators.anomaly import training_stats_table
+    return rounded(training_stats_table(_training_rows(spark, sf)))
+
+
+@register("a7_batch_bounds", O.with_(SCORED, """select floor(min(deterministic_score) * 1e6 + 0.5) / 1e6 as min,
+  floor(max(deterministic_score) * 1e6 + 0.5) / 1e6 as max,
+  floor(median(deterministic_score) * 1e6 + 0.5) / 1e6 as median, count(*) as n,
+  cast(count_if(deterministic_score > 70.0) as bigint) as n_above from sc"""))
+def q_a7(spark, sf):
+    """Min, max, median and count above 70 of a score over the batch."""
+    from beatline.operators.anomaly import batch_bounds
+    return rounded(batch_bounds(_scored(spark, sf), "deterministic_score", threshold=70.0))
+
+
+@register("m2_m3_ml_scores", None)
+def q_m23(spark, sf):
+    """M2/M3: isolation forest fitted on the benign flows, every flow scored 0–100."""
+    from beatline.operators import anomaly
+    from beatline.operators.verdict import benign_for_training
+    scored = _scored(spark, sf)
+    model = anomaly.fit(scored.where(benign_for_training()))
+    return anomaly.score(model, scored).select(*FLOW_KEY, "ml_score")
+
+
+@register("m4_m5_explanations", None)
+def q_m45(spark, sf):
+    """M4/M5: text explanations of the flows the model scores above 70."""
+    from beatline.operators import anomaly
+    from beatline.operators.verdict import benign_for_training
+    scored = _scored(spark, sf)
+    model = anomaly.fit(scored.where(benign_for_training()))
+    out = anomaly.explain_all(anomaly.score(model, scored), model.stats)
+    return out.select(*FLOW_KEY, "ml_score", "ml_explanation")
+
+
+@register("v2_results", None)
+def q_v2(spark, sf):
+    """V2: the full pipeline with the model on (the flagship result table)."""
+    from beatline.plans.pipeline import run_pipeline
+    return rounded(run_pipeline(_cx(spark, sf)))
+
+
+@register("v3_summary_top_high", O.with_(VERD, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score
+  from vd where final_verdict = 'HIGH' order by deterministic_score desc, {KEYS} limit 10"""))
+def q_v3(spark, sf):
+    """V3: the summary's top-10 HIGH table (model off)."""
+    from beatline.plans.pipeline import summary
+    return rounded(summary(_results_off(spark, sf))["top_high"].select(*FLOW_KEY, "deterministic_score"))
+
+
+def _m4_sql() -> str:
+    from beatline.schemas import FEATURE_DESCRIPTIONS, ML_FEATURES
+    stats = ", ".join(f"avg(cast({c} as double)) as {c}_m, coalesce(stddev_samp(cast({c} as double)), 0.0) as {c}_s"
+                      for c in ML_FEATURES)
+    parts = []
+    for c in ML_FEATURES:
+        v, m, s = f"cast({c} as double)", f"{c}_m", f"{c}_s"
+        lo = f"(case when {s} > 0 then {m} - 2.0 * {s} else {m} end)"
+        hi = f"(case when {s} > 0 then {m} + 2.0 * {s} else {m} end)"
+        hit = f"(case when {s} > 0 then abs({v} - {m}) / {s} > 2.0 else {v} <> {m} end)"
+        text = (f"printf('{c} is %.4f (benign mean: %.4f, 2σ range: [%.4f, %.4f]) — %s "
+                f"{FEATURE_DESCRIPTIONS[c]}', {v}, {m}, {lo}, {hi}, "
+                f"case when {v} < {m} then 'unusually low' else 'unusually high' end)")
+        parts.append(f"case when {hit} then {text} end")
+    return O.with_(_TRAIN + [("st", f"select {stats} from tr")],
+                   f"select {KEYS}, concat_ws('; ', {', '.join(parts)}) as ml_explanation from sc, st")
+
+
+@register("m4_explain_all_flows", _m4_sql())
+def q_m4(spark, sf):
+    """M4: the 2σ explanation text of every flow against the benign statistics."""
+    from beatline.operators import anomaly
+    st = anomaly.training_stats(_training_rows(spark, sf))
+    return _scored(spark, sf).select(*FLOW_KEY, anomaly.explanation(st["stats"]).alias("ml_explanation"))
