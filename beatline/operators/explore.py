@@ -175,3 +175,11 @@ def parse_summary(flows: DataFrame) -> DataFrame:
                      F.count_distinct("src_ip").alias("unique_src"),
                      F.count_distinct("dst_ip").alias("unique_dst"),
                      F.min("packet_size").alias("min_size"), F.max("packet_size").alias("max_size"))
+
+
+def explanation_parts(results: DataFrame) -> DataFrame:
+    """One row per '; '-separated part of each non-empty explanation."""
+    e = F.coalesce(F.col("ml_explanation"), F.lit(""))
+    return (results.where(F.length(e) > 0)
+            .select(*[c for c in FLOW_KEY if c in results.columns],
+                    F.posexplode(F.split(e, "; ")).alias("part_idx", "part")))

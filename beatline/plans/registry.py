@@ -744,8 +744,9 @@ def _m4_sql() -> str:
                 f"{FEATURE_DESCRIPTIONS[c]}', {v}, {m}, {lo}, {hi}, "
                 f"case when {v} < {m} then 'unusually low' else 'unusually high' end)")
         parts.append(f"case when {hit} then {text} end")
-    return O.with_(_TRAIN + [("st", f"select {stats} from tr")],
-                   f"select {KEYS}, concat_ws('; ', {', '.join(parts)}) as ml_explanation from sc, st")
+    return O.with_(_TRAIN + [("st", f"select {stats} from tr"),
+                             ("ex", f"select {KEYS}, concat_ws('; ', {', '.join(parts)}) as ml_explanation from sc, st")],
+                   "select * from ex")
 
 
 @register("m4_explain_all_flows", _m4_sql())
@@ -754,3 +755,12 @@ def q_m4(spark, sf):
     from beatline.operators import anomaly
     st = anomaly.training_stats(_training_rows(spark, sf))
     return _scored(spark, sf).select(*FLOW_KEY, anomaly.explanation(st["stats"]).alias("ml_explanation"))
+
+
+@register("x8_explanation_parts", _m4_sql().replace("select * from ex", f"""select {KEYS}, cast(part_idx as integer) as part_idx, part
+  from (select {KEYS}, unnest(range(len(string_split(ml_explanation, '; ')))) as part_idx,
+               unnest(string_split(ml_explanation, '; ')) as part from ex where length(ml_explanation) > 0) t"""))
+def q_x8(spark, sf):
+    """Explanations split back into their parts (concat_ws / split)."""
+    from beatline.operators.explore import explanation_parts
+    return explanation_parts(q_m4(spark, sf))
