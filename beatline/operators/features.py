@@ -99,10 +99,14 @@ def _window_stage(rows: DataFrame, min_connections: int) -> DataFrame:
         "_mdur": F.col("_sdur").cast("double") / F.col("_n"),
     })
     lags = [F.lag("_d_us", k).over(w).alias(f"_dl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)]
-    s2 = s1.select("*", *lags)
-    # median needs an unordered window; placed after the ordered stages, the
-    # rows are already sorted by key, so no further sort is planned.
-    return s2.withColumn("_med", F.median("_d_us").over(Window.partitionBy(*FLOW_KEY)))
+    # the earliest record's domain (NULL times sort last), constant per flow
+    s2 = s1.select("*", *lags, F.first("_domain").over(w).alias("_fd"))
+    # medians need an unordered window; placed after the ordered stages the
+    # rows are already sorted by key, so no further sort is planned.  Keeping
+    # them out of the aggregate lets it be a code-generated hash aggregate.
+    flow = Window.partitionBy(*FLOW_KEY)
+    s3 = s2.withColumn("_med", F.median("_d_us").over(flow))
+    return s3.withColumn("_mad", F.median(F.abs(F.col("_d_us") - F.col("_med"))).over(flow))
 
 
 def _entropy_bin() -> Column:
@@ -127,7 +131,7 @@ def feature_aggregates() -> list[Column]:
         F.sum(c * c).alias("_var"),
         *[F.sum(c * (F.col(f"_dl{k}") / F.lit(US) - F.col("_mu"))).alias(f"_ac{k}")
           for k in range(1, AUTOCORR_MAX_LAG + 1)],
-        F.median(F.abs(F.col("_d_us") - F.col("_med"))).alias("_mad_us"),
+        F.max("_mad").alias("_mad_us"),
         F.sum(F.when(F.col("ts_us").isNotNull()
                      & hour_of_day_utc("ts_us").between(*OFF_HOURS), 1).otherwise(0)).alias("_off"),
         F.sum("_tot").alias("_stot"), F.max("_tot").alias("_maxtot"),
@@ -138,7 +142,6 @@ def feature_aggregates() -> list[Column]:
         exact_sum("_dur").alias("_sdur"),
         F.sum((F.col("_dur") - F.col("_mdur")) * (F.col("_dur") - F.col("_mdur"))).alias("_ssdur"),
         F.sum("_failed").alias("_sfailed"), F.sum("_dns").alias("_sdns"),
-        _first_domain_from_cols().alias("dst_domain"),
     ]
     return aggs
 
@@ -214,8 +217,11 @@ def _with_tbkey(rows: DataFrame) -> DataFrame:
 def per_flow_features(rows: DataFrame, min_connections: int = MIN_CONNECTIONS) -> DataFrame:
     """F0–F19 for the window route (rows from :func:`flow_rows`)."""
     staged = _window_stage(rows, min_connections).withColumn("_bin", _entropy_bin())
-    staged = _with_tbkey(staged)
-    agg = staged.groupBy(*FLOW_KEY).agg(*feature_aggregates())
+    # the domain is constant per flow: as a grouping key it keeps the
+    # aggregate buffer fixed-width (hash aggregate), and hash(flow key)
+    # still satisfies the clustering, so no exchange is added
+    agg = (staged.groupBy(*FLOW_KEY, F.col("_fd").alias("dst_domain"))
+           .agg(*feature_aggregates()))
     return finish_features(agg)
 
 
