@@ -33,6 +33,7 @@ from beatline.schemas import (
 )
 
 US = float(MICROS_PER_SECOND)
+US_SQL = "1e6"          # a double literal in SQL text (``1000000.0`` would be DECIMAL)
 # Flows with more records than this leave the single-task window route.
 DEFAULT_HOT_FLOW_ROWS = 2_000_000
 
@@ -118,32 +119,27 @@ def _entropy_bin() -> Column:
 
 
 def feature_aggregates() -> list[Column]:
-    """Aggregate expressions over the windowed rows (F0–F19 raw inputs).
+    """Aggregate expressions over the windowed rows (F1–F19 raw inputs).
 
-    Shared by the ordinary and the hot-flow route.
+    Stated as SQL expression text: one JVM call per expression keeps plan
+    construction cheap.  Shared by the ordinary and the hot-flow route.
     """
-    d = F.col("_d_us") / F.lit(US)
-    c = d - F.col("_mu")
-    aggs = [
-        F.count(F.lit(1)).alias("_n"),
-        F.count("_d_us").alias("_L"),
-        F.max("ts_us").alias("_tmax"), F.min("ts_us").alias("_tmin"),
-        F.sum(c * c).alias("_var"),
-        *[F.sum(c * (F.col(f"_dl{k}") / F.lit(US) - F.col("_mu"))).alias(f"_ac{k}")
-          for k in range(1, AUTOCORR_MAX_LAG + 1)],
-        F.max("_mad").alias("_mad_us"),
-        F.sum(F.when(F.col("ts_us").isNotNull()
-                     & hour_of_day_utc("ts_us").between(*OFF_HOURS), 1).otherwise(0)).alias("_off"),
-        F.sum("_tot").alias("_stot"), F.max("_tot").alias("_maxtot"),
-        F.sum((F.col("_tot") - F.col("_mtot")) * (F.col("_tot") - F.col("_mtot"))).alias("_sstot"),
-        F.sum("_sent").alias("_ssent"), F.sum("_recv").alias("_srecv"),
-        F.max("_hi").alias("_hi"), F.max("_lo").alias("_lo"),
-        *[F.count_if(F.col("_bin") == F.lit(b)).alias(f"_b{b}") for b in range(ENTROPY_BINS)],
-        exact_sum("_dur").alias("_sdur"),
-        F.sum((F.col("_dur") - F.col("_mdur")) * (F.col("_dur") - F.col("_mdur"))).alias("_ssdur"),
-        F.sum("_failed").alias("_sfailed"), F.sum("_dns").alias("_sdns"),
+    c = f"(_d_us / {US_SQL} - _mu)"
+    lo, hi = OFF_HOURS
+    hour = "floor(pmod(ts_us, 86400000000) / 3600000000)"
+    exprs = [
+        "count(1) as _n", "count(_d_us) as _L", "max(ts_us) as _tmax", "min(ts_us) as _tmin",
+        f"sum({c} * {c}) as _var",
+        *[f"sum({c} * (_dl{k} / {US_SQL} - _mu)) as _ac{k}" for k in range(1, AUTOCORR_MAX_LAG + 1)],
+        "max(_mad) as _mad_us",
+        f"sum(case when ts_us is not null and {hour} between {lo} and {hi} then 1 else 0 end) as _off",
+        "sum(_tot) as _stot", "max(_tot) as _maxtot", "sum((_tot - _mtot) * (_tot - _mtot)) as _sstot",
+        "sum(_sent) as _ssent", "sum(_recv) as _srecv", "max(_hi) as _hi", "max(_lo) as _lo",
+        *[f"count_if(_bin = {b}) as _b{b}" for b in range(ENTROPY_BINS)],
+        "sum(cast(_dur as decimal(38,9))) as _sdur", "sum((_dur - _mdur) * (_dur - _mdur)) as _ssdur",
+        "sum(_failed) as _sfailed", "sum(_dns) as _sdns",
     ]
-    return aggs
+    return [F.expr(e) for e in exprs]
 
 
 def _first_domain_from_cols() -> Column:
@@ -152,50 +148,53 @@ def _first_domain_from_cols() -> Column:
 
 
 def finish_features(agg: DataFrame) -> DataFrame:
-    """Turn the aggregate's sums into F1–F19 (scalar expressions only)."""
-    n, L = F.col("_n"), F.col("_L")
-    mean_iv = F.when(L > 0, (F.col("_tmax") - F.col("_tmin")) / L / F.lit(US)).otherwise(F.lit(0.0))
-    std_iv = F.when(L > 1, F.sqrt(F.col("_var") / (L - 1))).otherwise(F.lit(0.0))
-    ac = F.greatest(*[F.abs(F.col(f"_ac{k}")) for k in range(1, AUTOCORR_MAX_LAG + 1)])
-    autocorr = F.when((L >= AUTOCORR_MAX_LAG + 2) & (F.col("_var") > 0),
-                      ac / F.col("_var")).otherwise(F.lit(0.0))
-    mean_b = F.col("_stot") / n
-    std_b = F.when(n > 1, F.sqrt(F.col("_sstot") / (n - 1))).otherwise(F.lit(0.0))
-    ent_terms = [F.when(F.col(f"_b{b}") > 0,
-                        F.col(f"_b{b}") / n * F.log2(F.col(f"_b{b}") / n)).otherwise(F.lit(0.0))
-                 for b in range(ENTROPY_BINS)]
-    ent_sum = ent_terms[0]
-    for t in ent_terms[1:]:
-        ent_sum = ent_sum + t
-    entropy = F.when((n >= 2) & (F.col("_hi") > F.col("_lo")), -ent_sum).otherwise(F.lit(0.0))
+    """Turn the aggregate's sums into F1–F19 (scalar expressions only).
+
+    Two projections: the shared intermediates (means, standard deviations)
+    become columns first, so later expressions name them instead of
+    repeating their trees; SQL expression text keeps plan building cheap.
+    """
+    ent = " + ".join(f"(case when _b{b} > 0 then _b{b} / _n * log2(_b{b} / _n) else 0.0 end)"
+                     for b in range(ENTROPY_BINS))
+    acmax = "greatest(" + ", ".join(f"abs(_ac{k})" for k in range(1, AUTOCORR_MAX_LAG + 1)) + ")"
+    stage = agg.selectExpr(
+        *FLOW_KEY, "dst_domain", "_n", "_srecv", "_ssent", "_maxtot", "_off", "_sdur", "_ssdur",
+        "_sfailed", "_sdns", "_tmax", "_tmin", "_L", "_mad_us",
+        f"case when _L > 0 then (_tmax - _tmin) / _L / {US_SQL} else 0.0 end as _mean_iv",
+        "case when _L > 1 then sqrt(_var / (_L - 1)) else 0.0 end as _std_iv",
+        f"case when _L >= {AUTOCORR_MAX_LAG + 2} and _var > 0 then {acmax} / _var else 0.0 end as _autocorr",
+        "_stot / _n as _mean_b",
+        "case when _n > 1 then sqrt(_sstot / (_n - 1)) else 0.0 end as _std_b",
+        f"case when _n >= 2 and _hi > _lo then -({ent}) else 0.0 end as _entropy",
+    )
     cols = {
-        "mean_interval": mean_iv,
-        "std_interval": std_iv,
-        "interval_cov": F.when(mean_iv == 0, F.lit(0.0)).otherwise(std_iv / mean_iv),
-        "interval_mad": F.when(L > 1, F.col("_mad_us") / F.lit(US)).otherwise(F.lit(0.0)),
-        "autocorrelation_score": autocorr,
-        "session_duration": F.coalesce((F.col("_tmax") - F.col("_tmin")) / F.lit(US), F.lit(0.0)),
-        "pct_connections_off_hours": F.col("_off") / n,
-        "mean_bytes": mean_b,
-        "std_bytes": std_b,
-        "bytes_cov": F.when(mean_b == 0, F.lit(0.0)).otherwise(std_b / mean_b),
-        "bytes_sent_received_ratio": F.when(F.col("_srecv") == 0, F.lit(0.0))
-                                      .otherwise((F.col("_ssent") / n) / (F.col("_srecv") / n)),
-        "payload_entropy": entropy,
-        "has_anomalous_burst": F.when((mean_b > 0) & (F.col("_maxtot") > F.lit(BURST_FACTOR) * mean_b),
-                                      1).otherwise(0),
-        "num_connections": n,
+        "mean_interval": "_mean_iv",
+        "std_interval": "_std_iv",
+        "interval_cov": "case when _mean_iv = 0 then 0.0 else _std_iv / _mean_iv end",
+        "interval_mad": f"case when _L > 1 then _mad_us / {US_SQL} else 0.0 end",
+        "autocorrelation_score": "_autocorr",
+        "session_duration": f"coalesce((_tmax - _tmin) / {US_SQL}, 0.0)",
+        "pct_connections_off_hours": "_off / _n",
+        "mean_bytes": "_mean_b",
+        "std_bytes": "_std_b",
+        "bytes_cov": "case when _mean_b = 0 then 0.0 else _std_b / _mean_b end",
+        "bytes_sent_received_ratio": "case when _srecv = 0 then 0.0 else (_ssent / _n) / (_srecv / _n) end",
+        "payload_entropy": "_entropy",
+        "has_anomalous_burst": f"case when _mean_b > 0 and _maxtot > double({BURST_FACTOR!r}) * _mean_b then 1 else 0 end",
+        "num_connections": "_n",
         # dst_port is part of the flow key, so every flow has exactly one (T5)
-        "num_unique_ports": F.lit(1),
-        "mean_connection_duration": F.col("_sdur").cast("double") / n,
-        "std_connection_duration": F.when(n > 1, F.sqrt(F.col("_ssdur") / (n - 1))).otherwise(F.lit(0.0)),
-        "failed_connection_ratio": F.col("_sfailed") / n,
-        "is_direct_ip_no_dns": F.when(F.col("_sdns") / n < 0.5, 1).otherwise(0),
+        "num_unique_ports": "1",
+        "mean_connection_duration": "cast(_sdur as double) / _n",
+        "std_connection_duration": "case when _n > 1 then sqrt(_ssdur / (_n - 1)) else 0.0 end",
+        "failed_connection_ratio": "_sfailed / _n",
+        "is_direct_ip_no_dns": "case when _sdns / _n < 0.5 then 1 else 0 end",
     }
-    out = agg.select(*FLOW_KEY, "dst_domain",
-                     *[(v if k in INTEGER_FEATURES else finite_or_zero(v)).alias(k)
-                       for k, v in cols.items()])
-    return out
+    out = stage.selectExpr(*FLOW_KEY, "dst_domain", *[f"{v} as {k}" for k, v in cols.items()])
+    # P6 on plain column references (NaN / ±inf → 0)
+    fin = [k if k in INTEGER_FEATURES else
+           f"case when isnan({k}) or abs({k}) = double('inf') or {k} is null then 0.0 else {k} end as {k}"
+           for k in cols]
+    return out.selectExpr(*FLOW_KEY, "dst_domain", *fin)
 
 
 def add_cross_flow(features: DataFrame) -> DataFrame:

@@ -24,7 +24,9 @@ def get_spark(app: str = "beatline", master: str | None = None,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false"))
+         .config("spark.ui.showConsoleProgress", "false")
+         # no Python call-site capture per Column call (plan building is py4j-bound)
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
