@@ -69,23 +69,25 @@ def host_list(results: DataFrame) -> DataFrame:
 def timeline(connections: DataFrame) -> DataFrame:
     """Seconds since the flow's first record (the "comb" plot data)."""
     rows = normalize_connections(connections)
-    first = F.min("ts_us").over(Window.partitionBy(*FLOW_KEY))
-    return rows.select(*FLOW_KEY, "ts_us",
-                       ((F.col("ts_us") - first) / F.lit(float(MICROS_PER_SECOND))).alias("offset_s"))
+    # first time per flow: partial aggregate joined back (hot flows split by AQE)
+    first = rows.groupBy(*FLOW_KEY).agg(F.min("ts_us").alias("_first"))
+    return rows.join(first, FLOW_KEY, "inner").select(
+        *FLOW_KEY, "ts_us", ((F.col("ts_us") - F.col("_first")) / F.lit(float(MICROS_PER_SECOND))).alias("offset_s"))
 
 
 def timeline_caption(connections: DataFrame) -> DataFrame:
-    """Per flow, mean interval and population-std CoV (0 when the mean is 0)."""
-    rows = normalize_connections(connections)
-    w = Window.partitionBy(*FLOW_KEY).orderBy(F.col("ts_us").asc_nulls_last(),
-                                              *[c for c in ("flow_id",) if c in rows.columns])
-    d = (F.col("ts_us") - F.lag("ts_us").over(w)) / F.lit(float(MICROS_PER_SECOND))
-    # the deltas telescope: mean = (last − first) / count, exact in µs
-    g = rows.select(*FLOW_KEY, "ts_us", d.alias("_d")).groupBy(*FLOW_KEY).agg(
+    """Per flow, mean interval and population-std CoV (0 when the mean is 0).
+
+    Built on W1 (hot flows sliced) and a partial aggregate; the deltas
+    telescope, so the mean is (last − first) / count, exact in µs.
+    """
+    from beatline.operators.features import inter_arrivals
+    d = inter_arrivals(connections, min_connections=1)
+    g = d.groupBy(*FLOW_KEY).agg(
         F.count(F.lit(1)).alias("num_connections"),
-        ((F.max("ts_us") - F.min("ts_us")) / F.count("_d") / F.lit(float(MICROS_PER_SECOND)))
+        ((F.max("ts_us") - F.min("ts_us")) / F.count("inter_arrival_s") / F.lit(float(MICROS_PER_SECOND)))
         .alias("mean_interval"),
-        F.stddev_pop("_d").alias("_sd"))
+        F.stddev_pop("inter_arrival_s").alias("_sd"))
     return g.select(*FLOW_KEY, "num_connections", "mean_interval",
                     F.when(F.col("mean_interval") > 0, F.col("_sd") / F.col("mean_interval"))
                     .otherwise(F.lit(0.0)).alias("cov"))

@@ -200,11 +200,15 @@ def finish_features(agg: DataFrame) -> DataFrame:
 def add_cross_flow(features: DataFrame) -> DataFrame:
     """F20 (J4/W7): sources per destination over *retained* flows.
 
-    Keys are unique, so this is a row count per (dst_ip, dst_port): a window
-    on the small per-flow table, no join.
+    Keys are unique, so this is a row count per (dst_ip, dst_port): a
+    partial aggregate joined back on the destination.  A destination
+    shared by a large share of all flows (a popular service) is then
+    counted map-side, and AQE can split its side of the join, where a
+    window would hand the whole destination to one task.
     """
-    w = Window.partitionBy("dst_ip", "dst_port")
-    return features.withColumn("num_internal_hosts_contacting", F.count(F.lit(1)).over(w))
+    hosts = features.groupBy("dst_ip", "dst_port").agg(
+        F.count(F.lit(1)).alias("num_internal_hosts_contacting"))
+    return features.join(hosts, ["dst_ip", "dst_port"], "inner")
 
 
 def _with_tbkey(rows: DataFrame) -> DataFrame:
@@ -242,13 +246,34 @@ def engineer_features(connections: DataFrame, min_connections: int = MIN_CONNECT
 
 
 def inter_arrivals(connections: DataFrame, min_connections: int = MIN_CONNECTIONS,
-                   tiebreak: list[str] | None = None) -> DataFrame:
+                   tiebreak: list[str] | None = None,
+                   hot_flow_rows: int | None = DEFAULT_HOT_FLOW_ROWS) -> DataFrame:
     """Each record of a retained flow with the seconds since the flow's
-    previous record in time order (NULL for the first and for NULL times)."""
+    previous record in time order (NULL for the first and for NULL times).
+
+    Flows above ``hot_flow_rows`` records get their lags from time slices
+    stitched exactly (``hotflows.stitched_lags``) instead of one window task.
+    """
     rows = flow_rows(connections, tiebreak)
-    w = Window.partitionBy(*FLOW_KEY).orderBy(*_order_cols(rows))
-    n = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    out = rows.select("*", n.alias("_n"), F.lag("ts_us", 1).over(w).alias("_prev"))
-    return (out.where(F.col("_n") >= F.lit(min_connections))
-            .withColumn("inter_arrival_s", (F.col("ts_us") - F.col("_prev")) / F.lit(US))
-            .drop("_prev"))
+
+    def window_route(r: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*FLOW_KEY).orderBy(*_order_cols(r))
+        n = F.count(F.lit(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        return (r.select("*", n.alias("_n"), F.lag("ts_us", 1).over(w).alias("_lag1"))
+                .where(F.col("_n") >= F.lit(min_connections)).drop("_n"))
+
+    if hot_flow_rows is None:
+        out = window_route(rows)
+    else:
+        from beatline.operators import hotflows
+        hot = hotflows.hot_flow_table(rows, hot_flow_rows, min_connections)
+        n_hot = hot.count()
+        if n_hot == 0:
+            out = window_route(rows)
+        else:
+            hb = F.broadcast(hot) if n_hot <= hotflows.MAX_BROADCAST_HOT_FLOWS else hot
+            cold = window_route(rows.join(hb.select(*FLOW_KEY), FLOW_KEY, "left_anti"))
+            hot_rows = _with_tbkey(rows.join(hb, FLOW_KEY, "inner"))
+            hot_part = hotflows.stitched_lags(hot_rows, hot_flow_rows, lags=1).select(*cold.columns)
+            out = cold.unionByName(hot_part)
+    return out.withColumn("inter_arrival_s", (F.col("ts_us") - F.col("_lag1")) / F.lit(US)).drop("_lag1")

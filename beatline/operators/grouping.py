@@ -7,7 +7,7 @@ key that the feature windows and the final aggregate share.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from beatline.functions.columns import epoch_micros, require_columns
@@ -49,13 +49,15 @@ def group_flows(df: DataFrame, min_connections: int = MIN_CONNECTIONS) -> DataFr
     """A3: records of flows with at least ``min_connections`` rows.
 
     Returns the tagged connection table (``ts_us`` and the flow's
-    ``num_connections`` added).  The count is a window over the key, so a
-    following window/aggregate on the same key reuses this exchange.
+    ``num_connections`` added).  The count is a partial aggregate joined
+    back on the key (HAVING before the join), so a flow with a large share of
+    all records is counted map-side and its join partition can be split by
+    AQE, instead of being handed whole to one window task.
     """
     rows = normalize_connections(df)
-    n = F.count(F.lit(1)).over(Window.partitionBy(*FLOW_KEY))
-    return (rows.withColumn("num_connections", n)
-            .where(F.col("num_connections") >= F.lit(min_connections)))
+    counts = (rows.groupBy(*FLOW_KEY).agg(F.count(F.lit(1)).alias("num_connections"))
+              .where(F.col("num_connections") >= F.lit(min_connections)))
+    return rows.join(counts, FLOW_KEY, "inner")
 
 
 def flow_summary(df: DataFrame, min_connections: int = MIN_CONNECTIONS) -> DataFrame:

@@ -69,6 +69,56 @@ def _can_checkpoint(df: DataFrame) -> bool:
     return True
 
 
+def time_slices(rows: DataFrame, hot_flow_rows: int) -> DataFrame:
+    """``_slice``: ``ceil(m / hot_flow_rows)`` equal-width time slices per group
+    (rows carry their group's ``_m``, ``_tmin``, ``_tmax``); NULL times last."""
+    n_sl = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_m") / F.lit(float(hot_flow_rows))))
+    width = F.floor((F.col("_tmax") - F.col("_tmin")) / n_sl) + F.lit(1)
+    return rows.withColumn("_slice", F.when(F.col("ts_us").isNull(), n_sl)
+                           .otherwise(F.floor((F.col("ts_us") - F.col("_tmin")) / width)))
+
+
+def stitched_lags(rows: DataFrame, hot_flow_rows: int, key: list[str] = FLOW_KEY, lags: int = LAGS) -> DataFrame:
+    """Every row with ``_lag1.._lag{lags}`` (earlier times of its group in
+    (ts_us, _tbkey) order), computed per time slice and exact across slices.
+
+    In-slice windows give all lags except for a slice's first ``lags`` rows;
+    those are recomputed over a small table holding each slice's first and
+    last ``lags`` rows (≤ 2·lags per slice), whose window per group is
+    bounded by the number of slices.
+    """
+    sliced = time_slices(rows, hot_flow_rows)
+    order = [F.col("ts_us").asc_nulls_last(), F.col("_tbkey").asc_nulls_last()]
+    w = Window.partitionBy(*key, "_slice").orderBy(*order)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    main = sliced.select("*", F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(whole).alias("_c"),
+                         *[F.lag("ts_us", j).over(w).alias(f"_lag{j}") for j in range(1, lags + 1)])
+    edges = main.where((F.col("_rn") <= lags) | (F.col("_rn") > F.col("_c") - lags)).drop(
+        *[f"_lag{j}" for j in range(1, lags + 1)])
+    w2 = Window.partitionBy(*key).orderBy(F.col("_slice"), *order)
+    heads = (edges.select("*", *[F.lag("ts_us", j).over(w2).alias(f"_lag{j}") for j in range(1, lags + 1)])
+             .where(F.col("_rn") <= lags))
+    body = main.where(F.col("_rn") > lags)
+    return heads.unionByName(body).drop("_rn", "_c")
+
+
+def global_rank(rows: DataFrame, hot_flow_rows: int, key: list[str]) -> DataFrame:
+    """``_rank``: 1-based position of each row in its group's (ts_us, _tbkey)
+    order, for groups too large for one window task.
+
+    Rank inside a time slice plus the count of all earlier slices; the
+    per-slice counts are a small table (one row per slice).
+    """
+    sliced = time_slices(rows, hot_flow_rows)
+    w = Window.partitionBy(*key, "_slice").orderBy(F.col("ts_us").asc_nulls_last(),
+                                                   F.col("_tbkey").asc_nulls_last())
+    counts = sliced.groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_sc"))
+    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = counts.select(*key, "_slice", F.coalesce(F.sum("_sc").over(before), F.lit(0)).alias("_before"))
+    return (sliced.withColumn("_rin", F.row_number().over(w)).join(prefix, key + ["_slice"])
+            .withColumn("_rank", F.col("_before") + F.col("_rin")).drop("_rin", "_before", "_slice"))
+
+
 def hot_features(hot_rows: DataFrame, hot: DataFrame, hot_flow_rows: int, n_hot: int) -> DataFrame:
     """F0–F19 (pre-finish columns) for rows of hot flows joined with their stats."""
     bc = (lambda d: F.broadcast(d)) if n_hot <= MAX_BROADCAST_HOT_FLOWS else (lambda d: d)
@@ -98,25 +148,8 @@ def hot_features(hot_rows: DataFrame, hot: DataFrame, hot_flow_rows: int, n_hot:
     )
 
     # -- ordered part: time slices, in-slice lags, stitched slice heads --------
-    n_sl = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_m") / F.lit(float(hot_flow_rows))))
-    width = F.floor((F.col("_tmax") - F.col("_tmin")) / n_sl) + F.lit(1)
-    sliced = rows.withColumn("_slice", F.when(F.col("ts_us").isNull(), n_sl)
-                             .otherwise(F.floor((F.col("ts_us") - F.col("_tmin")) / width)))
-    order = ft._order_cols(sliced)
-    w = Window.partitionBy(*FLOW_KEY, "_slice").orderBy(*order)
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    main = sliced.select(*FLOW_KEY, "_slice", "ts_us", "_tbkey", F.row_number().over(w).alias("_rn"),
-                         F.count(F.lit(1)).over(whole).alias("_c"),
-                         *[F.lag("ts_us", j).over(w).alias(f"_lag{j}") for j in range(1, LAGS + 1)])
-    edges = main.where((F.col("_rn") <= LAGS) | (F.col("_rn") > F.col("_c") - LAGS))
-    w2 = Window.partitionBy(*FLOW_KEY).orderBy(F.col("_slice"), F.col("ts_us").asc_nulls_last(),
-                                               F.col("_tbkey").asc_nulls_last())
-    heads = (edges.select(*FLOW_KEY, "ts_us", "_rn",
-                          *[F.lag("ts_us", j).over(w2).alias(f"_lag{j}") for j in range(1, LAGS + 1)])
-             .where(F.col("_rn") <= LAGS).drop("_rn"))
-    body = main.where(F.col("_rn") > LAGS).select(*FLOW_KEY, "ts_us",
-                                                  *[f"_lag{j}" for j in range(1, LAGS + 1)])
-    deltas = heads.unionByName(body).select(
+    lagged = stitched_lags(rows, hot_flow_rows)
+    deltas = lagged.select(
         *FLOW_KEY, (F.col("ts_us") - F.col("_lag1")).alias("_d_us"),
         *[(F.col(f"_lag{k}") - F.col(f"_lag{k + 1}")).alias(f"_dl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)])
 

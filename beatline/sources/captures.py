@@ -290,7 +290,39 @@ def read_captures(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
 ROLLUP_KEY = ["file", "src_ip", "dst_ip", "dst_port", "protocol"]
 
 
-def packets_to_flows(packets: DataFrame) -> DataFrame:
+HOT_TUPLE_ROWS = 2_000_000
+
+
+def _ranked_packets(packets: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Packets with ``_rn`` (time order inside their rollup group) and ``_n``.
+
+    Groups above ``hot_rows`` packets are ranked through time slices
+    (``hotflows.global_rank``) so no single task orders a huge group.
+    """
+    base = packets.select(*ROLLUP_KEY, "ts_us", "packet_idx", "packet_size", "has_dns_lookup")
+
+    def window_route(b: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*ROLLUP_KEY).orderBy(F.col("ts_us").asc_nulls_last(), "packet_idx")
+        return b.select("*", F.row_number().over(w).alias("_rn"),
+                        F.count(F.lit(1)).over(Window.partitionBy(*ROLLUP_KEY)).alias("_n"))
+
+    if hot_rows is None:
+        return window_route(base)
+    from beatline.operators import hotflows
+    stats = base.groupBy(*ROLLUP_KEY).agg(F.count(F.lit(1)).alias("_n"), F.count("ts_us").alias("_m"),
+                                          F.min("ts_us").alias("_tmin"), F.max("ts_us").alias("_tmax"))
+    hot = stats.where(F.col("_n") > F.lit(hot_rows))
+    n_hot = hot.count()                    # at most N / hot_rows groups
+    if n_hot == 0:
+        return window_route(base)
+    hb = F.broadcast(hot) if n_hot <= hotflows.MAX_BROADCAST_HOT_FLOWS else hot
+    cold = window_route(base.join(hb.select(*ROLLUP_KEY), ROLLUP_KEY, "left_anti"))
+    hot_part = hotflows.global_rank(base.join(hb, ROLLUP_KEY).withColumn("_tbkey", F.col("packet_idx")),
+                                    hot_rows, ROLLUP_KEY)
+    return cold.unionByName(hot_part.withColumnRenamed("_rank", "_rn").select(*cold.columns))
+
+
+def packets_to_flows(packets: DataFrame, hot_rows: int | None = HOT_TUPLE_ROWS) -> DataFrame:
     """A1: one connection record per (file, src, dst, port, protocol).
 
     First time; duration ``round(max(0.001, last − first), 4)`` s; total
@@ -298,10 +330,7 @@ def packets_to_flows(packets: DataFrame) -> DataFrame:
     the rest "received" (sent again when that is 0); DNS flag max; not
     failed; empty domain.  Window and aggregate share one exchange.
     """
-    w = Window.partitionBy(*ROLLUP_KEY).orderBy(F.col("ts_us").asc_nulls_last(), "packet_idx")
-    whole = Window.partitionBy(*ROLLUP_KEY)
-    p = packets.select(*ROLLUP_KEY, "ts_us", "packet_idx", "packet_size", "has_dns_lookup",
-                       F.row_number().over(w).alias("_rn"), F.count(F.lit(1)).over(whole).alias("_n"))
+    p = _ranked_packets(packets, hot_rows)
     half = F.greatest(F.lit(1), F.floor(F.col("_n") / 2))
     size = F.coalesce(F.col("packet_size").cast("bigint"), F.lit(0))
     g = p.groupBy(*ROLLUP_KEY).agg(

@@ -168,3 +168,32 @@ def test_hot_flow_route_matches_window_route(spark, hot_rows):
                 assert x == pytest.approx(y, rel=1e-9, abs=1e-9)
             else:
                 assert x == y
+
+
+def test_inter_arrivals_hot_route(spark):
+    from beatline.operators.features import inter_arrivals
+    import numpy as np
+    rng = np.random.default_rng(2)
+    rows = []
+    for i in range(3):
+        ts = np.cumsum(rng.exponential(15, size=40)).tolist()
+        rows += flow(ts, src=f"10.4.0.{i}", start_id=1000 * i)
+    df = frame(spark, rows)
+    key = lambda r: (r.src_ip, r._tb0)
+    a = sorted((key(r), r.inter_arrival_s) for r in inter_arrivals(df, hot_flow_rows=None).collect())
+    b = sorted((key(r), r.inter_arrival_s) for r in inter_arrivals(df, hot_flow_rows=7).collect())
+    assert len(a) == len(b) == 120
+    for (ka, va), (kb, vb) in zip(a, b):
+        assert ka == kb and (va == vb or abs(va - vb) < 1e-9)
+
+
+def test_packet_rollup_hot_route(spark):
+    from beatline.sources.captures import packets_to_flows
+    pk = spark.createDataFrame(
+        [("f", i, "10.0.0.1", "1.2.3.4", 443, 1_000_000 * ((i * 7) % 23), 100 + i, "TCP", 0) for i in range(23)]
+        + [("f", 100 + i, "10.0.0.2", "1.2.3.4", 443, 1_000_000 * i, 50, "TCP", 0) for i in range(3)],
+        "file string, packet_idx long, src_ip string, dst_ip string, dst_port int, ts_us long, "
+        "packet_size int, protocol string, has_dns_lookup int")
+    a = sorted(packets_to_flows(pk, hot_rows=None).drop("timestamp").collect())
+    b = sorted(packets_to_flows(pk, hot_rows=4).drop("timestamp").collect())
+    assert a == b
