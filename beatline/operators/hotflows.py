@@ -11,7 +11,8 @@ Flows with more than ``hot_flow_rows`` records come here instead:
 2. **order-free features** (volumes, durations, counts, entropy bins,
    first domain) are plain aggregates by key — partial aggregation again.
 3. **inter-arrival features** need time order.  Each hot flow is cut into
-   ``ceil(m / hot_flow_rows)`` equal-width time slices; lags 1–6 are
+   contiguous time slices of about ``hot_flow_rows`` records (a fine
+   per-flow histogram, cumulated, decides the cuts); lags 1–6 are
    computed per (flow, slice) window.  A slice's first six rows lack their
    predecessors, which are the last rows of earlier slices: a small table
    of every slice's first and last six rows, windowed per flow, supplies
@@ -22,10 +23,9 @@ Flows with more than ``hot_flow_rows`` records come here instead:
    percentiles (``percentile(x, 0.5, frequency)``) over it.
 
 The output has the columns of the ordinary route's aggregate, so the same
-finishing expressions turn it into F1–F19.  Limitation: slices are equal
-width in time, so a hot flow whose records crowd into one slice-width of
-time still yields one large slice; the exact medians hold one entry per
-distinct delta of a flow.
+finishing expressions turn it into F1–F19.  Limits: records crowded into
+one histogram cell (1/64 of a slice's share of the time span) stay one
+slice; the exact medians hold one entry per distinct delta of a flow.
 """
 
 from __future__ import annotations
@@ -69,13 +69,33 @@ def _can_checkpoint(df: DataFrame) -> bool:
     return True
 
 
-def time_slices(rows: DataFrame, hot_flow_rows: int) -> DataFrame:
-    """``_slice``: ``ceil(m / hot_flow_rows)`` equal-width time slices per group
-    (rows carry their group's ``_m``, ``_tmin``, ``_tmax``); NULL times last."""
+CELLS_PER_SLICE = 64
+MAX_BROADCAST_CELLS = 2_000_000
+
+
+def time_slices(rows: DataFrame, hot_flow_rows: int, key: list[str] = FLOW_KEY) -> DataFrame:
+    """``_slice``: contiguous time ranges of about ``hot_flow_rows`` records.
+
+    Rows carry their group's ``_m`` (timed records), ``_tmin``, ``_tmax``.
+    Each group's time span is cut into ``64·ceil(m / hot_flow_rows)``
+    equal-width cells; the per-cell counts (a partial aggregate) are
+    cumulated in time order and a new slice starts every
+    ``hot_flow_rows`` records, so bursts spread over several slices.  Only
+    a single cell denser than that stays one slice.  NULL times go last.
+    """
     n_sl = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_m") / F.lit(float(hot_flow_rows))))
-    width = F.floor((F.col("_tmax") - F.col("_tmin")) / n_sl) + F.lit(1)
-    return rows.withColumn("_slice", F.when(F.col("ts_us").isNull(), n_sl)
-                           .otherwise(F.floor((F.col("ts_us") - F.col("_tmin")) / width)))
+    cell_w = F.floor((F.col("_tmax") - F.col("_tmin")) / (n_sl * F.lit(CELLS_PER_SLICE))) + F.lit(1)
+    cells = rows.withColumns({"_cell": F.floor((F.col("ts_us") - F.col("_tmin")) / cell_w),
+                              "_nsl": n_sl})
+    counts = cells.where(F.col("ts_us").isNotNull()).groupBy(*key, "_cell").agg(F.count(F.lit(1)).alias("_cc"))
+    before = Window.partitionBy(*key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    mapping = counts.select(*key, "_cell", F.floor(F.coalesce(F.sum("_cc").over(before), F.lit(0))
+                                                   / F.lit(float(hot_flow_rows))).alias("_slice"))
+    n_cells = mapping.count()               # ≤ 64 · (N / hot_flow_rows + number of hot groups)
+    m = F.broadcast(mapping) if n_cells <= MAX_BROADCAST_CELLS else mapping
+    out = cells.join(m, key + ["_cell"], "left")
+    return (out.withColumn("_slice", F.when(F.col("ts_us").isNull(), F.col("_nsl")).otherwise(F.col("_slice")))
+            .drop("_cell", "_nsl"))
 
 
 def stitched_lags(rows: DataFrame, hot_flow_rows: int, key: list[str] = FLOW_KEY, lags: int = LAGS) -> DataFrame:
@@ -87,7 +107,7 @@ def stitched_lags(rows: DataFrame, hot_flow_rows: int, key: list[str] = FLOW_KEY
     last ``lags`` rows (≤ 2·lags per slice), whose window per group is
     bounded by the number of slices.
     """
-    sliced = time_slices(rows, hot_flow_rows)
+    sliced = time_slices(rows, hot_flow_rows, key)
     order = [F.col("ts_us").asc_nulls_last(), F.col("_tbkey").asc_nulls_last()]
     w = Window.partitionBy(*key, "_slice").orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -109,7 +129,7 @@ def global_rank(rows: DataFrame, hot_flow_rows: int, key: list[str]) -> DataFram
     Rank inside a time slice plus the count of all earlier slices; the
     per-slice counts are a small table (one row per slice).
     """
-    sliced = time_slices(rows, hot_flow_rows)
+    sliced = time_slices(rows, hot_flow_rows, key)
     w = Window.partitionBy(*key, "_slice").orderBy(F.col("ts_us").asc_nulls_last(),
                                                    F.col("_tbkey").asc_nulls_last())
     counts = sliced.groupBy(*key, "_slice").agg(F.count(F.lit(1)).alias("_sc"))

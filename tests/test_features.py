@@ -197,3 +197,19 @@ def test_packet_rollup_hot_route(spark):
     a = sorted(packets_to_flows(pk, hot_rows=None).drop("timestamp").collect())
     b = sorted(packets_to_flows(pk, hot_rows=4).drop("timestamp").collect())
     assert a == b
+
+
+def test_time_slices_adapt_to_bursts(spark):
+    from pyspark.sql import functions as F
+    from beatline.operators import hotflows
+    # 100 records over ~28 h plus a burst of 300 records within ~2.7 h: with
+    # equal-width slices (10 slices of ~2.8 h) the burst would fill one or two
+    # slices; the cumulated histogram (64 cells per slice) spreads it
+    times = [i * 1000.0 for i in range(100)] + [50_000 + i * 33.0 for i in range(300)]
+    df = frame(spark, flow(times))
+    stats = df.groupBy("src_ip", "dst_ip", "dst_port").agg(
+        F.count("ts_us").alias("_m"), F.min("ts_us").alias("_tmin"), F.max("ts_us").alias("_tmax"))
+    sliced = hotflows.time_slices(df.join(stats, ["src_ip", "dst_ip", "dst_port"]), 40)
+    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 400
+    assert max(sizes) <= 80          # the burst is spread, not one 300-row slice
