@@ -204,19 +204,24 @@ def fit(benign: DataFrame, baseline: DataFrame | None = None, n_trees: int = 200
     st = training_stats(train, features)
     n = st["n"]
     psi = min(max_samples, n)
-    samples = tree_samples(train, n, n_trees, psi, seed)
-    counts = dict(samples.groupBy("_tree").count().collect())
-    short = [t for t in range(n_trees) if counts.get(t, 0) < psi]
-    if short:  # exact redraw for the unlucky trees: every row ranked for them
+    grow = _grow_group(features, psi, seed)
+
+    def grown(samples: DataFrame) -> pd.DataFrame:
+        return (samples.select("_tree", "_h", "_rid", *features)
+                .groupBy("_tree").applyInPandas(grow, NODE_SCHEMA).toPandas())
+
+    node_rows = grown(tree_samples(train, n, n_trees, psi, seed))
+    # the root of each tree holds its whole sample: a tree with fewer than ψ
+    # candidates (vanishingly unlikely) is redrawn exactly, every row ranked
+    roots = node_rows[node_rows["node"] == 0].set_index("_tree")["size"].to_dict()
+    short = [t for t in range(n_trees) if roots.get(t, 0) < psi]
+    if short:
         from pyspark.sql import Window
         redo = (train.withColumn("_tree", F.explode(F.array(*[F.lit(t) for t in short])))
                 .withColumn("_h", _tree_hash(F.col("_tree"), seed)))
         w = Window.partitionBy("_tree").orderBy("_h", "_rid")
         redo = redo.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= psi)
-        samples = samples.where(~F.col("_tree").isin(short)).unionByName(redo)
-    node_rows = (samples.select("_tree", "_h", "_rid", *features)
-                 .groupBy("_tree").applyInPandas(_grow_group(features, psi, seed), NODE_SCHEMA)
-                 .toPandas())
+        node_rows = pd.concat([node_rows[~node_rows["_tree"].isin(short)], grown(redo)], ignore_index=True)
     return ForestModel(features=list(features), psi=psi, n_trees=n_trees, seed=seed,
                        nodes=_node_arrays(node_rows, n_trees), stats=st["stats"],
                        scaler=st["scaler"], n_train=n)

@@ -197,17 +197,28 @@ def finish_features(agg: DataFrame) -> DataFrame:
     return out.selectExpr(*FLOW_KEY, "dst_domain", *fin)
 
 
-def add_cross_flow(features: DataFrame) -> DataFrame:
+def flow_census(rows: DataFrame) -> DataFrame:
+    """Per flow key: records, timed records, first and last time.
+
+    A partial aggregate over the key and time columns only; it feeds both
+    the hot-flow check and F20 (so the feature table is never joined with
+    an aggregate of itself, which would plan the features twice).
+    """
+    return rows.groupBy(*FLOW_KEY).agg(F.count(F.lit(1)).alias("_n"), F.count("ts_us").alias("_m"),
+                                       F.min("ts_us").alias("_tmin"), F.max("ts_us").alias("_tmax"))
+
+
+def add_cross_flow(features: DataFrame, census: DataFrame, min_connections: int = MIN_CONNECTIONS) -> DataFrame:
     """F20 (J4/W7): sources per destination over *retained* flows.
 
-    Keys are unique, so this is a row count per (dst_ip, dst_port): a
-    partial aggregate joined back on the destination.  A destination
-    shared by a large share of all flows (a popular service) is then
-    counted map-side, and AQE can split its side of the join, where a
-    window would hand the whole destination to one task.
+    Keys are unique, so this is a count of retained flow keys per
+    (dst_ip, dst_port), taken from the census and joined on the
+    destination.  A destination shared by a large share of all flows is
+    counted map-side, and AQE can split its side of the join, where a window
+    would hand the whole destination to one task.
     """
-    hosts = features.groupBy("dst_ip", "dst_port").agg(
-        F.count(F.lit(1)).alias("num_internal_hosts_contacting"))
+    hosts = (census.where(F.col("_n") >= F.lit(min_connections)).groupBy("dst_ip", "dst_port")
+             .agg(F.count(F.lit(1)).alias("num_internal_hosts_contacting")))
     return features.join(hosts, ["dst_ip", "dst_port"], "inner")
 
 
@@ -234,15 +245,21 @@ def engineer_features(connections: DataFrame, min_connections: int = MIN_CONNECT
     """Group → per-flow features → cross-flow feature.
 
     ``hot_flow_rows``: flows above this many records are computed by the
-    sliced route; ``None`` sends every flow through the window route.
+    sliced route; ``None`` sends every flow through the window route.  With
+    the check on, the per-flow census is checkpointed (shared checkpoint
+    folder): it is read by the check and by F20.
     """
     rows = flow_rows(connections, tiebreak)
+    census = flow_census(rows)
     if hot_flow_rows is None:
         per_flow = per_flow_features(rows, min_connections)
     else:
         from beatline.operators import hotflows
-        per_flow = hotflows.split_and_compute(rows, min_connections, hot_flow_rows)
-    return add_cross_flow(per_flow).select(*FLOW_KEY, "dst_domain", *FEATURE_COLUMNS)
+        from beatline.session import checkpoint_dir
+        checkpoint_dir(rows.sparkSession)
+        census = census.checkpoint(eager=True)
+        per_flow = hotflows.split_and_compute(rows, min_connections, hot_flow_rows, census)
+    return add_cross_flow(per_flow, census, min_connections).select(*FLOW_KEY, "dst_domain", *FEATURE_COLUMNS)
 
 
 def inter_arrivals(connections: DataFrame, min_connections: int = MIN_CONNECTIONS,
@@ -266,7 +283,7 @@ def inter_arrivals(connections: DataFrame, min_connections: int = MIN_CONNECTION
         out = window_route(rows)
     else:
         from beatline.operators import hotflows
-        hot = hotflows.hot_flow_table(rows, hot_flow_rows, min_connections)
+        hot = hotflows.hot_flow_table(flow_census(rows), hot_flow_rows, min_connections)
         n_hot = hot.count()
         if n_hot == 0:
             out = window_route(rows)

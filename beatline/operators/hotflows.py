@@ -39,23 +39,26 @@ from beatline.schemas import AUTOCORR_MAX_LAG, ENTROPY_BINS, FLOW_KEY, OFF_HOURS
 
 LAGS = AUTOCORR_MAX_LAG + 1          # ts lags needed for a delta and its 5 predecessors
 MAX_BROADCAST_HOT_FLOWS = 1_000_000
+CELLS_PER_SLICE = 64                 # histogram resolution of the time slicing
+MAX_BROADCAST_CELLS = 2_000_000
 US = ft.US
 
 
-def hot_flow_table(rows: DataFrame, hot_flow_rows: int, min_connections: int = 1) -> DataFrame:
-    """Per hot flow: record count, timed-record count, first and last time."""
-    stats = rows.groupBy(*FLOW_KEY).agg(F.count(F.lit(1)).alias("_n"), F.count("ts_us").alias("_m"),
-                                        F.min("ts_us").alias("_tmin"), F.max("ts_us").alias("_tmax"))
-    return stats.where((F.col("_n") > F.lit(hot_flow_rows)) & (F.col("_n") >= F.lit(min_connections)))
+def hot_flow_table(census: DataFrame, hot_flow_rows: int, min_connections: int = 1) -> DataFrame:
+    """Hot flows of a census (``features.flow_census``): more than
+    ``hot_flow_rows`` records (and at least ``min_connections``)."""
+    return census.where((F.col("_n") > F.lit(hot_flow_rows)) & (F.col("_n") >= F.lit(min_connections)))
 
 
-def split_and_compute(rows: DataFrame, min_connections: int, hot_flow_rows: int) -> DataFrame:
+def split_and_compute(rows: DataFrame, min_connections: int, hot_flow_rows: int,
+                      census: DataFrame | None = None) -> DataFrame:
     """Per-flow F0–F19 raw columns, hot flows routed through time slices."""
-    hot = hot_flow_table(rows, hot_flow_rows, min_connections)
+    if census is None:
+        census = ft.flow_census(rows)
+    hot = hot_flow_table(census, hot_flow_rows, min_connections)
     hot_rows_n = hot.count()          # small action: at most N / hot_flow_rows rows
     if hot_rows_n == 0:
         return ft.per_flow_features(rows, min_connections)
-    hot = hot.checkpoint(eager=True) if _can_checkpoint(rows) else hot
     hb = F.broadcast(hot) if hot_rows_n <= MAX_BROADCAST_HOT_FLOWS else hot
     cold_rows = rows.join(hb.select(*FLOW_KEY), FLOW_KEY, "left_anti")
     hot_rows = rows.join(hb, FLOW_KEY, "inner")
@@ -63,16 +66,6 @@ def split_and_compute(rows: DataFrame, min_connections: int, hot_flow_rows: int)
     return cold.unionByName(hot_features(hot_rows, hot, hot_flow_rows, hot_rows_n))
 
 
-def _can_checkpoint(df: DataFrame) -> bool:
-    from beatline.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    return True
-
-
-CELLS_PER_SLICE = 64
-MAX_BROADCAST_CELLS = 2_000_000
-
-
 def time_slices(rows: DataFrame, hot_flow_rows: int, key: list[str] = FLOW_KEY) -> DataFrame:
     """``_slice``: contiguous time ranges of about ``hot_flow_rows`` records.
 

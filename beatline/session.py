@@ -25,6 +25,8 @@ def get_spark(app: str = "beatline", master: str | None = None,
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
+         # checkpoints written for lineage cuts are removed once unreferenced
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          # no Python call-site capture per Column call (plan building is py4j-bound)
          .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     if shuffle_partitions:

@@ -50,3 +50,21 @@ def test_explanation_text(spark):
     txt = df.select(anomaly.explanation(stats).alias("e")).first().e
     assert txt == ("interval_cov is 0.0500 (benign mean: 0.5000, 2σ range: [0.3000, 0.7000]) — "
                    "unusually low timing regularity (lower = more regular)")
+
+
+def test_short_tree_is_redrawn_exactly(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    df = _features(spark, n=300)
+    real = anomaly.tree_samples
+
+    def lossy(train, n_rows, n_trees, psi, seed):        # tree 3 loses most of its candidates
+        s = real(train, n_rows, n_trees, psi, seed)
+        return s.where((F.col("_tree") != 3) | (F.col("_rank") <= 10))
+
+    monkeypatch.setattr(anomaly, "tree_samples", lossy)
+    m = anomaly.fit(df, n_trees=6, seed=42)
+    assert (m.nodes["size"][:, 0] == 256).all()
+    monkeypatch.setattr(anomaly, "tree_samples", real)
+    ref = anomaly.fit(df, n_trees=6, seed=42)
+    for k in m.nodes:
+        assert np.array_equal(m.nodes[k], ref.nodes[k])
