@@ -764,3 +764,44 @@ def q_x8(spark, sf):
     """Explanations split back into their parts (concat_ws / split)."""
     from beatline.operators.explore import explanation_parts
     return explanation_parts(q_m4(spark, sf))
+
+
+# --- file round trips (sinks → readers) ------------------------------------------
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+    from beatline.session import scratch_path
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@register("k1_s5_csv_roundtrip", O.with_(O.base_ctes(), f"""select cast(flow_id as varchar) as flow_id, {KEYS}, ts_us,
+  packet_size, {O.r6('connection_duration')} as connection_duration, bytes_sent,
+  cast(bytes_received as double) as bytes_received, is_failed, has_dns_lookup from cx"""))
+def q_k1_s5(spark, sf):
+    """K1 → S5/S4: connections written as CSV, read back by name, normalised."""
+    from beatline.operators.grouping import normalize_connections
+    from beatline.sources.connections import read_connection_dir
+    from beatline.sources.sinks import save_flows
+    cx = _cx(spark, sf)
+    out = cx.select(F.col("flow_id").cast("string").alias("flow_id"), *FLOW_KEY,
+                    F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+                    "packet_size", "protocol", "connection_duration", "bytes_sent", "bytes_received",
+                    "is_failed", "has_dns_lookup")
+    path = _scratch(spark, "k1-connections")
+    save_flows(out, path, fmt="csv")
+    back = normalize_connections(read_connection_dir(spark, path))
+    return rounded(back.select("flow_id", *FLOW_KEY, "ts_us", "packet_size", "connection_duration", "bytes_sent",
+                               F.col("bytes_received").cast("double").alias("bytes_received"),
+                               "is_failed", "has_dns_lookup"))
+
+
+@register("s10_truth_roundtrip", O.with_([("gt", _GT)], f"select {KEYS}, is_malicious, beacon_type from gt"))
+def q_s10(spark, sf):
+    """K3-style CSV write of the truth, S10 read back, U2 keep-first dedup."""
+    from beatline.operators.evaluate import dedup_truth
+    from beatline.sources.connections import load_ground_truth
+    from beatline.sources.sinks import save_false_positives
+    path = _scratch(spark, "s10-truth")
+    save_false_positives(td.ground_truth(spark, sf), path)
+    back = dedup_truth(load_ground_truth(spark, path))
+    return back.select(*FLOW_KEY, "is_malicious", "beacon_type")
