@@ -91,9 +91,9 @@ def training_matrix(benign: DataFrame, baseline: DataFrame | None = None,
     ``_rid`` identifies a row for tree sampling: the flow key hash for flow
     rows, the baseline's ``row_id`` (or a content hash) otherwise.
     """
-    def prep(df: DataFrame, rid: Column) -> DataFrame:
+    def prep(df: DataFrame, rid: Column, base: bool = False) -> DataFrame:
         cols = [finite_or_zero(F.col(c) if c in df.columns else F.lit(0.0)).alias(c) for c in features]
-        return df.select(rid.alias("_rid"), *cols)
+        return df.select(rid.alias("_rid"), F.lit(base).alias("_base"), *cols)
 
     if all(c in benign.columns for c in FLOW_KEY):
         rid = F.xxhash64(*[F.col(c) for c in FLOW_KEY])
@@ -103,13 +103,13 @@ def training_matrix(benign: DataFrame, baseline: DataFrame | None = None,
     if baseline is not None:
         brid = (F.xxhash64(F.lit("baseline"), F.col("row_id")) if "row_id" in baseline.columns
                 else F.xxhash64(F.lit("baseline"), *[F.col(c) for c in baseline.columns]))
-        out = out.unionByName(prep(baseline, brid))
+        out = out.unionByName(prep(baseline, brid, base=True))
     return out
 
 
 def moments(train: DataFrame, features: list[str] = ML_FEATURES) -> DataFrame:
     """A5 + A6 in one aggregate: count, mean, sample and population std."""
-    aggs = [F.count(F.lit(1)).alias("_n")]
+    aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(~F.col("_base")).alias("_nbenign")]
     for c in features:
         aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
                  F.stddev_pop(c).alias(f"{c}__pstd")]
@@ -121,7 +121,7 @@ def training_stats(train: DataFrame, features: list[str] = ML_FEATURES) -> dict:
     row = moments(train, features).collect()[0]
     n = int(row["_n"])
     if n == 0:
-        raise ValueError("No valid training data after preprocessing.")
+        return {"n": 0, "n_benign": 0, "stats": {}, "scaler": {}}
     stats, scaler = {}, {}
     for c in features:
         mean = float(row[f"{c}__mean"])
@@ -129,7 +129,7 @@ def training_stats(train: DataFrame, features: list[str] = ML_FEATURES) -> dict:
         pstd = float(row[f"{c}__pstd"] or 0.0)
         stats[c] = (mean, std)
         scaler[c] = (mean, pstd if pstd > 0 else 1.0)
-    return {"n": n, "stats": stats, "scaler": scaler}
+    return {"n": n, "n_benign": int(row["_nbenign"]), "stats": stats, "scaler": scaler}
 
 
 def scale(df: DataFrame, scaler: dict) -> DataFrame:
@@ -198,11 +198,20 @@ def _grow_group(features: list[str], psi: int, seed: int):
 
 
 def fit(benign: DataFrame, baseline: DataFrame | None = None, n_trees: int = 200, seed: int = 42,
-        max_samples: int = 256, features: list[str] = ML_FEATURES) -> ForestModel:
-    """M2: fit the forest on the benign rows (two small actions, one tree job)."""
+        max_samples: int = 256, features: list[str] = ML_FEATURES,
+        min_benign_rows: int = 1) -> ForestModel | None:
+    """M2: fit the forest on the benign rows (one statistics job, one tree job).
+
+    Returns ``None`` when fewer than ``min_benign_rows`` benign flows exist
+    (baseline rows do not count towards that guard).
+    """
     train = training_matrix(benign, baseline, features)
     st = training_stats(train, features)
     n = st["n"]
+    if st["n_benign"] < min_benign_rows:
+        return None
+    if n == 0:
+        raise ValueError("No valid training data after preprocessing.")
     psi = min(max_samples, n)
     grow = _grow_group(features, psi, seed)
 

@@ -52,8 +52,12 @@ def run_pipeline(connections: DataFrame, min_connections: int = MIN_CONNECTIONS,
         checkpoint_dir(scored.sparkSession)
         scored = scored.checkpoint(eager=True)
         benign = scored.where(benign_for_training())
-        if benign.limit(MIN_TRAINING_ROWS).count() >= MIN_TRAINING_ROWS:
-            model = anomaly.fit(benign, baseline=baseline, n_trees=n_trees, seed=seed)
+        try:
+            model = anomaly.fit(benign, baseline=baseline, n_trees=n_trees, seed=seed,
+                                min_benign_rows=MIN_TRAINING_ROWS)
+        except Exception:  # noqa: BLE001 — as in the reference: a failed fit leaves the model columns 0 / ''
+            model = None
+        if model is not None:
             scored = anomaly.explain_all(anomaly.score(model, scored), model.stats,
                                          threshold=explain_threshold)
         else:
