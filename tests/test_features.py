@@ -213,3 +213,17 @@ def test_time_slices_adapt_to_bursts(spark):
     sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
     assert sum(sizes) == 400
     assert max(sizes) <= 80          # the burst is spread, not one 300-row slice
+
+
+def test_session_time_zone_does_not_change_features(spark):
+    from pyspark.sql import functions as F
+    base = frame(spark, flow([3600 * 24 * 190 + 600 * i for i in range(40)]))        # July, across hours
+    ntz = base.withColumn("timestamp", F.timestamp_micros("ts_us").cast("string").cast("timestamp_ntz")).drop("ts_us")
+    utc = sorted(engineer_features(ntz).collect())
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ny = sorted(engineer_features(ntz).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert utc == ny
+    assert utc[0].pct_connections_off_hours == pytest.approx(sum(1 for i in range(40) if (600 * i // 3600) % 24 <= 5) / 40)
