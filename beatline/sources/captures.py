@@ -17,7 +17,9 @@
 from __future__ import annotations
 
 import ipaddress
+import mmap
 import struct
+from urllib.parse import unquote, urlparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -174,16 +176,20 @@ def _dns_answers(payload: bytes):
     return out
 
 
-def decode_capture(path: str, content: bytes) -> list[dict]:
-    """All decoded rows of one capture file (packets, DNS answers, counters)."""
-    rows, total, parsed, errors, bad_file = [], 0, 0, 0, 0
-    records = []
-    try:
-        for rec in _pcap_records(content):
-            records.append(rec)
-    except Exception:  # noqa: BLE001 — unreadable or truncated file: keep what was read
-        bad_file = 1
-    for idx, (ts_us, linktype, data) in enumerate(records):
+def iter_capture_rows(path: str, content) -> "Iterator[dict]":
+    """Decoded rows of one capture file, streamed: packets, DNS answers, then
+    one counter row (total / parsed / non-IP skipped / malformed)."""
+    total = parsed = errors = bad_file = 0
+    records = _pcap_records(content)
+    while True:
+        try:
+            rec = next(records)
+        except StopIteration:
+            break
+        except Exception:  # noqa: BLE001 — unreadable or truncated file: keep what was read
+            bad_file = 1
+            break
+        idx, (ts_us, linktype, data) = total, rec
         total += 1
         try:
             net = _network_layer(linktype, data)
@@ -195,18 +201,16 @@ def decode_capture(path: str, content: bytes) -> list[dict]:
                 proto = data[off + 9]
                 src = str(ipaddress.IPv4Address(data[off + 12:off + 16]))
                 dst = str(ipaddress.IPv4Address(data[off + 16:off + 20]))
-                l4 = off + ihl
+                l4, layer = off + ihl, proto
             else:
                 proto = data[off + 6]
                 src = str(ipaddress.IPv6Address(data[off + 8:off + 24]))
                 dst = str(ipaddress.IPv6Address(data[off + 24:off + 40]))
-                l4, nh = off + 40, proto
-                while nh in (0, 43, 60, 44) and l4 + 8 <= len(data):
+                l4, layer = off + 40, proto
+                while layer in (0, 43, 60, 44) and l4 + 8 <= len(data):
                     nxt = data[l4]
-                    l4 += 8 if nh == 44 else (data[l4 + 1] + 1) * 8
-                    nh = nxt
-                proto_l4 = nh
-            layer = proto if ver == 4 else proto_l4
+                    l4 += 8 if layer == 44 else (data[l4 + 1] + 1) * 8
+                    layer = nxt
             name = PROTOCOL_NAMES.get(proto, f"OTHER({proto})")
             dport, sport, has_dns, payload = 0, 0, 0, b""
             if layer in (6, 17) and len(data) >= l4 + 4:
@@ -219,35 +223,79 @@ def decode_capture(path: str, content: bytes) -> list[dict]:
                 has_dns = int((sport in DNS_PORTS or dport in DNS_PORTS) and len(payload) >= 12)
             elif ver == 4 and proto == 1:
                 name = "ICMP"
-            rows.append({"kind": "packet", "packet_idx": idx, "src_ip": src, "dst_ip": dst,
-                         "dst_port": int(dport), "ts_us": ts_us, "packet_size": len(data),
-                         "protocol": name, "has_dns_lookup": has_dns})
-            parsed += 1
-            if has_dns:
-                try:
-                    for a_idx, (ip, dom) in enumerate(_dns_answers(payload)):
-                        rows.append({"kind": "dns", "packet_idx": idx, "answer_idx": a_idx,
-                                     "ip": ip, "domain": dom})
-                except Exception:  # noqa: BLE001 — DNS errors are swallowed
-                    pass
+            row = {"kind": "packet", "file": path, "packet_idx": idx, "src_ip": src, "dst_ip": dst,
+                   "dst_port": int(dport), "ts_us": ts_us, "packet_size": len(data), "protocol": name,
+                   "has_dns_lookup": has_dns}
         except Exception:  # noqa: BLE001 — malformed packet: counted, skipped
             errors += 1
-    rows.append({"kind": "stats", "n_total": total, "n_parsed": parsed,
-                 "n_skipped": total - parsed - errors, "n_errors": errors + bad_file})
-    for r in rows:
-        r["file"] = path
-    return rows
+            continue
+        parsed += 1
+        yield row
+        if has_dns:
+            try:
+                answers = _dns_answers(payload)
+            except Exception:  # noqa: BLE001 — DNS errors are swallowed
+                answers = []
+            for a_idx, (ip, dom) in enumerate(answers):
+                yield {"kind": "dns", "file": path, "packet_idx": idx, "answer_idx": a_idx, "ip": ip,
+                       "domain": dom}
+    yield {"kind": "stats", "file": path, "n_total": total, "n_parsed": parsed,
+           "n_skipped": total - parsed - errors, "n_errors": errors + bad_file}
+
+
+def decode_capture(path: str, content) -> list[dict]:
+    """All decoded rows of one capture (small files and tests)."""
+    return list(iter_capture_rows(path, content))
+
+
+def _local_path(uri: str) -> str:
+    u = urlparse(uri)
+    if u.scheme not in ("", "file"):
+        raise ValueError(f"path decoding needs a mounted file system path, got {uri!r}; "
+                         "use read_captures(..., by_path=False)")
+    return unquote(u.path)
+
+
+def _capture_rows(path: str, content):
+    if content is not None:
+        yield from iter_capture_rows(path, bytes(content))
+        return
+    # memory-mapped: pages are read as the decoder walks the file, so a
+    # capture larger than a task's memory (or than 2 GB) still decodes
+    with open(_local_path(path), "rb") as f:
+        try:
+            buf = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+        except ValueError:                 # empty file
+            yield from iter_capture_rows(path, b"")
+            return
+        try:
+            yield from iter_capture_rows(path, buf)
+        finally:
+            buf.close()
+
+
+ROWS_PER_BATCH = 65_536
 
 
 def _decode_batches(batches):
     cols = [f.name for f in DECODED_SCHEMA.fields]
-    for pdf in batches:
-        out = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            out.extend(decode_capture(path, bytes(content)))
-        df = pd.DataFrame(out, columns=cols).astype(object)
+
+    def frame(rows):
+        df = pd.DataFrame(rows, columns=cols).astype(object)
         # object columns with None (not NaN) convert to nullable Arrow ints
-        yield df.where(pd.notna(df), None)
+        return df.where(pd.notna(df), None)
+
+    for pdf in batches:
+        contents = pdf["content"] if "content" in pdf.columns else [None] * len(pdf)
+        buf = []
+        for path, content in zip(pdf["path"], contents):
+            for row in _capture_rows(path, content):
+                buf.append(row)
+                if len(buf) >= ROWS_PER_BATCH:
+                    yield frame(buf)
+                    buf = []
+        if buf:
+            yield frame(buf)
 
 
 # --- S1–S3 ----------------------------------------------------------------------
@@ -262,12 +310,23 @@ def list_captures(spark: SparkSession, directory: str) -> DataFrame:
     return files.where(F.lower(F.col("path")).rlike(rf"\.({ext})$"))
 
 
-def decode(files: DataFrame) -> DataFrame:
-    """Decoded rows of every capture (one task per file)."""
-    return files.select("path", "content").mapInPandas(_decode_batches, DECODED_SCHEMA)
+def decode(files: DataFrame, by_path: bool = True) -> DataFrame:
+    """Decoded rows of every capture, one file per task.
+
+    ``by_path``: only the file list travels through Spark and each task
+    memory-maps its capture from the shared file system (no 2 GB cap, no
+    copy of the file in the JVM); otherwise the ``content`` column is used.
+    """
+    cols = ["path"] if by_path else ["path", "content"]
+    # one file per partition: a capture is not splittable and decodes in one task
+    n = max(1, files.select("path").count()) if by_path else None
+    src = files.select(*cols)
+    if by_path:
+        src = src.repartition(n, "path")
+    return src.mapInPandas(_decode_batches, DECODED_SCHEMA)
 
 
-def read_captures(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
+def read_captures(spark: SparkSession, directory: str, by_path: bool = True) -> dict[str, DataFrame]:
     """``packets``, ``dns_answers`` and per-file ``stats`` tables.
 
     The decoded table is checkpointed (shared checkpoint folder) so the
@@ -275,7 +334,7 @@ def read_captures(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """
     from beatline.session import checkpoint_dir
     checkpoint_dir(spark)
-    d = decode(list_captures(spark, directory)).checkpoint(eager=True)
+    d = decode(list_captures(spark, directory), by_path=by_path).checkpoint(eager=True)
     packets = d.where(F.col("kind") == "packet").select(
         "file", "packet_idx", "src_ip", "dst_ip", "dst_port", "ts_us",
         F.timestamp_micros("ts_us").alias("timestamp"), "packet_size", "protocol", "has_dns_lookup")
