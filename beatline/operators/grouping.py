@@ -42,7 +42,10 @@ def normalize_connections(df: DataFrame, time_col: str = "timestamp") -> DataFra
     if add:
         out = out.withColumns(add)
     out = out.withColumn("dst_port", F.col("dst_port").cast("int"))
-    return out.dropna(subset=FLOW_KEY)
+    # explicit IS NOT NULL predicates reach the Parquet reader (dropna's
+    # AtLeastNNonNulls would not)
+    return out.where(F.col("src_ip").isNotNull() & F.col("dst_ip").isNotNull()
+                     & F.col("dst_port").isNotNull())
 
 
 def group_flows(df: DataFrame, min_connections: int = MIN_CONNECTIONS) -> DataFrame:
