@@ -39,13 +39,18 @@ def get_spark(app: str = "beatline", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder set.
+    When the session was started with it, Spark has already set the
+    context's checkpoint folder.  Only when nothing is configured (local
+    tests) is a scratch folder created and set on the context — the conf key
+    itself cannot be changed at run time.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="beatline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        d = spark.conf.get("spark.checkpoint.dir", None) or current
+        return d[len("file:"):] if d.startswith("file:") else d
+    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="beatline-ckpt-")
+    sc.setCheckpointDir(d)
     return d
 
 
