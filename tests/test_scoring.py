@@ -72,3 +72,21 @@ def test_verdict_counts_lists_all(spark):
     df = spark.createDataFrame([("HIGH",), ("HIGH",), ("CLEAR",)], "final_verdict string")
     got = {r.final_verdict: r["count"] for r in verdict_counts(df).collect()}
     assert got == {"HIGH": 2, "MEDIUM": 0, "CLEAR": 1, "SUPPRESSED": 0}
+
+
+@pytest.mark.parametrize("max_broadcast", [200_000, 0])
+def test_rule_table_random_equivalence(spark, monkeypatch, max_broadcast):
+    import random
+    import beatline.operators.allowlist as al
+    monkeypatch.setattr(al, "MAX_BROADCAST_RULES", max_broadcast)      # 0 → salted shuffle join
+    rnd = random.Random(7)
+    heads = ["13.107", "20.190", "52.96", "172.217", "104.16", "151.101", "13.10", "45.33", "10.0", "104.160"]
+    rows = []
+    for i in range(400):
+        ip = f"{rnd.choice(heads)}.{rnd.randint(0, 255)}.{rnd.randint(0, 255)}"
+        rows.append((f"10.9.{i // 256}.{i % 256}", ip, rnd.choice([123, 443, 80, 8443]), rnd.randint(1, 9)))
+    df = spark.createDataFrame(rows, "src_ip string, dst_ip string, dst_port int, num_internal_hosts_contacting long")
+    a = sorted((r.src_ip, r.allowlist_reason) for r in apply_allowlist(df).collect())
+    b = sorted((r.src_ip, r.allowlist_reason) for r in apply_rule_table(df, default_rule_table(spark)).collect())
+    assert a == b
+    assert len({r for _, r in a}) == 5          # every rule and "no match" occur
