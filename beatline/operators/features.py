@@ -258,6 +258,12 @@ def engineer_features(connections: DataFrame, min_connections: int = MIN_CONNECT
         from beatline.session import checkpoint_dir
         checkpoint_dir(rows.sparkSession)
         census = census.checkpoint(eager=True)
+        # P3 first: records of flows below the minimum leave before the sort and
+        # the windows (the semi join is hash-partitioned on the flow key, which
+        # the windows reuse, so no record exchange is added)
+        if min_connections > 1:
+            kept = census.where(F.col("_n") >= F.lit(min_connections)).select(*FLOW_KEY)
+            rows = rows.join(kept, FLOW_KEY, "left_semi")
         per_flow = hotflows.split_and_compute(rows, min_connections, hot_flow_rows, census)
     return add_cross_flow(per_flow, census, min_connections).select(*FLOW_KEY, "dst_domain", *FEATURE_COLUMNS)
 
