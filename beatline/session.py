@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -39,21 +38,23 @@ def get_spark(app: str = "beatline", master: str | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts: the cluster's ``spark.checkpoint.dir``.
 
-    When the session was started with it, Spark has already set the
-    context's checkpoint folder.  Only when nothing is configured (local
-    tests) is a scratch folder created and set on the context — the conf key
-    itself cannot be changed at run time.
+    Read from the session, scheme included.  Only a ``local[*]`` session without
+    that setting gets a scratch folder of its own (tests); any other master
+    raises, since executors do not share a machine's folders.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        d = spark.conf.get("spark.checkpoint.dir", None) or current
-        return d[len("file:"):] if d.startswith("file:") else d
-    d = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="beatline-ckpt-")
-    sc.setCheckpointDir(d)
-    return d
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(configured)
+        return configured.rstrip("/")
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="beatline-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
+    return f"{checkpoint_dir(spark)}/{name}"

@@ -5,7 +5,6 @@ query checkpoint, which lives in the session's shared checkpoint folder."""
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ def land_connections(stream: DataFrame, out_path: str, name: str = "land_connect
                      available_now: bool = True) -> StreamingQuery:
     """Append normalised records to ``out_path`` (Parquet, one folder per day)."""
     spark = stream.sparkSession
-    ckpt = os.path.join(checkpoint_dir(spark), "streams", name)
+    ckpt = f"{checkpoint_dir(spark)}/streams/{name}"
     rows = normalize_connections(stream).withColumn(
         "day", F.date_from_unix_date(F.floor(F.col("ts_us") / F.lit(MICROS_PER_DAY)).cast("int")))
     w = (rows.writeStream.format("parquet").option("path", out_path)
