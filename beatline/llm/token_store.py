@@ -41,6 +41,7 @@ WIDTH = 8
 RANK_BITS = 512
 SHARD_TOKENS = 1 << 20
 CACHE_WORDS = 500_000
+SLICE_BYTES = 8 << 20
 LAST_LATIN = "\u024f"
 
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_tokens long, payload binary"
@@ -134,23 +135,43 @@ class WordEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.words: dict[str, list[int]] = {}
-
-    def _ids(self, missing: list[str]) -> None:
-        plain: dict[str, str] = {}
+        self.words: dict[str, bytes] = {}
+        self.closes = np.zeros(self.tok.get_vocab_size(), dtype=bool)
+        for token, i in self.tok.get_vocab().items():
+            self.closes[i] = token.endswith("</w>")
+
+    def _encode(self, stems: list[str], others: list[str]) -> None:
+        """Ids of new words.  Stems are letters only, one pre-token each: many go through one
+        call, and the ids are cut behind every token that closes a word."""
+        lines = [stems[k:k + 200] for k in range(0, len(stems), 200)]
+        for line, e in zip(lines, self.tok.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+            ids = np.array(e.ids, dtype="<u4")
+            cuts = np.flatnonzero(self.closes[ids]) + 1
+            if len(cuts) != len(line):
+                others = others + line
+                continue
+            for w, a, b in zip(line, [0, *cuts[:-1].tolist()], cuts.tolist()):
+                self.words[w] = ids[a:b].tobytes()
+        for w, e in zip(others, self.tok.encode_batch_fast(others, add_special_tokens=False)):
+            self.words[w] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def _learn(self, missing: list[str]) -> None:
+        stems, others, whole = set(), set(), []
         for w in missing:
             stem = w.rstrip(".,")
-            if not stem.isalpha() or max(stem) > LAST_LATIN:
-                plain[w] = w
+            if stem.isalpha() and max(stem) <= LAST_LATIN:
+                s = stem.lower() if stem.isascii() else stem
+                if s not in self.words:
+                    stems.add(s)
+                if s != w:
+                    whole.append((w, s, w[len(s):]))
+                    if len(s) < len(w) and w[len(s):] not in self.words:
+                        others.add(w[len(s):])
             else:
-                plain[w] = stem.lower() if stem.isascii() else stem
-        need = list({s for s in plain.values() if s not in self.words}
-                    | {w[len(s):] for w, s in plain.items() if len(s) < len(w) and w[len(s):] not in self.words})
-        for s, e in zip(need, self.tok.encode_batch_fast(need, add_special_tokens=False)):
-            self.words[s] = e.ids
-        for w, s in plain.items():
-            if w not in self.words:
-                self.words[w] = self.words[s] + (self.words[w[len(s):]] if len(s) < len(w) else [])
+                others.add(w)
+        self._encode(list(stems), list(others))
+        for w, s, tail in whole:
+            self.words[w] = self.words[s] + (self.words[tail] if tail else b"")
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, ``END_ID`` after each; the lengths."""
@@ -162,21 +183,31 @@ class WordEncoder:
             self.words.clear()
         missing = [w for w in names if w not in self.words]
         if missing:
-            self._ids(missing)
+            self._learn(missing)
         found = [self.words[w] for w in names]
-        size = np.fromiter(map(len, found), np.int64, len(found))
-        pool = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(size.sum()))
-        begin = np.concatenate([[0], np.cumsum(size)])[:-1]
+        pool = np.frombuffer(b"".join(found), dtype="<u4")
+        size = np.fromiter(map(len, found), np.int32, len(found)) >> 2
+        begin = np.cumsum(size, dtype=np.int32) - size
         code = words.indices.to_numpy(zero_copy_only=False)
         n = size[code]
-        per_doc = np.diff(lists.offsets.to_numpy())
-        word_end = np.cumsum(n)
-        ends = np.concatenate([[0], word_end])[np.cumsum(per_doc)]
+        word_end = np.cumsum(n, dtype=np.int32)
+        ends = np.concatenate([[0], word_end])[np.cumsum(np.diff(lists.offsets.to_numpy()))]
         lengths = np.diff(np.concatenate([[0], ends])) + 1
-        ids = pool[np.repeat(begin[code] - (word_end - n), n) + np.arange(int(n.sum()))]
+        ids = pool[np.repeat(begin[code] - (word_end - n), n) + np.arange(int(n.sum()), dtype=np.int32)]
         return np.insert(ids, ends, END_ID), lengths
 
 
+def slices(batch: pa.RecordBatch, column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``limit`` bytes of text (one row at least)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -201,9 +232,9 @@ def _shards(path: str, shard_tokens: int):
                  pa.array([len(ids)], pa.int64()), pa.array([pack(ids, lengths, docs)], pa.binary())],
                 names=["part", "seq", "n_docs", "n_tokens", "payload"])
 
-        for batch in batches:
-            ids, lengths = enc.batch(batch.column(1))
-            docs += batch.column(0).to_pylist()
+        for rows in itertools.chain.from_iterable(slices(b, 1) for b in batches):
+            ids, lengths = enc.batch(rows.column(1))
+            docs += rows.column(0).to_pylist()
             parts.append(ids)
             sizes.append(lengths)
             held += len(ids)
@@ -219,7 +250,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, shard_toke
     """Encode ``docs`` (doc_id, text) in ascending ``doc_id`` and write the shards to ``out``.
 
     One exchange (by range of doc_id).  Shards are numbered by (part, seq); a
-    shard closes at the first batch that reaches ``shard_tokens``.
+    shard closes at the first run of rows that reaches ``shard_tokens``.
     """
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
      .repartitionByRange(F.col("doc_id"), F.col("text"))
