@@ -28,6 +28,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
+    """``df``; from here on the session hands rows to Python in batches of ``limit`` bytes.
+
+    Texts differ in length by orders of magnitude, so batches are bounded by bytes.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(limit))
+    return df
+
+
 def code_points(text: Column) -> Column:
     """Length in code points, 0 for null."""
     return F.coalesce(F.char_length(text), F.lit(0)).cast("long")

@@ -7,15 +7,15 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from beatline.llm import decontamination
 from beatline.llm.common import table
 from beatline.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Run] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_decontamination": decontamination.ORACLE}
 
 #: Vocabulary files; the folder is a parameter of the installation.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -30,6 +30,61 @@ def query(fn: Run) -> Run:
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    from beatline.llm.toxicity import scored_documents
+    return scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    from beatline.llm.quality import scored_documents
+    return scored_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside occurrences of benchmark windows."""
+    return decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    from beatline.llm.html_text import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the blocks of lines that an earlier one holds."""
+    from beatline.llm.line_dedup import dedup
+    return dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), count="n_removed")
+
+
+@query
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    from beatline.llm.secrets import digest
+    return digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of every document."""
+    from beatline.llm.near_dedup import classes
+    return classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    from beatline.llm.spotsigs import digest
+    return digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written as directly addressable codes and read back."""

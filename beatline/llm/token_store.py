@@ -35,12 +35,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from beatline.llm.common import small_batches
+
 MAGIC = b"DAC1"
 END_ID = 2
 WIDTH = 8
 RANK_BITS = 512
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 SLICE_BYTES = 8 << 20
 LAST_LATIN = "\u024f"
 
@@ -252,7 +254,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, shard_toke
     One exchange (by range of doc_id).  Shards are numbered by (part, seq); a
     shard closes at the first run of rows that reaches ``shard_tokens``.
     """
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    (small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
      .repartitionByRange(F.col("doc_id"), F.col("text"))
      .sortWithinPartitions("doc_id", "text")
      .mapInArrow(_shards(tokenizer_path, shard_tokens), SHARD_SCHEMA)
@@ -271,7 +273,8 @@ def shard_starts(shards: DataFrame) -> DataFrame:
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, seq, payload in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for k in range(batch.num_rows):
+            part, seq, payload = (batch.column(i)[k].as_py() for i in range(3))
             f = TokenFile(payload)
             ids = f.all_tokens().astype("<u4")
             s = f.doc_start
@@ -285,7 +288,7 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the shards."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    docs = shards.select("part", "seq", "payload").mapInArrow(
+    docs = small_batches(shards).select("part", "seq", "payload").mapInArrow(
         _documents, "part int, seq int, doc_id long, local long, n_tokens long, ids_crc32 long")
     return docs.join(shard_starts(shards), ["part", "seq"]).select(
         "doc_id", (F.col("base") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
@@ -293,8 +296,8 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
 def _ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for payload in batch.column(0).to_pylist():
-            f = TokenFile(payload)
+        for payload in batch.column(0):
+            f = TokenFile(payload.as_py())
             flat = pa.array(f.all_tokens().astype(np.int32))
             offsets = pa.array(f.doc_start.astype(np.int32))
             yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids, pa.int64()),
