@@ -19,16 +19,28 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def safe_div(num, den, default: float = 0.0) -> Column:
+def safe_div(num, den, default: float | None = 0.0) -> Column:
     """``num/den``; ``default`` when the denominator is 0, NaN or NULL.
 
     ``try_divide`` keeps ANSI mode from raising on a zero denominator.
     """
     num, den = _c(num), _c(den)
-    bad = den.isNull() | F.isnan(den) | (den == 0)
+    bad = den.isNull() | F.isnan(den.cast("double")) | (den == 0)
     return F.when(bad, F.lit(default)).otherwise(F.try_divide(num, den))
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """A column of ``df`` with NaN and ±inf of floating types as NULL.
+
+    Frames that come from pandas mark missing cells so; integer casts of such
+    values would raise.
+    """
+    c = F.col(name)
+    if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
+        return F.when(~F.isnan(c) & (F.abs(c) != float("inf")), c)
+    return c
+
+
 def finite_or_zero(c) -> Column:
     """NaN, ±inf and NULL become 0.0."""
     c = _c(c).cast("double")

@@ -1,34 +1,42 @@
 """Destination allowlist: L1–L6 (one CASE) and J5 (rule table join).
 
-Rules are evaluated in order and the first match wins.  A rule is
-``(name, predicate, reason)`` where ``predicate(ip, port, hosts)`` returns a
-Column; the default list becomes a single ``CASE WHEN`` — a projection, no
-shuffle.  A NULL input makes a predicate NULL, which CASE treats as "no
-match", the same outcome as a rule that raises and is skipped.
+Rules are stated once, as rows (priority, prefixes, port, least hosts, reason);
+the first match wins.  The default rules become a single ``CASE WHEN`` — a
+projection, no shuffle — and, for joins, a table of the same rows.  A NULL input
+makes a test NULL, which CASE treats as "no match", the same outcome as a rule
+that raises and is skipped.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatline.functions.columns import require_columns
 
+
+class Rule(NamedTuple):
+    """``prefixes`` empty: any address; ``port`` None: any port; ``min_hosts`` None: any count."""
+    priority: int
+    prefixes: tuple[str, ...]
+    port: int | None
+    min_hosts: int | None
+    reason: str
+
+
 # ---------------------------------------------------------------------------
 # Prefixes, threshold and reasons of the default rules.
 # ---------------------------------------------------------------------------
-MICROSOFT_PREFIXES = ["13.107.", "20.190.", "52.96."]
-GOOGLE_PREFIXES = ["172.217."]
-CLOUDFLARE_PREFIXES = ["104.16."]
-FASTLY_PREFIXES = ["151.101."]
-KNOWN_GOOD_PREFIXES = MICROSOFT_PREFIXES + GOOGLE_PREFIXES + CLOUDFLARE_PREFIXES + FASTLY_PREFIXES
-WIDELY_CONTACTED_THRESHOLD = 5
-NTP_REASON = "NTP traffic (dst_port 123)"
-MICROSOFT_REASON = "Windows Update / Microsoft HTTPS endpoint"
-CDN_REASON = "Known CDN/cloud provider IP range"
-WIDE_REASON = f"Widely contacted destination (> {WIDELY_CONTACTED_THRESHOLD} internal hosts)"
+RULES = (
+    Rule(1, (), 123, None, "NTP traffic (dst_port 123)"),
+    Rule(2, ("13.107.", "20.190.", "52.96."), 443, None, "Windows Update / Microsoft HTTPS endpoint"),
+    Rule(3, ("13.107.", "20.190.", "52.96.", "172.217.", "104.16.", "151.101."), None, None,
+         "Known CDN/cloud provider IP range"),
+    Rule(4, (), None, 6, "Widely contacted destination (> 5 internal hosts)"),
+)
 
 
 def starts_with_any(ip: Column, prefixes) -> Column:
@@ -36,38 +44,36 @@ def starts_with_any(ip: Column, prefixes) -> Column:
     return reduce(lambda a, b: a | b, [ip.startswith(p) for p in prefixes])
 
 
-DEFAULT_RULES = [
-    ("NTP", lambda ip, port, hosts: port == 123, NTP_REASON),
-    ("Windows Update (Microsoft HTTPS)",
-     lambda ip, port, hosts: (port == 443) & starts_with_any(ip, MICROSOFT_PREFIXES),
-     MICROSOFT_REASON),
-    ("Known CDN / Cloud Provider",
-     lambda ip, port, hosts: starts_with_any(ip, KNOWN_GOOD_PREFIXES), CDN_REASON),
-    ("Widely Contacted Destination",
-     lambda ip, port, hosts: hosts > WIDELY_CONTACTED_THRESHOLD, WIDE_REASON),
-]
+def matches(rule: Rule, ip: Column, port: Column, hosts: Column) -> Column:
+    """L1–L4: all tests a rule states."""
+    tests = []
+    if rule.prefixes:
+        tests.append(starts_with_any(ip, rule.prefixes))
+    if rule.port is not None:
+        tests.append(port == rule.port)
+    if rule.min_hosts is not None:
+        tests.append(hosts >= rule.min_hosts)
+    return F.coalesce(reduce(lambda a, b: a & b, tests, F.lit(True)), F.lit(False))
 
 
-def allowlist_reason(ip, port, hosts=None, rules=DEFAULT_RULES) -> Column:
+def allowlist_reason(ip, port, hosts=None, rules=RULES) -> Column:
     """Reason of the first matching rule, '' when none matches."""
     ip = F.col(ip) if isinstance(ip, str) else ip
     port = F.col(port) if isinstance(port, str) else port
     hosts = F.lit(1) if hosts is None else (F.col(hosts) if isinstance(hosts, str) else hosts)
-    expr = None
-    for _name, pred, reason in rules:
-        cond = F.coalesce(pred(ip, port, hosts), F.lit(False))
-        expr = F.when(cond, F.lit(reason)) if expr is None else expr.when(cond, F.lit(reason))
-    return expr.otherwise(F.lit(""))
+    ordered = sorted(rules, key=lambda r: r.priority)
+    return reduce(lambda case, r: case.when(matches(r, ip, port, hosts), F.lit(r.reason)), ordered[1:],
+                  F.when(matches(ordered[0], ip, port, hosts), F.lit(ordered[0].reason))).otherwise(F.lit(""))
 
 
-def check_allowlist(ip, port, hosts=None, rules=DEFAULT_RULES) -> Column:
+def check_allowlist(ip, port, hosts=None, rules=RULES) -> Column:
     """``struct(allowlisted boolean, reason string)``."""
     reason = allowlist_reason(ip, port, hosts, rules)
     return F.struct((reason != F.lit("")).alias("allowlisted"), reason.alias("reason"))
 
 
 def apply_allowlist(features: DataFrame, hosts_column: str = "num_internal_hosts_contacting",
-                    rules=DEFAULT_RULES) -> DataFrame:
+                    rules=RULES) -> DataFrame:
     """Add ``destination_in_allowlist`` and ``allowlist_reason``.
 
     Hosts count as 1 when ``hosts_column`` is absent.  Tagged rows stay in
@@ -94,62 +100,51 @@ def default_rule_table(spark) -> DataFrame:
     ``prefix`` NULL matches any address, ``port`` NULL any port,
     ``min_hosts`` NULL any host count.
     """
-    rows = [(1, None, 123, None, NTP_REASON)]
-    rows += [(2, p, 443, None, MICROSOFT_REASON) for p in MICROSOFT_PREFIXES]
-    rows += [(3, p, None, None, CDN_REASON) for p in KNOWN_GOOD_PREFIXES]
-    rows += [(4, None, None, WIDELY_CONTACTED_THRESHOLD + 1, WIDE_REASON)]
+    rows = [(r.priority, p, r.port, r.min_hosts, r.reason) for r in RULES for p in r.prefixes or (None,)]
     return spark.createDataFrame(
         rows, "priority int, prefix string, port int, min_hosts long, reason string")
 
 
-MAX_BROADCAST_RULES = 200_000
 ANY_PREFIX = "*"
 ANY_PORT = -1
-SALTS = 64
+SALTS = 16
 
 
 def apply_rule_table(features: DataFrame, rules: DataFrame,
                      hosts_column: str = "num_internal_hosts_contacting") -> DataFrame:
     """First-match allowlist against a rule *table* (for long user lists).
 
-    The prefix test becomes an exact equi-join: every flow emits each
-    character prefix of its ``dst_ip`` (plus ``'*'`` for rules without a
-    prefix) crossed with ``{dst_port, -1}`` (``-1`` for rules without a
-    port); rules are keyed the same way.  The host floor is a filter after
-    the join and the lowest priority wins via ``min_by``.
-
-    The rule table is configuration: its row count is checked and it is
-    broadcast up to ``MAX_BROADCAST_RULES``.  Beyond that the join shuffles;
-    the catch-all keys, which every flow shares, are salted over ``SALTS``
-    tasks (rules for them are replicated per salt) so no task receives all
-    flows.
+    The prefix test becomes an exact equi-join: every flow emits the prefixes of
+    its ``dst_ip`` of the lengths that rules have (plus ``'*'`` for rules without a
+    prefix) crossed with ``{dst_port, -1}`` where rules without a port exist; rules
+    are keyed the same way.  The host floor is a filter after the join and the lowest
+    priority wins via ``min_by``.
+
+    Spark broadcasts the rules if their measured size allows, else the join shuffles.
+    Prefixes are shared by very many flows (``'*'`` by all), so both sides carry a
+    salt: a flow its own, a rule every one.
     """
     require_columns(features, ["dst_ip", "dst_port"], "apply_rule_table")
     key = ["src_ip", "dst_ip", "dst_port"]
     hosts = F.col(hosts_column) if hosts_column in features.columns else F.lit(1)
-    ip = F.col("dst_ip")
-    prefixes = F.transform(F.sequence(F.lit(1), F.greatest(F.length(ip), F.lit(1))),
-                           lambda i: F.substring(ip, 1, i))
-    cand = (features.select(*key, hosts.alias("_hosts"))
-            .withColumn("_pfx", F.explode(F.array_union(prefixes, F.array(F.lit(ANY_PREFIX)))))
-            .withColumn("_prt", F.explode(F.array(F.col("dst_port"), F.lit(ANY_PORT)))))
     r = rules.select(F.coalesce("prefix", F.lit(ANY_PREFIX)).alias("_pfx"),
                      F.coalesce("port", F.lit(ANY_PORT)).alias("_prt"),
+                     F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
                      "priority", "min_hosts", "reason")
-    n_rules = rules.count()
-    if n_rules <= MAX_BROADCAST_RULES:
-        joined = cand.join(F.broadcast(r), ["_pfx", "_prt"], "inner")
-    else:
-        hot = (F.col("_pfx") == F.lit(ANY_PREFIX))
-        cand = cand.withColumn("_salt", F.when(hot, F.pmod(F.xxhash64(*key), F.lit(SALTS)))
-                               .otherwise(F.lit(0)))
-        r = r.withColumn("_salt", F.explode(F.when(F.col("_pfx") == F.lit(ANY_PREFIX),
-                                                   F.sequence(F.lit(0), F.lit(SALTS - 1)))
-                                            .otherwise(F.array(F.lit(0)))))
-        joined = cand.join(r, ["_pfx", "_prt", "_salt"], "inner")
-    matches = (joined.where(F.col("min_hosts").isNull() | (F.col("_hosts") >= F.col("min_hosts")))
+    shape = rules.agg(F.collect_set(F.when(F.col("prefix").isNotNull(), F.length("prefix"))).alias("lengths"),
+                      F.coalesce(F.bool_or(F.col("prefix").isNull()), F.lit(False)).alias("any_prefix"),
+                      F.coalesce(F.bool_or(F.col("port").isNull()), F.lit(False)).alias("any_port")).first()
+    ip, long_enough = F.col("dst_ip"), F.length("dst_ip")
+    tests = [F.when(long_enough >= n, F.substring(ip, 1, n)) for n in sorted(shape.lengths)]
+    tests += [F.lit(ANY_PREFIX)] if shape.any_prefix else []
+    ports = [F.col("dst_port")] + ([F.lit(ANY_PORT)] if shape.any_port else [])
+    cand = (features.select(*key, hosts.alias("_hosts"), F.pmod(F.xxhash64(*key), F.lit(SALTS)).cast("int").alias("_salt"),
+                            F.explode(F.array(*tests or [F.lit(None).cast("string")])).alias("_pfx"))
+            .where(F.col("_pfx").isNotNull()).withColumn("_prt", F.explode(F.array(*ports))))
+    joined = cand.join(r, ["_pfx", "_prt", "_salt"], "inner")
+    found = (joined.where(F.col("min_hosts").isNull() | (F.col("_hosts") >= F.col("min_hosts")))
                .groupBy(*key).agg(F.min_by("reason", "priority").alias("_reason")))
-    out = features.join(matches, key, "left")
+    out = features.join(found, key, "left")
     return (out.withColumn("allowlist_reason", F.coalesce(F.col("_reason"), F.lit("")))
             .withColumn("destination_in_allowlist", F.col("allowlist_reason") != F.lit(""))
             .drop("_reason"))

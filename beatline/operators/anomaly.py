@@ -5,20 +5,21 @@ Spark ML has no isolation forest; this one follows Liu, Ting & Zhou (2008):
 height limit of ``⌈log2 ψ⌉``, path length ``h(x)`` plus ``c(size)`` at the
 leaf, anomaly score ``s = 2^(−E[h]/c(ψ))``.
 
-Distribution:
-
-* **sampling** — every training row is offered to tree ``t`` by a seeded
-  hash of (row id, t): a row is emitted only for the trees whose hash falls
-  under a threshold sized for ``ψ`` plus a wide margin, and the ``ψ``
-  smallest hashes per tree are kept.  No rows × trees product is formed;
-  the sample depends on the row ids, not on partitioning.  A tree that got
-  fewer than ``ψ`` candidates (vanishingly unlikely) is redrawn exactly
-  without the threshold.
+Every random choice is drawn from an MD5 of (seed, tree, …), so the forest is
+a function of the rows alone and SQL can state it as well.
+
+* **sampling** — a row's MD5 gives four numbers; tree ``t`` combines them with
+  its own multipliers modulo the prime 2^31 − 1 into a 62-bit hash.  A row is
+  offered to the trees whose hash falls under a threshold sized for ``ψ`` plus a
+  wide margin, and the ``ψ`` smallest hashes per tree are kept.  No rows × trees
+  product is formed.  A tree that got fewer than ``ψ`` candidates (vanishingly
+  unlikely) is offered rows again under a four times higher threshold.  Equal rows
+  are told apart by a copy number, so each copy has its own chance.
 * **growing** — ``groupBy(tree).applyInPandas``: one group per tree, each
-  bounded by ``ψ`` rows.
-* **scoring** — the node table (≤ ``T·(2ψ−1)`` rows, a proven bound) is
-  collected and broadcast; ``mapInPandas`` walks all trees for a batch of
-  rows at once with NumPy.
+  bounded by ``ψ`` rows.  Nodes are numbered as in a heap (children 2k, 2k + 1).
+* **scoring** — the node table (≤ ``T·2ψ`` rows, a proven bound) is collected and
+  broadcast; an iterator ``pandas_udf`` over the model features alone walks all
+  trees for a batch of rows at once with NumPy.
 
 Random split thresholds are uniform between the node's min and max, so the
 trees are invariant to per-feature affine scaling: growing on the raw
@@ -28,20 +29,25 @@ still computed and offered as an operator.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from dataclasses import dataclass, field
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from beatline.functions.columns import finite_or_zero, round_half_up
 from beatline.schemas import FEATURE_DESCRIPTIONS, FLOW_KEY, ML_FEATURES
 
 EULER_GAMMA = 0.5772156649015329
-HASH_SPACE = 1 << 30
+PRIME = (1 << 31) - 1
+HASH_SPACE = PRIME << 31       # tree hashes are below this
+PATH_UNIT = 10 ** 9            # path lengths are summed in billionths, so sums are exact
+COPY_BLOCK = 1_000_000
 
 
 def average_path_length(n):
@@ -56,18 +62,20 @@ def average_path_length(n):
     return out
 
 
-def significant(X: np.ndarray, digits: int = 9) -> np.ndarray:
-    """Round to ``digits`` significant digits.
+def path_units(n):
+    """c(n) in billionths."""
+    return np.floor(average_path_length(n) * PATH_UNIT + 0.5).astype(np.int64)
 
-    Feature aggregates can differ in their last bits between shuffle orders;
-    trees and scores see the rounded values, so they do not.
-    """
-    X = np.asarray(X, dtype=float)
-    nz = X != 0
-    mag = np.zeros_like(X)
-    mag[nz] = np.floor(np.log10(np.abs(X[nz])))
-    factor = np.power(10.0, digits - 1 - mag)
-    return np.where(nz, np.round(X * factor) / factor, 0.0)
+
+def grid(X: np.ndarray) -> np.ndarray:
+    """Features at six decimals: aggregates can differ in their last bits between shuffle
+    orders; trees and scores see the rounded values, so they do not."""
+    return np.floor(np.asarray(X, dtype=float) * 1e6 + 0.5) / 1e6
+
+
+def draw(*parts) -> str:
+    """Hexadecimal digits of a random choice."""
+    return hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
 
 
 @dataclass
@@ -76,7 +84,7 @@ class ForestModel:
     psi: int
     n_trees: int
     seed: int
-    nodes: dict = field(repr=False)            # arrays [T, M]
+    nodes: dict = field(repr=False)            # arrays [T, 2 ** (depth + 1)]: feature, threshold, size
     stats: dict = field(default_factory=dict)  # feature → (mean, sample std)
     scaler: dict = field(default_factory=dict)  # feature → (mean, population std, 0 → 1)
     n_train: int = 0
@@ -88,23 +96,31 @@ def training_matrix(benign: DataFrame, baseline: DataFrame | None = None,
                     features: list[str] = ML_FEATURES) -> DataFrame:
     """M1: benign flows ∪ optional baseline rows; absent feature → 0, NaN/±inf → 0.
 
-    ``_rid`` identifies a row for tree sampling: the flow key hash for flow
-    rows, the baseline's ``row_id`` (or a content hash) otherwise.
+    ``_rid`` identifies a row for tree sampling: the flow key and copy 0 for flow
+    rows; content and copy number for rows without a key (baseline rows), whose equal
+    rows are counted, then numbered in blocks of ``COPY_BLOCK``, so a content that
+    makes up most rows is spread over many tasks.
     """
-    def prep(df: DataFrame, rid: Column, base: bool = False) -> DataFrame:
-        cols = [finite_or_zero(F.col(c) if c in df.columns else F.lit(0.0)).alias(c) for c in features]
-        return df.select(rid.alias("_rid"), F.lit(base).alias("_base"), *cols)
+    def values(df: DataFrame) -> list[Column]:
+        return [finite_or_zero(F.col(c) if c in df.columns else F.lit(0.0)).alias(c) for c in features]
 
-    if all(c in benign.columns for c in FLOW_KEY):
-        rid = F.xxhash64(*[F.col(c) for c in FLOW_KEY])
-    else:
-        rid = F.xxhash64(*[F.col(c) for c in benign.columns])
-    out = prep(benign, rid)
-    if baseline is not None:
-        brid = (F.xxhash64(F.lit("baseline"), F.col("row_id")) if "row_id" in baseline.columns
-                else F.xxhash64(F.lit("baseline"), *[F.col(c) for c in baseline.columns]))
-        out = out.unionByName(prep(baseline, brid, base=True))
-    return out
+    def keyed(df: DataFrame) -> DataFrame:
+        rid = F.concat_ws("|", *[F.col(c).cast("string") for c in FLOW_KEY], F.lit("0"))
+        return df.select(rid.alias("_rid"), F.lit(False).alias("_base"), *values(df))
+
+    def counted(df: DataFrame, base: bool) -> DataFrame:
+        own = [F.col("row_id").cast("string").alias("_own")] if "row_id" in df.columns else [F.lit("").alias("_own")]
+        rows = df.select(*own, *values(df)).groupBy("_own", *features).agg(F.count(F.lit(1)).alias("_copies"))
+        rows = rows.withColumn("_block", F.explode(F.sequence(F.lit(0), F.floor((F.col("_copies") - 1) / COPY_BLOCK))))
+        low = F.col("_block") * COPY_BLOCK
+        copies = F.sequence(low, F.least(low + COPY_BLOCK, F.col("_copies")) - 1)
+        rows = rows.repartition("_own", *features, "_block").withColumn("_copy", F.explode(copies))
+        text = F.concat_ws("|", F.lit("row"), F.col("_own"), *[F.col(c).cast("string") for c in features],
+                           F.col("_copy").cast("string"))
+        return rows.select(text.alias("_rid"), F.lit(base).alias("_base"), *features)
+
+    out = keyed(benign) if all(c in benign.columns for c in FLOW_KEY) else counted(benign, False)
+    return out if baseline is None else out.unionByName(counted(baseline, True))
 
 
 def moments(train: DataFrame, features: list[str] = ML_FEATURES) -> DataFrame:
@@ -139,61 +155,67 @@ def scale(df: DataFrame, scaler: dict) -> DataFrame:
 
 # --- M2 ---------------------------------------------------------------------
 
-def _tree_hash(t: Column, seed: int) -> Column:
-    return F.pmod(F.xxhash64(F.col("_rid"), t, F.lit(seed)), F.lit(HASH_SPACE))
-
-
-def tree_samples(train: DataFrame, n_rows: int, n_trees: int, psi: int, seed: int) -> DataFrame:
-    """Rows assigned to trees: ≤ ψ per tree, smallest seeded hashes first."""
-    margin = psi + 6.0 * math.sqrt(psi) + 20.0
-    p = min(1.0, margin / max(n_rows, 1))
-    thr = int(p * HASH_SPACE) if p < 1.0 else HASH_SPACE
-    trees = F.sequence(F.lit(0), F.lit(n_trees - 1))
-    picked = F.filter(trees, lambda t: F.pmod(F.xxhash64(F.col("_rid"), t, F.lit(seed)),
-                                              F.lit(HASH_SPACE)) < F.lit(thr))
-    cand = train.withColumn("_tree", F.explode(picked)).withColumn("_h", _tree_hash(F.col("_tree"), seed))
-    from pyspark.sql import Window
+def tree_numbers(seed: int, tree: int) -> list[int]:
+    """The six multipliers and offsets of a tree's hash."""
+    return [int(draw(seed, tree, k)[:8], 16) % (PRIME - 1) + 1 for k in range(6)]
+
+
+def tree_samples(train: DataFrame, n_rows: int, trees: list[int], psi: int, seed: int,
+                 widen: int = 1) -> DataFrame:
+    """Rows assigned to trees: ≤ ψ per tree, smallest hashes first."""
+    margin = (psi + 6.0 * math.sqrt(psi) + 20.0) * widen
+    limit = HASH_SPACE if margin >= n_rows else int(margin / n_rows * HASH_SPACE)
+    m = F.md5(F.concat_ws("|", "_rid", F.lit(str(seed))))
+    x = [F.conv(F.substring(m, 1 + 7 * k, 7), 16, 10).cast("bigint").alias(f"_x{k}") for k in range(4)]
+    # one SQL text: a literal table costs one call, not one per number
+    table = F.expr("array(" + ", ".join(f"named_struct('t', {t}, " + ", ".join(
+        f"'n{k}', {v}L" for k, v in enumerate(tree_numbers(seed, t))) + ")" for t in trees) + ")")
+
+    def hashed(s: Column) -> Column:
+        def half(i: int, j: int, k: int) -> Column:
+            return (F.col(f"_x{i}") * s[f"n{k}"] + F.col(f"_x{j}") * s[f"n{k + 1}"] + s[f"n{k + 2}"]) % PRIME
+        return half(0, 1, 0) * F.lit(1 << 31) + half(2, 3, 3)
+
+    offered = F.filter(F.transform(table, lambda s: F.struct(s["t"].alias("_tree"), hashed(s).alias("_h"))),
+                       lambda p: p["_h"] < F.lit(limit))
+    cand = train.select("*", *x).select(*train.columns, F.inline(offered))
     w = Window.partitionBy("_tree").orderBy("_h", "_rid")
     return cand.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= psi)
 
 
-NODE_SCHEMA = ("_tree int, node int, feature int, threshold double, left int, right int, "
-               "size int, depth int")
+NODE_SCHEMA = "_tree int, node int, feature int, threshold double, size int"
+
+
+def tree_depth(psi: int) -> int:
+    return int(math.ceil(math.log2(max(psi, 2))))
 
 
 def _grow_group(features: list[str], psi: int, seed: int):
-    max_depth = int(math.ceil(math.log2(max(psi, 2))))
+    max_depth = tree_depth(psi)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["_tree"].iloc[0])
-        pdf = pdf.sort_values(["_h", "_rid"], kind="mergesort")
-        X = significant(pdf[features].to_numpy(dtype=float))
-        rng = np.random.default_rng([seed, tree])
+        X = grid(pdf[features].to_numpy(dtype=float))
         nodes = []
-
-        def build(idx, depth):
-            me = len(nodes)
-            nodes.append([tree, me, -1, 0.0, -1, -1, len(idx), depth])
-            if depth >= max_depth or len(idx) <= 1:
-                return me
+        work = [(1, 0, np.arange(len(X)))]
+        while work:
+            node, depth, idx = work.pop()
             sub = X[idx]
             lo, hi = sub.min(axis=0), sub.max(axis=0)
             cand = np.flatnonzero(lo < hi)
-            if cand.size == 0:
-                return me
-            f = int(cand[rng.integers(cand.size)])
-            thr = float(rng.uniform(lo[f], hi[f]))
+            if depth >= max_depth or len(idx) <= 1 or not cand.size:
+                nodes.append((tree, node, -1, 0.0, len(idx)))
+                continue
+            digits = draw(seed, tree, "node", node)
+            f = int(cand[int(digits[:8], 16) * cand.size >> 32])
+            u = int(digits[8:21], 16) / float(1 << 52)
+            thr = lo[f] + u * (hi[f] - lo[f])
             if thr >= hi[f]:
-                thr = float(lo[f])
-            go_left = sub[:, f] <= thr
-            left = build(idx[go_left], depth + 1)
-            right = build(idx[~go_left], depth + 1)
-            nodes[me][2:6] = [f, thr, left, right]
-            return me
-
-        build(np.arange(len(X)), 0)
-        return pd.DataFrame(nodes, columns=["_tree", "node", "feature", "threshold", "left", "right",
-                                            "size", "depth"])
+                thr = lo[f]
+            nodes.append((tree, node, f, float(thr), len(idx)))
+            left = sub[:, f] <= thr
+            work += [(2 * node, depth + 1, idx[left]), (2 * node + 1, depth + 1, idx[~left])]
+        return pd.DataFrame(nodes, columns=["_tree", "node", "feature", "threshold", "size"])
     return grow
 
 
@@ -214,87 +236,83 @@ def fit(benign: DataFrame, baseline: DataFrame | None = None, n_trees: int = 200
         raise ValueError("No valid training data after preprocessing.")
     psi = min(max_samples, n)
     grow = _grow_group(features, psi, seed)
-
-    def grown(samples: DataFrame) -> pd.DataFrame:
-        return (samples.select("_tree", "_h", "_rid", *features)
+    missing, widen, grown = list(range(n_trees)), 1, []
+    while missing:
+        rows = (tree_samples(train, n, missing, psi, seed, widen).select("_tree", *features)
                 .groupBy("_tree").applyInPandas(grow, NODE_SCHEMA).toPandas())
-
-    node_rows = grown(tree_samples(train, n, n_trees, psi, seed))
-    # the root of each tree holds its whole sample: a tree with fewer than ψ
-    # candidates (vanishingly unlikely) is redrawn exactly, every row ranked
-    roots = node_rows[node_rows["node"] == 0].set_index("_tree")["size"].to_dict()
-    short = [t for t in range(n_trees) if roots.get(t, 0) < psi]
-    if short:
-        from pyspark.sql import Window
-        redo = (train.withColumn("_tree", F.explode(F.array(*[F.lit(t) for t in short])))
-                .withColumn("_h", _tree_hash(F.col("_tree"), seed)))
-        w = Window.partitionBy("_tree").orderBy("_h", "_rid")
-        redo = redo.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= psi)
-        node_rows = pd.concat([node_rows[~node_rows["_tree"].isin(short)], grown(redo)], ignore_index=True)
+        roots = rows[rows["node"] == 1].set_index("_tree")["size"].to_dict()
+        full = [t for t in missing if roots.get(t, 0) >= psi]
+        grown.append(rows[rows["_tree"].isin(full)])
+        missing, widen = [t for t in missing if t not in set(full)], widen * 4
+    node_rows = pd.concat(grown, ignore_index=True)
     return ForestModel(features=list(features), psi=psi, n_trees=n_trees, seed=seed,
-                       nodes=_node_arrays(node_rows, n_trees), stats=st["stats"],
+                       nodes=_node_arrays(node_rows, n_trees, tree_depth(psi)), stats=st["stats"],
                        scaler=st["scaler"], n_train=n)
 
 
-def _node_arrays(node_rows: pd.DataFrame, n_trees: int) -> dict:
-    m = int(node_rows["node"].max()) + 1 if len(node_rows) else 1
-    arr = {k: np.full((n_trees, m), fill, dtype=dt) for k, fill, dt in
-           [("feature", -1, np.int32), ("threshold", 0.0, float), ("left", -1, np.int32),
-            ("right", -1, np.int32), ("size", 1, np.int32), ("depth", 0, np.int32)]}
-    t = node_rows["_tree"].to_numpy()
-    j = node_rows["node"].to_numpy()
+def _node_arrays(node_rows: pd.DataFrame, n_trees: int, depth: int) -> dict:
+    shape = (n_trees, 1 << (depth + 1))
+    arr = {"feature": np.full(shape, -1, np.int32), "threshold": np.zeros(shape), "size": np.zeros(shape, np.int32)}
+    t, j = node_rows["_tree"].to_numpy(), node_rows["node"].to_numpy()
     for k in arr:
         arr[k][t, j] = node_rows[k].to_numpy()
     return arr
 
 
+def node_table(model: ForestModel, spark) -> DataFrame:
+    """The forest as rows: (tree, node, feature, threshold, size); feature -1 is a leaf."""
+    t, j = np.nonzero(model.nodes["size"])
+    rows = [(int(a), int(b), int(model.nodes["feature"][a, b]), float(model.nodes["threshold"][a, b]),
+             int(model.nodes["size"][a, b])) for a, b in zip(t, j)]
+    return spark.createDataFrame(rows, "tree int, node int, feature int, threshold double, size int")
+
+
 # --- M3, A7 -----------------------------------------------------------------
 
-def path_lengths(X: np.ndarray, nodes: dict) -> np.ndarray:
-    """Mean path length over all trees for each row of X (vectorised)."""
+def path_sums(X: np.ndarray, nodes: dict) -> np.ndarray:
+    """Path length over all trees for each row of X, in billionths (vectorised)."""
     n = X.shape[0]
-    T = nodes["feature"].shape[0]
-    idx = np.zeros((n, T), dtype=np.int64)
+    T, width = nodes["feature"].shape
+    node = np.ones((n, T), dtype=np.int64)
     tree = np.broadcast_to(np.arange(T), (n, T))
     rows = np.broadcast_to(np.arange(n)[:, None], (n, T))
-    feat = nodes["feature"]
-    for _ in range(64):
-        f = feat[tree, idx]
+    depth = np.zeros((n, T), dtype=np.int64)
+    for _ in range(width.bit_length() - 2):
+        f = nodes["feature"][tree, node]
         inner = f >= 0
-        if not inner.any():
-            break
         x = X[rows, np.where(inner, f, 0)]
-        go_left = x <= nodes["threshold"][tree, idx]
-        nxt = np.where(go_left, nodes["left"][tree, idx], nodes["right"][tree, idx])
-        idx = np.where(inner, nxt, idx)
-    h = nodes["depth"][tree, idx] + average_path_length(nodes["size"][tree, idx])
-    return h.mean(axis=1)
+        right = x > nodes["threshold"][tree, node]
+        node = np.where(inner, 2 * node + right, node)
+        depth += inner
+    return (depth * PATH_UNIT + path_units(nodes["size"][tree, node].ravel()).reshape(n, T)).sum(axis=1)
 
 
 def raw_scores(model: ForestModel, df: DataFrame) -> DataFrame:
-    """M3 part 1: ``anomaly`` = 2^(−E[h]/c(ψ)) per row (mapInPandas)."""
-    spark = df.sparkSession
-    bc = spark.sparkContext.broadcast(model.nodes)
-    feats = model.features
-    cpsi = float(average_path_length([model.psi])[0]) or 1.0
-    # a new StructType: ``df.schema.add`` would mutate the DataFrame's cached schema
-    schema = T.StructType(list(df.schema.fields) + [T.StructField("_anomaly", T.DoubleType())])
-
-    def run(batches):
-        nodes = bc.value
-        for pdf in batches:
-            X = significant(np.nan_to_num(pdf[feats].to_numpy(dtype=float),
-                                          nan=0.0, posinf=0.0, neginf=0.0))
-            pdf["_anomaly"] = np.power(2.0, -path_lengths(X, nodes) / cpsi) if len(X) else []
-            yield pdf
-    return df.mapInPandas(run, schema)
-
-
-def batch_bounds(df: DataFrame, col: str = "_anomaly", threshold: float | None = None) -> DataFrame:
-    """Min, max, median (and optional count above a threshold) of a score."""
+    """M3 part 1: ``_anomaly`` = 2^(−E[h]/c(ψ)) per row; only the features go to Python."""
+    held = df.sparkSession.sparkContext.broadcast((model.nodes, model.n_trees))
+    c = float(path_units([model.psi])[0]) / PATH_UNIT or 1.0
+
+    @F.pandas_udf("double")
+    def anomaly(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        nodes, trees = held.value
+        for x in batches:
+            parts = [path_sums(grid(x.iloc[k:k + 2048].to_numpy(dtype=float)), nodes) for k in range(0, len(x), 2048)]
+            h = np.concatenate(parts) if parts else np.zeros(0)
+            yield pd.Series(np.power(2.0, -(h / float(trees) / float(PATH_UNIT)) / c))
+    return df.withColumn("_anomaly", anomaly(F.struct(*[finite_or_zero(f).alias(f) for f in model.features])))
+
+
+def batch_bounds(df: DataFrame, col: str = "_anomaly", threshold: float | None = None,
+                 median: bool = True) -> DataFrame:
+    """Min, max, median (and optional count above a threshold) of a score.
+
+    The exact median keeps one entry per distinct value; leave it out for scores
+    that are not rounded.
+    """
     c = F.col(col)
-    aggs = [F.min(c).alias("min"), F.max(c).alias("max"), F.median(c).alias("median"),
-            F.count(F.lit(1)).alias("n")]
+    aggs = [F.min(c).alias("min"), F.max(c).alias("max"), F.count(F.lit(1)).alias("n")]
+    if median:
+        aggs.insert(2, F.median(c).alias("median"))
     if threshold is not None:
         aggs.append(F.count_if(c > F.lit(threshold)).alias("n_above"))
     return df.agg(*aggs)
@@ -303,13 +321,11 @@ def batch_bounds(df: DataFrame, col: str = "_anomaly", threshold: float | None =
 def score(model: ForestModel, df: DataFrame) -> DataFrame:
     """M3: ``ml_score`` = 100·(s − s_min)/(s_max − s_min) over this batch, 2 decimals.
 
-    All equal → 50.  The raw scores are checkpointed (shared checkpoint
-    folder) so the bounds and the final projection read them once.
+    All equal → 50.  ``df`` is read twice (bounds, then scores): cut its lineage
+    before if it is dear to compute.  The first pass reads the features only.
     """
-    from beatline.session import checkpoint_dir
-    checkpoint_dir(df.sparkSession)
-    raw = raw_scores(model, df).checkpoint(eager=True)
-    b = batch_bounds(raw).collect()[0]
+    raw = raw_scores(model, df)
+    b = batch_bounds(raw, median=False).collect()[0]
     lo, hi = b["min"], b["max"]
     if lo is None or hi - lo <= 0:
         ml = F.lit(50.0)
@@ -326,6 +342,9 @@ def explanation(stats: dict, sigma: float = 2.0, features: list[str] = ML_FEATUR
     σ = 0: any difference from the mean counts.  Pure column expressions
     (``format_string`` / ``concat_ws``, which skips NULL parts).
     """
+    def four(x: Column) -> Column:
+        return round_half_up(x, 4)     # halves are decided here, not by the formatter
+
     parts = []
     for c in features:
         if c not in stats:
@@ -342,7 +361,7 @@ def explanation(stats: dict, sigma: float = 2.0, features: list[str] = ML_FEATUR
         text = F.format_string(
             f"{c} is %.4f (benign mean: %.4f, {sigma:.0f}σ range: [%.4f, %.4f]) — %s "
             + FEATURE_DESCRIPTIONS.get(c, c).replace("%", "%%"),
-            v, F.lit(mean), F.lit(lo), F.lit(hi), direction)
+            four(v), four(F.lit(mean)), four(F.lit(lo)), four(F.lit(hi)), direction)
         parts.append(F.when(hit, text))
     if not parts:
         return F.lit("")

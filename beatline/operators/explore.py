@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from beatline.functions.columns import MICROS_PER_SECOND
+from beatline.functions.columns import MICROS_PER_SECOND, safe_div
 from beatline.operators.grouping import normalize_connections
 from beatline.schemas import FLOW_KEY
 
@@ -76,7 +76,8 @@ def timeline(connections: DataFrame) -> DataFrame:
 
 
 def timeline_caption(connections: DataFrame) -> DataFrame:
-    """Per flow, mean interval and population-std CoV (0 when the mean is 0).
+    """Per flow, mean interval and population-std CoV (0 when the mean is 0,
+    both NULL for a flow without intervals).
 
     Built on W1 (hot flows sliced) and a partial aggregate; the deltas
     telescope, so the mean is (last − first) / count, exact in µs.
@@ -85,12 +86,11 @@ def timeline_caption(connections: DataFrame) -> DataFrame:
     d = inter_arrivals(connections, min_connections=1)
     g = d.groupBy(*FLOW_KEY).agg(
         F.count(F.lit(1)).alias("num_connections"),
-        ((F.max("ts_us") - F.min("ts_us")) / F.count("inter_arrival_s") / F.lit(float(MICROS_PER_SECOND)))
-        .alias("mean_interval"),
+        (safe_div(F.max("ts_us") - F.min("ts_us"), F.count("inter_arrival_s"), None)
+         / F.lit(float(MICROS_PER_SECOND))).alias("mean_interval"),
         F.stddev_pop("inter_arrival_s").alias("_sd"))
     return g.select(*FLOW_KEY, "num_connections", "mean_interval",
-                    F.when(F.col("mean_interval") > 0, F.col("_sd") / F.col("mean_interval"))
-                    .otherwise(F.lit(0.0)).alias("cov"))
+                    F.when(F.col("mean_interval").isNotNull(), safe_div("_sd", "mean_interval")).alias("cov"))
 
 
 def sample_per_class(truth: DataFrame, seed: int = 42, class_col: str = "beacon_type") -> DataFrame:

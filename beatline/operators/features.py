@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.functions.columns import (
-    MICROS_PER_SECOND, finite_or_zero, hour_of_day_utc,
+    MICROS_PER_SECOND, present,
 )
 from beatline.operators.grouping import default_tiebreak, normalize_connections
 from beatline.schemas import (
@@ -41,21 +41,23 @@ DEFAULT_HOT_FLOW_ROWS = 2_000_000
 def flow_rows(connections: DataFrame, tiebreak: list[str] | None = None) -> DataFrame:
     """Normalised records reduced to what the features read (column pruning).
 
-    Value columns get their NULL → 0 defaults (P5); ``_tb*`` are the order
+    Value columns get their NULL and NaN → 0 defaults (P5); ``_tb*`` are the order
     tiebreaks.
     """
     df = normalize_connections(connections)
     tb = tiebreak if tiebreak is not None else default_tiebreak(df)
-    sent = F.coalesce(F.col("bytes_sent").cast("bigint"), F.lit(0))
-    recv = F.coalesce(F.col("bytes_received").cast("bigint"), F.lit(0))
+
+    def value(name: str, kind: str) -> Column:
+        return F.coalesce(present(df, name).cast(kind), F.lit(0).cast(kind))
+    sent, recv = value("bytes_sent", "bigint"), value("bytes_received", "bigint")
     return df.select(
         *FLOW_KEY, "ts_us",
         *[F.col(c).alias(f"_tb{i}") for i, c in enumerate(tb)],
-        F.coalesce(F.col("packet_size").cast("double"), F.lit(0.0)).alias("_ps"),
+        value("packet_size", "double").alias("_ps"),
         sent.alias("_sent"), recv.alias("_recv"), (sent + recv).alias("_tot"),
-        F.coalesce(F.col("connection_duration").cast("double"), F.lit(0.0)).alias("_dur"),
-        F.coalesce(F.col("is_failed").cast("int"), F.lit(0)).alias("_failed"),
-        F.coalesce(F.col("has_dns_lookup").cast("int"), F.lit(0)).alias("_dns"),
+        value("connection_duration", "double").alias("_dur"),
+        value("is_failed", "int").alias("_failed"),
+        value("has_dns_lookup", "int").alias("_dns"),
         F.coalesce(F.col("dst_domain").cast("string"), F.lit("")).alias("_domain"),
     )
 

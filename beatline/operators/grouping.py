@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.functions.columns import epoch_micros, require_columns
+from beatline.functions.columns import epoch_micros, present, require_columns
 from beatline.schemas import CONNECTION_VALUE_COLUMNS, FLOW_KEY, MIN_CONNECTIONS
 
 TIEBREAK_CANDIDATES = ("file", "packet_idx", "flow_id")
@@ -28,7 +28,7 @@ def normalize_connections(df: DataFrame, time_col: str = "timestamp") -> DataFra
       unless the input already carries it;
     * optional value columns that are absent are added as NULL (they count
       as 0 downstream), ``dst_domain`` as '' when absent;
-    * rows with a NULL key component are dropped (pandas' groupby drops them).
+    * rows with a NULL (or NaN) key component are dropped (pandas' groupby drops them).
     """
     has_us = "ts_us" in df.columns
     require_columns(df, FLOW_KEY + ([] if has_us else [time_col]), "group_flows")
@@ -41,7 +41,7 @@ def normalize_connections(df: DataFrame, time_col: str = "timestamp") -> DataFra
         add["dst_domain"] = F.lit("")
     if add:
         out = out.withColumns(add)
-    out = out.withColumn("dst_port", F.col("dst_port").cast("int"))
+    out = out.withColumn("dst_port", present(out, "dst_port").cast("int"))
     # explicit IS NOT NULL predicates reach the Parquet reader (dropna's
     # AtLeastNNonNulls would not)
     return out.where(F.col("src_ip").isNotNull() & F.col("dst_ip").isNotNull()

@@ -9,6 +9,8 @@ checkpoint folder first, since the fit and the scoring read it several times.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from beatline.schemas import MIN_CONNECTIONS
 from beatline.session import checkpoint_dir
 
 MIN_TRAINING_ROWS = 5
+log = logging.getLogger(__name__)
 
 
 def scored_flows(connections: DataFrame, min_connections: int = MIN_CONNECTIONS,
@@ -55,7 +58,8 @@ def run_pipeline(connections: DataFrame, min_connections: int = MIN_CONNECTIONS,
         try:
             model = anomaly.fit(benign, baseline=baseline, n_trees=n_trees, seed=seed,
                                 min_benign_rows=MIN_TRAINING_ROWS)
-        except Exception:  # noqa: BLE001 — as in the reference: a failed fit leaves the model columns 0 / ''
+        except ValueError as e:     # no usable training rows; failures of jobs rise
+            log.warning("model left out: %s", e)
             model = None
         if model is not None:
             scored = anomaly.explain_all(anomaly.score(model, scored), model.stats,

@@ -2,8 +2,7 @@
 
 Every query reads the driver's tables at ``sf_dir`` (through the adapters in
 ``beatline.sources.testdata``) and runs over them whole.  ``oracle`` is the
-DuckDB statement of the same result, or ``None`` where SQL cannot state it
-(random forests, decoding bytes); those are covered by pytest properties.
+DuckDB statement of the same result.  Decoding bytes is covered by pytest.
 Float outputs are rounded to 6 digits with the same arithmetic on both sides.
 """
 
@@ -55,6 +54,34 @@ KEYS = "src_ip, dst_ip, dst_port"
 FEAT = O.base_ctes() + O.features_ctes()
 SCORED = FEAT + O.scored_ctes()
 VERD = SCORED + O.verdict_ctes()
+_TRAIN = SCORED + [("tr", "select * from sc where destination_in_allowlist or deterministic_score < 40.0")]
+
+
+def _explained_ctes() -> list[tuple[str, str]]:
+    stats = ", ".join(f"avg(cast({c} as double)) as {c}_m, coalesce(stddev_samp(cast({c} as double)), 0.0) as {c}_s"
+                      for c in O.MODEL_FEATURES)
+    parts = []
+    for c in O.MODEL_FEATURES:
+        v, m, s = f"cast({c} as double)", f"{c}_m", f"{c}_s"
+        lo = f"(case when {s} > 0 then {m} - 2.0 * {s} else {m} end)"
+        hi = f"(case when {s} > 0 then {m} + 2.0 * {s} else {m} end)"
+        hit = f"(case when {s} > 0 then abs({v} - {m}) / {s} > 2.0 else {v} <> {m} end)"
+        four = [f"floor(({x}) * 10000.0 + 0.5) / 10000.0" for x in (v, m, lo, hi)]
+        text = (f"printf('{c} is %.4f (benign mean: %.4f, 2σ range: [%.4f, %.4f]) — %s "
+                f"{O.DESCRIPTIONS[c]}', {', '.join(four)}, "
+                f"case when {v} < {m} then 'unusually low' else 'unusually high' end)")
+        parts.append(f"case when {hit} then {text} end")
+    return [("st", f"select {stats} from tr"),
+            ("ex", f"select {KEYS}, concat_ws('; ', {', '.join(parts)}) as ml_explanation from sc, st")]
+
+
+_EXPLAINED = _TRAIN + _explained_ctes()
+_FOREST = _EXPLAINED + O.forest_ctes()
+#: Verdicts with the model on.
+MODELLED = _FOREST + [("vd", f"""select sc.*, ml.ml_score, case when ml.ml_score > 70.0 then ex.ml_explanation else '' end as ml_explanation,
+  case when destination_in_allowlist then 'SUPPRESSED' when deterministic_score > 75.0 then 'HIGH'
+       when deterministic_score > 40.0 or ml.ml_score > 70.0 then 'MEDIUM' else 'CLEAR' end as final_verdict
+from sc join ml using ({KEYS}) join ex using ({KEYS})""")]
 
 
 # --- grouping ---------------------------------------------------------------
@@ -164,6 +191,36 @@ for _name, _cols, _doc in [
     register(_name, sql)(_fn)
 
 
+# Records with missing cells: null keys and times, NaN in floating columns, domains, lone records.
+_MESSY = [("mx", O.duckdb_views()["mx"])]
+_MESSY_FEAT = _MESSY + O.features_ctes(src="mx", domain="dst_domain")
+
+
+@register("p4_p5_f0_messy_features", O.with_(_MESSY_FEAT, f"select {KEYS}, dst_domain, {O.feature_select(FEATURE_COLUMNS)} from feat"))
+def q_messy(spark, sf):
+    """Features of records with null and NaN cells and domains."""
+    from beatline.operators.features import engineer_features
+    return rounded(engineer_features(td.messy_connections(spark, sf)).select(*FLOW_KEY, "dst_domain", *FEATURE_COLUMNS))
+
+
+@register("w8_messy_caption", O.with_(_MESSY, f"""select {KEYS}, num_connections, {O.r6('mean_')} as mean_interval
+  from (select src_ip, dst_ip, cast(dst_port as integer) as dst_port, count(*) as num_connections,
+          case when count(ts_us) > 1 then (max(ts_us) - min(ts_us)) / (count(ts_us) - 1) / {O.US} end as mean_
+        from mx where src_ip is not null and dst_ip is not null and dst_port is not null group by all) z"""))
+def q_messy_caption(spark, sf):
+    """Captions where many flows have one record or no time."""
+    from beatline.operators.explore import timeline_caption
+    return rounded(timeline_caption(td.messy_connections(spark, sf)).select(*FLOW_KEY, "num_connections", "mean_interval"))
+
+
+@register("u2_truth_duplicates", O.with_(_MESSY + [("dup", O.duckdb_views()["dup"])], f"""select {KEYS}, is_malicious, beacon_type from (
+  select *, row_number() over (partition by {KEYS} order by pos) as r from dup) z where r = 1"""))
+def q_u2(spark, sf):
+    """One truth row per flow where rows contradict each other, the first by position."""
+    from beatline.operators.evaluate import dedup_truth
+    return dedup_truth(td.repeated_truth(spark, sf), "pos").select(*FLOW_KEY, "is_malicious", "beacon_type")
+
+
 # --- allowlist, scoring, verdict ---------------------------------------------
 
 def _scored(spark, sf) -> DataFrame:
@@ -270,11 +327,18 @@ def _merged_off(spark, sf) -> DataFrame:
 
 
 _GT = O.duckdb_views()["gt"]
-MERGED = VERD + [("gt", _GT), ("m", f"""select vd.*, gt.is_malicious, gt.beacon_type, gt.mitre_technique_id
+_MERGE = [("gt", _GT), ("m", f"""select vd.*, gt.is_malicious, gt.beacon_type, gt.mitre_technique_id
   from vd join gt using ({KEYS})"""),
-                 ("mp", """select *, case when deterministic_score > 75.0 then 1 else 0 end as p_deterministic,
+          ("mp", """select *, case when deterministic_score > 75.0 then 1 else 0 end as p_deterministic,
   case when ml_score > 70.0 then 1 else 0 end as p_ml,
   case when final_verdict in ('HIGH', 'MEDIUM') then 1 else 0 end as p_combined from m""")]
+MERGED = VERD + _MERGE
+_CELLS = ("cells", """select method,
+  cast(count_if(is_malicious <> 1 and p = 0) as bigint) as tn, cast(count_if(is_malicious <> 1 and p = 1) as bigint) as fp,
+  cast(count_if(is_malicious = 1 and p = 0) as bigint) as fn, cast(count_if(is_malicious = 1 and p = 1) as bigint) as tp
+  from (select 'deterministic' as method, is_malicious, p_deterministic as p from mp
+        union all select 'ml', is_malicious, p_ml from mp
+        union all select 'combined', is_malicious, p_combined from mp) t group by method""")
 
 
 def _rate_sql(a: str, b: str) -> str:
@@ -289,15 +353,12 @@ def q_j2(spark, sf):
                                          "mitre_technique_id")
 
 
-@register("e9_evaluation_model_off", O.with_(MERGED + [("cells", """select method,
-  cast(count_if(is_malicious <> 1 and p = 0) as bigint) as tn, cast(count_if(is_malicious <> 1 and p = 1) as bigint) as fp,
-  cast(count_if(is_malicious = 1 and p = 0) as bigint) as fn, cast(count_if(is_malicious = 1 and p = 1) as bigint) as tp
-  from (select 'deterministic' as method, is_malicious, p_deterministic as p from mp
-        union all select 'ml', is_malicious, p_ml from mp
-        union all select 'combined', is_malicious, p_combined from mp) t group by method""")],
-    f"""select method, tn, fp, fn, tp, {_rate_sql('tp', 'tp + fp')} as precision,
+_RATES = f"""select method, tn, fp, fn, tp, {_rate_sql('tp', 'tp + fp')} as precision,
   {_rate_sql('tp', 'tp + fn')} as recall, {_rate_sql('2 * tp', '2 * tp + fp + fn')} as f1,
-  {_rate_sql('fp', 'fp + tn')} as fp_rate from cells"""))
+  {_rate_sql('fp', 'fp + tn')} as fp_rate from cells"""
+
+
+@register("e9_evaluation_model_off", O.with_(MERGED + [_CELLS], _RATES))
 def q_e9(spark, sf):
     """Precision, recall, F1, FP rate of the three methods (model off)."""
     from beatline.operators.evaluate import evaluate
@@ -360,9 +421,9 @@ def q_t17(spark, sf):
     return dropped_truth(_results_off(spark, sf), td.ground_truth(spark, sf)).select(*FLOW_KEY, "is_malicious")
 
 
-@register("e9_evaluation_with_model", None)
+@register("e9_evaluation_with_model", O.with_(MODELLED + _MERGE + [_CELLS], _RATES))
 def q_e9_model(spark, sf):
-    """E9 with the isolation forest on (random trees: rows-only check)."""
+    """E9 with the isolation forest on."""
     from beatline.operators.evaluate import evaluate, merge_with_truth
     from beatline.plans.pipeline import run_pipeline
     res = run_pipeline(_cx(spark, sf), sort=False)
@@ -441,11 +502,12 @@ def q_w8(spark, sf):
     return rounded(timeline(_cx(spark, sf)))
 
 
-@register("w8_timeline_caption", O.with_(O.base_ctes(), f"""select {KEYS}, count(*) as num_connections,
-  {O.r6(f'(max(ts_us) - min(ts_us)) / count(d) / {O.US}')} as mean_interval,
-  {O.r6(f'case when (max(ts_us) - min(ts_us)) / count(d) / {O.US} > 0 then stddev_pop(d) / ((max(ts_us) - min(ts_us)) / count(d) / {O.US}) else 0.0 end')} as cov
-  from (select *, (ts_us - lag(ts_us) over (partition by {KEYS} order by ts_us asc nulls last, flow_id asc nulls last)) / {O.US} as d
-        from cx where src_ip is not null and dst_ip is not null and dst_port is not null) t group by {KEYS}"""))
+@register("w8_timeline_caption", O.with_(O.base_ctes(), f"""select {KEYS}, num_connections, {O.r6('mean_')} as mean_interval,
+  {O.r6('case when mean_ > 0 then sd / mean_ when mean_ = 0 then 0.0 end')} as cov
+  from (select {KEYS}, count(*) as num_connections, case when count(d) > 0 then (max(ts_us) - min(ts_us)) / count(d) / {O.US} end as mean_,
+          stddev_pop(d) as sd
+        from (select *, (ts_us - lag(ts_us) over (partition by {KEYS} order by ts_us asc nulls last, flow_id asc nulls last)) / {O.US} as d
+              from cx where src_ip is not null and dst_ip is not null and dst_port is not null) t group by {KEYS}) z"""))
 def q_w8c(spark, sf):
     """Per-flow mean interval and population-std CoV (plot caption)."""
     from beatline.operators.explore import timeline_caption
@@ -568,13 +630,18 @@ def q_a13(spark, sf):
     return top_ports(_baseline(spark, sf))
 
 
+_PROFILED = ["flow_duration", "fwd_packets", "bwd_packets", "total_fwd_bytes", "total_bwd_bytes", "fwd_iat_mean",
+             "fwd_iat_std", "bwd_iat_mean", "bwd_iat_std", "dst_port", "protocol", "mean_interval", "std_interval",
+             "interval_cov", "mean_bytes", "bytes_cov"]
+
+
 @register("a13_baseline_profile", O.with_(_BL, " union all ".join(
     f"select '{c}' as column, {O.r6(f'avg({c})')} as mean, {O.r6(f'stddev_samp({c})')} as std, "
-    f"min({c}) as min, max({c}) as max from bd" for c in ["fwd_packets", "bwd_packets", "dst_port", "protocol"])))
+    f"{O.r6(f'min({c})')} as min, {O.r6(f'max({c})')} as max from bd" for c in _PROFILED)))
 def q_a13p(spark, sf):
-    """Mean, std, min, max per baseline column (integer-valued columns)."""
+    """Mean, std, min, max of every baseline column, base and derived."""
     from beatline.sources.baseline import profile
-    return rounded(profile(_baseline(spark, sf), ["fwd_packets", "bwd_packets", "dst_port", "protocol"]))
+    return rounded(profile(_baseline(spark, sf)))
 
 
 # --- captures -------------------------------------------------------------------
@@ -668,9 +735,6 @@ def _training_rows(spark, sf) -> DataFrame:
     return training_matrix(_scored(spark, sf).where(benign_for_training()))
 
 
-_TRAIN = SCORED + [("tr", "select * from sc where destination_in_allowlist or deterministic_score < 40.0")]
-
-
 @register("a5_a6_training_stats", O.with_(_TRAIN, " union all ".join(
     f"select '{c}' as feature, {O.r6(f'avg(cast({c} as double))')} as mean, "
     f"{O.r6(f'stddev_samp(cast({c} as double))')} as std, {O.r6(f'stddev_pop(cast({c} as double))')} as pstd from tr"
@@ -694,70 +758,81 @@ def q_a7(spark, sf):
     return rounded(batch_bounds(_scored(spark, sf), "deterministic_score", threshold=70.0))
 
 
-@register("m2_m3_ml_scores", None)
+def _fitted(spark, sf):
+    """The scored flows, computed once, and the forest fitted on the benign ones."""
+    from beatline.operators import anomaly
+    from beatline.operators.verdict import benign_for_training
+    from beatline.session import checkpoint_dir
+    checkpoint_dir(spark)
+    scored = _scored(spark, sf).checkpoint(eager=True)
+    return scored, anomaly.fit(scored.where(benign_for_training()))
+
+
+@register("m2_m3_ml_scores", O.with_(_FOREST, f"select {KEYS}, ml_score from ml"))
 def q_m23(spark, sf):
     """M2/M3: isolation forest fitted on the benign flows, every flow scored 0–100."""
     from beatline.operators import anomaly
-    from beatline.operators.verdict import benign_for_training
-    scored = _scored(spark, sf)
-    model = anomaly.fit(scored.where(benign_for_training()))
+    scored, model = _fitted(spark, sf)
     return anomaly.score(model, scored).select(*FLOW_KEY, "ml_score")
 
 
-@register("m4_m5_explanations", None)
+@register("m2_forest_nodes", O.with_(_FOREST, """select cast(t as integer) as tree, cast(node as integer) as node,
+  cast(coalesce(f, -1) as integer) as feature, floor(threshold * 1e6 + 0.5) / 1e6 as threshold, cast(size as integer) as size from forest_"""))
+def q_m2(spark, sf):
+    """M2: the fitted forest itself, node by node."""
+    from beatline.operators import anomaly
+    return rounded(anomaly.node_table(_fitted(spark, sf)[1], spark))
+
+
+@register("m4_m5_explanations", O.with_(MODELLED, f"select {KEYS}, ml_score, ml_explanation from vd"))
 def q_m45(spark, sf):
     """M4/M5: text explanations of the flows the model scores above 70."""
     from beatline.operators import anomaly
-    from beatline.operators.verdict import benign_for_training
-    scored = _scored(spark, sf)
-    model = anomaly.fit(scored.where(benign_for_training()))
+    scored, model = _fitted(spark, sf)
     out = anomaly.explain_all(anomaly.score(model, scored), model.stats)
     return out.select(*FLOW_KEY, "ml_score", "ml_explanation")
 
 
-@register("v2_results", None)
+@register("v2_results", O.with_(MODELLED, _RESULT_SQL))
 def q_v2(spark, sf):
     """V2: the full pipeline with the model on (the flagship result table)."""
     from beatline.plans.pipeline import run_pipeline
     return rounded(run_pipeline(_cx(spark, sf)))
 
 
-@register("v3_summary_top_high", O.with_(VERD, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score
-  from vd where final_verdict = 'HIGH' order by deterministic_score desc, {KEYS} limit 10"""))
+@register("v3_summary", O.with_(MODELLED, f"""select 'counts' as section, v.verdict, '' as src_ip, '' as dst_ip, -1 as dst_port,
+    cast(coalesce(n, 0) as double) as value from (values ('HIGH'), ('MEDIUM'), ('CLEAR'), ('SUPPRESSED')) v(verdict)
+    left join (select final_verdict as verdict, count(*) as n from vd group by 1) c on c.verdict = v.verdict
+  union all select * from (select 'top_high', final_verdict, {KEYS}, {O.r6('deterministic_score')} from vd
+    where final_verdict = 'HIGH' order by deterministic_score desc, {KEYS} limit 10) a
+  union all select * from (select 'top_medium', final_verdict, {KEYS}, {O.r6('deterministic_score')} from vd
+    where final_verdict = 'MEDIUM' order by deterministic_score desc, {KEYS} limit 5) b
+  union all select * from (select 'explained', final_verdict, {KEYS}, {O.r6('deterministic_score')} from vd
+    where length(ml_explanation) > 0 order by deterministic_score desc, {KEYS} limit 5) c"""))
 def q_v3(spark, sf):
-    """V3: the summary's top-10 HIGH table (model off)."""
-    from beatline.plans.pipeline import summary
-    return rounded(summary(_results_off(spark, sf))["top_high"].select(*FLOW_KEY, "deterministic_score"))
-
-
-def _m4_sql() -> str:
-    from beatline.schemas import FEATURE_DESCRIPTIONS, ML_FEATURES
-    stats = ", ".join(f"avg(cast({c} as double)) as {c}_m, coalesce(stddev_samp(cast({c} as double)), 0.0) as {c}_s"
-                      for c in ML_FEATURES)
-    parts = []
-    for c in ML_FEATURES:
-        v, m, s = f"cast({c} as double)", f"{c}_m", f"{c}_s"
-        lo = f"(case when {s} > 0 then {m} - 2.0 * {s} else {m} end)"
-        hi = f"(case when {s} > 0 then {m} + 2.0 * {s} else {m} end)"
-        hit = f"(case when {s} > 0 then abs({v} - {m}) / {s} > 2.0 else {v} <> {m} end)"
-        text = (f"printf('{c} is %.4f (benign mean: %.4f, 2σ range: [%.4f, %.4f]) — %s "
-                f"{FEATURE_DESCRIPTIONS[c]}', {v}, {m}, {lo}, {hi}, "
-                f"case when {v} < {m} then 'unusually low' else 'unusually high' end)")
-        parts.append(f"case when {hit} then {text} end")
-    return O.with_(_TRAIN + [("st", f"select {stats} from tr"),
-                             ("ex", f"select {KEYS}, concat_ws('; ', {', '.join(parts)}) as ml_explanation from sc, st")],
-                   "select * from ex")
-
-
-@register("m4_explain_all_flows", _m4_sql())
+    """V3: the summary's four tables (model on), one under the other."""
+    from beatline.plans.pipeline import run_pipeline, summary
+    from beatline.session import checkpoint_dir
+    checkpoint_dir(spark)
+    tables = summary(run_pipeline(_cx(spark, sf), sort=False).checkpoint(eager=True))
+    none = [F.lit(v).alias(c) for c, v in zip(FLOW_KEY, ("", "", -1))]
+    out = tables["verdict_counts"].select(F.lit("counts").alias("section"), F.col("final_verdict").alias("verdict"), *none,
+                                          F.col("count").cast("double").alias("value"))
+    for name in ("top_high", "top_medium", "explained"):
+        out = out.unionByName(tables[name].select(F.lit(name).alias("section"), F.col("final_verdict").alias("verdict"),
+                                                  *FLOW_KEY, F.col("deterministic_score").alias("value")))
+    return rounded(out)
+
+
+@register("m4_explain_all_flows", O.with_(_EXPLAINED, "select * from ex"))
 def q_m4(spark, sf):
     """M4: the 2σ explanation text of every flow against the benign statistics."""
     from beatline.operators import anomaly
-    st = anomaly.training_stats(_training_rows(spark, sf))
-    return _scored(spark, sf).select(*FLOW_KEY, anomaly.explanation(st["stats"]).alias("ml_explanation"))
+    scored, model = _fitted(spark, sf)
+    return scored.select(*FLOW_KEY, anomaly.explanation(model.stats).alias("ml_explanation"))
 
 
-@register("x8_explanation_parts", _m4_sql().replace("select * from ex", f"""select {KEYS}, cast(part_idx as integer) as part_idx, part
+@register("x8_explanation_parts", O.with_(_EXPLAINED, f"""select {KEYS}, cast(part_idx as integer) as part_idx, part
   from (select {KEYS}, unnest(range(len(string_split(ml_explanation, '; ')))) as part_idx,
                unnest(string_split(ml_explanation, '; ')) as part from ex where length(ml_explanation) > 0) t"""))
 def q_x8(spark, sf):
@@ -805,3 +880,60 @@ def q_s10(spark, sf):
     save_false_positives(td.ground_truth(spark, sf), path)
     back = dedup_truth(load_ground_truth(spark, path))
     return back.select(*FLOW_KEY, "is_malicious", "beacon_type")
+
+
+@register("s4_single_file", O.with_(O.base_ctes(), f"""select cast(flow_id as varchar) as flow_id, {KEYS}, ts_us, packet_size,
+  is_failed, '' as dst_domain from cx"""))
+def q_s4(spark, sf):
+    """Files read one by one through the single-file reader, columns in another order, no ``dst_domain``."""
+    from beatline.operators.grouping import normalize_connections
+    from beatline.sources.connections import read_connections
+    from beatline.sources.files import list_files
+    path = _scratch(spark, "s4-connections")
+    (_cx(spark, sf).select("is_failed", F.date_format(F.timestamp_micros("ts_us"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("timestamp"),
+                           "packet_size", "dst_port", "dst_ip", "src_ip", "flow_id")
+     .repartition(3).write.option("header", True).csv(path))
+    parts = [read_connections(spark, f) for f in list_files(spark, path, (".csv",))]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    return normalize_connections(rows).select("flow_id", *FLOW_KEY, "ts_us", "packet_size", "is_failed",
+                                              F.coalesce("dst_domain", F.lit("")).alias("dst_domain"))
+
+
+@register("s6_header_variants", O.with_(_BL, "select " + ", ".join(
+    O.r6(c) + f" as {c}" for c in ["flow_duration", "fwd_packets", "total_bwd_bytes", "dst_port"]) + " from bb"))
+def q_s6(spark, sf):
+    """Baseline files with two header spellings and column orders, read by name."""
+    from beatline.sources.baseline import COLUMN_MAP, load_labelled_flows
+    from beatline.sources.files import list_files
+    raw = td.baseline_raw(spark, sf)
+    path = _scratch(spark, "s6-baseline")
+    plain = {v: k for k, v in COLUMN_MAP.items() if not k.startswith(" ")}
+    even = F.col("fwd_packets") % 2 == 0
+    raw.where(even).withColumnsRenamed({c: plain[c] for c in raw.columns}).write.option("header", True).csv(f"{path}/a")
+    raw.where(~even).select(*reversed(raw.columns)).withColumnsRenamed({c: " " + plain[c] for c in raw.columns}).write.option(
+        "header", True).csv(f"{path}/b")
+    files = list_files(spark, f"{path}/a", (".csv",)) + list_files(spark, f"{path}/b", (".csv",))
+    return rounded(load_labelled_flows(spark, files).select("flow_duration", "fwd_packets", "total_bwd_bytes", "dst_port"))
+
+
+@register("k2_s11_saved_results", O.with_(VERD, f"select {KEYS}, {O.r6('deterministic_score')} as deterministic_score, final_verdict from vd"))
+def q_k2(spark, sf):
+    """Results saved by verdict and reloaded for investigation."""
+    from beatline.sources.connections import load_saved
+    from beatline.sources.sinks import save_results
+    path = save_results(_results_off(spark, sf), _scratch(spark, "k2-results"), partition_by_verdict=True)
+    return rounded(load_saved(spark, path)[0].select(*FLOW_KEY, "deterministic_score", "final_verdict"))
+
+
+@register("k4_exported_alerts", O.with_(VERD, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score, final_verdict
+  from vd where final_verdict in ('HIGH', 'MEDIUM')"""))
+def q_k4(spark, sf):
+    """K4: exported alerts, read back."""
+    from beatline.operators.explore import alert_filter
+    from beatline.sources.sinks import export_alerts
+    path = export_alerts(alert_filter(_results_off(spark, sf), ["HIGH", "MEDIUM"]), _scratch(spark, "k4-alerts"))
+    back = spark.read.option("header", True).csv(path)
+    return rounded(back.select("src_ip", "dst_ip", F.col("dst_port").cast("int").alias("dst_port"),
+                               F.col("deterministic_score").cast("double").alias("deterministic_score"), "final_verdict"))

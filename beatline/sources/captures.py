@@ -1,12 +1,11 @@
 """Packet captures as a Spark job: S1–S3, A1, A2, J1.
 
 * **S1** ``binaryFile`` lists the directory (not recursive) and keeps
-  ``.pcap`` / ``.pcapng`` in any letter case; one task per file (a capture
-  is not splittable).
-* **S2/S3** ``mapInPandas`` decodes each file with a small ``struct``-based
-  reader and yields one row per IP packet, one per DNS A answer and one
-  per-file counter row (parsed / non-IP / malformed) — a single pass over
-  the bytes; the caller checkpoints the decoded table and splits it.
+  ``.pcap`` / ``.pcapng`` in any letter case.
+* **S2/S3** a first pass over the record headers cuts every file into pieces
+  of whole records, one task each; ``mapInPandas`` decodes them with a small
+  ``struct``-based reader and yields one row per IP packet, one per DNS A
+  answer and one counter row per piece (parsed / non-IP / malformed).
 * **A1** rolls packets up per (file, src, dst, port, protocol): one window
   + aggregate on the same key (one exchange).
 * **A2** numbers flows by first appearance, offset per file: a count per
@@ -17,8 +16,14 @@
 from __future__ import annotations
 
 import ipaddress
+import json
+import logging
 import mmap
 import struct
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
 from urllib.parse import unquote, urlparse
 
 import pandas as pd
@@ -27,6 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beatline.functions.columns import round_half_up, strip_trailing_dots
+from beatline.sources.files import is_directory
+
+log = logging.getLogger(__name__)
+PIECE_BYTES = 128 << 20
+LOGGED_FILES = 20
 
 # ---------------------------------------------------------------------------
 # Capture extensions and IP protocol names.
@@ -58,63 +68,111 @@ DECODED_SCHEMA = T.StructType([
 
 # --- decoding (per-file helper run inside mapInPandas) --------------------------
 
-def _pcap_records(buf: bytes):
-    """Yield (ts_us, linktype, frame bytes) from a pcap or pcapng file."""
+@dataclass(frozen=True)
+class Piece:
+    """A run of whole records of one capture, and what reading them needs.
+
+    ``first`` is the number of the first record; ``order`` the byte order; ``units``
+    the time units per second; ``interfaces`` the (link type, units per second, snap
+    length) of a pcapng section so far, or the one of a pcap file.
+    """
+    start: int
+    end: int
+    first: int
+    ng: bool
+    order: str
+    interfaces: tuple
+
+    def text(self) -> str:
+        return json.dumps([self.start, self.end, self.first, self.ng, self.order, self.interfaces])
+
+    @staticmethod
+    def of(text: str) -> "Piece":
+        start, end, first, ng, order, interfaces = json.loads(text)
+        return Piece(start, end, first, ng, order, tuple(map(tuple, interfaces)))
+
+
+def whole(buf) -> Piece | None:
+    """The piece that covers a whole file; None for an empty one."""
     if len(buf) < 4:
-        return
-    magic = buf[:4]
+        return None
+    magic = bytes(buf[:4])
     if magic == b"\x0a\x0d\x0d\x0a":
-        yield from _pcapng_records(buf)
-        return
-    table = {b"\xd4\xc3\xb2\xa1": ("<", 1), b"\xa1\xb2\xc3\xd4": (">", 1),
-             b"\x4d\x3c\xb2\xa1": ("<", 1000), b"\xa1\xb2\x3c\x4d": (">", 1000)}
+        return Piece(0, len(buf), 0, True, "<", ())
+    table = {b"\xd4\xc3\xb2\xa1": ("<", 10 ** 6), b"\xa1\xb2\xc3\xd4": (">", 10 ** 6),
+             b"\x4d\x3c\xb2\xa1": ("<", 10 ** 9), b"\xa1\xb2\x3c\x4d": (">", 10 ** 9)}
     if magic not in table or len(buf) < 24:
         raise ValueError("not a capture file")
-    e, div = table[magic]
-    linktype = struct.unpack(e + "I", buf[20:24])[0] & 0x0FFFFFFF
-    off = 24
-    while off + 16 <= len(buf):
-        sec, frac, incl, _orig = struct.unpack(e + "IIII", buf[off:off + 16])
-        off += 16
-        data = buf[off:off + incl]
-        off += incl
-        yield sec * 1_000_000 + frac // div, linktype, data
-
-
-def _pcapng_records(buf: bytes):
-    off, e = 0, "<"
-    ifaces = []                      # (linktype, units per second)
-    while off + 12 <= len(buf):
+    order, units = table[magic]
+    link = struct.unpack(order + "I", buf[20:24])[0] & 0x0FFFFFFF
+    return Piece(24, len(buf), 0, False, order, ((link, units, 0),))
+
+
+def records(buf, piece: Piece, marks: int = 0):
+    """(ts_us, link type, frame bytes) of a piece; with ``marks`` the pieces of about so many bytes instead.
+
+    Marks read record headers only.
+    """
+    off, e, ifaces, first = piece.start, piece.order, list(piece.interfaces), piece.first
+    n, begin = first, (off, first, e, tuple(ifaces))
+
+    def cut(at: int) -> Piece:
+        return Piece(begin[0], at, begin[1], piece.ng, begin[2], begin[3])
+
+    while off + (12 if piece.ng else 16) <= piece.end:
+        if marks and off - begin[0] >= marks:
+            yield cut(off)
+            begin = (off, n, e, tuple(ifaces))
+        if not piece.ng:
+            sec, frac, incl, _orig = struct.unpack(e + "IIII", buf[off:off + 16])
+            link, units, _ = ifaces[0]
+            if not marks:
+                yield sec * 1_000_000 + frac * 1_000_000 // units, link, buf[off + 16:off + 16 + incl]
+            off, n = off + 16 + incl, n + 1
+            continue
         btype = struct.unpack(e + "I", buf[off:off + 4])[0]
         if btype == 0x0A0D0D0A:      # section header: byte order from its magic
-            e = "<" if buf[off + 8:off + 12] == b"\x4d\x3c\x2b\x1a" else ">"
+            e = "<" if bytes(buf[off + 8:off + 12]) == b"\x4d\x3c\x2b\x1a" else ">"
             ifaces = []
-        btype, blen = struct.unpack(e + "II", buf[off:off + 8])
-        if blen < 12 or off + blen > len(buf):
+        btype, size = struct.unpack(e + "II", buf[off:off + 8])
+        if size < 12 or off + size > piece.end:
+            if marks:                # the piece that holds the fault reports it when it is decoded
+                break
             raise ValueError("truncated block")
-        body = buf[off + 8:off + blen - 4]
-        if btype == 1:               # interface description
-            linktype = struct.unpack(e + "H", body[0:2])[0]
-            res = 1_000_000
-            o = 8
-            while o + 4 <= len(body):
-                code, ln = struct.unpack(e + "HH", body[o:o + 4])
-                if code == 0:
-                    break
-                if code == 9 and ln >= 1:
-                    v = body[o + 4]
-                    res = 2 ** (v & 0x7F) if v & 0x80 else 10 ** v
-                o += 4 + ((ln + 3) // 4) * 4
-            ifaces.append((linktype, res))
-        elif btype == 6:             # enhanced packet
-            iface, hi, lo, cap, _orig = struct.unpack(e + "IIIII", body[:20])
-            linktype, res = ifaces[iface] if iface < len(ifaces) else (1, 1_000_000)
-            ticks = (hi << 32) | lo
-            yield ticks * 1_000_000 // res, linktype, body[20:20 + cap]
-        elif btype == 3:             # simple packet: no time stamp
-            linktype = ifaces[0][0] if ifaces else 1
-            yield None, linktype, body[4:]
-        off += blen
+        if btype == 1:
+            ifaces.append(_interface(buf[off + 8:off + size - 4], e))
+        elif btype in (3, 6):
+            n += 1
+            if not marks:
+                yield _block(btype, buf[off + 8:off + size - 4], e, ifaces)
+        off += size
+    if marks:
+        yield cut(piece.end)
+
+
+def _interface(body: bytes, e: str) -> tuple[int, int, int]:
+    """Link type, time units per second and snap length of an interface description."""
+    link, _, snap = struct.unpack(e + "HHI", body[0:8])
+    units, o = 1_000_000, 8
+    while o + 4 <= len(body):
+        code, size = struct.unpack(e + "HH", body[o:o + 4])
+        if code == 0:
+            break
+        if code == 9 and size >= 1:
+            v = body[o + 4]
+            units = 2 ** (v & 0x7F) if v & 0x80 else 10 ** v
+        o += 4 + ((size + 3) // 4) * 4
+    return link, units, snap
+
+
+def _block(btype: int, body: bytes, e: str, ifaces: list):
+    if btype == 6:                   # enhanced packet
+        iface, hi, lo, cap, _orig = struct.unpack(e + "IIIII", body[:20])
+        link, units, _ = ifaces[iface] if iface < len(ifaces) else (1, 1_000_000, 0)
+        return ((hi << 32) | lo) * 1_000_000 // units, link, body[20:20 + cap]
+    link, _, snap = ifaces[0] if ifaces else (1, 0, 0)
+    size = struct.unpack(e + "I", body[:4])[0]      # simple packet: no time stamp, padded to 4 bytes
+    return None, link, body[4:4 + (min(size, snap) if snap else size)]
 
 
 def _network_layer(linktype: int, data: bytes):
@@ -140,9 +198,9 @@ def _network_layer(linktype: int, data: bytes):
 
 
 def _dns_answers(payload: bytes):
-    """A records of a DNS message: [(ip, name)] in answer order."""
+    """A records of a DNS message, (ip, name) in answer order; a malformed one raises after those before it."""
     if len(payload) < 12:
-        return []
+        return
     qd, an = struct.unpack(">HH", payload[4:8])
 
     def name_at(o, depth=0):
@@ -165,31 +223,35 @@ def _dns_answers(payload: bytes):
     for _ in range(qd):
         _, o = name_at(o)
         o += 4
-    out = []
     for _ in range(an):
         name, o = name_at(o)
         rtype, _cls, _ttl, rdlen = struct.unpack(">HHIH", payload[o:o + 10])
         o += 10
         if rtype == 1 and rdlen == 4:
-            out.append((".".join(str(b) for b in payload[o:o + 4]), name))
+            if len(payload) < o + 4:
+                raise ValueError("truncated answer")
+            yield ".".join(str(b) for b in payload[o:o + 4]), name
         o += rdlen
-    return out
 
 
-def iter_capture_rows(path: str, content) -> "Iterator[dict]":
-    """Decoded rows of one capture file, streamed: packets, DNS answers, then
-    one counter row (total / parsed / non-IP skipped / malformed)."""
+def iter_capture_rows(path: str, content, piece: Piece | None = None) -> Iterator[dict]:
+    """Decoded rows of one capture (or one piece of it), streamed: packets, DNS answers,
+    then one counter row (total / parsed / non-IP skipped / malformed)."""
     total = parsed = errors = bad_file = 0
-    records = _pcap_records(content)
+    try:
+        piece = piece or whole(content)
+        found = records(content, piece) if piece else iter(())
+    except ValueError:
+        bad_file, found = 1, iter(())
     while True:
         try:
-            rec = next(records)
+            rec = next(found)
         except StopIteration:
             break
-        except Exception:  # noqa: BLE001 — unreadable or truncated file: keep what was read
+        except (ValueError, struct.error, IndexError):     # truncated file: keep what was read, and count it
             bad_file = 1
             break
-        idx, (ts_us, linktype, data) = total, rec
+        idx, (ts_us, linktype, data) = piece.first + total, rec
         total += 1
         try:
             net = _network_layer(linktype, data)
@@ -202,18 +264,23 @@ def iter_capture_rows(path: str, content) -> "Iterator[dict]":
                 src = str(ipaddress.IPv4Address(data[off + 12:off + 16]))
                 dst = str(ipaddress.IPv4Address(data[off + 16:off + 20]))
                 l4, layer = off + ihl, proto
+                later = struct.unpack(">H", data[off + 6:off + 8])[0] & 0x1FFF   # fragment offset
             else:
                 proto = data[off + 6]
                 src = str(ipaddress.IPv6Address(data[off + 8:off + 24]))
                 dst = str(ipaddress.IPv6Address(data[off + 24:off + 40]))
-                l4, layer = off + 40, proto
-                while layer in (0, 43, 60, 44) and l4 + 8 <= len(data):
+                l4, layer, later = off + 40, proto, 0
+                while layer in (0, 43, 60, 44) and l4 + 8 <= len(data) and not later:
                     nxt = data[l4]
+                    if layer == 44:
+                        later = struct.unpack(">H", data[l4 + 2:l4 + 4])[0] >> 3
                     l4 += 8 if layer == 44 else (data[l4 + 1] + 1) * 8
                     layer = nxt
             name = PROTOCOL_NAMES.get(proto, f"OTHER({proto})")
             dport, sport, has_dns, payload = 0, 0, 0, b""
-            if layer in (6, 17) and len(data) >= l4 + 4:
+            if later:                # not the first fragment: no header of the next layer
+                pass
+            elif layer in (6, 17) and len(data) >= l4 + 4:
                 sport, dport = struct.unpack(">HH", data[l4:l4 + 4])
                 name = "TCP" if layer == 6 else "UDP"
                 if layer == 17:
@@ -233,12 +300,11 @@ def iter_capture_rows(path: str, content) -> "Iterator[dict]":
         yield row
         if has_dns:
             try:
-                answers = _dns_answers(payload)
-            except Exception:  # noqa: BLE001 — DNS errors are swallowed
-                answers = []
-            for a_idx, (ip, dom) in enumerate(answers):
-                yield {"kind": "dns", "file": path, "packet_idx": idx, "answer_idx": a_idx, "ip": ip,
-                       "domain": dom}
+                for a_idx, (ip, dom) in enumerate(_dns_answers(payload)):
+                    yield {"kind": "dns", "file": path, "packet_idx": idx, "answer_idx": a_idx, "ip": ip,
+                           "domain": dom}
+            except (ValueError, struct.error, IndexError, RecursionError):   # answers before the fault stay
+                pass
     yield {"kind": "stats", "file": path, "n_total": total, "n_parsed": parsed,
            "n_skipped": total - parsed - errors, "n_errors": errors + bad_file}
 
@@ -248,28 +314,26 @@ def decode_capture(path: str, content) -> list[dict]:
     return list(iter_capture_rows(path, content))
 
 
-def _local_path(uri: str) -> str:
-    u = urlparse(uri)
-    if u.scheme not in ("", "file"):
-        raise ValueError(f"path decoding needs a mounted file system path, got {uri!r}; "
-                         "use read_captures(..., by_path=False)")
-    return unquote(u.path)
+def _is_local(uri: str) -> bool:
+    return urlparse(uri).scheme in ("", "file")
 
 
-def _capture_rows(path: str, content):
+@contextmanager
+def _bytes(path: str, content):
+    """A capture's bytes: the column, or the file memory-mapped (pages are read as they are walked)."""
     if content is not None:
-        yield from iter_capture_rows(path, bytes(content))
+        yield bytes(content)
         return
-    # memory-mapped: pages are read as the decoder walks the file, so a
-    # capture larger than a task's memory (or than 2 GB) still decodes
-    with open(_local_path(path), "rb") as f:
+    if not _is_local(path):
+        raise ValueError(f"path decoding needs a mounted file system path, got {path!r}")
+    with open(unquote(urlparse(path).path), "rb") as f:
         try:
             buf = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         except ValueError:                 # empty file
-            yield from iter_capture_rows(path, b"")
+            yield b""
             return
         try:
-            yield from iter_capture_rows(path, buf)
+            yield buf
         finally:
             buf.close()
 
@@ -286,61 +350,87 @@ def _decode_batches(batches):
         return df.where(pd.notna(df), None)
 
     for pdf in batches:
-        contents = pdf["content"] if "content" in pdf.columns else [None] * len(pdf)
         buf = []
-        for path, content in zip(pdf["path"], contents):
-            for row in _capture_rows(path, content):
-                buf.append(row)
-                if len(buf) >= ROWS_PER_BATCH:
-                    yield frame(buf)
-                    buf = []
+        for r in pdf.to_dict("records"):
+            with _bytes(r["path"], r.get("content")) as content:
+                for row in iter_capture_rows(r["path"], content, Piece.of(r["piece"]) if r.get("piece") else None):
+                    buf.append(row)
+                    if len(buf) >= ROWS_PER_BATCH:
+                        yield frame(buf)
+                        buf = []
         if buf:
             yield frame(buf)
 
 
+def _pieces(size: int):
+    def run(batches):
+        for pdf in batches:
+            for path in pdf["path"]:
+                with _bytes(path, None) as buf:
+                    try:
+                        one = whole(buf)
+                        found = [p.text() for p in records(buf, one, size)] if one else [None]
+                    except ValueError:     # not a capture: decoding counts it
+                        found = [None]
+                yield pd.DataFrame({"path": [path] * len(found), "piece": found})
+    return run
+
+
 # --- S1–S3 ----------------------------------------------------------------------
 
 def list_captures(spark: SparkSession, directory: str) -> DataFrame:
-    """Capture files of a directory (not recursive), any letter case, sorted."""
+    """Capture files of a directory (not recursive), any letter case; none if it is missing.
+
+    Any other failure to list (permission, network) rises.
+    """
     ext = "|".join(e.lstrip(".") for e in CAPTURE_EXTENSIONS)
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(directory)
-    except Exception:  # noqa: BLE001 — missing directory → no captures
+    if not is_directory(spark, directory):
         return spark.createDataFrame([], "path string, modificationTime timestamp, length long, content binary")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(directory)
     return files.where(F.lower(F.col("path")).rlike(rf"\.({ext})$"))
 
 
-def decode(files: DataFrame, by_path: bool = True) -> DataFrame:
-    """Decoded rows of every capture, one file per task.
+def decode(files: DataFrame, by_path: bool = True, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Decoded rows of every capture, one piece of a file per task.
 
-    ``by_path``: only the file list travels through Spark and each task
-    memory-maps its capture from the shared file system (no 2 GB cap, no
-    copy of the file in the JVM); otherwise the ``content`` column is used.
+    ``by_path``: captures on a file system that every executor mounts.  A first pass
+    walks the record headers and cuts files into pieces of about ``piece_bytes``; each
+    task maps its piece into memory.  Otherwise the bytes come through Spark
+    (``content``), one whole file per row, which Spark limits to 2 GB a file.
     """
-    cols = ["path"] if by_path else ["path", "content"]
-    # one file per partition: a capture is not splittable and decodes in one task
-    n = max(1, files.select("path").count()) if by_path else None
-    src = files.select(*cols)
-    if by_path:
-        src = src.repartition(n, "path")
-    return src.mapInPandas(_decode_batches, DECODED_SCHEMA)
+    if not by_path:
+        return files.select("path", "content").mapInPandas(_decode_batches, DECODED_SCHEMA)
+    paths = files.select("path")
+    n = max(1, paths.count())
+    pieces = paths.repartitionByRange(n, "path").mapInPandas(_pieces(piece_bytes), "path string, piece string")
+    pieces = pieces.checkpoint(eager=True)
+    return pieces.repartitionByRange(max(1, pieces.count()), "path", "piece").mapInPandas(_decode_batches, DECODED_SCHEMA)
 
 
-def read_captures(spark: SparkSession, directory: str, by_path: bool = True) -> dict[str, DataFrame]:
+def read_captures(spark: SparkSession, directory: str, by_path: bool | None = None,
+                  piece_bytes: int = PIECE_BYTES) -> dict[str, DataFrame]:
     """``packets``, ``dns_answers`` and per-file ``stats`` tables.
 
-    The decoded table is checkpointed (shared checkpoint folder) so the
-    bytes are parsed once for the three outputs.
+    ``by_path`` None: by path where the files have a local path, through Spark
+    elsewhere.  The decoded rows are written once, by kind, to the shared checkpoint
+    folder; each table reads its own part.  ``stats.n_errors`` counts malformed
+    packets and truncated or unreadable files.
     """
-    from beatline.session import checkpoint_dir
+    from beatline.session import checkpoint_dir, scratch_path
     checkpoint_dir(spark)
-    d = decode(list_captures(spark, directory), by_path=by_path).checkpoint(eager=True)
+    files = list_captures(spark, directory)
+    if by_path is None:
+        by_path = files.select("path").where(~F.col("path").rlike("^(file:|/)")).limit(1).count() == 0
+    out = scratch_path(spark, f"captures-{uuid.uuid4().hex}")
+    decode(files, by_path, piece_bytes).write.partitionBy("kind").parquet(out)
+    d = spark.read.schema(DECODED_SCHEMA).parquet(out)
     packets = d.where(F.col("kind") == "packet").select(
         "file", "packet_idx", "src_ip", "dst_ip", "dst_port", "ts_us",
         F.timestamp_micros("ts_us").alias("timestamp"), "packet_size", "protocol", "has_dns_lookup")
     dns = d.where(F.col("kind") == "dns").select("file", "packet_idx", "answer_idx", "ip",
                                                  strip_trailing_dots("domain").alias("domain"))
-    stats = d.where(F.col("kind") == "stats").select("file", "n_total", "n_parsed", "n_skipped", "n_errors")
+    counts = ["n_total", "n_parsed", "n_skipped", "n_errors"]
+    stats = d.where(F.col("kind") == "stats").groupBy("file").agg(*[F.sum(c).alias(c) for c in counts])
     return {"packets": packets, "dns_answers": dns, "stats": stats}
 
 
@@ -417,8 +507,7 @@ def number_flows(flows: DataFrame) -> DataFrame:
     offsets = per_file.select("file", (F.sum("_cnt").over(Window.orderBy("file")) - F.col("_cnt"))
                               .alias("_offset"))
     rank = F.row_number().over(Window.partitionBy("file").orderBy("_first_idx", *ROLLUP_KEY[1:]))
-    # one row per capture file: bounded by the file listing
-    out = flows.join(F.broadcast(offsets), "file").withColumn("_rank", rank)
+    out = flows.join(offsets, "file").withColumn("_rank", rank)
     return out.withColumn("flow_id", F.format_string("pcap_flow_%06d", F.col("_offset") + F.col("_rank") - 1)) \
               .drop("_offset", "_rank")
 
@@ -436,11 +525,19 @@ def enrich_domains(flows: DataFrame, dns: DataFrame) -> DataFrame:
             .withColumn("dst_domain", F.coalesce(F.col("_domain"), F.lit(""))).drop("_domain"))
 
 
-def capture_connections(spark: SparkSession, directory: str) -> DataFrame:
-    """S1–S3 → A1 → A2 → J1: connection records from a capture directory."""
-    c = read_captures(spark, directory)
+def capture_tables(spark: SparkSession, directory: str, by_path: bool | None = None) -> dict[str, DataFrame]:
+    """S1–S3 → A1 → A2 → J1: ``connections`` of a capture directory, and its ``stats`` (errors per file)."""
+    c = read_captures(spark, directory, by_path)
     flows = number_flows(packets_to_flows(c["packets"]))
-    return enrich_domains(flows, c["dns_answers"]).drop("_first_idx")
+    return {"connections": enrich_domains(flows, c["dns_answers"]).drop("_first_idx"), "stats": c["stats"]}
+
+
+def capture_connections(spark: SparkSession, directory: str, by_path: bool | None = None) -> DataFrame:
+    """The connection records of :func:`capture_tables`; files with errors are logged."""
+    tables = capture_tables(spark, directory, by_path)
+    for r in tables["stats"].where("n_errors > 0").orderBy("file").limit(LOGGED_FILES).collect():
+        log.warning("capture %s: %d of %d packets malformed, or the file is truncated", r.file, r.n_errors, r.n_total)
+    return tables["connections"]
 
 
 def packets_as_connections(packets: DataFrame) -> DataFrame:

@@ -1,57 +1,64 @@
 """Connection and truth readers: S4, S5, S10, S11, S12.
 
-Schemas are explicit (no inference).  A DataFrame the caller already holds
-(S12) goes straight into the operators.
+Files are found and read through Spark's file systems and matched by column
+name, so columns may stand in any order and optional ones may be absent.  A
+DataFrame the caller already holds (S12) goes straight into the operators.
 """
 
 from __future__ import annotations
 
-import glob
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from beatline.schemas import CONNECTION_SCHEMA, TRUTH_SCHEMA
+from beatline.schemas import CONNECTION_SCHEMA, FLOW_KEY, TRUTH_SCHEMA
+from beatline.sources.files import exists, list_files, read_csv_by_name, typed
 
 PREFERRED_FILE = "parsed_connections.csv"
 
 
+def _connections(spark: SparkSession, files: list[str]) -> DataFrame:
+    out = read_csv_by_name(spark, files, lambda scan: typed(
+        scan, CONNECTION_SCHEMA, (*FLOW_KEY, "timestamp"), "connections"))
+    return out if out is not None else spark.createDataFrame([], CONNECTION_SCHEMA)
+
+
 def read_connections(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """One connections file (CSV with header, or Parquet)."""
     if fmt == "parquet":
         return spark.read.parquet(path)
-    if not glob.glob(path) and "://" not in path:
+    if not exists(spark, path):
         raise FileNotFoundError(f"connections file not found: {path}")
-    return (spark.read.option("header", True).option("enforceSchema", False)
-            .schema(CONNECTION_SCHEMA).csv(path))
+    return _connections(spark, [path])
 
 
 def read_connection_dir(spark: SparkSession, directory: str) -> DataFrame:
-    """The well-known file if present, else every ``*.csv`` (sorted).
-
-    Files may order their columns differently, so each is read with its own
-    header and the frames are unioned by name.
-    """
-    one = os.path.join(directory, PREFERRED_FILE)
-    if os.path.isfile(one):
-        return read_connections(spark, one)
-    files = sorted(glob.glob(os.path.join(directory, "*.csv")))
+    """The well-known file if present, else every ``*.csv`` (sorted)."""
+    one = f"{directory.rstrip('/')}/{PREFERRED_FILE}"
+    if exists(spark, one):
+        return _connections(spark, [one])
+    files = list_files(spark, directory, (".csv",))
     if not files:
         raise FileNotFoundError(f"No CSV files found in directory: {directory}")
-    frames = [spark.read.option("header", True).csv(f) for f in files]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    types = {f.name: f.dataType for f in CONNECTION_SCHEMA.fields}
-    return out.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in out.columns])
+    return _connections(spark, files)
 
 
 def load_ground_truth(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Truth rows with ``_row`` (file order) for keep-first deduplication."""
-    df = (spark.read.parquet(path) if fmt == "parquet"
-          else spark.read.option("header", True).option("enforceSchema", False).schema(TRUTH_SCHEMA).csv(path))
-    return df.withColumn("_row", F.monotonically_increasing_id())
+    """Truth rows with ``_row`` (file, then place in it) for keep-first deduplication.
+
+    Inside one block of a CSV file rows are numbered as they are read; blocks and
+    files are ordered by their own position, not by the task that read them.
+    """
+    if fmt == "parquet":
+        return spark.read.parquet(path).withColumn("_row", F.struct("_metadata.file_path", "_metadata.row_index"))
+
+    def pick(scan: DataFrame) -> DataFrame:
+        place = F.struct("_metadata.file_path", "_metadata.file_block_start",
+                         F.monotonically_increasing_id().alias("n"))
+        return typed(scan.withColumn("_row", place), TRUTH_SCHEMA, tuple(FLOW_KEY), "ground truth")
+    files = list_files(spark, path, (".csv",)) if not path.endswith(".csv") else [path]
+    if not files or not exists(spark, path):
+        raise FileNotFoundError(f"ground truth not found: {path}")
+    return read_csv_by_name(spark, files, pick)
 
 
 def load_saved(spark: SparkSession, results_path: str, connections_path: str | None = None,

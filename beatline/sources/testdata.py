@@ -84,9 +84,42 @@ from {lineitem}
 """
 
 
+# Connections with missing cells: null and NaN keys, null times, NaN values, domains, lone records.
+MESSY_SQL = """
+select flow_id, case when flow_id%53=0 then null else src_ip end as src_ip, dst_ip,
+  case when flow_id%59=0 then null when flow_id%61=0 then {NAN} else cast(dst_port as double) end as dst_port,
+  case when flow_id%47=0 then null else ts_us end as ts_us,
+  case when flow_id%43=0 then {NAN} else cast(packet_size as double) end as packet_size,
+  case when flow_id%41=0 then {NAN} when flow_id%37=0 then null else connection_duration end as connection_duration,
+  case when flow_id%31=0 then {NAN} else cast(bytes_sent as double) end as bytes_sent,
+  case when flow_id%29=0 then {NAN} else cast(bytes_received as double) end as bytes_received,
+  case when flow_id%23=0 then {NAN} else cast(is_failed as double) end as is_failed, has_dns_lookup,
+  case when flow_id%3=0 then '' else concat('h', cast(flow_id%5 as varchar(9)), '.example') end as dst_domain
+from ({cx}) cx
+"""
+
+# The same, as DuckDB starts from: NaN is missing.
+_CLEANED = """
+select flow_id, src_ip, dst_ip, case when not isnan(dst_port) then cast(dst_port as integer) end as dst_port, ts_us,
+  case when not isnan(packet_size) then packet_size end as packet_size,
+  case when not isnan(connection_duration) then connection_duration end as connection_duration,
+  case when not isnan(bytes_sent) then cast(bytes_sent as bigint) end as bytes_sent,
+  case when not isnan(bytes_received) then cast(bytes_received as bigint) end as bytes_received,
+  case when not isnan(is_failed) then cast(is_failed as integer) end as is_failed, has_dns_lookup, dst_domain
+from ({messy}) m
+"""
+
+# Truth rows that contradict each other: one per record, ``pos`` tells their order.
+REPEATED_SQL = """
+select src_ip, dst_ip, dst_port, cast(flow_id%2 as int) as is_malicious,
+  case when flow_id%2=1 then 'fixed' else 'none' end as beacon_type, '' as mitre_technique_id, flow_id as pos
+from ({cx}) cx
+"""
+
+
 def render(sql: str, dialect: str) -> str:
     """Text for DuckDB: the driver's tables are views of the same names."""
-    out = sql.replace("{US}", _US[dialect])
+    out = sql.replace("{US}", _US[dialect]).replace("{NAN}", "'NaN'::double" if dialect == "duckdb" else "double('NaN')")
     if dialect == "duckdb":
         for t in ("events", "pages", "lineitem"):
             out = out.replace("{" + t + "}", t)
@@ -103,6 +136,8 @@ def duckdb_views() -> dict[str, str]:
         "gt": render(TRUTH_SQL, "duckdb"),
         "dns": render(DNS_SQL, "duckdb"),
         "bl": render(BASELINE_SQL, "duckdb"),
+        "mx": _CLEANED.replace("{messy}", render(MESSY_SQL, "duckdb")),
+        "dup": render(REPEATED_SQL, "duckdb"),
     }
 
 
@@ -127,6 +162,15 @@ def ground_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(TRUTH_SQL, cx=cx)
 
 
+def messy_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connection records with missing cells, as frames from other tools hold them."""
+    return spark.sql(render(MESSY_SQL, "spark").replace("({cx}) cx", "{cx}"), cx=connections(spark, sf_dir))
+
+
+def repeated_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.sql(REPEATED_SQL.replace("({cx}) cx", "{cx}"), cx=connections(spark, sf_dir))
+
+
 def dns_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(DNS_SQL, pages=_table(spark, sf_dir, "pages"))
 

@@ -5,23 +5,32 @@ query checkpoint, which lives in the session's shared checkpoint folder."""
 
 from __future__ import annotations
 
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from beatline.functions.columns import MICROS_PER_DAY
 from beatline.operators.grouping import normalize_connections
-from beatline.schemas import CONNECTION_SCHEMA
+from beatline.schemas import CONNECTION_SCHEMA, FLOW_KEY
 from beatline.session import checkpoint_dir
+from beatline.sources.files import header, list_files, typed
 
 
 def connection_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A streaming DataFrame of connection records (explicit schema, CSV with header)."""
-    r = spark.readStream.schema(CONNECTION_SCHEMA).option("header", True)
+    """A streaming DataFrame of connection records, columns matched by name.
+
+    The header of the first file that is there gives the layout (the usual columns in
+    an empty folder).  A file with another header fails the batch instead of landing
+    its values in the wrong columns; start one stream per layout.
+    """
+    files = list_files(spark, directory, (".csv",))
+    names = (header(spark, files[0]) if files else ()) or CONNECTION_SCHEMA.fieldNames()
+    r = (spark.readStream.schema(T.StructType([T.StructField(n, T.StringType()) for n in names]))
+         .option("header", True).option("enforceSchema", False))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.csv(directory)
+    return typed(r.csv(directory), CONNECTION_SCHEMA, (*FLOW_KEY, "timestamp"), "connections")
 
 
 def land_connections(stream: DataFrame, out_path: str, name: str = "land_connections",

@@ -39,7 +39,7 @@ def test_small_training_set_uses_all_rows(spark):
     df = _features(spark, n=30)
     m = anomaly.fit(df, n_trees=10, seed=1)
     assert m.psi == 31
-    assert (m.nodes["size"][:, 0] == 31).all()       # every root holds the whole sample
+    assert (m.nodes["size"][:, 1] == 31).all()       # every root holds the whole sample
 
 
 def test_explanation_text(spark):
@@ -52,19 +52,56 @@ def test_explanation_text(spark):
                    "unusually low timing regularity (lower = more regular)")
 
 
-def test_short_tree_is_redrawn_exactly(spark, monkeypatch):
+def test_short_tree_is_offered_rows_again(spark, monkeypatch):
     from pyspark.sql import functions as F
     df = _features(spark, n=300)
     real = anomaly.tree_samples
 
-    def lossy(train, n_rows, n_trees, psi, seed):        # tree 3 loses most of its candidates
-        s = real(train, n_rows, n_trees, psi, seed)
-        return s.where((F.col("_tree") != 3) | (F.col("_rank") <= 10))
+    def lossy(train, n_rows, trees, psi, seed, widen=1):        # tree 3 loses most of its candidates at first
+        s = real(train, n_rows, trees, psi, seed, widen)
+        return s if widen > 1 else s.where((F.col("_tree") != 3) | (F.col("_rank") <= 10))
 
     monkeypatch.setattr(anomaly, "tree_samples", lossy)
     m = anomaly.fit(df, n_trees=6, seed=42)
-    assert (m.nodes["size"][:, 0] == 256).all()
+    assert (m.nodes["size"][:, 1] == 256).all()
     monkeypatch.setattr(anomaly, "tree_samples", real)
     ref = anomaly.fit(df, n_trees=6, seed=42)
     for k in m.nodes:
         assert np.array_equal(m.nodes[k], ref.nodes[k])
+
+
+def test_equal_rows_keep_their_share(spark):
+    cols = ", ".join(f"{c} double" for c in ML_FEATURES)
+    rng = np.random.default_rng(3)
+    rows = [tuple([1.0] * len(ML_FEATURES))] * 6000 + [tuple(rng.normal(size=len(ML_FEATURES)).tolist()) for _ in range(4000)]
+    base = spark.createDataFrame(rows, cols)
+    train = anomaly.training_matrix(_features(spark, 10), base)
+    assert train.count() == 10_011 and train.select("_rid").distinct().count() == 10_011
+    samples = anomaly.tree_samples(train, 10_011, list(range(60)), 256, 7).select("_tree", "interval_cov").toPandas()
+    assert (samples.groupby("_tree").size() == 256).all()
+    assert abs((samples["interval_cov"] == 1.0).mean() - 0.6) < 0.02
+    one = anomaly.fit(_features(spark, 10), base.repartition(7), n_trees=8)
+    two = anomaly.fit(_features(spark, 10), base.coalesce(1), n_trees=8)
+    assert all(np.array_equal(one.nodes[k], two.nodes[k]) for k in one.nodes)
+
+
+def test_copies_are_numbered_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(anomaly, "COPY_BLOCK", 7)
+    base = spark.createDataFrame([(1.0,)] * 30 + [(2.0,)] * 7, "interval_cov double")
+    ids = [r[0] for r in anomaly.training_matrix(base, None).select("_rid").collect()]
+    assert len(ids) == len(set(ids)) == 37
+
+
+def test_threshold_at_a_trillion_rows():
+    psi, n = 256, 10 ** 12
+    margin = psi + 6.0 * psi ** 0.5 + 20.0
+    limit = int(margin / n * anomaly.HASH_SPACE)
+    assert abs(limit / anomaly.HASH_SPACE * n - margin) < 1e-3 and limit > 10 ** 9
+
+
+def test_tree_hashes_are_uniform(spark):
+    rows = spark.range(40_000).selectExpr("cast(id as string) as _rid", "false as _base", *[f"0.0 as {c}" for c in ML_FEATURES])
+    s = anomaly.tree_samples(rows, 40_000, [0, 1, 2], 40_000, 42).select("_tree", "_h").toPandas()
+    for _, g in s.groupby("_tree"):
+        cells = np.bincount((g["_h"].to_numpy() / anomaly.HASH_SPACE * 50).astype(int), minlength=50)
+        assert ((cells - 800) ** 2 / 800).sum() < 100

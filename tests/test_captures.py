@@ -2,6 +2,7 @@ import os
 import struct
 import tempfile
 
+import beatline.sources.captures as cap
 from beatline.sources.captures import capture_connections, read_captures
 
 T = 1704067200  # 2024-01-01 00:00:00 UTC
@@ -101,9 +102,71 @@ def test_missing_directory_is_empty(spark):
 
 
 def test_content_and_path_decoding_agree(spark, monkeypatch):
-    import beatline.sources.captures as cap
     d = make_dir()
     monkeypatch.setattr(cap, "ROWS_PER_BATCH", 2)          # several Arrow batches per file
     a = sorted(tuple(r) for r in read_captures(spark, d, by_path=True)["packets"].collect())
     b = sorted(tuple(r) for r in read_captures(spark, d, by_path=False)["packets"].collect())
     assert a == b and len(a) == 4
+
+
+def fragment(src, dst, proto, offset, payload):
+    p = bytearray(ipv4(src, dst, proto, payload))
+    p[6:8] = struct.pack(">H", offset)
+    return bytes(p)
+
+
+def rows_of(content, piece=None):
+    return list(cap.iter_capture_rows("x", content, piece))
+
+
+def test_later_fragments_have_no_port():
+    later = eth(0x0800, fragment("10.0.0.1", "10.0.0.2", 17, 185, b"\x27\x0f\x27\x0f" * 4))
+    first = eth(0x0800, fragment("10.0.0.1", "10.0.0.2", 17, 0x2000, udp(5, 9999, b"x" * 8)))
+    v6 = struct.pack(">IHBB16s16s", 6 << 28, 16, 44, 64, b"\0" * 15 + b"\1", b"\0" * 15 + b"\2")
+    six = eth(0x86DD, v6 + struct.pack(">BBHI", 17, 0, 100 << 3, 7) + b"\x27\x0f\x27\x0f")
+    got = [(r["dst_port"], r["has_dns_lookup"]) for r in rows_of(pcap([(T, later), (T, first), (T, six)])) if r["kind"] == "packet"]
+    assert got == [(0, 0), (9999, 0), (0, 0)]
+
+
+def test_simple_packet_blocks_leave_padding_out():
+    frame = eth(0x0800, ipv4("10.0.0.1", "10.0.0.2", 17, udp(1, 2, b"x")))      # 43 bytes
+    head = pcapng([])
+    body = struct.pack("<I", len(frame)) + frame + b"\0" * (-len(frame) % 4)
+    block = struct.pack("<II", 3, 12 + len(body)) + body + struct.pack("<I", 12 + len(body))
+    packet = [r for r in rows_of(head + block) if r["kind"] == "packet"]
+    assert [(r["packet_size"], r["ts_us"]) for r in packet] == [(43, None)]
+
+
+def test_answers_before_a_malformed_one_stay():
+    msg = bytearray(dns_response("example.com", "1.2.3.4"))
+    msg[6:8] = struct.pack(">H", 3)
+    msg += b"\xc0\x0c" + struct.pack(">HHIH", 1, 1, 60, 4) + b"\5\6\7\x08" + b"\xc0\xff\0"
+    frame = eth(0x0800, ipv4("8.8.8.8", "10.0.0.5", 17, udp(53, 4000, bytes(msg))))
+    got = rows_of(pcap([(T, frame)]))
+    assert [r["ip"] for r in got if r["kind"] == "dns"] == ["1.2.3.4", "5.6.7.8"]
+    assert got[-1]["n_errors"] == 0
+
+
+def test_truncated_files_are_counted():
+    frame = eth(0x0800, ipv4("10.0.0.1", "10.0.0.2", 6, tcp(1, 2)))
+    whole = pcapng([(T, frame), (T + 1, frame)])
+    got = rows_of(whole[:-6])
+    assert [r["kind"] for r in got] == ["packet", "stats"] and got[-1]["n_errors"] == 1
+    assert rows_of(b"no capture at all, really")[-1]["n_errors"] == 1 and rows_of(b"")[-1]["n_total"] == 0
+
+
+def test_split_files_decode_as_whole_ones(spark):
+    d = tempfile.mkdtemp(prefix="beatline-split-")
+    frames = [(T + i, eth(0x0800, ipv4("10.0.0.5", "45.33.32.156", 6, tcp(40001, i + 1)))) for i in range(300)]
+    for name, write in (("a.pcap", pcap), ("b.pcapng", pcapng)):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(write(frames))
+    with open(os.path.join(d, "b.pcapng"), "ab") as f:
+        f.write(b"\0" * 13)
+    out = [read_captures(spark, d, by_path=p, piece_bytes=n) for p, n in ((True, 1000), (True, 1 << 30), (False, 0))]
+    rows = [sorted(map(tuple, c["packets"].collect())) for c in out]
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 600
+    stats = [sorted(map(tuple, c["stats"].collect())) for c in out]
+    assert stats[0] == stats[1] == stats[2] and [s[-1] for s in stats[0]] == [0, 1]
+    buf = open(os.path.join(d, "a.pcap"), "rb").read()
+    assert len(list(cap.records(buf, cap.whole(buf), 1000))) > 10

@@ -1,6 +1,8 @@
 import os
 import tempfile
 
+import pytest
+
 from beatline.operators.features import engineer_features
 from beatline.sources.baseline import baseline_features, load_baseline, load_labelled_flows
 from beatline.sources.connections import load_ground_truth, read_connection_dir, read_connections
@@ -73,3 +75,88 @@ def test_streaming_landing(spark):
     q.awaitTermination(120)
     landed = spark.read.parquet(out)
     assert landed.count() == 12 and "day" in landed.columns
+
+
+def test_columns_in_any_order_and_without_the_optional_one(spark):
+    d = tempfile.mkdtemp(prefix="beatline-order-")
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write("dst_port,timestamp,dst_ip,src_ip,packet_size,extra\n443,2024-01-01T00:00:00Z,45.33.0.1,10.0.0.1,250.0,x\n"
+                "bad,2024-01-01T00:00:00Z,45.33.0.1,10.0.0.1,,y\n")
+    _csv(os.path.join(d, "b.csv"), n=2, src="10.0.0.2")
+    rows = sorted(read_connection_dir(spark, d).select("src_ip", "dst_ip", "dst_port", "packet_size", "dst_domain", "timestamp").collect(), key=str)
+    assert [(r.src_ip, r.dst_ip, r.dst_port, r.packet_size, r.dst_domain) for r in rows] == [
+        ("10.0.0.1", "45.33.0.1", 443, 250, None), ("10.0.0.1", "45.33.0.1", None, None, None),
+        ("10.0.0.2", "45.33.0.1", 443, 250, None), ("10.0.0.2", "45.33.0.1", 443, 250, None)]
+    assert rows[0].timestamp is not None
+    with open(os.path.join(d, "parsed_connections.csv"), "w") as f:
+        f.write("dst_ip,src_ip,timestamp\n1.1.1.1,2.2.2.2,2024-01-01 00:00:00\n")
+    with pytest.raises(ValueError, match="dst_port"):
+        read_connection_dir(spark, d)
+    with pytest.raises(FileNotFoundError):
+        read_connection_dir(spark, d + "-none")
+    with pytest.raises(FileNotFoundError):
+        read_connections(spark, d + "/none.csv")
+
+
+def test_truth_order_is_file_order(spark):
+    d = tempfile.mkdtemp(prefix="beatline-order-")
+    for name, n, flag in (("b.csv", 3, 0), ("a.csv", 40_000, 1)):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("dst_ip,src_ip,dst_port,is_malicious,beacon_type,mitre_technique_id\n")
+            f.write(f"45.33.0.1,10.0.0.1,443,{flag},{'fixed' if flag else 'none'},\n" * n)
+    from beatline.operators.evaluate import dedup_truth
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    try:
+        rows = dedup_truth(load_ground_truth(spark, d)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.is_malicious for r in rows] == [1]
+
+
+def test_stream_matches_names_and_rejects_another_layout(spark):
+    src = tempfile.mkdtemp(prefix="beatline-stream-in-")
+    with open(os.path.join(src, "a.csv"), "w") as f:
+        f.write("timestamp,dst_ip,src_ip,dst_port\n2024-01-01 00:00:00,45.33.0.1,10.0.0.1,443\n")
+    out = tempfile.mkdtemp(prefix="beatline-stream-out-")
+    land_connections(connection_stream(spark, src), out, name=os.path.basename(out)).awaitTermination(120)
+    assert [(r.src_ip, r.dst_ip, r.dst_port) for r in spark.read.parquet(out).collect()] == [("10.0.0.1", "45.33.0.1", 443)]
+    _csv(os.path.join(src, "b.csv"))
+    with pytest.raises(Exception):
+        land_connections(connection_stream(spark, src), out, name=os.path.basename(out)).awaitTermination(120)
+
+
+def test_missing_columns_are_an_error(spark):
+    from beatline.operators.grouping import group_flows
+    with pytest.raises(ValueError, match="dst_port"):
+        group_flows(spark.createDataFrame([("a", "b", "2024-01-01")], "src_ip string, dst_ip string, timestamp string"))
+
+
+def test_cells_missing_in_floating_columns(spark):
+    nan = float("nan")
+    rows = [("10.0.0.1", "45.33.0.1", 443.0, f"2024-01-01 00:{i:02d}:00", nan if i % 2 else 100.0, nan if i % 3 else 9.0, nan)
+            for i in range(12)] + [("10.0.0.1", "45.33.0.1", nan, "2024-01-01 00:00:00", 1.0, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "src_ip string, dst_ip string, dst_port double, timestamp string, packet_size double, "
+                                     "connection_duration double, bytes_received double")
+    row = engineer_features(df).first()
+    zero = engineer_features(df.na.fill(0.0, ["packet_size", "connection_duration", "bytes_received"]).where("dst_port = 443")).first()
+    assert row.num_connections == 12 and row == zero and row.std_connection_duration > 0
+
+
+def test_caption_of_a_lone_record(spark):
+    from beatline.operators.explore import timeline_caption
+    df = spark.createDataFrame([("a", "b", 1, "2024-01-01 00:00:00"), ("a", "c", 1, None)],
+                               "src_ip string, dst_ip string, dst_port int, timestamp string")
+    assert [(r.num_connections, r.mean_interval, r.cov) for r in timeline_caption(df).collect()] == [(1, None, None)] * 2
+
+
+def test_shared_checkpoint_folder_is_required_off_local_mode():
+    from beatline.session import checkpoint_dir
+
+    class Fake:
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+        class sparkContext:
+            master = "spark://host:7077"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Fake)

@@ -27,9 +27,6 @@ def duck():
 def test_query_matches_oracle(spark, duck, name):
     q = QUERIES[name]
     got = q.run(spark, SF_SMALL).toPandas()
-    if q.oracle is None:
-        assert len(got) >= 0
-        return
     want = duck.execute(q.oracle).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert canon(got) == canon(want)
@@ -39,5 +36,5 @@ def test_entry_smoke(spark):
     import __spark_entry__ as e
     df = e.entry(spark)
     assert df.columns[:4] == ["src_ip", "dst_ip", "dst_domain", "dst_port"]
-    assert df.count() >= 0
+    assert df.count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())

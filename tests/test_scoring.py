@@ -74,11 +74,10 @@ def test_verdict_counts_lists_all(spark):
     assert got == {"HIGH": 2, "MEDIUM": 0, "CLEAR": 1, "SUPPRESSED": 0}
 
 
-@pytest.mark.parametrize("max_broadcast", [200_000, 0])
-def test_rule_table_random_equivalence(spark, monkeypatch, max_broadcast):
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_rule_table_random_equivalence(spark, threshold):
     import random
-    import beatline.operators.allowlist as al
-    monkeypatch.setattr(al, "MAX_BROADCAST_RULES", max_broadcast)      # 0 → salted shuffle join
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)      # -1: salted shuffle join
     rnd = random.Random(7)
     heads = ["13.107", "20.190", "52.96", "172.217", "104.16", "151.101", "13.10", "45.33", "10.0", "104.160"]
     rows = []
@@ -88,5 +87,6 @@ def test_rule_table_random_equivalence(spark, monkeypatch, max_broadcast):
     df = spark.createDataFrame(rows, "src_ip string, dst_ip string, dst_port int, num_internal_hosts_contacting long")
     a = sorted((r.src_ip, r.allowlist_reason) for r in apply_allowlist(df).collect())
     b = sorted((r.src_ip, r.allowlist_reason) for r in apply_rule_table(df, default_rule_table(spark)).collect())
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert a == b
     assert len({r for _, r in a}) == 5          # every rule and "no match" occur
