@@ -117,10 +117,6 @@ def strip_trailing_dots(c) -> Column:
     return F.regexp_replace(_c(c), r"\.+$", "")
 
 
-def has_columns(df: DataFrame, *names: str) -> bool:
-    return all(n in df.columns for n in names)
-
-
 def require_columns(df: DataFrame, required, what: str) -> None:
     """Fail at plan time, before any job runs."""
     missing = sorted(set(required) - set(df.columns))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatline.schemas import FLOW_KEY
+from beatline.session import checkpoint_dir
 
 TRUTH_COLUMNS = ["is_malicious", "beacon_type", "mitre_technique_id"]
 METHODS = ["deterministic", "ml", "combined"]
@@ -125,8 +126,13 @@ def truth_slice(merged: DataFrame, which: str) -> DataFrame:
 
 
 def run_full_evaluation(results: DataFrame, truth: DataFrame) -> dict[str, DataFrame]:
-    """E9 entry point: every evaluation table, lazily."""
-    merged = merge_with_truth(results, truth)
+    """E9 entry point: every evaluation table.
+
+    Results are computed once, into the shared checkpoint folder; the tables are lazy.
+    """
+    checkpoint_dir(results.sparkSession)
+    results = results.checkpoint(eager=True)
+    merged = merge_with_truth(results, truth).checkpoint(eager=True)
     return {"metrics": evaluate(merged), "by_type": by_beacon_type(merged),
             "false_positives": false_positives(merged), "confusion": confusion_cells(merged),
             "ntp": known_benign_slice(merged), "dropped_truth": dropped_truth(results, truth)}

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from beatline.functions.columns import MICROS_PER_SECOND, safe_div
 from beatline.operators.grouping import normalize_connections
 from beatline.schemas import FLOW_KEY
-
-MAX_BROADCAST_GROUPS = 100_000
+from beatline.session import checkpoint_dir
 
 
 def top_k(df: DataFrame, k: int, by: str = "deterministic_score") -> DataFrame:
@@ -112,7 +111,7 @@ def histogram(df: DataFrame, value: str, by: str | None = None, bins: int = 30,
 
     Each group gets its own range (min..max of that group), as a per-series
     histogram call does; the last bin is closed.  Range per group is an
-    aggregate joined back on the (few) groups — broadcast behind a size check.
+    aggregate joined back on the (few) groups; Spark broadcasts it by its size.
     ``transform='log1p'`` and ``clip_upper`` prepare the value first.
     """
     x = F.col(value).cast("double")
@@ -121,12 +120,13 @@ def histogram(df: DataFrame, value: str, by: str | None = None, bins: int = 30,
     if clip_upper is not None:
         x = F.least(x, F.lit(float(clip_upper)))
     grp = [F.col(by)] if by else []
-    base = df.select(*grp, x.alias("_x")).where(F.col("_x").isNotNull())
+    # the upstream plan runs once: ranges and bins both read the two columns from the shared folder
+    checkpoint_dir(df.sparkSession)
+    base = df.select(*grp, x.alias("_x")).where(F.col("_x").isNotNull()).checkpoint(eager=True)
     ranges = base.groupBy(*grp).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"),
                                     F.count(F.lit(1)).alias("_n"))
     if by:
-        n_groups = ranges.count()
-        joined = base.join(F.broadcast(ranges) if n_groups <= MAX_BROADCAST_GROUPS else ranges, by)
+        joined = base.join(ranges, by)
     else:
         r = ranges.collect()[0]
         lo, hi, n = r["_lo"], r["_hi"], r["_n"]

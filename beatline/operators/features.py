@@ -1,9 +1,9 @@
 """Per-flow features F0–F20 (W1–W7) as one windowed aggregate.
 
 Plan shape (checked with ``explain`` in the tests): the records are hash
-partitioned once on the flow key; two window stages sorted by
-``(key, ts_us, tiebreak)`` add the inter-arrival delta, its lags and the
-per-flow medians; the ``groupBy`` on the same key reuses that partitioning,
+partitioned once on the flow key; one window stage sorted by
+``(key, ts_us, tiebreak)`` adds six time lags, whose differences are the
+inter-arrival delta and its lags, another the per-flow medians; the ``groupBy`` on the same key reuses that partitioning,
 so the whole feature table costs **one** exchange of the records.  F20
 (hosts per destination) adds one small exchange on the per-flow table.
 
@@ -87,28 +87,28 @@ def _window_stage(rows: DataFrame, min_connections: int) -> DataFrame:
         F.count("ts_us").over(whole).alias("_m"),
         F.min("ts_us").over(whole).alias("_tmin"),
         F.max("ts_us").over(whole).alias("_tmax"),
-        F.lag("ts_us", 1).over(w).alias("_prev"),
+        *[F.lag("ts_us", k).over(w).alias(f"_lag{k}") for k in range(1, AUTOCORR_MAX_LAG + 2)],
+        # the earliest record's domain (NULL times sort last), constant per flow
+        F.first("_domain").over(w).alias("_fd"),
         F.min("_ps").over(whole).alias("_lo"),
         F.max("_ps").over(whole).alias("_hi"),
         F.sum("_tot").over(whole).alias("_stot"),
         exact_sum("_dur").over(whole).alias("_sdur"),
     ).where(F.col("_n") >= F.lit(min_connections))
     s1 = s1.withColumns({
-        "_d_us": F.col("ts_us") - F.col("_prev"),
+        "_d_us": F.col("ts_us") - F.col("_lag1"),
+        **{f"_dl{k}": F.col(f"_lag{k}") - F.col(f"_lag{k + 1}") for k in range(1, AUTOCORR_MAX_LAG + 1)},
         # mean inter-arrival: the deltas telescope to (last − first)
         "_mu": F.when(F.col("_m") > 1,
                       (F.col("_tmax") - F.col("_tmin")) / (F.col("_m") - 1) / F.lit(US)),
         "_mtot": F.col("_stot") / F.col("_n"),
         "_mdur": F.col("_sdur").cast("double") / F.col("_n"),
     })
-    lags = [F.lag("_d_us", k).over(w).alias(f"_dl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)]
-    # the earliest record's domain (NULL times sort last), constant per flow
-    s2 = s1.select("*", *lags, F.first("_domain").over(w).alias("_fd"))
     # medians need an unordered window; placed after the ordered stages the
     # rows are already sorted by key, so no further sort is planned.  Keeping
     # them out of the aggregate lets it be a code-generated hash aggregate.
     flow = Window.partitionBy(*FLOW_KEY)
-    s3 = s2.withColumn("_med", F.median("_d_us").over(flow))
+    s3 = s1.withColumn("_med", F.median("_d_us").over(flow))
     return s3.withColumn("_mad", F.median(F.abs(F.col("_d_us") - F.col("_med"))).over(flow))
 
 

@@ -10,27 +10,24 @@ Flows with more than ``hot_flow_rows`` records come here instead:
    bound is checked before their table is broadcast.
 2. **order-free features** (volumes, durations, counts, entropy bins,
    first domain) are plain aggregates by key — partial aggregation again.
-3. **inter-arrival features** need time order.  Each hot flow is cut into
-   contiguous time slices of about ``hot_flow_rows`` records (a fine
-   per-flow histogram, cumulated, decides the cuts); lags 1–6 are
-   computed per (flow, slice) window.  A slice's first six rows lack their
+3. **inter-arrival features** need time order.  The records are cut into
+   slices of about ``hot_flow_rows`` by a range partitioning on (flow, time,
+   tiebreak); lags 1–6 are computed per (flow, slice) window.  A slice's first six rows lack their
    predecessors, which are the last rows of earlier slices: a small table
    of every slice's first and last six rows, windowed per flow, supplies
    them exactly.  Deltas and lagged deltas follow from the six lags.
-4. the delta statistics (count, centred sums of squares and lag products,
-   median, MAD) are reduced through a ``(flow, delta)`` value-count
-   aggregate — partial aggregation again — and medians are weighted
-   percentiles (``percentile(x, 0.5, frequency)``) over it.
+4. the delta statistics (count, centred sums of squares and lag products)
+   are reduced through a ``(flow, delta)`` value-count aggregate — partial
+   aggregation again — and median and MAD are found by cumulating value
+   counts over ranges of values, so no task holds all values of a flow.
 
 The output has the columns of the ordinary route's aggregate, so the same
-finishing expressions turn it into F1–F19.  Limits: records crowded into
-one histogram cell (1/64 of a slice's share of the time span) stay one
-slice; the exact medians hold one entry per distinct delta of a flow.
+finishing expressions turn it into F1–F19.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.functions.columns import hour_of_day_utc
@@ -39,8 +36,6 @@ from beatline.schemas import AUTOCORR_MAX_LAG, ENTROPY_BINS, FLOW_KEY, OFF_HOURS
 
 LAGS = AUTOCORR_MAX_LAG + 1          # ts lags needed for a delta and its 5 predecessors
 MAX_BROADCAST_HOT_FLOWS = 1_000_000
-CELLS_PER_SLICE = 64                 # histogram resolution of the time slicing
-MAX_BROADCAST_CELLS = 2_000_000
 US = ft.US
 
 
@@ -67,28 +62,46 @@ def split_and_compute(rows: DataFrame, min_connections: int, hot_flow_rows: int,
 
 
 def time_slices(rows: DataFrame, hot_flow_rows: int, key: list[str] = FLOW_KEY) -> DataFrame:
-    """``_slice``: contiguous time ranges of about ``hot_flow_rows`` records.
-
-    Rows carry their group's ``_m`` (timed records), ``_tmin``, ``_tmax``.
-    Each group's time span is cut into ``64·ceil(m / hot_flow_rows)``
-    equal-width cells; the per-cell counts (a partial aggregate) are
-    cumulated in time order and a new slice starts every
-    ``hot_flow_rows`` records, so bursts spread over several slices.  Only
-    a single cell denser than that stays one slice.  NULL times go last.
+    """``_slice``: runs of about ``hot_flow_rows`` records in (key, time, tiebreak) order.
+
+    A range partitioning by all of them, so records of one instant, bursts and NULL
+    times (last in their group) are cut like any others; records that agree in all
+    of it are told apart by their place, which no lag depends on.  The sliced
+    records are written to the shared checkpoint folder, so a slice keeps its rows.
+    """
+    from beatline.session import checkpoint_dir
+    checkpoint_dir(rows.sparkSession)
+    n = max(1, -(-rows.count() // hot_flow_rows))
+    order = [*key, F.col("ts_us").asc_nulls_last(), F.col("_tbkey").asc_nulls_last(), "_place"]
+    out = rows.withColumn("_place", F.monotonically_increasing_id()).repartitionByRange(n, *order)
+    return out.withColumn("_slice", F.spark_partition_id()).drop("_place").checkpoint(eager=True)
+
+
+def weighted_median(counts: DataFrame, key: list[str], value: str, weight: str, target_rows: int) -> DataFrame:
+    """(key, median) of values with their numbers of occurrences, exact, for any number of values.
+
+    Values are cut into ranges of about ``target_rows`` rows; the totals of the ranges
+    (a small table) are cumulated per key, and only the ranges that hold the middle
+    are cumulated value by value.
     """
-    n_sl = F.greatest(F.lit(1).cast("bigint"), F.ceil(F.col("_m") / F.lit(float(hot_flow_rows))))
-    cell_w = F.floor((F.col("_tmax") - F.col("_tmin")) / (n_sl * F.lit(CELLS_PER_SLICE))) + F.lit(1)
-    cells = rows.withColumns({"_cell": F.floor((F.col("ts_us") - F.col("_tmin")) / cell_w),
-                              "_nsl": n_sl})
-    counts = cells.where(F.col("ts_us").isNotNull()).groupBy(*key, "_cell").agg(F.count(F.lit(1)).alias("_cc"))
-    before = Window.partitionBy(*key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
-    mapping = counts.select(*key, "_cell", F.floor(F.coalesce(F.sum("_cc").over(before), F.lit(0))
-                                                   / F.lit(float(hot_flow_rows))).alias("_slice"))
-    n_cells = mapping.count()               # ≤ 64 · (N / hot_flow_rows + number of hot groups)
-    m = F.broadcast(mapping) if n_cells <= MAX_BROADCAST_CELLS else mapping
-    out = cells.join(m, key + ["_cell"], "left")
-    return (out.withColumn("_slice", F.when(F.col("ts_us").isNull(), F.col("_nsl")).otherwise(F.col("_slice")))
-            .drop("_cell", "_nsl"))
+    n = max(1, -(-counts.count() // target_rows))
+    cut = (counts.select(*key, F.col(value).alias("_v"), F.col(weight).alias("_w")).repartitionByRange(n, *key, "_v")
+           .withColumn("_range", F.spark_partition_id()).checkpoint(eager=True))
+    totals = cut.groupBy(*key, "_range").agg(F.sum("_w").alias("_t"))
+    before = Window.partitionBy(*key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*key)
+    placed = totals.select(*key, "_range", "_t", F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"),
+                           F.sum("_t").over(whole).alias("_n"))
+    low, high = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)      # 0-based places of the middle
+    held = placed.where((F.col("_before") <= high) & (F.col("_before") + F.col("_t") > low))
+    inside = Window.partitionBy(*key, "_range").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = cut.join(held, [*key, "_range"]).withColumn("_end", F.col("_before") + F.sum("_w").over(inside))
+    start = F.col("_end") - F.col("_w")
+
+    def at(place) -> Column:
+        return F.max(F.when((start <= place) & (place < F.col("_end")), F.col("_v")))
+    return rows.groupBy(*key).agg(at(low).alias("_lo"), at(high).alias("_hi")).select(
+        *key, ((F.col("_lo") + F.col("_hi")) / 2.0).alias("median"))
 
 
 def stitched_lags(rows: DataFrame, hot_flow_rows: int, key: list[str] = FLOW_KEY, lags: int = LAGS) -> DataFrame:
@@ -172,6 +185,10 @@ def hot_features(hot_rows: DataFrame, hot: DataFrame, hot_flow_rows: int, n_hot:
         *[F.sum(F.col(f"_dl{k}") / F.lit(US)).alias(f"_sdl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)],
         *[F.count(f"_dl{k}").alias(f"_cdl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)])
     vc = vc.checkpoint(eager=True)
+    med = weighted_median(vc, FLOW_KEY, "_d_us", "_cnt", hot_flow_rows).withColumnRenamed("median", "_med").checkpoint(eager=True)
+    spread = (vc.join(bc(med), FLOW_KEY).groupBy(*FLOW_KEY, F.abs(F.col("_d_us") - F.col("_med")).alias("_dev"))
+              .agg(F.sum("_cnt").alias("_cnt")))
+    mad = weighted_median(spread, FLOW_KEY, "_dev", "_cnt", hot_flow_rows).withColumnRenamed("median", "_mad_us")
     mu = hot.select(*FLOW_KEY, F.when(F.col("_m") > 1, (F.col("_tmax") - F.col("_tmin"))
                                       / (F.col("_m") - 1) / F.lit(US)).alias("_mu"))
     v = vc.join(bc(mu), FLOW_KEY)
@@ -180,13 +197,8 @@ def hot_features(hot_rows: DataFrame, hot: DataFrame, hot_flow_rows: int, n_hot:
         F.sum("_cnt").alias("_L"),
         F.sum(F.col("_cnt") * c * c).alias("_var"),
         *[F.sum(c * (F.col(f"_sdl{k}") - F.col("_mu") * F.col(f"_cdl{k}"))).alias(f"_ac{k}")
-          for k in range(1, AUTOCORR_MAX_LAG + 1)],
-        F.percentile(F.col("_d_us"), F.lit(0.5), F.col("_cnt")).alias("_med"))
-    med = dstats.select(*FLOW_KEY, "_med")
-    mad = (vc.join(bc(med), FLOW_KEY).groupBy(*FLOW_KEY)
-           .agg(F.percentile(F.abs(F.col("_d_us") - F.col("_med")), F.lit(0.5), F.col("_cnt"))
-                .alias("_mad_us")))
-    out = (plain.join(dstats.drop("_med"), FLOW_KEY, "left").join(mad, FLOW_KEY, "left")
+          for k in range(1, AUTOCORR_MAX_LAG + 1)])
+    out = (plain.join(dstats, FLOW_KEY, "left").join(mad, FLOW_KEY, "left")
            .withColumns({"_L": F.coalesce(F.col("_L"), F.lit(0).cast("bigint")),
                          "_var": F.coalesce(F.col("_var"), F.lit(0.0))}))
     return ft.finish_features(out)

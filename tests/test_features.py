@@ -199,20 +199,33 @@ def test_packet_rollup_hot_route(spark):
     assert a == b
 
 
-def test_time_slices_adapt_to_bursts(spark):
-    from pyspark.sql import functions as F
+@pytest.mark.parametrize("case", ["burst", "one instant", "no time"])
+def test_hot_flows_are_cut_whatever_their_times(spark, case):
     from beatline.operators import hotflows
-    # 100 records over ~28 h plus a burst of 300 records within ~2.7 h: with
-    # equal-width slices (10 slices of ~2.8 h) the burst would fill one or two
-    # slices; the cumulated histogram (64 cells per slice) spreads it
-    times = [i * 1000.0 for i in range(100)] + [50_000 + i * 33.0 for i in range(300)]
+    from beatline.operators.features import _with_tbkey, flow_rows
+    times = {"burst": [i * 1000.0 for i in range(100)] + [50_000 + i * 33.0 for i in range(900)],
+             "one instant": [60.0] * 1000, "no time": [60.0 * i for i in range(100)] + [0.0] * 900}[case]
     df = frame(spark, flow(times))
-    stats = df.groupBy("src_ip", "dst_ip", "dst_port").agg(
-        F.count("ts_us").alias("_m"), F.min("ts_us").alias("_tmin"), F.max("ts_us").alias("_tmax"))
-    sliced = hotflows.time_slices(df.join(stats, ["src_ip", "dst_ip", "dst_port"]), 40)
-    sizes = [r["count"] for r in sliced.groupBy("_slice").count().collect()]
-    assert sum(sizes) == 400
-    assert max(sizes) <= 80          # the burst is spread, not one 300-row slice
+    if case == "no time":
+        df = df.withColumn("ts_us", F.when((F.col("ts_us") != df.agg(F.min("ts_us")).first()[0]), F.col("ts_us")))
+    rows = _with_tbkey(flow_rows(df))
+    sizes = [r["count"] for r in hotflows.time_slices(rows, 100).groupBy("_slice").count().collect()]
+    assert sum(sizes) == 1000 and max(sizes) <= 200
+    a = engineer_features(df, hot_flow_rows=None).first().asDict()
+    b = engineer_features(df, hot_flow_rows=100).first().asDict()
+    for k, v in a.items():
+        assert b[k] == (pytest.approx(v, rel=1e-12, abs=1e-12) if isinstance(v, float) else v), k
+
+
+def test_weighted_median(spark):
+    import random
+    from statistics import median
+    from beatline.operators.hotflows import weighted_median
+    rnd = random.Random(2)
+    for n in (1, 2, 7, 60):
+        rows = [(k, v, rnd.randint(1, 5)) for k in "ab" for v in rnd.sample(range(1000), n)]
+        got = {r.k: r["median"] for r in weighted_median(spark.createDataFrame(rows, "k string, v long, w long"), ["k"], "v", "w", 4).collect()}
+        assert got == {k: median([v for kk, v, w in rows if kk == k for _ in range(w)]) for k in "ab"}
 
 
 def test_session_time_zone_does_not_change_features(spark):
