@@ -12,10 +12,13 @@ probability.  Points are drawn in ascending time until they cannot lower any com
 
 Signatures are cut into ``BANDS`` bands.  Documents that agree in a band share a
 bucket.  All members of a bucket are compared exactly (multiset overlap of shingles)
-with its smallest id, so work is linear in the bucket.  Members that this leaves
-apart are compared with each other unless the distance to the common centre rules the
-pair out (the weighted Jaccard distance is a metric: d(x, y) >= |d(x, c) - d(y, c)|),
-so no link is lost to the star shape.  Classes are the connected components.
+with its centre, the member that shares most buckets with others (among edited copies
+the one nearest to their origin), so work is linear in the bucket.  Members that this
+leaves apart are compared with each other unless one of two bounds rules the pair out:
+the distance to the common centre (weighted Jaccard distance is a metric, so
+d(x, y) >= |d(x, c) - d(y, c)|), or the shingles that a text shares with any other member
+at all (its overlap with another text cannot exceed them).  So no link is lost to the
+star shape.  Classes are the connected components.
 
 Equal texts (a null text is an empty one) are one node from the start.  A text without
 words is like equal texts only.  Rows of one id are one document: they share a class;
@@ -99,7 +102,9 @@ def signature(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         seed = _mix(hashes + _U((level + 1) * 0x8CB92BA72F3D8DD7 & 0xFFFFFFFFFFFFFFFF))
         at, first = np.zeros(len(seed)), 0
         while len(seed):
-            wanted = int(2 * M * np.log(M) / len(seed)) + 1 if not np.isfinite(h.max()) else 1
+            top = h.max()          # points a round: what is likely to come before ``top``
+            wanted = int(rate * (top - at.min())) + 2 if np.isfinite(top) else int(2 * M * np.log(M) / len(seed)) + 1
+            wanted = min(wanted, 1 + 65_536 // len(seed))
             t, label, weight = _points(seed, first, wanted, rate, at)
             seen = weight < share[:, None]
             np.minimum.at(h, label[seen], t[seen])
@@ -173,9 +178,12 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # buckets hold one row per distinct text
     buckets = (own.join(nodes, "content").where("id = node")
                .select("node", F.explode("bands").alias("bucket")).distinct())
-    centres = buckets.groupBy("bucket").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1")
-    members = materialize(buckets.join(centres.select("bucket", "centre"), "bucket"), "near-members")
-    star = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
+    many = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = materialize(buckets.join(many, "bucket"), "near-shared")
+    popular = shared.join(shared.groupBy("node").agg(F.sum("n").alias("company")), "node")
+    centres = popular.groupBy("bucket").agg(F.max_by("node", F.struct("company", -F.col("node"))).alias("centre"))
+    members = materialize(shared.select("bucket", "node").join(centres, "bucket"), "near-members")
+    star = members.where("node <> centre").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
     wanted = small_side(members.select(F.col("node").alias("id")).distinct(), 16)
     some = materialize(rows.join(wanted, "id", "left_semi").groupBy(F.col("id").alias("node"))
                        .agg(F.min("text").alias("text")), "near-texts")
@@ -184,7 +192,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     same = own.join(nodes, "content").select(F.col("id").alias("a"), F.col("node").alias("b"))
     links = near.where(F.col("j") >= threshold).select("a", "b").unionByName(same.where("a <> b").distinct())
     roots = materialize(components(links), "near-roots")
-    rest = materialize(_rest(members, near, roots, threshold), "near-rest")
+    rest = materialize(_rest(members, near, roots, some, threshold), "near-rest")
     more = materialize(_compare(rest, some), "near-more").where(F.col("j") >= threshold).select("a", "b")
     if more.limit(1).count():
         roots = materialize(components(links.unionByName(more)), "near-roots")
@@ -192,16 +200,48 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), F.nullif(F.coalesce("root", "id"), F.lit(NULL_ID)).alias("class_id"))
 
 
-def _rest(members: DataFrame, near: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) that share a bucket, are in different classes and not ruled out by their centre."""
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [shingles(t) for t in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([int(c.sum()) for _, c in rows], pa.int64()),
+             pa.array([h.view(np.int64) for h, _ in rows], pa.list_(pa.int64())),
+             pa.array([c for _, c in rows], pa.list_(pa.int64()))], names=["node", "n", "h", "c"])
+
+
+def shared_sizes(texts: DataFrame) -> DataFrame:
+    """(node, n, s): shingles of every text, and how many of them stand in another text too."""
+    sets = texts.select("node", "text").mapInArrow(_counted, "node long, n long, h array<long>, c array<long>")
+    each = sets.select("node", F.inline(F.arrays_zip("h", "c")))
+    common = each.groupBy("h").agg(F.count("*").alias("texts")).where("texts > 1").select("h")
+    s = each.join(common, "h", "left_semi").groupBy("node").agg(F.sum("c").alias("s"))
+    return sets.select("node", "n").join(s, "node", "left").select("node", "n", F.coalesce("s", F.lit(0)).alias("s"))
+
+
+def _rest(members: DataFrame, near: DataFrame, roots: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) that share a bucket, are in different classes and that no bound rules out.
+
+    A pair (x, y) whose Jaccard index reaches ``threshold`` overlaps in at least
+    ``threshold / (1 + threshold)`` of its added sizes.
+    """
+    part = threshold / (1 + threshold) - 1e-12
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where(
         "r0 <> r1 and n > 2").select("bucket")
-    d = near.select(F.col("a").alias("centre"), F.col("b").alias("node"), (1 - F.col("j")).alias("d"))
-    m = rooted.where("node <> centre").join(open_, "bucket", "left_semi").join(d, ["centre", "node"])
-    x = m.where(F.col("d") > 1 - threshold).select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("d").alias("dx"))
-    y = m.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("d").alias("dy"))
-    return (x.join(y, "bucket").where((F.col("rx") != F.col("ry")) & (F.abs(F.col("dx") - F.col("dy")) <= 1 - threshold + 1e-9))
+    open_members = materialize(rooted.join(open_, "bucket", "left_semi").where("node <> centre"), "near-open")
+    wanted = open_members.select("node").distinct()
+    sizes = materialize(shared_sizes(texts.join(small_side(wanted, 16), "node", "left_semi")), "near-sizes")
+    pair = [F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")]
+    m = (open_members.select("*", *pair).join(near.select("a", "b", (1 - F.col("j")).alias("d")), ["a", "b"])
+         .join(sizes, "node").select("bucket", "node", "root", "d", "n", "s"))
+    least = m.groupBy("bucket").agg(F.min("n").alias("least"))
+    x = (m.where(F.col("d") > 1 - threshold).join(least, "bucket").where(F.col("s") >= part * (F.col("n") + F.col("least")))
+         .select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("d").alias("dx"),
+                 F.col("n").alias("nx"), F.col("s").alias("sx")))
+    y = m.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("d").alias("dy"),
+                 F.col("n").alias("ny"), F.col("s").alias("sy"))
+    return (x.join(y, "bucket").where((F.col("rx") != F.col("ry")) & (F.abs(F.col("dx") - F.col("dy")) <= 1 - threshold + 1e-9)
+                                      & (F.least("sx", "sy") >= part * (F.col("nx") + F.col("ny"))))
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
