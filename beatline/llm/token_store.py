@@ -42,9 +42,11 @@ END_ID = 2
 WIDTH = 8
 RANK_BITS = 512
 SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 400_000
-SLICE_BYTES = 8 << 20
+CACHE_WORDS = 300_000
+SLICE_BYTES = 2 << 20
 LAST_LATIN = "\u024f"
+ENDED = "([A-Za-zÀ-ÖØ-öø-ɏ])([.,]+)( |$)"     # stops and commas after a Latin letter, at a word's end
+SPECIAL = "<|"
 
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_tokens long, payload binary"
 
@@ -128,10 +130,11 @@ class TokenFile:
 class WordEncoder:
     """Ids of whole texts, each distinct word encoded once.
 
-    Only blanks and line feeds cut a text: the tokenizer drops white space before
-    merging, so the ids of the words, concatenated, are the ids of the text.  A
-    word's trailing stops and commas are tokens of their own after a letter, and
-    case is folded by the tokenizer, so ASCII words share one entry whatever their case.
+    The tokenizer drops white space before merging, so the ids of the words,
+    concatenated, are the ids of the text.  Stops and commas that end a word after a
+    Latin letter are a token run of their own and become a word; the tokenizer folds
+    case, so ASCII letters are lowered first.  Texts with the mark of special tokens,
+    which are found before case is folded, are encoded as they stand.
     """
 
     def __init__(self, path: str):
@@ -158,27 +161,27 @@ class WordEncoder:
             self.words[w] = np.array(e.ids, dtype="<u4").tobytes()
 
     def _learn(self, missing: list[str]) -> None:
-        stems, others, whole = set(), set(), []
-        for w in missing:
-            stem = w.rstrip(".,")
-            if stem.isalpha() and max(stem) <= LAST_LATIN:
-                s = stem.lower() if stem.isascii() else stem
-                if s not in self.words:
-                    stems.add(s)
-                if s != w:
-                    whole.append((w, s, w[len(s):]))
-                    if len(s) < len(w) and w[len(s):] not in self.words:
-                        others.add(w[len(s):])
-            else:
-                others.add(w)
-        self._encode(list(stems), list(others))
-        for w, s, tail in whole:
-            self.words[w] = self.words[s] + (self.words[tail] if tail else b"")
+        stems = [w for w in missing if w.isalpha() and max(w) <= LAST_LATIN]
+        known = set(stems)
+        self._encode(stems, [w for w in missing if w not in known])
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, ``END_ID`` after each; the lengths."""
-        flat = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
-        lists = pc.split_pattern(flat, " ")
+        flat = pc.fill_null(texts.cast(pa.large_string()), "")
+        special = pc.match_substring(flat, SPECIAL)
+        if pc.any(special).as_py():
+            parts = [self._plain(flat.slice(i, 1)) if not s else self._whole(flat[i].as_py())
+                     for i, s in enumerate(special.to_pylist())]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        return self._plain(flat)
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        ids = np.array(self.tok.encode(text, add_special_tokens=False).ids + [END_ID], dtype="<u4")
+        return ids, np.array([len(ids)])
+
+    def _plain(self, flat: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        flat = pc.replace_substring_regex(pc.replace_substring(flat, "\n", " "), ENDED, r"\1 \2\3")
+        lists = pc.split_pattern(pc.ascii_lower(flat), " ")
         words = lists.flatten().dictionary_encode()
         names = words.dictionary.to_pylist()
         if len(self.words) > CACHE_WORDS:
@@ -215,6 +218,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 def encoder(path: str) -> WordEncoder:
     if path not in _ENCODERS:
+        pa.set_memory_pool(pa.system_memory_pool())     # gives memory back between batches
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
 
