@@ -1,10 +1,11 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
-Texts are folded first: lower case, accents off, look-alike letters of other
-scripts to Latin, digits and signs inside words to the letters they stand for,
-everything else to a blank.  Entries are whole words or word beginnings; the sum
-of the weights of all matches outside exception phrases, divided by the length,
-is turned into a probability.
+Texts are folded first: lower case, look-alike letters of other scripts to Latin,
+digits and signs inside words to the letters they stand for, everything else to a
+blank.  Entries are whole words or word beginnings.  Accents tell words apart in many
+languages, so entries keep theirs; a second pass with accents off finds entries without
+accents that are hidden behind some.  The sum of the weights of all matches outside
+exception phrases, divided by the length, is turned into a probability.
 
 Lexicon, exceptions and the probability curve are learned from labelled rows
 (`fit`): the weight of a term is its log odds ratio between the classes; an
@@ -35,7 +36,8 @@ LOOK_ALIKE = dict(zip("аеорсухіјѕԁһӏмтнвкг" "αοεινκτρ
                       "aeopcyxijsdhlmthbkr" "aoeivktpuxywb", strict=True))
 #: Digits and signs for letters (fixed values).
 LEET = dict(zip("0134578@$!|", "oieastbasil"))
-_LEET = re.compile(r"(?<=[^\W_])[0134578@$!|]|[0134578@$|](?=[^\W\d_])")
+_LEET = re.compile(r"(?:(?<=[^\W\d_])[0134578@$!|]+|(?<!\w)[0134578@$]+)(?=[^\W\d_])")   # between letters, or before one
+_LEET_TABLE = str.maketrans(LEET)
 _OTHER = re.compile(r"[\W_]")
 
 PREFIX_LENGTHS = (4, 5, 6, 7)
@@ -47,11 +49,11 @@ EXCEPTION_SUPPORT = 3
 EXCEPTION_SHARE = 0.9
 
 
-def _table() -> dict[int, str]:
+def _table(form: str) -> dict[int, str]:
     """One character for one character, so offsets in folded text are offsets in the text."""
     out = {}
     for c in range(0x80, 0x10000):
-        d = unicodedata.normalize("NFKD", chr(c)).lower()[:1]
+        d = unicodedata.normalize(form, chr(c)).lower()[:1]
         if d and d != chr(c):
             out[c] = d
     for a, b in LOOK_ALIKE.items():
@@ -59,15 +61,15 @@ def _table() -> dict[int, str]:
     return out
 
 
-_FOLD = _table()
+_FOLD, _STRIP = _table("NFKC"), _table("NFKD")
 
 
-def fold(text: str) -> str:
-    """Folded text, as long as ``text``."""
+def fold(text: str, accents: bool = True) -> str:
+    """Folded text, as long as ``text``; without ``accents`` letters lose theirs."""
     low = "".join(c.lower()[:1] for c in text) if len(text.lower()) != len(text) else text.lower()
     if not low.isascii():
-        low = low.translate(_FOLD)
-    low = _LEET.sub(lambda m: LEET[m[0]], low)
+        low = low.translate(_FOLD if accents else _STRIP)
+    low = _LEET.sub(lambda m: m[0].translate(_LEET_TABLE), low)
     return _OTHER.sub(" ", low)
 
 
@@ -129,6 +131,10 @@ class ToxicityModel:
             start = end - len(term) + 1
             if start not in hits or weight > hits[start][1]:
                 hits[start] = term, weight
+        if not folded.isascii():
+            for end, (term, weight) in auto.iter(" " + fold(text, accents=False) + " "):
+                if term.isascii():
+                    hits.setdefault(end - len(term) + 1, (term, weight))
         return [(s, s + len(t.strip()), t, w) for s, (t, w) in sorted(hits.items())
                 if not shields or not _shielded(folded, s, shields)]
 
