@@ -30,7 +30,8 @@ BLOCKS = 4096         # ranges of doc_id in which neighbours are found, at most
 BLOCK_ROWS = 2000
 
 
-_RUN = f"( (?:{'|'.join(sorted(set(ANCHORS), key=len, reverse=True))})(?= ))+"
+# one anchor, no repetition: a repeated group would recurse once per anchor of a run
+_ANCHOR = f" ({'|'.join(sorted(set(ANCHORS), key=len, reverse=True))})(?= )"
 
 
 def _chain(parts: Column) -> Column:
@@ -51,16 +52,20 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     """
     clean = F.regexp_replace(F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+", " ")
     df = df.withColumn("__norm", F.concat(F.lit(" "), F.trim(clean), F.lit(" ")))
-    df = df.withColumns({"__anchor": F.regexp_extract_all("__norm", F.lit(_RUN), F.lit(1)),
-                         "__after": F.split("__norm", _RUN),
+    df = df.withColumns({"__anchor": F.regexp_extract_all("__norm", F.lit(_ANCHOR), F.lit(1)),
+                         "__after": F.slice(F.split("__norm", _ANCHOR), 2, 1 << 30),
                          "__plain": F.array_remove(F.split(F.trim("__norm"), " "), "")})
-    # the words after the i-th anchor are element i + 1 of the split, later anchors are skipped
-    spots = F.transform(F.arrays_zip(F.col("__anchor").alias("a"), *_shifted(F.col("__after"), 2)),
-                        lambda x: F.concat(F.trim(x["a"]), F.lit(":"), _chain(x)))
+    # an anchor counts if words follow before the next one, or if it is the text's last
+    last = F.size("__anchor") - 1
+    df = df.withColumn("__spots", F.filter(F.arrays_zip(F.col("__anchor").alias("a"), F.col("__after").alias("after")),
+                                           lambda x, i: (F.trim(x["after"]) != "") | (i == last)))
+    df = df.withColumns({"__anchor": F.col("__spots.a"), "__after": F.col("__spots.after")})
+    spots = F.transform(F.arrays_zip(F.col("__anchor").alias("a"), *_shifted(F.col("__after"), 1)),
+                        lambda x: F.concat(x["a"], F.lit(":"), _chain(x)))
     plain = F.transform(F.arrays_zip(*_shifted(F.col("__plain"), 1)), lambda x: _chain(x))
-    found = F.when(F.size("__anchor") > 0, F.filter(spots, lambda x: x.isNotNull())).otherwise(plain)
+    found = F.when(F.size("__anchor") > 0, spots).otherwise(plain)
     hashed = F.array_sort(F.array_distinct(F.transform(found, lambda x: F.xxhash64(x))))
-    return df.withColumn(out, hashed).drop("__norm", "__anchor", "__after", "__plain")
+    return df.withColumn(out, hashed).drop("__norm", "__anchor", "__after", "__plain", "__spots")
 
 
 def fingerprint(sigs: Column) -> Column:

@@ -242,7 +242,7 @@ def brute_spots(text):
 
 def test_signatures_equal_brute_force(spark, docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(900 + i, t) for i, t in enumerate(
-        [None, "", "...", "the", "the of", "cats sleep", "one", "The cat, of the house; and the dog!", "x the the y"])]
+        [None, "", "...", "the", "the of", "cats sleep", "one", "The cat, of the house; and the dog!", "x the the y", "the " * 30_000 + "end", "the cat " * 9000])]
     got = ss.with_signatures(spark.createDataFrame(rows, DOCS), "text", "s")
     for r in got.select("text", F.transform("s", lambda x: x).alias("s")).collect():
         assert len(r.s) == len(brute_spots(r.text)), r.text
