@@ -38,7 +38,8 @@ LOOK_ALIKE = dict(zip("аеорсухіјѕԁһӏмтнвкг" "αοεινκτρ
 LEET = dict(zip("0134578@$!|", "oieastbasil"))
 _LEET = re.compile(r"(?:(?<=[^\W\d_])[0134578@$!|]+|(?<!\w)[0134578@$]+)(?=[^\W\d_])")   # between letters, or before one
 _LEET_TABLE = str.maketrans(LEET)
-_OTHER = re.compile(r"[\W_]")
+_SIGNS = re.compile("[0134578@$!|]")
+LOOK_ALIKE_TABLE = str.maketrans(LOOK_ALIKE)
 
 PREFIX_LENGTHS = (4, 5, 6, 7)
 MIN_SUPPORT = 5          # toxic training texts that hold a term
@@ -49,28 +50,29 @@ EXCEPTION_SUPPORT = 3
 EXCEPTION_SHARE = 0.9
 
 
-def _table(form: str) -> dict[int, str]:
-    """One character for one character, so offsets in folded text are offsets in the text."""
-    out = {}
-    for c in range(0x80, 0x10000):
-        d = unicodedata.normalize(form, chr(c)).lower()[:1]
-        if d and d != chr(c):
-            out[c] = d
-    for a, b in LOOK_ALIKE.items():
-        out[ord(a)] = b
-    return out
+def _folded(c: str) -> str:
+    d = LOOK_ALIKE.get(c) or unicodedata.normalize("NFKC", c).lower()[:1] or c
+    return d if d.isalnum() else " "
+
+
+# one character for one character, so offsets in folded text are offsets in the text
+_FOLD = {c: d for c in range(0x10000) if (d := _folded(chr(c))) != chr(c)}
+_STRIP = {c: d for c in range(0x80, 0x10000) if (d := unicodedata.normalize("NFKD", chr(c))[:1]) and d != chr(c) and d.isalpha()}
 
 
-_FOLD, _STRIP = _table("NFKC"), _table("NFKD")
+def fold(text: str) -> str:
+    """Folded text, as long as ``text``."""
+    low = text.lower()
+    if len(low) != len(text):
+        low = "".join(c.lower()[:1] for c in text)
+    if _SIGNS.search(low):
+        low = _LEET.sub(lambda m: m[0].translate(_LEET_TABLE), low.translate(LOOK_ALIKE_TABLE))
+    return low.translate(_FOLD)
 
 
-def fold(text: str, accents: bool = True) -> str:
-    """Folded text, as long as ``text``; without ``accents`` letters lose theirs."""
-    low = "".join(c.lower()[:1] for c in text) if len(text.lower()) != len(text) else text.lower()
-    if not low.isascii():
-        low = low.translate(_FOLD if accents else _STRIP)
-    low = _LEET.sub(lambda m: m[0].translate(_LEET_TABLE), low)
-    return _OTHER.sub(" ", low)
+def strip(folded: str) -> str:
+    """Folded text without accents, as long as before."""
+    return folded.translate(_STRIP)
 
 
 def terms(folded: str) -> set[str]:
@@ -132,7 +134,7 @@ class ToxicityModel:
             if start not in hits or weight > hits[start][1]:
                 hits[start] = term, weight
         if not folded.isascii():
-            for end, (term, weight) in auto.iter(" " + fold(text, accents=False) + " "):
+            for end, (term, weight) in auto.iter(strip(folded)):
                 if term.isascii():
                     hits.setdefault(end - len(term) + 1, (term, weight))
         return [(s, s + len(t.strip()), t, w) for s, (t, w) in sorted(hits.items())
