@@ -41,13 +41,17 @@ MAGIC = b"DAC1"
 END_ID = 2
 WIDTH = 8
 RANK_BITS = 512
-SHARD_TOKENS = 1 << 20
-CACHE_WORDS = 300_000
+SHARD_TOKENS = 1 << 19
+CACHE_WORDS = 250_000
 SLICE_BYTES = 2 << 20
 LAST_LATIN = "\u024f"
 ENDED = "([A-Za-zÀ-ÖØ-öø-ɏ])([.,]+)( |$)"     # stops and commas after a Latin letter, at a word's end
 SPECIAL = "<|"
 
+#: Shards are large values: a page is closed after each one that fills it (Parquet looks at the
+#: size of a page every 100 rows otherwise), and none repeats, so no dictionary is tried.
+PARQUET = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
+           "parquet.enable.dictionary": "false"}
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_tokens long, payload binary"
 
 
@@ -262,7 +266,7 @@ def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, shard_toke
      .repartitionByRange(F.col("doc_id"), F.col("text"))
      .sortWithinPartitions("doc_id", "text")
      .mapInArrow(_shards(tokenizer_path, shard_tokens), SHARD_SCHEMA)
-     .write.parquet(out))
+     .write.options(**PARQUET).parquet(out))
 
 
 def shard_starts(shards: DataFrame) -> DataFrame:
