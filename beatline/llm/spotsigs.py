@@ -14,11 +14,13 @@ text, null ids come first.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beatline.llm.common import code_points, materialize
+from beatline.llm.common import code_points, materialize, small_side
 
 #: Common words of English, German, French and Spanish (fixed values).
 ANCHORS = ("the of and to in is that it for was on are as with be at by this have or from "
@@ -30,8 +32,19 @@ BLOCKS = 4096         # ranges of doc_id in which neighbours are found, at most
 BLOCK_ROWS = 2000
 
 
+
+
+def _one_of(words: list[str]) -> str:
+    """A pattern for any of the words followed by a blank, branching letter by letter."""
+    heads: dict[str, list[str]] = {}
+    for w in sorted(set(words)):
+        heads.setdefault(w[:1], []).append(w[1:])
+    branches = ["(?= )" if not c else c + _one_of(rest) for c, rest in heads.items()]
+    return branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})"
+
+
 # one anchor, no repetition: a repeated group would recurse once per anchor of a run
-_ANCHOR = f" ({'|'.join(sorted(set(ANCHORS), key=len, reverse=True))})(?= )"
+_ANCHOR = f" ({_one_of(ANCHORS)})"
 
 
 def _chain(parts: Column) -> Column:
@@ -130,8 +143,8 @@ def _block(key: Column, cuts: list[float], fan: int = 64) -> Column:
     return F.when(key.isNull() | (i == 0), F.lit(0)).otherwise((i - 1) * fan + below(inner))
 
 
-def with_next(rows: DataFrame, carry: list[str]) -> DataFrame:
-    """Every row with a struct ``next``: the ``carry`` columns of the row that follows by (doc_id, text).
+def with_next(rows: DataFrame, add: Callable[[DataFrame], DataFrame], carry: list[str]) -> DataFrame:
+    """``add(rows)`` with a struct ``next``: the ``carry`` columns of the row that follows by (doc_id, text).
 
     The first row follows the last.  Ids are dealt into ranges by their approximate
     quantiles; neighbours are found inside each range, and the last row of a range takes
@@ -144,13 +157,15 @@ def with_next(rows: DataFrame, carry: list[str]) -> DataFrame:
     cuts = sorted(set(rows.select(key.alias("k")).where("k is not null").approxQuantile(
         "k", [i / blocks for i in range(1, blocks)], 0.25 / blocks))) if blocks > 1 else []
     rows = rows.withColumn("block", _block(key, cuts) if cuts else F.lit(0))
-    me = F.struct(*carry)
-    inside = W.partitionBy("block").orderBy("doc_id", "text")
-    led = rows.withColumn("inside", F.lead(me).over(inside))
-    first = rows.groupBy("block").agg(F.min_by(me, F.struct("doc_id", "text")).alias("f"))
+    # a struct, so that a null id is the smallest
+    lowest = rows.groupBy("block").agg(F.min(F.struct("doc_id")).alias("low")).select("block", F.col("low.doc_id").alias("low"))
+    heads = (rows.join(small_side(lowest, 32), "block").where(F.col("doc_id").eqNullSafe(F.col("low")))
+             .groupBy("block", "doc_id").agg(F.min("text").alias("text")))
+    heads = materialize(add(heads).select("block", F.struct(*carry).alias("f")), "spotsigs-heads")
     order = W.orderBy("block")
-    follow = first.select("block", F.coalesce(F.lead("f").over(order), F.min_by("f", "block").over(
+    follow = heads.select("block", F.coalesce(F.lead("f").over(order), F.first("f").over(
         order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))).alias("other"))
+    led = add(rows).withColumn("inside", F.lead(F.struct(*carry)).over(W.partitionBy("block").orderBy("doc_id", "text")))
     return led.join(follow, "block").withColumn("next", F.coalesce("inside", "other")).drop("block", "inside", "other")
 
 
@@ -162,7 +177,7 @@ def digest(docs: DataFrame) -> DataFrame:
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(with_signatures(base, "text", "own"), ["text", "own"])
+    rows = with_next(base, lambda df: with_signatures(df, "text", "own"), ["text", "own"])
     rows = rows.withColumn("n_chars", code_points(F.col("text")))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - cut).cast("int")),
