@@ -66,7 +66,7 @@ def brute(c, text):
         if i == len(s):
             yield 0.0, ()
             return
-        steps = [(j, (c.pieces[s[i:j]][0],), c.pieces[s[i:j]][1]) for j in range(i + 1, len(s) + 1) if s[i:j] in c.pieces]
+        steps = [(j, *c.pieces[s[i:j]]) for j in range(i + 1, len(s) + 1) if s[i:j] in c.pieces]
         if not any(j == i + 1 for j, _, _ in steps):
             steps.append((i + 1, tuple(c.byte_ids[b] for b in s[i].encode()), c.unknown))
         for j, ids, score in steps:
