@@ -20,9 +20,11 @@ d(x, y) >= |d(x, c) - d(y, c)|), or the shingles that a text shares with any oth
 at all (its overlap with another text cannot exceed them).  So no link is lost to the
 star shape.  Classes are the connected components.
 
-Equal texts (a null text is an empty one) are one node from the start.  A text without
-words is like equal texts only.  Rows of one id are one document: they share a class;
-a null id counts as the lowest.  Extra columns are ignored.
+A node is a text: equal texts (a null text is an empty one) are one node from the start,
+whatever their ids, and rows share a class only by equal or near texts.  An id that
+several texts bear, or none (null, counted as the lowest), links nothing, so such an id
+may name several classes; the hash of the text that leads the class tells them apart.
+A text without words is like equal texts only.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from beatline.llm.common import materialize, small_batches, small_side
@@ -165,39 +167,54 @@ def _compare(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "ta", "tb").mapInArrow(_compared, "a long, b long, j double")
 
 
-def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id): the class of every row; the class id is the smallest doc_id of the class.
+def _key() -> tuple[Column, Column, Column]:
+    """Id, hash and text of a row."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)), F.unhex(F.md5(text)), text
 
-    Recall of the bands at the threshold is 1 - (1 - 0.8 ** 5) ** 24 = 0.99993.
-    """
-    rows = small_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("id"),
-                       F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    own = materialize(rows.select("id", F.unhex(F.md5("text")).alias("content"), "text").mapInArrow(
-        _signed, "id long, content binary, bands array<long>"), "near-bands")
-    nodes = materialize(own.groupBy("content").agg(F.min("id").alias("node")), "near-nodes")
+
+def _led(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(id, content) of every row, and (content, head): the smallest (id, content) in the class of every text."""
+    i, content, text = _key()
+    rows = small_batches(docs).select(i.alias("id"), content.alias("content"), text.alias("text"))
+    own = materialize(rows.mapInArrow(_signed, "id long, content binary, bands array<long>"), "near-bands")
+    # the number of a node is only a name; (id, content) finds one text of it
+    nodes = materialize(own.groupBy("content").agg(F.min("id").alias("id"))
+                        .withColumn("node", F.monotonically_increasing_id()), "near-nodes")
     # buckets hold one row per distinct text
-    buckets = (own.join(nodes, "content").where("id = node")
-               .select("node", F.explode("bands").alias("bucket")).distinct())
+    buckets = own.join(nodes, ["id", "content"]).select("node", "id", F.explode("bands").alias("bucket")).distinct()
     many = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialize(buckets.join(many, "bucket"), "near-shared")
+    shared = materialize(buckets.join(many, "bucket"), "near-shared")   # among equals the smallest id is the centre
     popular = shared.join(shared.groupBy("node").agg(F.sum("n").alias("company")), "node")
-    centres = popular.groupBy("bucket").agg(F.max_by("node", F.struct("company", -F.col("node"))).alias("centre"))
+    centres = popular.groupBy("bucket").agg(F.max_by("node", F.struct("company", F.bitwise_not("id"), "node")).alias("centre"))
     members = materialize(shared.select("bucket", "node").join(centres, "bucket"), "near-members")
     star = members.where("node <> centre").select(F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
-    wanted = small_side(members.select(F.col("node").alias("id")).distinct(), 16)
-    some = materialize(rows.join(wanted, "id", "left_semi").groupBy(F.col("id").alias("node"))
-                       .agg(F.min("text").alias("text")), "near-texts")
+    wanted = small_side(nodes.join(members.select("node").distinct(), "node"), 48)
+    some = materialize(rows.join(wanted, ["id", "content"]).groupBy("node").agg(F.min("text").alias("text")), "near-texts")
     near = materialize(_compare(star, some), "near-star")
-    # ids shared by several texts, and texts equal to a centre, are linked as they are
-    same = own.join(nodes, "content").select(F.col("id").alias("a"), F.col("node").alias("b"))
-    links = near.where(F.col("j") >= threshold).select("a", "b").unionByName(same.where("a <> b").distinct())
+    links = near.where(F.col("j") >= threshold).select("a", "b")
     roots = materialize(components(links), "near-roots")
     rest = materialize(_rest(members, near, roots, some, threshold), "near-rest")
     more = materialize(_compare(rest, some), "near-more").where(F.col("j") >= threshold).select("a", "b")
     if more.limit(1).count():
         roots = materialize(components(links.unionByName(more)), "near-roots")
-    return own.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select(
-        F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), F.nullif(F.coalesce("root", "id"), F.lit(NULL_ID)).alias("class_id"))
+    heads = nodes.join(roots, "node").groupBy("root").agg(F.min(F.struct("id", "content")).alias("head"))
+    led = nodes.join(roots.join(heads, "root").select("node", "head"), "node", "left").select(
+        "content", F.coalesce("head", F.struct("id", "content")).alias("head"))
+    return own.select("id", "content"), led
+
+
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, class_text): the class of every row.
+
+    ``class_id`` is the smallest doc_id of the class, ``class_text`` the hash of a text of
+    that id in it; both together name the class, the first alone where ids are unique.
+    Recall of the bands at the threshold is 1 - (1 - 0.8 ** 5) ** 24 = 0.99993.
+    """
+    own, led = _led(docs, threshold)
+    return own.join(led, "content").select(
+        F.nullif("id", F.lit(NULL_ID)).alias("doc_id"), F.nullif(F.col("head.id"), F.lit(NULL_ID)).alias("class_id"),
+        F.lower(F.hex("head.content")).alias("class_text"))
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,13 +263,12 @@ def _rest(members: DataFrame, near: DataFrame, roots: DataFrame, texts: DataFram
 
 
 def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of every class, columns unchanged: of the smallest id's rows the one with the smallest text."""
-    names = docs.columns
-    first = classes(docs, threshold).select(F.coalesce("class_id", F.lit(NULL_ID)).alias("__id")).distinct()
-    rows = docs.withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID))).join(first, "__id", "left_semi")
-    many = rows.groupBy("__id").count().where("count > 1").select("__id")
-    once = rows.join(many, "__id", "left_anti")
-    again = (rows.join(many, "__id", "left_semi").withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in names]))
-             .groupBy("__id").agg(F.min_by("__row", F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("__row"))
-             .select("__row.*"))
-    return once.select(*[F.col(f"`{c}`") for c in names]).unionByName(again.select(*[F.col(f"`{c}`") for c in names]))
+    """One row of every class, columns unchanged: of the smallest id's rows in it the one with the smallest text hash."""
+    heads = materialize(_led(docs, threshold)[1].select("head.*").distinct(), "near-heads")
+    i, content, _ = _key()
+    key = ["id", "content"]
+    rows = docs.select(i.alias("id"), content.alias("content"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(heads, key, "left_semi")
+    many = rows.groupBy(*key).count().where("count > 1").select(*key)
+    again = rows.join(many, key, "left_semi").groupBy(*key).agg(F.first("row").alias("row"))
+    return rows.join(many, key, "left_anti").select("row.*").unionByName(again.select("row.*"))

@@ -104,6 +104,26 @@ def test_representatives(spark):
     assert nd.representatives(none).count() == 0 and nd.classes(none).count() == 0
 
 
+def test_texts_of_one_id_or_none_are_apart(spark):
+    one, two, three = sentence(21, 200), sentence(22, 200), sentence(23, 200)
+    near = two + " and more"      # like ``two``, which is not the smallest text of its id
+    rows = [(None, one), (None, two), (None, three), (None, two), (7, sentence(24, 90)), (7, sentence(25, 90)), (8, near),
+            (9, "\x20" + one), (10, "a b c d e f g h"), (10, three + " more")]
+    df = spark.createDataFrame([(i, t, "x") for i, t in rows], DOCS + ", row string").repartition(4)
+    got = {}
+    kept = nd.representatives(df)
+    assert kept.columns == df.columns
+    for r in kept.collect():
+        got.setdefault(r.doc_id, []).append(r.text)
+    assert {i: sorted(t) for i, t in got.items()} == {
+        None: sorted([one, two, three]), 7: sorted([sentence(24, 90), sentence(25, 90)]), 10: ["a b c d e f g h"]}
+    named = Counter((r.doc_id, r.class_id, r.class_text) for r in nd.classes(df).collect())
+    md5 = {t: hashlib.md5(t.encode()).hexdigest() for _, t in rows}
+    assert named == Counter([(None, None, md5[one]), (None, None, md5[two]), (None, None, md5[three]), (None, None, md5[two]),
+                             (7, 7, md5[rows[4][1]]), (7, 7, md5[rows[5][1]]), (8, None, md5[two]), (9, None, md5[one]),
+                             (10, 10, md5[rows[8][1]]), (10, None, md5[three])])
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (101, 102), (7, 7), (300 - 1, 300)]
     got = {r.node: r.root for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
