@@ -5,16 +5,19 @@ collapsed; blank lines are skipped.  A block is a run of lines that stands in bo
 documents; blocks of ``MIN_WORDS`` words or more are removed from the later document
 (by doc_id, then text).  Comparison is always with the original text of the earlier one.
 
-Candidates come from shared rare line hashes: from every line on, the shortest run
-of lines that reaches ``MIN_WORDS`` is hashed (a run is rarer than its lines), and
-every document that holds a run is linked to the first document that holds it.  Each
-removable block starts with such a run, so no block is missed, and a run that many
-documents share gives one link per document, not all pairs.
+Candidates come from shared rare line hashes: from every line on, and up to every line,
+the shortest run of lines that reaches ``MIN_WORDS`` is hashed (a run is rarer than its
+lines), and every document that holds a run is linked to the first document that holds
+it.  Each line of a removable block stands in such a run inside the block, so no line is
+missed, and a run that many documents share gives one link per document, not all pairs.
 
 A pair is aligned by patience diff: lines that occur once on either side, in their
 longest common order, are anchors; gaps between them are aligned in turn, and anchors
 grow over equal neighbours.  What is left is aligned again until no block is found, so
-blocks that moved are found too.
+blocks that moved are found too.  Passages that stand several times on a side have no
+anchors: where lines that the earlier text holds too are left over, every run of
+``MIN_WORDS`` that has an equal run there goes, extended both ways; the runs come from a
+suffix automaton of the earlier text, linear in both texts however often lines repeat.
 
 Removed lines disappear with their line feed; a copy of a whole document keeps an empty
 text.  A null text stays null.  Equal rows (id and text) are one document and do not
@@ -26,6 +29,7 @@ from __future__ import annotations
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -51,18 +55,25 @@ def lines_of(text: str) -> tuple[list[int], list[int], list[int]]:
 
 
 def runs(hashes: list[int], sizes: list[int], least: int) -> list[int]:
-    """Hashes of the shortest runs of ``least`` words, one from every line that has one."""
-    out, end, held = set(), 0, 0
+    """Hashes of the shortest runs of ``least`` words, from every line on and up to every line that has one."""
+    spans, end, held = set(), 0, 0
     for start in range(len(hashes)):
         while end < len(hashes) and held < least:
             held += sizes[end]
             end += 1
         if held < least:
             break
-        key = ",".join(map(str, hashes[start:end]))
-        out.add(xxhash.xxh3_64_intdigest(key) - (1 << 63))
+        spans.add((start, end))
         held -= sizes[start]
-    return sorted(out)
+    start, held = 0, 0
+    for end, size in enumerate(sizes, 1):
+        held += size
+        while held - sizes[start] >= least:
+            held -= sizes[start]
+            start += 1
+        if held >= least:
+            spans.add((start, end))
+    return sorted({xxhash.xxh3_64_intdigest(",".join(map(str, hashes[a:b]))) - (1 << 63) for a, b in spans})
 
 
 def patience(a: list, b: list, lo_a: int, hi_a: int, lo_b: int, hi_b: int) -> list[tuple[int, int]]:
@@ -106,6 +117,55 @@ def patience(a: list, b: list, lo_a: int, hi_a: int, lo_b: int, hi_b: int) -> li
     return sorted(out)
 
 
+def matches(a: list, b: list) -> list[int]:
+    """For every index of ``a`` the length of the longest run ending there that stands in ``b``."""
+    nexts, links, lengths, last = [{}], [-1], [0], 0     # suffix automaton of ``b``
+    for x in b:
+        new, p = len(nexts), last
+        nexts.append({})
+        links.append(0)
+        lengths.append(lengths[last] + 1)
+        while p >= 0 and x not in nexts[p]:
+            nexts[p][x] = new
+            p = links[p]
+        if p >= 0:
+            q = nexts[p][x]
+            if lengths[q] > lengths[p] + 1:
+                copy = len(nexts)
+                nexts.append(dict(nexts[q]))
+                links.append(links[q])
+                lengths.append(lengths[p] + 1)
+                while p >= 0 and nexts[p].get(x) == q:
+                    nexts[p][x] = copy
+                    p = links[p]
+                links[q] = q = copy
+            links[new] = q
+        last = new
+    out, state, size = [], 0, 0
+    for x in a:
+        while state and x not in nexts[state]:
+            state = links[state]
+            size = lengths[state]
+        if x in nexts[state]:
+            state, size = nexts[state][x], size + 1
+        out.append(size)
+    return out
+
+
+def repeated_blocks(later: list, sizes: list[int], earlier: list, least: int, found: list) -> list[tuple[int, int]]:
+    """Blocks of ``least`` words that ``earlier`` holds too, if any may go beyond the blocks ``found``."""
+    known, gone = set(earlier), {i for first, last in found for i in range(first, last + 1)}
+    held, open_ = 0, False
+    for i, x in enumerate(later):
+        held, open_ = (held + sizes[i], open_ or i not in gone) if x in known else (0, False)
+        if open_ and held >= least:
+            break
+    else:
+        return []
+    upto = [0, *accumulate(sizes)]
+    return [(i + 1 - n, i) for i, n in enumerate(matches(later, earlier)) if upto[i + 1] - upto[i + 1 - n] >= least]
+
+
 def common_blocks(later: list, sizes: list[int], earlier: list, least: int) -> list[tuple[int, int]]:
     """(first, last) line numbers of the blocks to remove from ``later``."""
     rest: list = list(later)
@@ -120,12 +180,23 @@ def common_blocks(later: list, sizes: list[int], earlier: list, least: int) -> l
                 run = []
             run.append(pair)
         if not new:
-            return sorted(found)
+            return _joined(found + repeated_blocks(later, sizes, earlier, least, found))
         found += new
         for first, last in new:
             rest[first:last + 1] = [None] * (last + 1 - first)   # equal to no line
 
 
+def _joined(blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The blocks in order, those that overlap as one."""
+    out: list[tuple[int, int]] = []
+    for first, last in sorted(blocks):
+        if out and first <= out[-1][1]:
+            out[-1] = out[-1][0], max(last, out[-1][1])
+        else:
+            out.append((first, last))
+    return out
+
+
 def _summary(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())

@@ -162,6 +162,29 @@ def test_removed_lines_equal_all_pairs(spark, docs):
     assert passage in got[500][0] and all(passage not in got[500 + i][0] for i in range(1, 6))
 
 
+def test_repeated_passages_equal_all_pairs(spark):
+    p, q = sentence(31, 60), sentence(32, 12)
+    a, b, x, y = (sentence(s, 30) for s in (33, 34, 35, 36))
+    assert ld.common_blocks([1, 2, 3], [9, 60, 9], [4, 2, 2, 5], 25) == [(1, 1)]
+    assert ld.common_blocks([1, 2, 3, 2], [9, 60, 9, 60], [4, 2, 5], 25) == [(1, 1), (3, 3)]
+    rng = np.random.default_rng(12)
+    for trial in range(300):
+        k = int(rng.integers(2, 7))
+        lines = [sentence(100 + i, int(n)) for i, n in enumerate(rng.integers(1, 9, k))]
+        t, u = ([lines[i] for i in rng.integers(0, k, int(rng.integers(1, 25)))] for _ in range(2))
+        sizes = [len(s.split()) for s in t]
+        got = {i for f, e in ld.common_blocks(t, sizes, u, 12) for i in range(f, e + 1)}
+        assert got == brute_blocks("\n".join(t), "\n".join(u), 12), trial
+    pool = [sentence(200 + i, int(n)) for i, n in enumerate(rng.integers(2, 14, 9))]
+    rows = [(1, f"{a}\n{p}\n{p}\n{b}"), (2, f"{x}\n{p}\n{y}"), (3, f"{q}\n{p}\n{x} z\n{p}\n{q}"), (4, f"{p} z\n{q}"), (5, f"{p} z\n{q} y")]
+    # line q after ``p z`` is shared with the second holder of ``p z`` only
+    rows += [(6, f"{p} z\n{q} y\n{a} z")] + [(10 + i, "\n".join(pool[k] for k in rng.integers(0, 9, 12))) for i in range(25)]
+    got = {r.doc_id: r.text for r in ld.dedup(spark.createDataFrame(rows, DOCS).repartition(3)).collect()}
+    for k, (i, t) in enumerate(rows):
+        gone = set().union(*(brute_blocks(t, u, ld.MIN_WORDS) for _, u in rows[:k])) if k else set()
+        assert got[i] == "\n".join(s for n, s in enumerate(t.split("\n")) if n not in gone), i
+
+
 def test_line_dedup_odd_rows(spark):
     rows = [(1, None, 1), (2, "", 2), (3, "\n\n", 3), (None, sentence(1, 40), 4), (4, sentence(1, 40), 5),
             (5, sentence(9, 50), 6), (5, sentence(9, 50), 7)]
