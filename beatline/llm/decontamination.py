@@ -11,7 +11,9 @@ Words are ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`` of the text with A-Z lower-c
 window is ``WINDOW`` consecutive words of an item; an item of fewer words, but not
 none, is one window.  A null text has no words.  Rows of one ``doc_id`` with the
 same text have the same result, others are kept apart; a null id is a document of
-its own.  Items of one id count as one item.  Empty tables give empty results, or
+its own.  Items of one id count as one item.  Items without an id count like others, all
+of them as one item of ``n_items``; ``items_sha256`` hashes the ids there are, so they
+add nothing to it.  Items without a text have no window.  Empty tables give empty results, or
 documents without hits.  Only ``doc_id``/``text`` and ``item_id``/``text`` are read.
 """
 
@@ -45,7 +47,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 def windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     """(w, item_id, terms): every window of every item; equal windows share the number ``w``."""
     t = items.select(F.col("item_id").cast("string").alias("item_id"), words(F.col("text")).alias("all")).where(
-        (F.size("all") > 0) & F.col("item_id").isNotNull())
+        F.size("all") > 0)
     last = F.greatest(F.size("all") - size, F.lit(0))
     t = t.select("item_id", "all", F.explode(F.sequence(F.lit(0), last)).alias("i"))
     t = t.select("item_id", F.slice("all", F.col("i") + 1, size).alias("terms"))
@@ -119,7 +121,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
                .groupBy("d", "h").agg(F.sum("n").alias("n_hit")))
     which = (hits.select("d", "h", "w").distinct()
              .join(small_side(windows(items, size).select("w", "item_id"), 2 * TERM_BYTES), "w")
-             .groupBy("d", "h").agg(F.array_sort(F.collect_set("item_id")).alias("ids")))
+             .groupBy("d", "h").agg(F.array_sort(F.collect_set(F.struct("item_id"))).alias("ids")))
     found = covered.join(which, ["d", "h"])
     text = F.col("text").cast("string")
     rows = docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("d"),
@@ -128,7 +130,7 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.join(found, ["d", "h"], "left").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("items_sha256"),
+        F.sha2(F.coalesce(F.array_join("ids.item_id", ","), F.lit("")), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"))
 
 

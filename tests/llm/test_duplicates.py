@@ -264,6 +264,23 @@ def test_contamination_equals_sql(spark):
     assert got.equals(want[got.columns])
 
 
+def test_items_without_an_id(spark):
+    items = [(None, "alpha beta gamma"), (None, "one two three four five six seven eight nine ten eleven"), (4, "delta beta"), (None, None)]
+    rows = [(1, "an Alpha beta gamma"), (2, "x one two three four five six seven eight nine ten y"), (3, "alpha beta gamma delta beta"),
+            (4, "none of it"), (5, "alpha beta gamma, two three four five six seven eight nine ten eleven"), (6, "delta beta")]
+    d, b = spark.createDataFrame(rows, DOCS), spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(map(tuple, dc.contamination(d, b).collect()))
+    empty, four = (hashlib.sha256(x).hexdigest() for x in (b"", b"4"))
+    assert got == [(1, 4, 3, 1, empty, True), (2, 12, 10, 1, empty, True), (3, 5, 5, 2, four, True), (4, 3, 0, 0, empty, False),
+                   (5, 13, 13, 1, empty, True), (6, 2, 2, 1, four, True)]
+    con = duckdb.connect()
+    con.register("documents", d.toPandas())
+    con.execute("create table benchmark (item_id bigint, text varchar)")
+    con.executemany("insert into benchmark values (?, ?)", items)
+    assert sorted(con.execute(ORACLES["op3_decontamination"]).fetchall()) == got
+    assert [r.doc_id for r in dc.decontaminated(d, b).collect()] == [4]
+
+
 def test_proximity(spark):
     d = spark.createDataFrame([(1, "a quick x red y fox z z z z"), (2, "fox a b c d e f quick"), (3, "red fox quick"), (4, None)], DOCS)
     b = spark.createDataFrame([(1, "quick red fox")], "item_id long, text string")
