@@ -3,7 +3,11 @@
 A page is read into a tree (end tags may be missing, as HTML allows).  Elements that
 never hold the article are taken out: scripts, styles, forms, navigation, footers,
 asides, page headers, adverts, notices, comments and the like, by tag, role or the
-words of class and id.  Every paragraph of ``LEAST`` characters or more earns a point,
+words of class and id (not those of a state, as in has-sidebar or comments-open).  An
+element that is or holds an ``article`` or ``main``, or more than half of the page's
+paragraph points, is not taken out: its score and those inside are lowered instead, and
+it goes only if it turns out not to hold the best container and scores below a sibling
+worth keeping; a form is then a plain container.  Every paragraph of ``LEAST`` characters or more earns a point,
 one per comma and up to three for its length, and passes them to its ancestors (all to
 the parent, half to the next, a third, ...).  An element's score is discounted by the
 share of its text that stands in links.  The best container is widened to the
@@ -47,6 +51,9 @@ ENDED_BY = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"
 #: Tags that are never part of an article.
 NEVER = frozenset("""script style textarea title noscript iframe noembed noframes xmp head template svg canvas object
 embed nav footer aside form button input select option datalist dialog menu""".split())
+#: Those that never hold text of the page, whatever is in them.
+HARD = RAW | frozenset("head template svg canvas object embed input select option datalist".split())
+LOWERED = 0.25
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 #: Words of class or id that mark what is not the article; the second set only outside an article.
 NAMES = frozenset("""nav navbar navigation menu sidebar footer ad ads advert advertisement adverts advertising sponsor
@@ -54,6 +61,9 @@ sponsored promo promotion cookie cookies consent gdpr popup modal overlay newsle
 breadcrumb breadcrumbs pagination pager comment comments disqus replies respond social share sharing related recommended
 widget toolbar masthead skip""".split())
 OUTER_NAMES = frozenset("header banner notice notices alert topbar search".split())
+#: Words that make a name a state: all that follows the first kind, all that ends with the second.
+STATE_FIRST = frozenset("no not non has have with without is hide allow allows".split())
+STATE_LAST = frozenset("open opened closed off on free less layout enabled disabled allowed".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>
 |<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*+|[^>]*)>""", re.S | re.X)
@@ -62,12 +72,15 @@ _ATTR = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
 
 class Node:
     """An element: tag, attributes, children (elements and strings)."""
-    __slots__ = ("tag", "attrs", "children", "parent", "score", "size", "links")
+    __slots__ = ("tag", "attrs", "children", "parent", "score", "size", "links", "own", "points", "holds", "factor", "named")
 
     def __init__(self, tag: str, attrs: str, parent: "Node | None"):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list = []
         self.score, self.size, self.links = 0.0, 0, 0
+        self.own: float | None = None                 # points of its own paragraph
+        self.points, self.holds = 0.0, False          # of all paragraphs inside; is or holds an article
+        self.factor, self.named = 1.0, False          # of the score; unwanted but kept
 
     def attributes(self) -> dict[str, str]:
         return {k.lower(): entities.unescape((v or "").strip("\"'")) for k, v in _ATTR.findall(self.attrs)}
@@ -141,23 +154,76 @@ def _unwanted(n: Node, in_article: bool) -> bool:
         return True
     if a.get("role", "").lower() in ROLES:
         return True
-    names = {w.lower() for w in _NAME.findall(a.get("class", "") + " " + a.get("id", ""))}
+    names: set[str] = set()
+    for token in (a.get("class", "") + " " + a.get("id", "")).split():
+        words = [w.lower() for w in _NAME.findall(token)]
+        if words and words[-1] not in STATE_LAST:
+            names.update(words[:next((k for k, w in enumerate(words) if w in STATE_FIRST), None)])
     return bool(names & NAMES) or not in_article and bool(names & OUTER_NAMES)
 
 
+def _order(root: Node) -> list[Node]:
+    """All elements in page order."""
+    order, stack = [], [root]
+    while stack:
+        n = stack.pop()
+        order.append(n)
+        stack += [c for c in reversed(n.children) if not isinstance(c, str)]
+    return order
+
+
+def _weigh(order: list[Node]) -> None:
+    for n in reversed(order):
+        n.size = sum(c.size if isinstance(c, Node) else len(" ".join(c.split())) for c in n.children)
+        n.links = n.size if n.tag == "a" else sum(c.links for c in n.children if isinstance(c, Node))
+
+
+def _drop(n: Node, inside: bool, most: float) -> bool:
+    """Is ``n`` to be taken out?  If it is unwanted but holds what may be the article, its score is lowered."""
+    if not _unwanted(n, inside):
+        return False
+    if n.tag in HARD or not n.holds and n.points <= most:
+        return True
+    if n.tag == "form":
+        n.tag, n.own = "div", None
+        if not _unwanted(n, inside):
+            return False
+    n.factor *= LOWERED
+    n.named = True
+    return False
+
+
 def _measure(root: Node) -> list[Node]:
     """Drop what is unwanted, measure the rest; elements in page order."""
+    every = _order(root)
+    _weigh(every)
+    for n in reversed(every):
+        n.own = _points(n)
+        if n.tag not in HARD:
+            inner = [c for c in n.children if isinstance(c, Node)]
+            n.points = (n.own * (1 - n.links / n.size) if n.own else 0.0) + sum(c.points for c in inner)
+            n.holds = n.tag in ("article", "main") or any(c.holds for c in inner)
+    most = root.points / 2
     order: list[Node] = []
     stack = [(root, False)]
     while stack:
         n, inside = stack.pop()
         order.append(n)
         inside = inside or n.tag in ("article", "main")
-        n.children = [c for c in n.children if isinstance(c, str) or not _unwanted(c, inside)]
-        stack += [(c, inside) for c in reversed(n.children) if not isinstance(c, str)]
-    for n in reversed(order):
-        n.size = sum(c.size if isinstance(c, Node) else len(" ".join(c.split())) for c in n.children)
-        n.links = n.size if n.tag == "a" else sum(c.links for c in n.children if isinstance(c, Node))
+        kept: list = []
+        for c in n.children:
+            if isinstance(c, Node):
+                c.factor = n.factor
+                if _drop(c, inside, most):
+                    up: Node | None = n      # the paragraph that an inline element stood in is another one now
+                    while c.tag not in BLOCK and up is not None:
+                        up.own = None
+                        up = None if up.tag in BLOCK or up.tag in CELL else up.parent
+                    continue
+            kept.append(c)
+        n.children = kept
+        stack += [(c, inside) for c in reversed(kept) if not isinstance(c, str)]
+    _weigh(order)
     return order
 
 
@@ -175,12 +241,16 @@ def _paragraph(n: Node) -> str:
     return ""
 
 
+def _points(n: Node) -> float:
+    t = _paragraph(n)
+    return 1 + t.count(",") + min(3.0, len(t) / 100) if len(t) >= LEAST else 0.0
+
+
 def _score(order: list[Node]) -> Node | None:
     for n in order:
-        t = _paragraph(n)
-        if len(t) < LEAST:
+        points = _points(n) if n.own is None else n.own
+        if not points:
             continue
-        points = 1 + t.count(",") + min(3.0, len(t) / 100)
         share = 1.0
         up = n.parent if n.tag in ("p", "pre", "blockquote", "li", "td", "dd") else n
         level = 1
@@ -192,7 +262,7 @@ def _score(order: list[Node]) -> Node | None:
     best = None
     for n in order:
         if n.score and n.size:
-            n.score *= 1 - n.links / n.size
+            n.score *= n.factor * (1 - n.links / n.size)
             if best is None or n.score > best.score:
                 best = n
     return best
@@ -203,6 +273,7 @@ def _containers(order: list[Node]) -> list[Node]:
     if best is None:
         for tag in ("article", "main", "body", "#root"):
             found = [n for n in order if n.tag == tag and n.size]
+            found = [n for n in found if n.factor == 1] or found
             if found:
                 return [n for n in found if not _under(n, found)]
         return []
@@ -211,7 +282,15 @@ def _containers(order: list[Node]) -> list[Node]:
         if n.tag == "article" or n.tag == "main" and (wide is None or wide.tag != "article"):
             wide = n
         n = n.parent
-    best, top = wide or best, best.score
+    around, n = set(), best
+    while n is not None:
+        around.add(id(n))
+        n = n.parent
+    top = best.score
+    for n in order:
+        if n.named and id(n) not in around and n.score < max(10.0, SIBLING_SHARE * top):
+            n.parent.children = [c for c in n.parent.children if c is not n]
+    best = wide or best
     if best.parent is None:
         return [best]
     keep = []

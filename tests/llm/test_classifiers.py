@@ -187,6 +187,32 @@ def test_main_text(page):
     assert ht.main_text(page) == TEXT
 
 
+_INNER = "<h1>Title &amp;</h1>" + "".join(f"<p>{p}</p>" for p in BODY)
+_SIDE = "<div class=sidebar><p>Something else, quite long, with commas, to read on the side.</p></div>"
+
+
+@pytest.mark.parametrize("page", [
+    f"<article class='post comments-open'>{_INNER}</article>", f"<div class='content with-sidebar'>{_INNER}</div>{_SIDE}",
+    f"<div id=page class=has-nav><article>{_INNER}</article>{_SIDE}</div>", f"<div class=no-sidebar>{_INNER}</div>",
+    f"<div class=social-layout>{_INNER}</div>", f"<div class='login-free'>{_INNER}</div>{_SIDE}",
+    f"<article class='related social'>{_INNER}</article>{_SIDE}", f"<div class='widget'><article>{_INNER}</article></div>",
+    f"<div class=overlay>{_INNER}</div><div class=ad><p>Buy now, this is a wonderful thing.</p></div>",
+    f"<form action=/><div>{_INNER}</div>{_SIDE}<form><p>Your name, please, and your address here</p></form></form>",
+    f"<body><form id=aspnet><nav><ul><li><a href=/>A link text long enough to count, with commas</a></ul></nav><main>{_INNER}</main></form></body>",
+    f"<aside><article><a href=/x>A card, which is long enough, to count</a></article></aside><main>{_INNER}</main>",
+    f"<main><article>{_INNER}</article><div id=comments><article class=comment><p>First comment, which is long, and has commas, "
+    "really.</p></article></div></main>",
+    f"<article>{_INNER}<div class=comments><article><p>First comment, which is long, and has commas, really.</p></article></div></article>",
+])
+def test_names_do_not_drop_the_article(page):
+    assert ht.main_text(page) == TEXT
+
+
+def test_names_of_other_elements_still_count():
+    for name in ("sidebar", "sidebar-left", "ad-container", "comments-area", "socialShare", "newsletter with-border"):
+        assert ht.main_text(f"<div class=c>{_INNER}<div class='{name}'><p>Another text, which is long, to leave out.</p></div></div>") == TEXT
+
+
 def test_pages_without_an_article(spark):
     odd = [None, "", "   ", "<p>", "plain words", "<p>One.<p>Two.", "<div><b>x</p></div><td>y", "<a href='x>y", "<" * 500, "<div>" * 3000 + "deep",
            "<article><p>Les.</p></article>", "<script>only"]
