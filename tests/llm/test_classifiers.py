@@ -160,6 +160,26 @@ def test_random_strings_are_found_and_names_are_not(spark):
     assert sum(got[200_000 + i] for i in range(40)) <= 2 and sum(got[i] > 0 for i, _ in texts) < 30
 
 
+def test_recall_by_length(spark):
+    rng = random.Random(9)
+    base62, lower = string.ascii_letters + string.digits, string.ascii_lowercase
+    kinds = [(a, n) for n in (16, 20, 24, 32, 40, 44, 60) for a in (base62, base62 + "+/")] + [(lower + string.digits, 20)]
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    own = len(rows)
+    words = [w for _, t in rows[:60] for w in re.findall("[a-z]{4,}", t)]
+    rows += [(100_000 + 100 * k + i, "see " + "".join(rng.choice(a) for _ in range(n)) + " there")
+             for k, (a, n) in enumerate(kinds) for i in range(20)]
+    names = [f"{a}_{b}_{c}_{i}/{d}" for i, (a, b, c, d) in enumerate(zip(words[::4], words[1::4], words[2::4], words[3::4]))][:100]
+    names += [f"{a}{b.title()}{c.title()}{d.title()}" for a, b, c, d in zip(words[1::4], words[2::4], words[3::4], words[4::4])][:100]
+    rows += [(900_000 + i, "see " + x + " there") for i, x in enumerate(names)]
+    got = {r.doc_id: r.n_random > 0 for r in sc.digest(spark.createDataFrame(rows, DOCS)).collect()}
+    recall = {(len(a), n): sum(got[100_000 + 100 * k + i] for i in range(20)) / 20 for k, (a, n) in enumerate(kinds)}
+    false = sum(got[900_000 + i] for i in range(len(names))), sum(got[i] for i, _ in rows[:own])
+    print(recall, false)
+    assert all(x >= (0.5 if n == 16 else 0.7) for (_, n), x in recall.items()), recall
+    assert false[0] <= 10 and false[1] <= 20, false
+
+
 def test_chi_squared_tail():
     for x, k, p in ((3.841459, 1, 0.05), (5.991465, 2, 0.05), (16.918978, 9, 0.05), (23.209251, 10, 0.01), (0.0, 3, 1.0)):
         assert abs(sc.chi2_tail(x, k) - p) < 1e-6
