@@ -1,7 +1,7 @@
 """Secrets: three patterns, and a battery of randomness tests for the rest.
 
-Candidates are runs of 16 or more characters of ``[A-Za-z0-9+/_=-]`` that hold a
-digit or a sign.  Their encoding is inferred as the smallest alphabet that covers them (hex, letters of either case,
+Candidates are runs of 16 or more characters of ``[A-Za-z0-9+/_=-]``.  Their encoding is
+inferred as the smallest alphabet that covers them (hex, letters of either case,
 lower-case alphanumeric, base32, alphanumeric, base64).  Three tests ask whether the
 characters look drawn at random from it: chi-squared uniformity over as many cells as
 the length allows, runs above and below the middle of the alphabet, and serial
@@ -208,7 +208,7 @@ def _first_pass(key: str, chain: list[list[float]]):
                 text = text or ""
                 spans = base_spans(text)
                 here = [{"start": m.start(), "end": m.end(), "cell": grade(m[0], chain)} for m in CANDIDATE.finditer(text)
-                        if not m[0].isalpha() and not any(a <= m.start() and m.end() <= e for a, _, e in spans)]
+                        if not any(a <= m.start() and m.end() <= e for a, _, e in spans)]
                 base.append([{"start": a, "kind": k, "end": e} for a, k, e in spans])
                 found.append(here)
                 # plain numbers stand for written strings of either hex alphabet
