@@ -55,9 +55,26 @@ def _folded(c: str) -> str:
     return d if d.isalnum() else " "
 
 
+def _stripped(c: str) -> str:
+    d = unicodedata.normalize("NFKD", c)[:1]
+    return d if d.isalpha() else c
+
+
+class _Table(dict):
+    """Table of the characters up to U+FFFF that change; those above are worked out when they turn up."""
+
+    def __init__(self, change, first: int):
+        super().__init__((c, d) for c in range(first, 0x10000) if (d := change(chr(c))) != chr(c))
+        self.change = change
+
+    def __missing__(self, c: int) -> str:
+        d = self[c] = chr(c) if c < 0x10000 else self.change(chr(c))
+        return d
+
+
 # one character for one character, so offsets in folded text are offsets in the text
-_FOLD = {c: d for c in range(0x10000) if (d := _folded(chr(c))) != chr(c)}
-_STRIP = {c: d for c in range(0x80, 0x10000) if (d := unicodedata.normalize("NFKD", chr(c))[:1]) and d != chr(c) and d.isalpha()}
+_FOLD = _Table(_folded, 0)
+_STRIP = _Table(_stripped, 0x80)
 
 
 def fold(text: str) -> str:

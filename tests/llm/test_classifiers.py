@@ -66,6 +66,16 @@ def test_toxicity_matches_are_spans():
     assert tx.ToxicityModel({}).matches("any text") == [] and len(tx.fold("İstanbul ﬁ $5")) == len("İstanbul ﬁ $5")
 
 
+def test_toxicity_folds_above_the_basic_plane():
+    m = tx.ToxicityModel({" idiot": 3.0, " fool ": 2.0})
+    t = "\U0001F600fool\U0001F600, \U0001D408\U0001D41D\U0001D422\U0001D428\U0001D42D \U0001D553fool a\U00020000 fool\U0001F3FD"
+    assert [(t[a:b], e) for a, b, e, _ in m.matches(t)] == [
+        ("fool", " fool "), ("\U0001D408\U0001D41D\U0001D422\U0001D428\U0001D42D", " idiot"), ("fool", " fool ")]
+    assert tx.fold("\U0001F600\U0001D400\U00020000") == " a\U00020000" and tx.strip("\U0001109A\U00020000\u00e9") == "\U00011099\U00020000e"
+    for c in map(chr, range(0x10000)):
+        assert len(tx.fold(c)) == 1
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], DOCS)
     for labels in ([], [(1, 1, 1)], [(1, 1, 0)]):
