@@ -99,3 +99,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best segmentation of every document: size, digest, scores, exact round trip."""
     from beatline.llm.sentencepiece_codec import digest
     return digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document."""
+    import public_tokenizers
+
+    from beatline.llm.token_counts import token_counts
+    return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
