@@ -8,14 +8,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from beatline.llm import decontamination
+from beatline.llm import conversations, decontamination, lexical_search
 from beatline.llm.common import table
 from beatline.session import scratch_path
 
 Run = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Run] = {}
-ORACLES: dict[str, str] = {"op3_decontamination": decontamination.ORACLE}
+ORACLES: dict[str, str] = {"op3_decontamination": decontamination.ORACLE, "op11_conversation_repair": conversations.ORACLE,
+                           "op13_lexical_search": lexical_search.ORACLE}
 
 #: Vocabulary files; the folder is a parameter of the installation.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -101,6 +102,12 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+@query
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every damaged conversation."""
+    return conversations.digest(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 @query
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document."""
@@ -108,3 +115,9 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from beatline.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents of the highest score for every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
