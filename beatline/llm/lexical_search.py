@@ -134,8 +134,8 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 def counted(texts: pa.Array, vocabulary: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Terms of each text, and (term, text, count) of those in the vocabulary, ordered."""
-    lists = pc.split_pattern_regex(pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")), BREAK)
-    flat = lists.flatten()
+    lists = pc.split_pattern_regex(pc.fill_null(texts.cast(pa.large_string()), ""), BREAK)
+    flat = pc.ascii_lower(lists.flatten())        # after the split: lowering a cast slice gives zero bytes
     offsets = lists.offsets.to_numpy()
     real = np.concatenate([[0], np.cumsum(pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False))])
     found = pc.fill_null(pc.index_in(flat, value_set=vocabulary), -1).to_numpy(zero_copy_only=False)
