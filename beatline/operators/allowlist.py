@@ -118,7 +118,8 @@ def apply_rule_table(features: DataFrame, rules: DataFrame,
     its ``dst_ip`` of the lengths that rules have (plus ``'*'`` for rules without a
     prefix) crossed with ``{dst_port, -1}`` where rules without a port exist; rules
     are keyed the same way.  The host floor is a filter after the join and the lowest
-    priority wins via ``min_by``.
+    priority wins via ``min_by``; of equal priorities the longest prefix, then a rule for the
+    port before one for any, then the higher host floor, then prefix and reason in order.
 
     Spark broadcasts the rules if their measured size allows, else the join shuffles.
     Prefixes are shared by very many flows (``'*'`` by all), so both sides carry a
@@ -142,8 +143,10 @@ def apply_rule_table(features: DataFrame, rules: DataFrame,
                             F.explode(F.array(*tests or [F.lit(None).cast("string")])).alias("_pfx"))
             .where(F.col("_pfx").isNotNull()).withColumn("_prt", F.explode(F.array(*ports))))
     joined = cand.join(r, ["_pfx", "_prt", "_salt"], "inner")
+    rank = F.struct("priority", F.when(F.col("_pfx") == ANY_PREFIX, 0).otherwise(-F.length("_pfx")).alias("a"),
+                    (F.col("_prt") == ANY_PORT).alias("b"), (-F.coalesce("min_hosts", F.lit(0))).alias("c"), "_pfx", "reason")
     found = (joined.where(F.col("min_hosts").isNull() | (F.col("_hosts") >= F.col("min_hosts")))
-               .groupBy(*key).agg(F.min_by("reason", "priority").alias("_reason")))
+               .groupBy(*key).agg(F.min_by("reason", rank).alias("_reason")))
     out = features.join(found, key, "left")
     return (out.withColumn("allowlist_reason", F.coalesce(F.col("_reason"), F.lit("")))
             .withColumn("destination_in_allowlist", F.col("allowlist_reason") != F.lit(""))

@@ -24,7 +24,7 @@ a function of the rows alone and SQL can state it as well.
 Random split thresholds are uniform between the node's min and max, so the
 trees are invariant to per-feature affine scaling: growing on the raw
 features is equivalent to growing on standardised ones.  The scaler (A6) is
-still computed and offered as an operator.
+computed with the training statistics; ``scale`` applies it to any table.
 """
 
 from __future__ import annotations
@@ -32,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import math
 from dataclasses import dataclass, field
+from fractions import Fraction
 
 from collections.abc import Iterator
 
@@ -41,6 +42,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from beatline.functions.columns import finite_or_zero, round_half_up
+from beatline.operators.ranks import exact_median
 from beatline.schemas import FEATURE_DESCRIPTIONS, FLOW_KEY, ML_FEATURES
 
 EULER_GAMMA = 0.5772156649015329
@@ -123,33 +125,57 @@ def training_matrix(benign: DataFrame, baseline: DataFrame | None = None,
     return out if baseline is None else out.unionByName(counted(baseline, True))
 
 
-def moments(train: DataFrame, features: list[str] = ML_FEATURES) -> DataFrame:
-    """A5 + A6 in one aggregate: count, mean, sample and population std."""
+#: Bits of a double, and of the largest sum of squares that decimals hold.
+DOUBLE_BITS, SUM_BITS = 53, 126
+
+
+def grid_units(train: DataFrame, features: list[str] = ML_FEATURES) -> dict[str, float]:
+    """Per feature a power of two, so fine that the squares of all rows just fit a decimal sum.
+
+    The largest value keeps its 53 bits up to a million rows, and one bit less per four times as many.
+    """
+    row = train.agg(F.count(F.lit(1)).alias("_n"), *[F.max(F.abs(F.col(c))).alias(c) for c in features]).first()
+    bits = min(DOUBLE_BITS, (SUM_BITS - int(row["_n"]).bit_length()) // 2)
+    return {c: 2.0 ** (math.frexp(row[c])[1] - bits) if row[c] else 1.0 for c in features}
+
+
+def moments(train: DataFrame, units: dict[str, float]) -> DataFrame:
+    """A5 + A6 in one aggregate: count, and per feature the sums of the values and of their squares.
+
+    Values are rounded to integers of their unit, and integers are summed in decimals, so the
+    sums do not depend on the order of the rows (see :func:`grid_units`).
+    """
     aggs = [F.count(F.lit(1)).alias("_n"), F.count_if(~F.col("_base")).alias("_nbenign")]
-    for c in features:
-        aggs += [F.avg(c).alias(f"{c}__mean"), F.stddev_samp(c).alias(f"{c}__std"),
-                 F.stddev_pop(c).alias(f"{c}__pstd")]
+    for c, u in units.items():
+        k = F.rint(F.col(c) / F.lit(u)).cast("decimal(19,0)")
+        aggs += [F.sum(k).alias(f"{c}__sum"), F.sum(k * k).alias(f"{c}__squares")]
     return train.agg(*aggs)
 
 
 def training_stats(train: DataFrame, features: list[str] = ML_FEATURES) -> dict:
-    """A5/A6 collected: 1 + 3·11 numbers."""
-    row = moments(train, features).collect()[0]
+    """A5/A6 collected: mean, sample and population standard deviation from the exact sums.
+
+    The same to the last bit for any partitioning.
+    """
+    units = grid_units(train, features)
+    row = moments(train, units).first()
     n = int(row["_n"])
     if n == 0:
-        return {"n": 0, "n_benign": 0, "stats": {}, "scaler": {}}
-    stats, scaler = {}, {}
-    for c in features:
-        mean = float(row[f"{c}__mean"])
-        std = float(row[f"{c}__std"]) if n > 1 and row[f"{c}__std"] is not None else 0.0
-        pstd = float(row[f"{c}__pstd"] or 0.0)
-        stats[c] = (mean, std)
-        scaler[c] = (mean, pstd if pstd > 0 else 1.0)
-    return {"n": n, "n_benign": int(row["_nbenign"]), "stats": stats, "scaler": scaler}
+        return {"n": 0, "n_benign": 0, "stats": {}, "scaler": {}, "pstd": {}}
+    stats, scaler, pstds = {}, {}, {}
+    for c, u in units.items():
+        total, squares = int(row[f"{c}__sum"]), int(row[f"{c}__squares"])
+        around = Fraction(squares * n - total * total, n)          # sum of squares around the mean, in units
+        mean = float(Fraction(total, n)) * u
+        stats[c] = (mean, math.sqrt(around / (n - 1)) * u if n > 1 else 0.0)
+        pstds[c] = math.sqrt(around / n) * u
+        scaler[c] = (mean, pstds[c] if pstds[c] > 0 else 1.0)
+    return {"n": n, "n_benign": int(row["_nbenign"]), "stats": stats, "scaler": scaler, "pstd": pstds}
 
 
 def scale(df: DataFrame, scaler: dict) -> DataFrame:
-    """A6 transform: ``(x − mean) / std`` with the population std (0 → 1)."""
+    """A6 transform: ``(x − mean) / std`` with the population std (0 → 1); an absent feature counts as 0."""
+    df = df.withColumns({c: F.lit(0.0) for c in scaler if c not in df.columns})
     return df.withColumns({c: (finite_or_zero(c) - F.lit(m)) / F.lit(s) for c, (m, s) in scaler.items()})
 
 
@@ -306,13 +332,13 @@ def batch_bounds(df: DataFrame, col: str = "_anomaly", threshold: float | None =
                  median: bool = True) -> DataFrame:
     """Min, max, median (and optional count above a threshold) of a score.
 
-    The exact median keeps one entry per distinct value; leave it out for scores
-    that are not rounded.
+    The median is exact and found by ranges of values (``ranks.exact_median``), so it needs
+    no memory for distinct values, but several passes: it runs when this is called.
     """
     c = F.col(col)
     aggs = [F.min(c).alias("min"), F.max(c).alias("max"), F.count(F.lit(1)).alias("n")]
     if median:
-        aggs.insert(2, F.median(c).alias("median"))
+        aggs.insert(2, F.first(F.lit(exact_median(df, col)).cast("double")).alias("median"))
     if threshold is not None:
         aggs.append(F.count_if(c > F.lit(threshold)).alias("n_above"))
     return df.agg(*aggs)
@@ -377,7 +403,8 @@ def explain_all(scored: DataFrame, stats: dict, threshold: float = 70.0, sigma:
 
 def training_stats_table(train: DataFrame, features: list[str] = ML_FEATURES) -> DataFrame:
     """A5/A6 as a table: (feature, mean, std, pstd) — mean, sample and
-    population standard deviation of each model feature."""
-    wide = moments(train, features)
-    stack = ", ".join(f"'{c}', `{c}__mean`, `{c}__std`, `{c}__pstd`" for c in features)
-    return wide.selectExpr(f"stack({len(features)}, {stack}) as (feature, mean, std, pstd)")
+    population standard deviation of each model feature; null where there are too few rows."""
+    found = training_stats(train, features)
+    rows = [(c, *((None,) * 3 if not found["n"] else (found["stats"][c][0], found["stats"][c][1] if found["n"] > 1 else None,
+                                                       found["pstd"][c]))) for c in features]
+    return train.sparkSession.createDataFrame(rows, "feature string, mean double, std double, pstd double")

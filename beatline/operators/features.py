@@ -8,14 +8,16 @@ so the whole feature table costs **one** exchange of the records.  F20
 (hosts per destination) adds one small exchange on the per-flow table.
 
 Hot keys: a single flow may hold a large share of all records.  Ordered
-windows put a flow into one task, so flows above ``hot_flow_rows`` records
-take a separate route (``beatline.operators.hotflows``) that splits them into
-time slices and stitches the slice borders; the two routes produce the same
-columns and are unioned.
-
-All time arithmetic is on integer microseconds; means are formed as
-``sum/count`` of exact integers where possible so that the DuckDB oracle,
-stating the same formulas, reproduces the values bit for bit.
+windows put a flow into one task, so the records of flows above ``hot_flow_rows``
+are dealt otherwise (``beatline.operators.hotflows``): by time slices whose borders
+are stitched.  Both ways sum up the same exact integers and share
+:func:`finish_features`, so a flow's features do not depend on the way, on the
+number of partitions or on the order of rows, to the last bit.
+
+Moments: every value is taken as an integer (microseconds, bytes, nanoseconds)
+less an integer near its mean; sums of these, of their squares and of their lag
+products are exact decimals.  The rest of the mean (below one unit) is taken
+out of the sums at the end: ``sum((x - mean)^2) = sum(c^2) - n * rest^2``.
 """
 
 from __future__ import annotations
@@ -72,6 +74,28 @@ def exact_sum(c: str):
     return F.sum(F.col(c).cast("decimal(38,9)"))
 
 
+def centres() -> dict[str, Column]:
+    """Integers near the means of a flow's deltas, bytes and durations (in nanoseconds)."""
+    return {"_md": F.expr("case when _m > 1 then (_tmax - _tmin) div (_m - 1) end"),
+            "_mb": F.expr("_stot div _n"),
+            "_mn": F.expr(f"cast(_sdur * {NANOS} / _n as decimal(28,0))")}
+
+
+def _product(a: str, b: str) -> str:
+    return f"sum(cast({a} as decimal(19,0)) * cast({b} as decimal(19,0)))"
+
+
+#: The duration in nanoseconds, the grid of its sums, less the integer near the mean.
+_NANO = "cast(cast(_dur as decimal(28,9)) * 1000000000 as decimal(28,0)) - _mn"
+NANOS = 1_000_000_000
+
+
+def volume_moments() -> list[str]:
+    """Sums of squares of bytes and durations around their centres."""
+    return [f"{_product('_tot - _mb', '_tot - _mb')} as _qtot", "max(_mb) as _mb",
+            f"{_product(_NANO, _NANO)} as _qdur", "max(_mn) as _mn"]
+
+
 def _order_cols(df: DataFrame) -> list[Column]:
     tbs = sorted(c for c in df.columns if c.startswith("_tb"))
     return [F.col("ts_us").asc_nulls_last()] + [F.col(c).asc_nulls_last() for c in tbs]
@@ -98,11 +122,8 @@ def _window_stage(rows: DataFrame, min_connections: int) -> DataFrame:
     s1 = s1.withColumns({
         "_d_us": F.col("ts_us") - F.col("_lag1"),
         **{f"_dl{k}": F.col(f"_lag{k}") - F.col(f"_lag{k + 1}") for k in range(1, AUTOCORR_MAX_LAG + 1)},
-        # mean inter-arrival: the deltas telescope to (last − first)
-        "_mu": F.when(F.col("_m") > 1,
-                      (F.col("_tmax") - F.col("_tmin")) / (F.col("_m") - 1) / F.lit(US)),
-        "_mtot": F.col("_stot") / F.col("_n"),
-        "_mdur": F.col("_sdur").cast("double") / F.col("_n"),
+        # the deltas telescope to (last − first), so their mean is known before they are
+        **centres(),
     })
     # medians need an unordered window; placed after the ordered stages the
     # rows are already sorted by key, so no further sort is planned.  Keeping
@@ -126,20 +147,20 @@ def feature_aggregates() -> list[Column]:
     Stated as SQL expression text: one JVM call per expression keeps plan
     construction cheap.  Shared by the ordinary and the hot-flow route.
     """
-    c = f"(_d_us / {US_SQL} - _mu)"
     lo, hi = OFF_HOURS
     hour = "floor(pmod(ts_us, 86400000000) / 3600000000)"
     exprs = [
         "count(1) as _n", "count(_d_us) as _L", "max(ts_us) as _tmax", "min(ts_us) as _tmin",
-        f"sum({c} * {c}) as _var",
-        *[f"sum({c} * (_dl{k} / {US_SQL} - _mu)) as _ac{k}" for k in range(1, AUTOCORR_MAX_LAG + 1)],
+        "max(_md) as _md", f"{_product('_d_us - _md', '_d_us - _md')} as _qd",
+        *[f"{_product('_d_us - _md', f'_dl{k} - _md')} as _p{k}" for k in range(1, AUTOCORR_MAX_LAG + 1)],
+        *[f"sum(case when _d_us is not null and _dl{k} is not null then (_d_us - _md) + (_dl{k} - _md) end) as _s{k}"
+          for k in range(1, AUTOCORR_MAX_LAG + 1)],
         "max(_mad) as _mad_us",
         f"sum(case when ts_us is not null and {hour} between {lo} and {hi} then 1 else 0 end) as _off",
-        "sum(_tot) as _stot", "max(_tot) as _maxtot", "sum((_tot - _mtot) * (_tot - _mtot)) as _sstot",
+        "sum(_tot) as _stot", "max(_tot) as _maxtot", *volume_moments(),
         "sum(_sent) as _ssent", "sum(_recv) as _srecv", "max(_hi) as _hi", "max(_lo) as _lo",
         *[f"count_if(_bin = {b}) as _b{b}" for b in range(ENTROPY_BINS)],
-        "sum(cast(_dur as decimal(38,9))) as _sdur", "sum((_dur - _mdur) * (_dur - _mdur)) as _ssdur",
-        "sum(_failed) as _sfailed", "sum(_dns) as _sdns",
+        "sum(cast(_dur as decimal(38,9))) as _sdur", "sum(_failed) as _sfailed", "sum(_dns) as _sdns",
     ]
     return [F.expr(e) for e in exprs]
 
@@ -152,14 +173,24 @@ def _first_domain_from_cols() -> Column:
 def finish_features(agg: DataFrame) -> DataFrame:
     """Turn the aggregate's sums into F1–F19 (scalar expressions only).
 
-    Two projections: the shared intermediates (means, standard deviations)
-    become columns first, so later expressions name them instead of
-    repeating their trees; SQL expression text keeps plan building cheap.
+    The shared intermediates (what the centres lack of the means, then means and
+    standard deviations) become columns first, so later expressions name them instead
+    of repeating their trees; SQL expression text keeps plan building cheap.
     """
+    lags = range(1, AUTOCORR_MAX_LAG + 1)
+    rest = agg.selectExpr(
+        "*", "case when _L > 0 then cast(_tmax - _tmin - _L * _md as double) / _L else 0.0 end as _rd",
+        "cast(_stot - _n * _mb as double) / _n as _rb",
+        f"cast(cast(_sdur * {NANOS} as decimal(38,0)) - _n * _mn as double) / _n as _rn")
+    rest = rest.selectExpr(
+        "*", "greatest(cast(_qd as double) - _L * _rd * _rd, 0.0) / 1e12 as _var",
+        *[f"(cast(_p{k} as double) - _rd * cast(_s{k} as double) + greatest(_L - {k}, 0) * _rd * _rd) / 1e12 as _ac{k}" for k in lags],
+        "greatest(cast(_qtot as double) - _n * _rb * _rb, 0.0) as _sstot",
+        "greatest(cast(_qdur as double) - _n * _rn * _rn, 0.0) / 1e18 as _ssdur")
     ent = " + ".join(f"(case when _b{b} > 0 then _b{b} / _n * log2(_b{b} / _n) else 0.0 end)"
                      for b in range(ENTROPY_BINS))
     acmax = "greatest(" + ", ".join(f"abs(_ac{k})" for k in range(1, AUTOCORR_MAX_LAG + 1)) + ")"
-    stage = agg.selectExpr(
+    stage = rest.selectExpr(
         *FLOW_KEY, "dst_domain", "_n", "_srecv", "_ssent", "_maxtot", "_off", "_sdur", "_ssdur",
         "_sfailed", "_sdns", "_tmax", "_tmin", "_L", "_mad_us",
         f"case when _L > 0 then (_tmax - _tmin) / _L / {US_SQL} else 0.0 end as _mean_iv",

@@ -16,13 +16,14 @@ Flows with more than ``hot_flow_rows`` records come here instead:
    predecessors, which are the last rows of earlier slices: a small table
    of every slice's first and last six rows, windowed per flow, supplies
    them exactly.  Deltas and lagged deltas follow from the six lags.
-4. the delta statistics (count, centred sums of squares and lag products)
-   are reduced through a ``(flow, delta)`` value-count aggregate — partial
+4. the delta statistics (count, sums of squares and lag products) are reduced
+   through a ``(flow, delta)`` value-count aggregate — partial
    aggregation again — and median and MAD are found by cumulating value
    counts over ranges of values, so no task holds all values of a flow.
 
-The output has the columns of the ordinary route's aggregate, so the same
-finishing expressions turn it into F1–F19.
+The output has the columns of the ordinary route's aggregate, the same exact
+integers, and the same finishing expressions turn it into F1–F19: where a flow is
+computed cannot be seen in its features.
 """
 
 from __future__ import annotations
@@ -36,7 +37,6 @@ from beatline.schemas import AUTOCORR_MAX_LAG, ENTROPY_BINS, FLOW_KEY, OFF_HOURS
 
 LAGS = AUTOCORR_MAX_LAG + 1          # ts lags needed for a delta and its 5 predecessors
 MAX_BROADCAST_HOT_FLOWS = 1_000_000
-US = ft.US
 
 
 def hot_flow_table(census: DataFrame, hot_flow_rows: int, min_connections: int = 1) -> DataFrame:
@@ -153,23 +153,18 @@ def hot_features(hot_rows: DataFrame, hot: DataFrame, hot_flow_rows: int, n_hot:
     # -- order-free part: per-flow means first (for two-pass variances) -------
     means = rows.groupBy(*FLOW_KEY).agg(F.sum("_tot").alias("_stot"), ft.exact_sum("_dur").alias("_sdur"),
                                         F.min("_ps").alias("_lo"), F.max("_ps").alias("_hi"))
-    r = rows.join(bc(means), FLOW_KEY).withColumns({
-        "_mtot": F.col("_stot") / F.col("_n"),
-        "_mdur": F.col("_sdur").cast("double") / F.col("_n"),
-        "_mu": F.when(F.col("_m") > 1, (F.col("_tmax") - F.col("_tmin")) / (F.col("_m") - 1) / F.lit(US)),
-    }).withColumn("_bin", ft._entropy_bin())
+    r = rows.join(bc(means), FLOW_KEY).withColumns(ft.centres()).withColumn("_bin", ft._entropy_bin())
     plain = r.groupBy(*FLOW_KEY).agg(
         ft._first_domain_from_cols().alias("dst_domain"),
         F.count(F.lit(1)).alias("_n"), F.max("ts_us").alias("_tmax"), F.min("ts_us").alias("_tmin"),
         F.sum(F.when(F.col("ts_us").isNotNull()
                      & hour_of_day_utc("ts_us").between(*OFF_HOURS), 1).otherwise(0)).alias("_off"),
         F.sum("_tot").alias("_stot"), F.max("_tot").alias("_maxtot"),
-        F.sum((F.col("_tot") - F.col("_mtot")) * (F.col("_tot") - F.col("_mtot"))).alias("_sstot"),
+        *[F.expr(e) for e in ft.volume_moments()],
         F.sum("_sent").alias("_ssent"), F.sum("_recv").alias("_srecv"),
         F.max("_hi").alias("_hi"), F.max("_lo").alias("_lo"),
         *[F.count_if(F.col("_bin") == F.lit(b)).alias(f"_b{b}") for b in range(ENTROPY_BINS)],
         ft.exact_sum("_dur").alias("_sdur"),
-        F.sum((F.col("_dur") - F.col("_mdur")) * (F.col("_dur") - F.col("_mdur"))).alias("_ssdur"),
         F.sum("_failed").alias("_sfailed"), F.sum("_dns").alias("_sdns"),
     )
 
@@ -182,23 +177,21 @@ def hot_features(hot_rows: DataFrame, hot: DataFrame, hot_flow_rows: int, n_hot:
     # -- delta statistics through a (flow, delta) value-count aggregate --------
     vc = deltas.where(F.col("_d_us").isNotNull()).groupBy(*FLOW_KEY, "_d_us").agg(
         F.count(F.lit(1)).alias("_cnt"),
-        *[F.sum(F.col(f"_dl{k}") / F.lit(US)).alias(f"_sdl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)],
+        *[F.sum(F.col(f"_dl{k}").cast("decimal(19,0)")).alias(f"_sdl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)],
         *[F.count(f"_dl{k}").alias(f"_cdl{k}") for k in range(1, AUTOCORR_MAX_LAG + 1)])
     vc = vc.checkpoint(eager=True)
     med = weighted_median(vc, FLOW_KEY, "_d_us", "_cnt", hot_flow_rows).withColumnRenamed("median", "_med").checkpoint(eager=True)
     spread = (vc.join(bc(med), FLOW_KEY).groupBy(*FLOW_KEY, F.abs(F.col("_d_us") - F.col("_med")).alias("_dev"))
               .agg(F.sum("_cnt").alias("_cnt")))
     mad = weighted_median(spread, FLOW_KEY, "_dev", "_cnt", hot_flow_rows).withColumnRenamed("median", "_mad_us")
-    mu = hot.select(*FLOW_KEY, F.when(F.col("_m") > 1, (F.col("_tmax") - F.col("_tmin"))
-                                      / (F.col("_m") - 1) / F.lit(US)).alias("_mu"))
-    v = vc.join(bc(mu), FLOW_KEY)
-    c = F.col("_d_us") / F.lit(US) - F.col("_mu")
-    dstats = v.groupBy(*FLOW_KEY).agg(
-        F.sum("_cnt").alias("_L"),
-        F.sum(F.col("_cnt") * c * c).alias("_var"),
-        *[F.sum(c * (F.col(f"_sdl{k}") - F.col("_mu") * F.col(f"_cdl{k}"))).alias(f"_ac{k}")
-          for k in range(1, AUTOCORR_MAX_LAG + 1)])
+    v = vc.join(bc(hot.withColumns({"_stot": F.lit(0), "_sdur": F.lit(0)}).withColumns(ft.centres()).select(*FLOW_KEY, "_md")), FLOW_KEY)
+    lags = range(1, AUTOCORR_MAX_LAG + 1)
+    c = "cast(_d_us - _md as decimal(19,0))"
+    dstats = v.groupBy(*FLOW_KEY).agg(*[F.expr(e) for e in (
+        "sum(_cnt) as _L", "max(_md) as _md", f"sum({c} * {c} * cast(_cnt as decimal(19,0))) as _qd",
+        *[f"sum({c} * (_sdl{k} - cast(_md as decimal(19,0)) * cast(_cdl{k} as decimal(19,0)))) as _p{k}" for k in lags],
+        *[f"sum({c} * cast(_cdl{k} as decimal(19,0)) + _sdl{k} - cast(_md as decimal(19,0)) * cast(_cdl{k} as decimal(19,0))) as _s{k}"
+          for k in lags])])
     out = (plain.join(dstats, FLOW_KEY, "left").join(mad, FLOW_KEY, "left")
-           .withColumns({"_L": F.coalesce(F.col("_L"), F.lit(0).cast("bigint")),
-                         "_var": F.coalesce(F.col("_var"), F.lit(0.0))}))
+           .withColumn("_L", F.coalesce(F.col("_L"), F.lit(0).cast("bigint"))))
     return ft.finish_features(out)

@@ -2,16 +2,17 @@
 
 Every query reads the driver's tables at ``sf_dir`` (through the adapters in
 ``beatline.sources.testdata``) and runs over them whole.  ``oracle`` is the
-DuckDB statement of the same result.  Decoding bytes is covered by pytest.
+DuckDB statement of the same result.
 Float outputs are rounded to 6 digits with the same arithmetic on both sides.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -670,6 +671,74 @@ def _rollup(spark, sf) -> DataFrame:
     return packets_to_flows(td.packets(spark, sf))
 
 
+# Captures are written from the tables (S1 lists them), then read back; ranges are small, so files are cut.
+_CUT_BYTES = 256 << 10
+_CAPTURED = _PK + [("wr", td.CAPTURED_SQL)]
+
+
+def _read_back(spark, sf) -> dict[str, DataFrame]:
+    from beatline.sources.captures import read_captures
+    return read_captures(spark, td.write_events_as_captures(spark, sf), piece_bytes=_CUT_BYTES)
+
+
+def _named(df: DataFrame) -> DataFrame:
+    from beatline.sources.capture_source import base_name
+    return df.withColumn("file", base_name(F.col("file")))
+
+
+_DNS_FILES = [("dn", O.duckdb_views()["dns"]), ("df", f"""
+select concat('dns_', cast(no_ as varchar(9)), case when no_ % 2 = 0 then '.pcap' else '.pcapng' end) as file,
+  row_number() over (partition by no_ order by packet_idx) - 1 as place, ip, domain
+from (select dn.*, cast(floor(packet_idx / {td.PAGES_PER_CAPTURE}.0) as bigint) as no_ from dn) t""")]
+
+
+@register("s1_capture_files", O.with_(_CAPTURED + _DNS_FILES, """
+select file, cast(sum(frames_) as bigint) as n_total, cast(count(*) as bigint) as n_parsed from wr group by file
+union all select file, count(*), count(*) from df group by file"""))
+def q_s1(spark, sf):
+    """Every capture of a directory, pcap and pcapng, with its frames and IP packets."""
+    return _named(_read_back(spark, sf)["stats"]).select("file", "n_total", "n_parsed")
+
+
+@register("s2_capture_packets", O.with_(_CAPTURED + _DNS_FILES, """
+select file, cast(place as bigint) as packet_idx, src_ip, dst_ip, dst_port, ts_us, cast(packet_size as integer) as packet_size,
+  protocol, has_dns_lookup from wr"""))
+def q_s2(spark, sf):
+    """Packets decoded from captures that were cut at any byte."""
+    packets = _named(_read_back(spark, sf)["packets"]).where(F.col("file").startswith("ev_"))
+    return packets.select("file", "packet_idx", "src_ip", "dst_ip", "dst_port", "ts_us", "packet_size", "protocol", "has_dns_lookup")
+
+
+@register("s2_capture_scan", O.with_(_CAPTURED, """
+select file, cast(place as bigint) as packet_idx, src_ip, ts_us from wr
+where dst_port = 8443 and protocol = 'TCP' and ts_us >= 1704067800000000"""))
+def q_s2_scan(spark, sf):
+    """The registered source reads planned ranges; port, protocol and time are pushed into the scan."""
+    from beatline.session import scratch_path
+    from beatline.sources.capture_source import register as register_source
+    from beatline.sources.capture_source import save_plan
+    register_source(spark)
+    plan = save_plan(spark, td.write_events_as_captures(spark, sf), scratch_path(spark, f"plan-{uuid.uuid4().hex}"), _CUT_BYTES)
+    rows = spark.read.format("captures").option("plan", plan).load()
+    found = rows.where((F.col("kind") == "packet") & (F.col("dst_port") == 8443) & (F.col("protocol") == "TCP")
+                       & (F.col("ts_us") >= 1704067800000000))
+    return _named(found).select("file", "packet_idx", "src_ip", "ts_us")
+
+
+@register("s3_dns_answers", O.with_(_DNS_FILES, """
+select file, place as packet_idx, 0 as answer_idx, ip, domain from df"""))
+def q_s3(spark, sf):
+    """S3: DNS A answers decoded from captures."""
+    return _named(_read_back(spark, sf)["dns_answers"]).select("file", "packet_idx", "answer_idx", "ip", "domain")
+
+
+@register("p14_non_ip_frames", O.with_(_CAPTURED, """
+select file, cast(sum(skipped_) as bigint) as n_skipped, cast(sum(errors_) as bigint) as n_errors from wr group by file"""))
+def q_p14(spark, sf):
+    """Frames that are not IP are left out and counted, cut ones too."""
+    return _named(_read_back(spark, sf)["stats"]).where(F.col("file").startswith("ev_")).select("file", "n_skipped", "n_errors")
+
+
 @register("a1_packet_rollup", O.with_(_ROLL, "select " + ", ".join(
     O.r6(c) + f" as {c}" if c == "connection_duration" else c for c in _ROLL_COLS) + " from pf"))
 def q_a1(spark, sf):
@@ -735,6 +804,9 @@ def _training_rows(spark, sf) -> DataFrame:
     return training_matrix(_scored(spark, sf).where(benign_for_training()))
 
 
+_SCALED = ["interval_cov", "mean_interval", "bytes_cov", "mean_bytes", "session_duration", "payload_entropy"]
+
+
 @register("a5_a6_training_stats", O.with_(_TRAIN, " union all ".join(
     f"select '{c}' as feature, {O.r6(f'avg(cast({c} as double))')} as mean, "
     f"{O.r6(f'stddev_samp(cast({c} as double))')} as std, {O.r6(f'stddev_pop(cast({c} as double))')} as pstd from tr"
@@ -758,6 +830,27 @@ def q_a7(spark, sf):
     return rounded(batch_bounds(_scored(spark, sf), "deterministic_score", threshold=70.0))
 
 
+@register("a6_scaled_features", O.with_(_TRAIN, f"select {KEYS}, " + ", ".join(
+    O.r6(f"(sc.{c} - (select avg(cast({c} as double)) from tr)) / (select case when stddev_pop(cast({c} as double)) > 0 "
+         f"then stddev_pop(cast({c} as double)) else 1.0 end from tr)") + f" as {c}" for c in _SCALED) + " from sc"))
+def q_a6(spark, sf):
+    """Features of every flow, less the mean and over the population std of the benign training rows."""
+    from beatline.operators.anomaly import scale, training_stats
+    scored = _scored(spark, sf)
+    scaler = training_stats(_training_rows(spark, sf), _SCALED)["scaler"]
+    return rounded(scale(scored, scaler).select(*FLOW_KEY, *_SCALED))
+
+
+@register("a7_raw_median", O.with_([("cx", O.duckdb_views()["cx"])], f"""select {O.r6('min(bytes_per_second)')} as min,
+  {O.r6('max(bytes_per_second)')} as max, {O.r6('median(bytes_per_second)')} as median, count(*) as n
+  from (select bytes_sent / (connection_duration + 0.001) as bytes_per_second from cx) t"""))
+def q_a7_raw(spark, sf):
+    """Exact median of an unrounded value of every record, almost all of them distinct."""
+    from beatline.operators.anomaly import batch_bounds
+    rate = F.col("bytes_sent") / (F.col("connection_duration") + F.lit(0.001).cast("double"))
+    return rounded(batch_bounds(_cx(spark, sf).select(rate.alias("bytes_per_second")), "bytes_per_second"))
+
+
 def _fitted(spark, sf):
     """The scored flows, computed once, and the forest fitted on the benign ones."""
     from beatline.operators import anomaly
@@ -935,6 +1028,19 @@ def q_k2(spark, sf):
     return rounded(load_saved(spark, path)[0].select(*FLOW_KEY, "deterministic_score", "final_verdict"))
 
 
+@register("k2_s11_saved_csv", O.with_(VERD, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score, num_connections,
+  final_verdict from (select *, row_number() over (partition by final_verdict order by deterministic_score desc, {KEYS}) as r_ from vd) t
+  where r_ <= 10"""))
+def q_k2_csv(spark, sf):
+    """Results saved as CSV come back typed, so the best ten of each verdict sort as numbers."""
+    from beatline.sources.connections import load_saved
+    from beatline.sources.sinks import save_results
+    path = save_results(_results_off(spark, sf), _scratch(spark, "k2-csv"), fmt="csv")
+    w = Window.partitionBy("final_verdict").orderBy(F.desc("deterministic_score"), *FLOW_KEY)
+    back = load_saved(spark, path, fmt="csv")[0].withColumn("r", F.row_number().over(w)).where("r <= 10")
+    return rounded(back.select(*FLOW_KEY, "deterministic_score", "num_connections", "final_verdict"))
+
+
 @register("k4_exported_alerts", O.with_(VERD, f"""select {KEYS}, {O.r6('deterministic_score')} as deterministic_score, final_verdict
   from vd where final_verdict in ('HIGH', 'MEDIUM')"""))
 def q_k4(spark, sf):

@@ -115,6 +115,10 @@ RESULT_COLUMNS = [
     "ml_explanation", "allowlist_reason",
 ]
 
+RESULT_SCHEMA = T.StructType([T.StructField(c, T.IntegerType() if c == "dst_port" else T.LongType() if c == "num_connections" else
+                                            T.DoubleType() if c in ("interval_cov", "mean_interval", "deterministic_score", "ml_score")
+                                            else T.StringType()) for c in RESULT_COLUMNS])
+
 # Verdict thresholds (strict comparisons).
 HIGH_THRESHOLD = 75.0
 MEDIUM_THRESHOLD = 40.0

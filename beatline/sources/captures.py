@@ -2,48 +2,48 @@
 
 * **S1** ``binaryFile`` lists the directory (not recursive) and keeps
   ``.pcap`` / ``.pcapng`` in any letter case.
-* **S2/S3** a first pass over the record headers cuts every file into pieces
-  of whole records, one task each; ``mapInPandas`` decodes them with a small
-  ``struct``-based reader and yields one row per IP packet, one per DNS A
-  answer and one counter row per piece (parsed / non-IP / malformed).
+* **S2/S3** files are cut at any byte.  A first pass plans: each task guesses the first
+  record of its range, follows the record headers to the range's end, and tells where the
+  chain goes on; a range whose guess is not where the chain before it ends is planned again
+  from there.  A second pass decodes the planned ranges with NumPy: one row per IP
+  packet, one per DNS A answer and one counter row per range (parsed / non-IP /
+  malformed).  ``capture_source`` offers the same scan as a registered data source.
 * **A1** rolls packets up per (file, src, dst, port, protocol): one window
   + aggregate on the same key (one exchange).
-* **A2** numbers flows by first appearance, offset per file: a count per
-  file (small), running offsets over the files, a rank inside each file.
+* **A2** numbers flows by first appearance over all files: ranges of
+  (file, first packet), a running number in each, offsets from the ranges' counts.
 * **J1** attaches the last DNS answer for the destination *of the same file*.
 """
 
 from __future__ import annotations
 
-import ipaddress
-import json
 import logging
 import mmap
 import struct
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 from urllib.parse import unquote, urlparse
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from beatline.functions.columns import round_half_up, strip_trailing_dots
+from beatline.session import checkpoint_dir, scratch_path
+from beatline.sources import capture_bytes as cb
 from beatline.sources.files import is_directory
 
 log = logging.getLogger(__name__)
 PIECE_BYTES = 128 << 20
+HEAD_BYTES = 1 << 16
 LOGGED_FILES = 20
+ROWS_PER_BATCH = 65_536
 
 # ---------------------------------------------------------------------------
-# Capture extensions and IP protocol names.
+# Capture extensions.
 # ---------------------------------------------------------------------------
 CAPTURE_EXTENSIONS = (".pcap", ".pcapng")
-PROTOCOL_NAMES = {1: "ICMP", 6: "TCP", 17: "UDP", 58: "ICMPv6"}
-DNS_PORTS = (53, 5353)
 
 DECODED_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),          # packet | dns | stats
@@ -64,249 +64,89 @@ DECODED_SCHEMA = T.StructType([
     T.StructField("n_skipped", T.LongType()),
     T.StructField("n_errors", T.LongType()),
 ])
+_ARROW = {"kind": pa.string(), "file": pa.string(), "packet_idx": pa.int64(), "answer_idx": pa.int32(), "src_ip": pa.string(),
+          "dst_ip": pa.string(), "dst_port": pa.int32(), "ts_us": pa.int64(), "packet_size": pa.int32(),
+          "protocol": pa.string(), "has_dns_lookup": pa.int32(), "ip": pa.string(), "domain": pa.string(),
+          "n_total": pa.int64(), "n_parsed": pa.int64(), "n_skipped": pa.int64(), "n_errors": pa.int64()}
+KINDS = frozenset(("packet", "dns", "stats"))
+
 
+# --- bytes of a file ------------------------------------------------------------
 
-# --- decoding (per-file helper run inside mapInPandas) --------------------------
+def is_local(uri: str) -> bool:
+    return urlparse(uri).scheme in ("", "file")
 
-@dataclass(frozen=True)
-class Piece:
-    """A run of whole records of one capture, and what reading them needs.
 
-    ``first`` is the number of the first record; ``order`` the byte order; ``units``
-    the time units per second; ``interfaces`` the (link type, units per second, snap
-    length) of a pcapng section so far, or the one of a pcap file.
-    """
-    start: int
-    end: int
-    first: int
-    ng: bool
-    order: str
-    interfaces: tuple
-
-    def text(self) -> str:
-        return json.dumps([self.start, self.end, self.first, self.ng, self.order, self.interfaces])
-
-    @staticmethod
-    def of(text: str) -> "Piece":
-        start, end, first, ng, order, interfaces = json.loads(text)
-        return Piece(start, end, first, ng, order, tuple(map(tuple, interfaces)))
-
-
-def whole(buf) -> Piece | None:
-    """The piece that covers a whole file; None for an empty one."""
-    if len(buf) < 4:
-        return None
-    magic = bytes(buf[:4])
-    if magic == b"\x0a\x0d\x0d\x0a":
-        return Piece(0, len(buf), 0, True, "<", ())
-    table = {b"\xd4\xc3\xb2\xa1": ("<", 10 ** 6), b"\xa1\xb2\xc3\xd4": (">", 10 ** 6),
-             b"\x4d\x3c\xb2\xa1": ("<", 10 ** 9), b"\xa1\xb2\x3c\x4d": (">", 10 ** 9)}
-    if magic not in table or len(buf) < 24:
-        raise ValueError("not a capture file")
-    order, units = table[magic]
-    link = struct.unpack(order + "I", buf[20:24])[0] & 0x0FFFFFFF
-    return Piece(24, len(buf), 0, False, order, ((link, units, 0),))
-
-
-def records(buf, piece: Piece, marks: int = 0):
-    """(ts_us, link type, frame bytes) of a piece; with ``marks`` the pieces of about so many bytes instead.
-
-    Marks read record headers only.
+def read_range(path: str, lo: int, hi: int):
+    """Bytes [lo, hi) of a file: mapped where the path is local, read through Arrow's file systems elsewhere."""
+    if hi <= lo:
+        return b""
+    if is_local(path):
+        with open(unquote(urlparse(path).path), "rb") as f:
+            return memoryview(mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ))[lo:hi]
+    from pyarrow.fs import FileSystem
+    fs, name = FileSystem.from_uri(path)
+    with fs.open_input_file(name) as f:
+        return f.read_at(hi - lo, lo)
+
+
+# --- decoding -------------------------------------------------------------------
+
+def _batch(n: int, path: str, kind: str, **columns) -> pa.RecordBatch:
+    fixed = {"kind": pa.array([kind] * n), "file": pa.array([path] * n, pa.string())}
+    return pa.RecordBatch.from_arrays(
+        [(fixed | columns)[c].cast(t) if c in fixed or c in columns else pa.nulls(n, t) for c, t in _ARROW.items()],
+        names=list(_ARROW))
+
+
+def decoded(path: str, buf, run: cb.Run, size: int, base: int = 0, first: int = 0, kinds: frozenset = KINDS,
+            keep: Callable | None = None, broken: bool = False) -> Iterator[pa.RecordBatch]:
+    """Rows of a run of records of one capture: packets, DNS answers, then one counter row.
+
+    ``first`` is the number of the run's first record in the file; ``keep`` leaves packets
+    out early (see ``capture_bytes.decode``).
     """
-    off, e, ifaces, first = piece.start, piece.order, list(piece.interfaces), piece.first
-    n, begin = first, (off, first, e, tuple(ifaces))
-
-    def cut(at: int) -> Piece:
-        return Piece(begin[0], at, begin[1], piece.ng, begin[2], begin[3])
-
-    while off + (12 if piece.ng else 16) <= piece.end:
-        if marks and off - begin[0] >= marks:
-            yield cut(off)
-            begin = (off, n, e, tuple(ifaces))
-        if not piece.ng:
-            sec, frac, incl, _orig = struct.unpack(e + "IIII", buf[off:off + 16])
-            link, units, _ = ifaces[0]
-            if not marks:
-                yield sec * 1_000_000 + frac * 1_000_000 // units, link, buf[off + 16:off + 16 + incl]
-            off, n = off + 16 + incl, n + 1
-            continue
-        btype = struct.unpack(e + "I", buf[off:off + 4])[0]
-        if btype == 0x0A0D0D0A:      # section header: byte order from its magic
-            e = "<" if bytes(buf[off + 8:off + 12]) == b"\x4d\x3c\x2b\x1a" else ">"
-            ifaces = []
-        btype, size = struct.unpack(e + "II", buf[off:off + 8])
-        if size < 12 or off + size > piece.end:
-            if marks:                # the piece that holds the fault reports it when it is decoded
-                break
-            raise ValueError("truncated block")
-        if btype == 1:
-            ifaces.append(_interface(buf[off + 8:off + size - 4], e))
-        elif btype in (3, 6):
-            n += 1
-            if not marks:
-                yield _block(btype, buf[off + 8:off + size - 4], e, ifaces)
-        off += size
-    if marks:
-        yield cut(piece.end)
-
-
-def _interface(body: bytes, e: str) -> tuple[int, int, int]:
-    """Link type, time units per second and snap length of an interface description."""
-    link, _, snap = struct.unpack(e + "HHI", body[0:8])
-    units, o = 1_000_000, 8
-    while o + 4 <= len(body):
-        code, size = struct.unpack(e + "HH", body[o:o + 4])
-        if code == 0:
-            break
-        if code == 9 and size >= 1:
-            v = body[o + 4]
-            units = 2 ** (v & 0x7F) if v & 0x80 else 10 ** v
-        o += 4 + ((size + 3) // 4) * 4
-    return link, units, snap
-
-
-def _block(btype: int, body: bytes, e: str, ifaces: list):
-    if btype == 6:                   # enhanced packet
-        iface, hi, lo, cap, _orig = struct.unpack(e + "IIIII", body[:20])
-        link, units, _ = ifaces[iface] if iface < len(ifaces) else (1, 1_000_000, 0)
-        return ((hi << 32) | lo) * 1_000_000 // units, link, body[20:20 + cap]
-    link, _, snap = ifaces[0] if ifaces else (1, 0, 0)
-    size = struct.unpack(e + "I", body[:4])[0]      # simple packet: no time stamp, padded to 4 bytes
-    return None, link, body[4:4 + (min(size, snap) if snap else size)]
-
-
-def _network_layer(linktype: int, data: bytes):
-    """(ethertype-ish version, offset of the IP header) or None for non-IP."""
-    if linktype == 1:                # Ethernet (+ VLAN tags)
-        if len(data) < 14:
-            return None
-        et, off = struct.unpack(">H", data[12:14])[0], 14
-        while et in (0x8100, 0x88A8) and len(data) >= off + 4:
-            et, off = struct.unpack(">H", data[off + 2:off + 4])[0], off + 4
-        return {0x0800: (4, off), 0x86DD: (6, off)}.get(et)
-    if linktype == 113:              # Linux cooked capture
-        if len(data) < 16:
-            return None
-        et = struct.unpack(">H", data[14:16])[0]
-        return {0x0800: (4, 16), 0x86DD: (6, 16)}.get(et)
-    if linktype in (101, 12, 14, 228, 229):   # raw IP
-        if not data:
-            return None
-        v = data[0] >> 4
-        return (v, 0) if v in (4, 6) else None
-    return None
-
-
-def _dns_answers(payload: bytes):
-    """A records of a DNS message, (ip, name) in answer order; a malformed one raises after those before it."""
-    if len(payload) < 12:
-        return
-    qd, an = struct.unpack(">HH", payload[4:8])
-
-    def name_at(o, depth=0):
-        labels = []
-        while True:
-            ln = payload[o]
-            if ln == 0:
-                return ".".join(labels) + ".", o + 1
-            if ln & 0xC0 == 0xC0:
-                ptr = struct.unpack(">H", payload[o:o + 2])[0] & 0x3FFF
-                if depth > 16:
-                    raise ValueError("loop")
-                rest, _ = name_at(ptr, depth + 1)
-                labels.append(rest[:-1]) if rest != "." else None
-                return ".".join(labels) + ".", o + 2
-            labels.append(payload[o + 1:o + 1 + ln].decode("utf-8", "replace"))
-            o += 1 + ln
-
-    o = 12
-    for _ in range(qd):
-        _, o = name_at(o)
-        o += 4
-    for _ in range(an):
-        name, o = name_at(o)
-        rtype, _cls, _ttl, rdlen = struct.unpack(">HHIH", payload[o:o + 10])
-        o += 10
-        if rtype == 1 and rdlen == 4:
-            if len(payload) < o + 4:
-                raise ValueError("truncated answer")
-            yield ".".join(str(b) for b in payload[o:o + 4]), name
-        o += rdlen
-
-
-def iter_capture_rows(path: str, content, piece: Piece | None = None) -> Iterator[dict]:
-    """Decoded rows of one capture (or one piece of it), streamed: packets, DNS answers,
-    then one counter row (total / parsed / non-IP skipped / malformed)."""
-    total = parsed = errors = bad_file = 0
+    parsed = errors = 0
+    for p in cb.decode(buf, run, size, base, keep, ROWS_PER_BATCH):
+        n = len(p.index)
+        parsed, errors = parsed + n, errors + p.errors
+        index = p.index + first
+        if n and "packet" in kinds:
+            yield _batch(n, path, "packet", packet_idx=pa.array(index), src_ip=p.src, dst_ip=p.dst, dst_port=pa.array(p.port),
+                         ts_us=p.ts, packet_size=pa.array(p.size), protocol=p.protocol, has_dns_lookup=pa.array(p.dns))
+        if "dns" in kinds and p.dns.any():
+            found = []
+            for k in p.dns.nonzero()[0]:
+                try:
+                    for a, (ip, name) in enumerate(cb.dns_answers(bytes(buf[int(p.payload[k]):int(p.stop[k])]))):
+                        found.append((int(index[k]), a, ip, name))
+                except (ValueError, struct.error, IndexError, RecursionError):     # answers before the fault stay
+                    pass
+            if found:
+                at, a, ip, name = (pa.array(list(c)) for c in zip(*found))
+                yield _batch(len(found), path, "dns", packet_idx=at, answer_idx=a, ip=ip, domain=name)
+    if "stats" in kinds:
+        total = len(run.offsets)
+        yield _batch(1, path, "stats", n_total=pa.array([total]), n_parsed=pa.array([parsed]),
+                     n_skipped=pa.array([total - parsed - errors]), n_errors=pa.array([errors + (broken or run.broken)]))
+
+
+def decode_whole(path: str, content) -> Iterator[pa.RecordBatch]:
+    """Rows of a capture held in memory."""
+    size = len(content)
     try:
-        piece = piece or whole(content)
-        found = records(content, piece) if piece else iter(())
+        start = cb.opened(content[:24])
     except ValueError:
-        bad_file, found = 1, iter(())
-    while True:
-        try:
-            rec = next(found)
-        except StopIteration:
-            break
-        except (ValueError, struct.error, IndexError):     # truncated file: keep what was read, and count it
-            bad_file = 1
-            break
-        idx, (ts_us, linktype, data) = piece.first + total, rec
-        total += 1
-        try:
-            net = _network_layer(linktype, data)
-            if net is None:
-                continue
-            ver, off = net
-            if ver == 4:
-                ihl = (data[off] & 0x0F) * 4
-                proto = data[off + 9]
-                src = str(ipaddress.IPv4Address(data[off + 12:off + 16]))
-                dst = str(ipaddress.IPv4Address(data[off + 16:off + 20]))
-                l4, layer = off + ihl, proto
-                later = struct.unpack(">H", data[off + 6:off + 8])[0] & 0x1FFF   # fragment offset
-            else:
-                proto = data[off + 6]
-                src = str(ipaddress.IPv6Address(data[off + 8:off + 24]))
-                dst = str(ipaddress.IPv6Address(data[off + 24:off + 40]))
-                l4, layer, later = off + 40, proto, 0
-                while layer in (0, 43, 60, 44) and l4 + 8 <= len(data) and not later:
-                    nxt = data[l4]
-                    if layer == 44:
-                        later = struct.unpack(">H", data[l4 + 2:l4 + 4])[0] >> 3
-                    l4 += 8 if layer == 44 else (data[l4 + 1] + 1) * 8
-                    layer = nxt
-            name = PROTOCOL_NAMES.get(proto, f"OTHER({proto})")
-            dport, sport, has_dns, payload = 0, 0, 0, b""
-            if later:                # not the first fragment: no header of the next layer
-                pass
-            elif layer in (6, 17) and len(data) >= l4 + 4:
-                sport, dport = struct.unpack(">HH", data[l4:l4 + 4])
-                name = "TCP" if layer == 6 else "UDP"
-                if layer == 17:
-                    payload = data[l4 + 8:]
-                elif len(data) >= l4 + 13:
-                    payload = data[l4 + ((data[l4 + 12] >> 4) * 4) + 2:]   # DNS over TCP: length prefix
-                has_dns = int((sport in DNS_PORTS or dport in DNS_PORTS) and len(payload) >= 12)
-            elif ver == 4 and proto == 1:
-                name = "ICMP"
-            row = {"kind": "packet", "file": path, "packet_idx": idx, "src_ip": src, "dst_ip": dst,
-                   "dst_port": int(dport), "ts_us": ts_us, "packet_size": len(data), "protocol": name,
-                   "has_dns_lookup": has_dns}
-        except Exception:  # noqa: BLE001 — malformed packet: counted, skipped
-            errors += 1
-            continue
-        parsed += 1
-        yield row
-        if has_dns:
-            try:
-                for a_idx, (ip, dom) in enumerate(_dns_answers(payload)):
-                    yield {"kind": "dns", "file": path, "packet_idx": idx, "answer_idx": a_idx, "ip": ip,
-                           "domain": dom}
-            except (ValueError, struct.error, IndexError, RecursionError):   # answers before the fault stay
-                pass
-    yield {"kind": "stats", "file": path, "n_total": total, "n_parsed": parsed,
-           "n_skipped": total - parsed - errors, "n_errors": errors + bad_file}
+        yield from decoded(path, content, cb.NOTHING, size, broken=True)
+        return
+    yield from decoded(path, content, cb.walk(content, start[0], size, size, start[1]) if start else cb.NOTHING, size)
+
+
+def iter_capture_rows(path: str, content) -> Iterator[dict]:
+    """:func:`decode_whole` as dicts without the empty cells (small files and tests)."""
+    for b in decode_whole(path, content):
+        for row in b.to_pylist():
+            yield {k: v for k, v in row.items() if v is not None or k == "ts_us" and row["kind"] == "packet"}
 
 
 def decode_capture(path: str, content) -> list[dict]:
@@ -314,66 +154,120 @@ def decode_capture(path: str, content) -> list[dict]:
     return list(iter_capture_rows(path, content))
 
 
-def _is_local(uri: str) -> bool:
-    return urlparse(uri).scheme in ("", "file")
+def _decode_contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for path, content in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            yield from decode_whole(path, content)
 
 
-@contextmanager
-def _bytes(path: str, content):
-    """A capture's bytes: the column, or the file memory-mapped (pages are read as they are walked)."""
-    if content is not None:
-        yield bytes(content)
-        return
-    if not _is_local(path):
-        raise ValueError(f"path decoding needs a mounted file system path, got {path!r}")
-    with open(unquote(urlparse(path).path), "rb") as f:
-        try:
-            buf = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
-        except ValueError:                 # empty file
-            yield b""
-            return
+# --- planning -------------------------------------------------------------------
+
+PLAN = ("path string, length long, split long, lo long, hi long, first long, next long, before string, "
+        "context string, n long, broken boolean")
+_PLAN = {"path": pa.string(), "length": pa.int64(), "split": pa.int64(), "lo": pa.int64(), "hi": pa.int64(), "first": pa.int64(),
+         "next": pa.int64(), "before": pa.string(), "context": pa.string(), "n": pa.int64(), "broken": pa.bool_()}
+
+
+def plan_range(path: str, size: int, lo: int, hi: int, due: int | None = None, context: str | None = None) -> tuple:
+    """(first, next, context before, context after, records, broken) of the records that begin in [lo, hi).
+
+    ``due`` and ``context`` say where the chain of the range before ended; without them
+    the first range starts behind the file header and others are guessed.
+    """
+    none = (None, None, None, None, 0, False)
+    if due is None:
+        head = read_range(path, 0, min(size, HEAD_BYTES))
         try:
-            yield buf
-        finally:
-            buf.close()
+            start = cb.opened(head[:24])
+        except ValueError:
+            return none if lo else (None, size, None, None, 0, True)
+        if start is None:
+            return none
+        due, known = start
+        if not lo and due >= hi:                   # a range shorter than the file header
+            return None, due, known.text(), known.text(), 0, False
+        if lo:                                     # as after the blocks before the file's first packet
+            run = cb.walk(head, due, len(head), len(head), known)
+            known = [c for at, c in run.epochs if at == 0][-1]
+            buf = read_range(path, lo, min(size, hi + cb.WINDOW))
+            due = cb.resync(buf, lo, hi, size, known, lo)
+            if due is None:
+                return none
+    else:
+        known = cb.Context.of(context)
+    if due >= hi:
+        return none
+    run = cb.walk(read_range(path, due, min(size, hi + cb.WINDOW)), due, hi, size, known, due)
+    return due, run.end, known.text(), run.context.text(), len(run.offsets), run.broken
+
+
+def _plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = [(*r[:5], *plan_range(r[0], r[1], *r[3:])) for r in zip(*(c.to_pylist() for c in b.columns))]
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), _PLAN.values())], names=list(_PLAN))
+
+
+def _spread(ranges: DataFrame) -> DataFrame:
+    """A task per range."""
+    return ranges.repartitionByRange(max(1, ranges.count()), "path", "split")
+
+
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def plan_captures(files: DataFrame, piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """Ranges of about ``piece_bytes`` of every file (path, length) and the records each owns.
+
+    A guess is right when it is where the chain of the ranges before ended, under the same
+    byte order and interfaces.  Ranges with another one are planned again from there, until
+    none is left; each round settles the first wrong range of every file at least.
+    ``base`` is the number of the range's first record.
+    """
+    step = F.lit(int(piece_bytes))
+    split = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.expr(f"(length - 1) div {int(piece_bytes)}"), F.lit(0)).cast("long")))
+    ranges = files.select("path", "length", split.alias("split")).select(
+        "path", "length", "split", (F.col("split") * step).alias("lo"), F.least((F.col("split") + 1) * step, F.col("length")).alias("hi"),
+        F.lit(None).cast("long").alias("due"), F.lit(None).cast("string").alias("known"))
+    plan = _written(_spread(ranges).mapInArrow(_plan, PLAN), "capture-plan")
+    before = Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    while True:
+        seen = plan.withColumns({"due": F.max("next").over(before), "known": F.last("context", True).over(before),
+                                 "over": F.coalesce(F.max("broken").over(before), F.lit(False)),
+                                 "base": F.coalesce(F.sum("n").over(before), F.lit(0))})
+        due = F.when(F.col("over"), F.col("length")).otherwise(F.col("due"))
+        wrong = F.when(due >= F.col("hi"), F.col("first").isNotNull()).otherwise(
+            ~F.col("first").eqNullSafe(due) | ~F.col("before").eqNullSafe(F.col("known")))
+        seen = seen.withColumn("wrong", (F.col("split") > 0) & F.col("due").isNotNull() & wrong).withColumn("due", due)
+        again = _written(seen, "capture-plan")
+        if not again.where("wrong").limit(1).count():
+            return again.select("path", "length", "split", "lo", "hi", "first", "next", F.col("before").alias("context"),
+                                "n", "broken", "base")
+        redone = _spread(again.where("wrong").select("path", "length", "split", "lo", "hi", "due", "known")).mapInArrow(_plan, PLAN)
+        plan = _written(again.where("not wrong").select(*plan.columns).unionByName(redone), "capture-plan")
 
 
-ROWS_PER_BATCH = 65_536
+def decode_range(path: str, size: int, hi: int, first: int | None, end: int | None, context: str | None, broken: bool, base: int,
+                 kinds: frozenset = KINDS, keep: Callable | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows of a planned range."""
+    if first is None:
+        run, buf, first = cb.NOTHING, b"", 0
+    else:
+        buf = read_range(path, first, min(size, hi + cb.WINDOW if broken else max(end, first + 16)))
+        run = cb.walk(buf, first, hi, size, cb.Context.of(context), first)
+    yield from decoded(path, buf, run, size, first, base, kinds, keep, broken)
 
 
-def _decode_batches(batches):
-    cols = [f.name for f in DECODED_SCHEMA.fields]
-
-    def frame(rows):
-        df = pd.DataFrame(rows, columns=cols).astype(object)
-        # object columns with None (not NaN) convert to nullable Arrow ints
-        return df.where(pd.notna(df), None)
-
-    for pdf in batches:
-        buf = []
-        for r in pdf.to_dict("records"):
-            with _bytes(r["path"], r.get("content")) as content:
-                for row in iter_capture_rows(r["path"], content, Piece.of(r["piece"]) if r.get("piece") else None):
-                    buf.append(row)
-                    if len(buf) >= ROWS_PER_BATCH:
-                        yield frame(buf)
-                        buf = []
-        if buf:
-            yield frame(buf)
-
-
-def _pieces(size: int):
-    def run(batches):
-        for pdf in batches:
-            for path in pdf["path"]:
-                with _bytes(path, None) as buf:
-                    try:
-                        one = whole(buf)
-                        found = [p.text() for p in records(buf, one, size)] if one else [None]
-                    except ValueError:     # not a capture: decoding counts it
-                        found = [None]
-                yield pd.DataFrame({"path": [path] * len(found), "piece": found})
-    return run
+RANGE = ["path", "length", "hi", "first", "next", "context", "broken", "base"]
+
+
+def _decode_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns)):
+            yield from decode_range(*r)
 
 
 # --- S1–S3 ----------------------------------------------------------------------
@@ -391,20 +285,16 @@ def list_captures(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def decode(files: DataFrame, by_path: bool = True, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """Decoded rows of every capture, one piece of a file per task.
+    """Decoded rows of every capture, one range of a file per task.
 
-    ``by_path``: captures on a file system that every executor mounts.  A first pass
-    walks the record headers and cuts files into pieces of about ``piece_bytes``; each
-    task maps its piece into memory.  Otherwise the bytes come through Spark
+    ``by_path``: captures that every executor can open (mounted, or through Arrow's file
+    systems), cut into ranges of ``piece_bytes``.  Otherwise the bytes come through Spark
     (``content``), one whole file per row, which Spark limits to 2 GB a file.
     """
     if not by_path:
-        return files.select("path", "content").mapInPandas(_decode_batches, DECODED_SCHEMA)
-    paths = files.select("path")
-    n = max(1, paths.count())
-    pieces = paths.repartitionByRange(n, "path").mapInPandas(_pieces(piece_bytes), "path string, piece string")
-    pieces = pieces.checkpoint(eager=True)
-    return pieces.repartitionByRange(max(1, pieces.count()), "path", "piece").mapInPandas(_decode_batches, DECODED_SCHEMA)
+        return files.select("path", "content").mapInArrow(_decode_contents, DECODED_SCHEMA)
+    return _spread(plan_captures(files.select("path", "length"), piece_bytes).where("split = 0 or first is not null")).select(
+        *RANGE).mapInArrow(_decode_ranges, DECODED_SCHEMA)
 
 
 def read_captures(spark: SparkSession, directory: str, by_path: bool | None = None,
@@ -416,21 +306,24 @@ def read_captures(spark: SparkSession, directory: str, by_path: bool | None = No
     folder; each table reads its own part.  ``stats.n_errors`` counts malformed
     packets and truncated or unreadable files.
     """
-    from beatline.session import checkpoint_dir, scratch_path
     checkpoint_dir(spark)
     files = list_captures(spark, directory)
     if by_path is None:
         by_path = files.select("path").where(~F.col("path").rlike("^(file:|/)")).limit(1).count() == 0
     out = scratch_path(spark, f"captures-{uuid.uuid4().hex}")
     decode(files, by_path, piece_bytes).write.partitionBy("kind").parquet(out)
-    d = spark.read.schema(DECODED_SCHEMA).parquet(out)
-    packets = d.where(F.col("kind") == "packet").select(
+    return capture_parts(spark.read.schema(DECODED_SCHEMA).parquet(out))
+
+
+def capture_parts(rows: DataFrame) -> dict[str, DataFrame]:
+    """The ``packets``, ``dns_answers`` and ``stats`` tables of decoded rows."""
+    packets = rows.where(F.col("kind") == "packet").select(
         "file", "packet_idx", "src_ip", "dst_ip", "dst_port", "ts_us",
         F.timestamp_micros("ts_us").alias("timestamp"), "packet_size", "protocol", "has_dns_lookup")
-    dns = d.where(F.col("kind") == "dns").select("file", "packet_idx", "answer_idx", "ip",
-                                                 strip_trailing_dots("domain").alias("domain"))
+    dns = rows.where(F.col("kind") == "dns").select("file", "packet_idx", "answer_idx", "ip",
+                                                    strip_trailing_dots("domain").alias("domain"))
     counts = ["n_total", "n_parsed", "n_skipped", "n_errors"]
-    stats = d.where(F.col("kind") == "stats").groupBy("file").agg(*[F.sum(c).alias(c) for c in counts])
+    stats = rows.where(F.col("kind") == "stats").groupBy("file").agg(*[F.sum(c).alias(c) for c in counts])
     return {"packets": packets, "dns_answers": dns, "stats": stats}
 
 
@@ -500,16 +393,21 @@ def packets_to_flows(packets: DataFrame, hot_rows: int | None = HOT_TUPLE_ROWS)
 def number_flows(flows: DataFrame) -> DataFrame:
     """A2: ``flow_id = pcap_flow_%06d`` by first appearance, files in name order.
 
-    Offsets come from the per-file flow counts (a table with one row per
-    file); the rank inside a file is a window over that file's flows.
+    Flows are cut into ranges of (file, first packet, key), so a file of any size is
+    numbered by many tasks.  A flow's number is its place in its range plus the
+    number of flows in the ranges before: sums over one row per range.
     """
-    per_file = flows.groupBy("file").agg(F.count(F.lit(1)).alias("_cnt"))
-    offsets = per_file.select("file", (F.sum("_cnt").over(Window.orderBy("file")) - F.col("_cnt"))
-                              .alias("_offset"))
-    rank = F.row_number().over(Window.partitionBy("file").orderBy("_first_idx", *ROLLUP_KEY[1:]))
-    out = flows.join(offsets, "file").withColumn("_rank", rank)
-    return out.withColumn("flow_id", F.format_string("pcap_flow_%06d", F.col("_offset") + F.col("_rank") - 1)) \
-              .drop("_offset", "_rank")
+    order = ["file", "_first_idx", *ROLLUP_KEY[1:]]
+    checkpoint_dir(flows.sparkSession)
+    place = F.monotonically_increasing_id()          # the range's number << 33, plus the place in it
+    ranged = flows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place).checkpoint(eager=True)
+    part, rank = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = ranged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    return (ranged.withColumns({"_part": part, "_rank": rank}).join(F.broadcast(before), "_part")
+            .withColumn("flow_id", F.format_string("pcap_flow_%06d", F.col("_before") + F.col("_rank")))
+            .drop("_place", "_part", "_rank", "_before"))
 
 
 def latest_domains(dns: DataFrame) -> DataFrame:

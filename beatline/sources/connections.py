@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from beatline.schemas import CONNECTION_SCHEMA, FLOW_KEY, TRUTH_SCHEMA
+from beatline.schemas import CONNECTION_SCHEMA, FLOW_KEY, RESULT_SCHEMA, TRUTH_SCHEMA
 from beatline.sources.files import exists, list_files, read_csv_by_name, typed
 
 PREFERRED_FILE = "parsed_connections.csv"
@@ -63,12 +64,22 @@ def load_ground_truth(spark: SparkSession, path: str, fmt: str = "csv") -> DataF
 
 def load_saved(spark: SparkSession, results_path: str, connections_path: str | None = None,
                fmt: str = "parquet") -> tuple[DataFrame, DataFrame | None]:
-    """Reload saved results (and connections) for investigation."""
-    reader = spark.read.parquet if fmt == "parquet" else spark.read.option("header", True).csv
-    res = reader(results_path)
-    con = None
-    if connections_path:
-        con = reader(connections_path)
-        if "timestamp" in con.columns and fmt != "parquet":
-            con = con.withColumn("timestamp", F.to_timestamp("timestamp"))
-    return res, con
+    """Reload saved results (and connections) for investigation.
+
+    CSV columns get the types they were saved with, by name; empty cells of text columns come
+    back as '' and columns without a known type as text.  ``results_path`` may hold one folder
+    per verdict.
+    """
+    if fmt == "parquet":
+        return spark.read.parquet(results_path), spark.read.parquet(connections_path) if connections_path else None
+
+    def scan(path: str) -> DataFrame:
+        # partition folders name a column too: text, like the rest
+        return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+
+    def filled(df: DataFrame) -> DataFrame:
+        return df.fillna("", [f.name for f in df.schema.fields if f.dataType.simpleString() == "string"])
+    results = scan(results_path)
+    known = StructType([f for f in RESULT_SCHEMA.fields if f.name in results.columns])
+    con = typed(scan(connections_path), CONNECTION_SCHEMA, tuple(FLOW_KEY), "connections") if connections_path else None
+    return filled(typed(results, known, tuple(FLOW_KEY), "results")), con

@@ -9,7 +9,13 @@ for DuckDB (the oracle), so both engines start from identical rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from beatline.session import scratch_path
+from beatline.sources.capture_source import write_captures
 
 # events.ts is timestamp_ntz; its wall clock is read as UTC.  Spark: built from
 # date and time-of-day parts, which ignore the session time zone.
@@ -177,3 +183,81 @@ def dns_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def baseline_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(BASELINE_SQL, lineitem=_table(spark, sf_dir, "lineitem"))
+
+
+# --- captures -------------------------------------------------------------------
+
+EVENTS_PER_CAPTURE = 2500
+PAGES_PER_CAPTURE = 500
+
+#: Where each packet of ``pk`` stands when it is written: its file, and its place among the file's frames.
+CAPTURED_SQL = f"""
+select concat('ev_', cast(no_ as varchar(9)), case when no_ % 2 = 0 then '.pcap' else '.pcapng' end) as file,
+  sum(frames_) over (partition by no_ order by packet_idx rows unbounded preceding) - frames_ as place,
+  frames_, case when packet_idx % 11 = 0 then 1 else 0 end as skipped_, case when packet_idx % 13 = 5 then 1 else 0 end as errors_,
+  packet_idx as event_id, src_ip, dst_ip, dst_port, ts_us, packet_size + 100 as packet_size, protocol, has_dns_lookup
+from (select pk.*, cast(floor(packet_idx / {EVENTS_PER_CAPTURE}.0) as bigint) as no_,
+        1 + case when packet_idx % 11 = 0 then 1 else 0 end + case when packet_idx % 13 = 5 then 1 else 0 end as frames_
+      from pk) t
+"""
+
+
+def _hex(value: Column, digits: int) -> Column:
+    return F.lpad(F.hex(value), digits, "0")
+
+
+def _address(ip: Column) -> Column:
+    return F.array_join(F.transform(F.split(ip, r"\."), lambda x: _hex(x.cast("int"), 2)), "")
+
+
+def _ethernet(kind: str) -> str:
+    return "001122334455" + "66778899AABB" + kind
+
+
+def _ipv4(protocol: Column, src: Column, dst: Column, payload: Column, size: Column) -> Column:
+    """An IPv4 packet in hexadecimal; ``size`` is the payload's bytes."""
+    return F.concat(F.lit("4500"), _hex(size + 20, 4), F.lit("0000000040"), protocol, F.lit("0000"), _address(src),
+                    _address(dst), payload)
+
+
+def capture_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, place, ts_us, frame): Ethernet frames of ``events`` and of DNS answers from ``pages``.
+
+    Every event is one packet of its size plus 100 bytes, one in ten behind a VLAN tag;
+    some are followed by a frame that is not IP or by a cut one.
+    """
+    p = packets(spark, sf_dir)
+    no = F.expr(f"packet_idx div {EVENTS_PER_CAPTURE}")
+    name = F.concat(F.lit("ev_"), no.cast("string"), F.when(no % 2 == 0, ".pcap").otherwise(".pcapng"))
+    tag = F.when(F.col("packet_idx") % 10 == 3, F.lit("8100000108" + "00")).otherwise(F.lit("0800"))
+    tcp = F.col("protocol") == "TCP"
+    room = (F.col("packet_size") + 100 - 14 - F.when(F.col("packet_idx") % 10 == 3, 4).otherwise(0) - 20).cast("int")
+    ports = F.concat(F.when(F.col("has_dns_lookup") == 1, F.lit("0035")).otherwise(F.lit("9C40")), _hex(F.col("dst_port"), 4))
+    segment = F.when(tcp, F.concat(ports, F.lit("00000000" * 2 + "50020400" + "00000000"), F.repeat(F.lit("00"), room - 20))) \
+        .otherwise(F.concat(ports, _hex(room, 4), F.lit("0000"), F.repeat(F.lit("00"), room - 8)))
+    packet = F.concat(F.lit(_ethernet("")), tag, _ipv4(F.when(tcp, F.lit("06")).otherwise(F.lit("11")), F.col("src_ip"),
+                                                       F.col("dst_ip"), segment, room))
+    others = F.array(packet, F.when(F.col("packet_idx") % 11 == 0, F.lit(_ethernet("0806") + "00" * 28)),
+                     F.when(F.col("packet_idx") % 13 == 5, F.lit(_ethernet("0800") + "450000")))
+    events = p.select(name.alias("file"), F.posexplode(others).alias("part", "frame"), "packet_idx", "ts_us").where("frame is not null")
+    d = dns_answers(spark, sf_dir)
+    dno = F.expr(f"packet_idx div {PAGES_PER_CAPTURE}")
+    labels = F.transform(F.split("domain", r"\."), lambda x: F.concat(_hex(F.octet_length(x), 2), F.hex(x.cast("binary"))))
+    asked = F.concat(F.array_join(labels, ""), F.lit("0000010001"))
+    message = F.concat(F.lit("000781800001000100000000"), asked, F.lit("C00C000100010000003C0004"), _address(F.col("ip")))
+    size = (F.length(message) / 2 + 8).cast("int")
+    udp = F.concat(F.lit("00359C40"), _hex(size, 4), F.lit("0000"), message)
+    pages = d.select(
+        F.concat(F.lit("dns_"), dno.cast("string"), F.when(dno % 2 == 0, ".pcap").otherwise(".pcapng")).alias("file"),
+        F.lit(0).alias("part"),
+        F.concat(F.lit(_ethernet("0800")), _ipv4(F.lit("11"), F.lit("8.8.8.8"), F.lit("10.0.0.1"), udp, size)).alias("frame"),
+        "packet_idx", (F.lit(1704067200000000) + F.col("packet_idx") * 1000).alias("ts_us"))
+    both = events.unionByName(pages)
+    return both.select("file", F.col("packet_idx").alias("place"), "part", "ts_us", F.unhex("frame").alias("frame"))
+
+
+def write_events_as_captures(spark: SparkSession, sf_dir: str) -> str:
+    """Write :func:`capture_frames` as pcap and pcapng files into a new shared folder."""
+    out = scratch_path(spark, f"capture-files-{uuid.uuid4().hex}")
+    write_captures(capture_frames(spark, sf_dir), out, ["place", "part"])
+    return out

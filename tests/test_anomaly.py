@@ -1,5 +1,8 @@
+import random
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from beatline.operators import anomaly
 from beatline.schemas import ML_FEATURES
@@ -105,3 +108,38 @@ def test_tree_hashes_are_uniform(spark):
     for _, g in s.groupby("_tree"):
         cells = np.bincount((g["_h"].to_numpy() / anomaly.HASH_SPACE * 50).astype(int), minlength=50)
         assert ((cells - 800) ** 2 / 800).sum() < 100
+
+
+def test_training_stats_do_not_depend_on_the_order_of_rows(spark):
+    from beatline.operators.anomaly import training_matrix, training_stats
+    rng = random.Random(3)
+    rows = [(i, 10.0 ** rng.uniform(-6, 6), rng.random(), rng.choice([0.1, 0.3, 1 / 3])) for i in range(3000)]
+    base = spark.createDataFrame(rows, "row_id long, mean_interval double, interval_cov double, payload_entropy double")
+    found = [training_stats(training_matrix(base.repartition(n).orderBy(F.rand(n)))) for n in (1, 5, 37)]
+    assert found[0] == found[1] == found[2]
+    x = np.array([r[1] for r in rows])
+    assert np.allclose(found[0]["stats"]["mean_interval"], (x.mean(), x.std(ddof=1)), rtol=1e-12)
+    assert np.isclose(found[0]["scaler"]["mean_interval"][1], x.std(), rtol=1e-12) and found[0]["scaler"]["mean_bytes"] == (0.0, 1.0)
+
+
+def test_scaled_features_have_mean_zero_and_unit_deviation(spark):
+    from beatline.operators.anomaly import scale, training_matrix, training_stats
+    rows = [(i, float(i % 17), 3.0) for i in range(500)]
+    train = training_matrix(spark.createDataFrame(rows, "row_id long, mean_interval double, std_interval double"))
+    got = scale(train, training_stats(train)["scaler"]).agg(
+        F.avg("mean_interval"), F.stddev_pop("mean_interval"), F.max(F.abs("std_interval"))).first()
+    assert np.allclose(got, (0.0, 1.0, 0.0), atol=1e-12)
+
+
+def test_exact_median_of_any_values(spark, monkeypatch):
+    from beatline.operators import ranks
+    monkeypatch.setattr(ranks, "COLLECTED", 20)
+    rng = random.Random(9)
+    tables = [[10.0 ** rng.uniform(-200, 200) for _ in range(5001)], [float(rng.randrange(3)) for _ in range(4000)], [7.0] * 3000,
+              [rng.gauss(0, 1) for _ in range(3000)] + [float("nan"), None], [1.0], [2.0, 5.0], [], [None],
+              [0.0] * 2000 + [1.0] * 2000, [-1e300] * 999 + [float(k) for k in range(999)]]
+    for values in tables:
+        df = spark.createDataFrame([(v,) for v in values], "v double").repartition(3)
+        real = [v for v in values if v is not None and v == v]
+        want = float(np.median(real)) if real else None
+        assert ranks.exact_median(df, "v") == want

@@ -2,6 +2,8 @@ import os
 import struct
 import tempfile
 
+import plain_captures
+
 import beatline.sources.captures as cap
 from beatline.sources.captures import capture_connections, read_captures
 
@@ -115,8 +117,15 @@ def fragment(src, dst, proto, offset, payload):
     return bytes(p)
 
 
-def rows_of(content, piece=None):
-    return list(cap.iter_capture_rows("x", content, piece))
+def rows_of(content):
+    """Decoded rows, the same from the library as record by record."""
+    found = list(cap.iter_capture_rows("x", content))
+    assert same(found) == same(plain_captures.iter_capture_rows("x", content))
+    return found
+
+
+def same(rows):
+    return sorted((sorted((k, v) for k, v in r.items() if v is not None) for r in rows), key=repr)
 
 
 def test_later_fragments_have_no_port():
@@ -168,5 +177,24 @@ def test_split_files_decode_as_whole_ones(spark):
     assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 600
     stats = [sorted(map(tuple, c["stats"].collect())) for c in out]
     assert stats[0] == stats[1] == stats[2] and [s[-1] for s in stats[0]] == [0, 1]
-    buf = open(os.path.join(d, "a.pcap"), "rb").read()
-    assert len(list(cap.records(buf, cap.whole(buf), 1000))) > 10
+    plan = cap.plan_captures(cap.list_captures(spark, d).select("path", "length"), 1000)
+    assert plan.where("first is not null").count() > 20
+
+
+def test_flows_of_one_file_are_numbered_by_many_tasks(spark):
+    from pyspark.sql import functions as F
+    n = 40_000
+    flows = spark.range(n).select(
+        F.lit("one").alias("file"), F.concat(F.lit("10.0."), (F.col("id") % 250).cast("string")).alias("src_ip"), F.lit("d").alias("dst_ip"),
+        F.lit(443).alias("dst_port"), F.lit("TCP").alias("protocol"), F.xxhash64("id").alias("_first_idx"))
+    flows = flows.unionByName(flows.limit(3).withColumn("file", F.lit("two")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = cap.number_flows(flows).select("file", "_first_idx", "flow_id")
+        rows = sorted(map(tuple, out.collect()))
+        order = ["file", "_first_idx"]
+        sizes = [r["count"] for r in flows.repartitionByRange(*order).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert [r[2] for r in rows] == [f"pcap_flow_{k:06d}" for k in range(n + 3)]
+    assert max(sizes) <= 2 * (n + 3) / len(sizes)

@@ -240,3 +240,29 @@ def test_session_time_zone_does_not_change_features(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert utc == ny
     assert utc[0].pct_connections_off_hours == pytest.approx(sum(1 for i in range(40) if (600 * i // 3600) % 24 <= 5) / 40)
+
+
+def test_features_are_the_same_to_the_last_bit_on_every_route(spark):
+    """Window route, slices of several sizes, any partitioning: one result."""
+    import numpy as np
+    rng = np.random.default_rng(4)
+    rows = []
+    for i in range(5):
+        n = 40 + 31 * i
+        gaps = rng.lognormal(3, 2, size=n)
+        rows += flow(np.cumsum(gaps).round(6).tolist(), sizes=rng.integers(50, 90_000, size=n).tolist(), src=f"10.5.0.{i}",
+                     recv=rng.integers(0, 7_000_000, size=n).tolist(), start_id=1000 * i)
+    df = frame(spark, rows).withColumn("connection_duration", F.rand(7) * 300)
+    df = df.withColumn("connection_duration", F.round("connection_duration", 7))
+    found = []
+    for parts, hot in ((1, None), (5, None), (3, 10), (7, 33), (2, 100)):
+        out = engineer_features(df.repartition(parts, F.rand(parts)), hot_flow_rows=hot)
+        found.append(sorted(tuple(r) for r in out.collect()))
+    assert all(f == found[0] for f in found) and len(found[0]) == 5
+    x = np.array([r.connection_duration for r in df.where("src_ip = '10.5.0.4'").collect()])
+    got = next(r for r in engineer_features(df).collect() if r.src_ip == "10.5.0.4")
+    assert got.std_connection_duration == pytest.approx(x.std(ddof=1), rel=1e-12)
+    d = np.diff(np.sort([r.ts_us for r in df.where("src_ip = '10.5.0.4'").collect()])) / 1e6
+    c = d - d.mean()
+    assert got.std_interval == pytest.approx(d.std(ddof=1), rel=1e-12)
+    assert got.autocorrelation_score == pytest.approx(max(abs((c[k:] * c[:-k]).sum()) for k in range(1, 6)) / (c * c).sum(), rel=1e-9)

@@ -90,3 +90,18 @@ def test_rule_table_random_equivalence(spark, threshold):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert a == b
     assert len({r for _, r in a}) == 5          # every rule and "no match" occur
+
+
+def test_rules_of_one_priority_do_not_depend_on_the_order_of_rows(spark):
+    from beatline.operators.allowlist import apply_rule_table
+    rules = [(1, "10.", None, None, "wide"), (1, "10.1.", None, None, "narrow"), (1, "10.1.", 443, None, "port"),
+             (1, None, None, None, "any"), (1, "10.1.", 443, 5, "hosts"), (0, "99.", None, None, "first")]
+    table = spark.createDataFrame(rules, "priority int, prefix string, port int, min_hosts long, reason string")
+    flows = spark.createDataFrame([("s", f"10.1.0.{i}", 443, 9) for i in range(60)] + [("s", "10.1.0.1", 80, 9), ("s", "10.2.0.1", 80, 9),
+                                   ("s", "8.8.8.8", 53, 9), ("s", "99.1.1.1", 1, 1)],
+                                  "src_ip string, dst_ip string, dst_port int, num_internal_hosts_contacting long").dropDuplicates()
+    for parts in (1, 5):
+        got = {(r.dst_ip, r.dst_port, r.num_internal_hosts_contacting): r.allowlist_reason
+               for r in apply_rule_table(flows.repartition(parts), table.repartition(parts)).collect()}
+        assert got["10.1.0.7", 443, 9] == "hosts" and got["10.1.0.1", 80, 9] == "narrow" and got["10.2.0.1", 80, 9] == "wide"
+        assert got["8.8.8.8", 53, 9] == "any" and got["99.1.1.1", 1, 1] == "first"
