@@ -14,11 +14,14 @@ Signatures are cut into ``BANDS`` bands.  Documents that agree in a band share a
 bucket.  All members of a bucket are compared exactly (multiset overlap of shingles)
 with its centre, the member that shares most buckets with others (among edited copies
 the one nearest to their origin), so work is linear in the bucket.  Members that this
-leaves apart are compared with each other unless one of two bounds rules the pair out:
-the distance to the common centre (weighted Jaccard distance is a metric, so
-d(x, y) >= |d(x, c) - d(y, c)|), or the shingles that a text shares with any other member
-at all (its overlap with another text cannot exceed them).  So no link is lost to the
-star shape.  Classes are the connected components.
+leaves in different classes are told apart by their differences from the centre c: the
+elements (shingle, copy number) that only one of x and c holds, D(x).  With sizes
+n and r = (1 - t) / (1 + t), x is like y exactly if they differ in r (n_x + n_y) elements at
+most, so they have at least (|D(x)| + |D(y)| - r (n_x + n_y)) / 2 differences in common, which is
+above 0 unless both are like c.  Differences are indexed rarest first up to where a
+common one has to show (:func:`_prefix`), joined, and pairs whose places and sizes still
+allow the overlap are compared exactly.  So no link is lost to the star shape, and copies
+with edits of their own never meet.  Classes are the connected components.
 
 A node is a text: equal texts (a null text is an empty one) are one node from the start,
 whatever their ids, and rows share a class only by equal or near texts.  An id that
@@ -36,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from beatline.llm.common import materialize, small_batches, small_side
@@ -194,7 +198,7 @@ def _led(docs: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     near = materialize(_compare(star, some), "near-star")
     links = near.where(F.col("j") >= threshold).select("a", "b")
     roots = materialize(components(links), "near-roots")
-    rest = materialize(_rest(members, near, roots, some, threshold), "near-rest")
+    rest = materialize(_rest(members, roots, some, threshold), "near-rest")
     more = materialize(_compare(rest, some), "near-more").where(F.col("j") >= threshold).select("a", "b")
     if more.limit(1).count():
         roots = materialize(components(links.unionByName(more)), "near-roots")
@@ -217,49 +221,72 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.lower(F.hex("head.content")).alias("class_text"))
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(centre, node, root, n, m, size, e) of rows (centre, node, root, text of the centre, text): sizes of text and
+    centre, and the elements that only one of them holds."""
+    held: dict = {}
     for batch in batches:
-        rows = [shingles(t) for t in batch.column(1).to_pylist()]
+        sizes, found = [], []
+        for c, tc, tx in zip(batch.column(0).to_pylist(), batch.column(3), batch.column(4)):
+            if c not in held:
+                held = {c: shingles(tc.as_py())}
+            (hc, kc), (hx, kx) = held[c], shingles(tx.as_py())
+            keys = np.union1d(hc, hx)
+            own, other = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+            own[np.searchsorted(keys, hx)], other[np.searchsorted(keys, hc)] = kx, kc
+            low, more = np.minimum(own, other), np.abs(own - other)
+            copy = np.repeat(low - (np.cumsum(more) - more), more) + np.arange(int(more.sum()))
+            found.append(_mix(np.repeat(keys, more) + copy.astype(np.uint64) * _U(0x9E3779B97F4A7C15)).view(np.int64))
+            sizes.append((int(own.sum()), int(other.sum()), len(found[-1])))
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([int(c.sum()) for _, c in rows], pa.int64()),
-             pa.array([h.view(np.int64) for h, _ in rows], pa.list_(pa.int64())),
-             pa.array([c for _, c in rows], pa.list_(pa.int64()))], names=["node", "n", "h", "c"])
+            [batch.column(0), batch.column(1), batch.column(2), *(pa.array([z[k] for z in sizes], pa.int64()) for k in range(3)),
+             pa.array(found, pa.list_(pa.int64()))], names=["centre", "node", "root", "n", "m", "size", "e"])
 
 
-def shared_sizes(texts: DataFrame) -> DataFrame:
-    """(node, n, s): shingles of every text, and how many of them stand in another text too."""
-    sets = texts.select("node", "text").mapInArrow(_counted, "node long, n long, h array<long>, c array<long>")
-    each = sets.select("node", F.inline(F.arrays_zip("h", "c")))
-    common = each.groupBy("h").agg(F.count("*").alias("texts")).where("texts > 1").select("h")
-    s = each.join(common, "h", "left_semi").groupBy("node").agg(F.sum("c").alias("s"))
-    return sets.select("node", "n").join(s, "node", "left").select("node", "n", F.coalesce("s", F.lit(0)).alias("s"))
+def _prefix(threshold: float) -> tuple[Column, Column, Column]:
+    """Whether a text is unlike its centre; how many of its rarest differences suffice, (a) in pairs with at least one
+    unlike text on the other side or of an unlike with a like one, seen from the like one, and (b) seen from the unlike one.
 
+    (a) a partner unlike the centre has |D(y)| > r (n_y + m), so more than (|D(x)| + r (m - n_x)) / 2 are common;
+    (b) any partner has |D(y)| >= |n_y - m|, so at least (|D(x)| - r (n_x + m)) / 2 are, and one.
+    Of two sets with ``o`` common elements, one is among the first ``size - o + 1`` of both.
+    """
+    r = (1 - threshold) / (1 + threshold)
+    n, m, size = F.col("n"), F.col("m"), F.col("size")
+    unlike = (n + m - size) < threshold * (n + m + size)
+    return (unlike, size - F.floor((size + r * (m - n)) / 2 - 1e-9),
+            size - F.greatest(F.lit(1), F.ceil((size - r * (n + m)) / 2 - 1e-9)) + 1)
 
-def _rest(members: DataFrame, near: DataFrame, roots: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) that share a bucket, are in different classes and that no bound rules out.
 
-    A pair (x, y) whose Jaccard index reaches ``threshold`` overlaps in at least
-    ``threshold / (1 + threshold)`` of its added sizes.
-    """
-    part = threshold / (1 + threshold) - 1e-12
+def _rest(members: DataFrame, roots: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of a bucket in different classes whose differences from its centre leave a link possible."""
+    r = (1 - threshold) / (1 + threshold)
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = rooted.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where(
         "r0 <> r1 and n > 2").select("bucket")
-    open_members = materialize(rooted.join(open_, "bucket", "left_semi").where("node <> centre"), "near-open")
-    wanted = open_members.select("node").distinct()
-    sizes = materialize(shared_sizes(texts.join(small_side(wanted, 16), "node", "left_semi")), "near-sizes")
-    pair = [F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")]
-    m = (open_members.select("*", *pair).join(near.select("a", "b", (1 - F.col("j")).alias("d")), ["a", "b"])
-         .join(sizes, "node").select("bucket", "node", "root", "d", "n", "s"))
-    least = m.groupBy("bucket").agg(F.min("n").alias("least"))
-    x = (m.where(F.col("d") > 1 - threshold).join(least, "bucket").where(F.col("s") >= part * (F.col("n") + F.col("least")))
-         .select("bucket", F.col("node").alias("x"), F.col("root").alias("rx"), F.col("d").alias("dx"),
-                 F.col("n").alias("nx"), F.col("s").alias("sx")))
-    y = m.select("bucket", F.col("node").alias("y"), F.col("root").alias("ry"), F.col("d").alias("dy"),
-                 F.col("n").alias("ny"), F.col("s").alias("sy"))
-    return (x.join(y, "bucket").where((F.col("rx") != F.col("ry")) & (F.abs(F.col("dx") - F.col("dy")) <= 1 - threshold + 1e-9)
-                                      & (F.least("sx", "sy") >= part * (F.col("nx") + F.col("ny"))))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    pairs = rooted.join(open_, "bucket", "left_semi").where("node <> centre").select("centre", "node", "root").distinct()
+    several = pairs.groupBy("centre").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("centre")
+    both = (pairs.join(several, "centre", "left_semi").join(texts.select("node", F.col("text").alias("tx")), "node")
+            .join(texts.select(F.col("node").alias("centre"), F.col("text").alias("tc")), "centre"))
+    found = materialize(both.select("centre", "node", "root", "tc", "tx").mapInArrow(
+        _differences, "centre long, node long, root long, n long, m long, size long, e array<long>"), "near-differences")
+    each = found.withColumn("e", F.explode("e"))
+    common = each.groupBy("centre", "e").agg(F.count("*").alias("f")).where("f > 1")
+    own = W.partitionBy("centre", "node")
+    # differences of one text alone come first in its order and meet nothing
+    place = F.col("size") - F.count("*").over(own) + F.row_number().over(own.orderBy("f", "e"))
+    unlike, strict, loose = _prefix(threshold)
+    listed = each.join(common, ["centre", "e"]).withColumn("p", place).withColumns(
+        {"unlike": unlike, "near_top": F.col("p") <= strict}).where(F.col("near_top") | F.col("unlike") & (F.col("p") <= loose))
+    listed = materialize(listed.select("centre", "e", "node", "root", "n", "size", "p", "unlike", "near_top"), "near-index")
+    x, y = listed.where("unlike").alias("x"), listed.where("near_top").alias("y")
+    left = F.least(F.col("x.size") - F.col("x.p"), F.col("y.size") - F.col("y.p")) + 1
+    needed = (F.col("x.size") + F.col("y.size") - r * (F.col("x.n") + F.col("y.n"))) / 2 - 1e-9
+    fits = (F.col("x.root") != F.col("y.root")) & (left >= needed) & (
+        F.abs(F.col("x.n") - F.col("y.n")) <= r * (F.col("x.n") + F.col("y.n")) + 1e-9) & (
+        ~F.col("y.unlike") | F.col("x.near_top") & (F.col("x.node") < F.col("y.node")))
+    met = x.join(y, (F.col("x.centre") == F.col("y.centre")) & (F.col("x.e") == F.col("y.e")) & fits)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -270,5 +297,5 @@ def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = docs.select(i.alias("id"), content.alias("content"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).join(heads, key, "left_semi")
     many = rows.groupBy(*key).count().where("count > 1").select(*key)
-    again = rows.join(many, key, "left_semi").groupBy(*key).agg(F.first("row").alias("row"))
+    again = rows.join(many, key, "left_semi").groupBy(*key).agg(F.min_by("row", F.to_json("row")).alias("row"))
     return rows.join(many, key, "left_anti").select("row.*").unionByName(again.select("row.*"))

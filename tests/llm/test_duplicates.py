@@ -1,6 +1,8 @@
 """Line and near-duplicate removal, decontamination and fingerprints against brute force."""
 
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 
@@ -94,6 +96,73 @@ def test_links_beyond_the_centre_are_found(spark):
     assert {r.doc_id: r.class_id for r in nd.classes(spark.createDataFrame(rows, DOCS)).collect()} == brute_classes(rows)
 
 
+def compared(monkeypatch):
+    """Numbers of pairs of each exact comparison from here on: with the centres, then the rest."""
+    seen = []
+    monkeypatch.setattr(nd, "_compare", lambda pairs, texts, f=nd._compare: (seen.append(pairs.count()), f(pairs, texts))[1])
+    return seen
+
+
+@pytest.mark.parametrize("kind", ["own edits", "edits of edits"])
+def test_edited_copies_meet_only_where_they_may_link(spark, monkeypatch, kind):
+    rng = random.Random(12)
+    base = sentence(5, 150).split()
+
+    def edited(words, most):
+        words = list(words)
+        for _ in range(rng.randrange(most)):
+            at, how = rng.randrange(len(words)), rng.randrange(3)
+            words[at:at + (how != 0)] = [] if how == 1 else [f"own{rng.randrange(10 ** 9)}"]
+        return words
+    texts = {}
+    for n in (100, 400):
+        made = [base]
+        while len(made) < n:
+            made.append(edited(base if kind == "own edits" else rng.choice(made[-40:]), 12 if kind == "own edits" else 6))
+        texts[n] = [(k, " ".join(w)) for k, w in enumerate(made)]
+    seen = compared(monkeypatch)
+    for n, rows in texts.items():
+        assert {r.doc_id: r.class_id for r in nd.classes(spark.createDataFrame(rows, DOCS)).collect()} == brute_classes(rows)
+    if kind == "own edits":
+        assert seen[3] < 400                       # of 79,800 pairs, thousands of them in one bucket
+
+
+def test_prefix_finds_every_pair_of_differences():
+    """Against the definition: like texts that are not both like the centre meet in their prefixes."""
+    rng = random.Random(6)
+    met = 0
+    for _ in range(300):
+        words = [rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(30, 60))]
+        def edit(w, k):
+            w = list(w)
+            for _ in range(k):
+                at = rng.randrange(len(w))
+                w[at:at + rng.randrange(2)] = [rng.choice("abcdefgxyz")] if rng.random() < 0.7 else []
+            return w
+        first = edit(words, rng.randrange(1, 5))
+        texts = [words, first, edit(first, rng.randrange(3)), edit(words, 1)]
+        sets = [nd.shingles(" ".join(t)) for t in texts]
+        bags = [{(h, k) for h, c in zip(*s) for k in range(c)} for s in sets]
+        for i, j in ((1, 2), (1, 3), (2, 3)):
+            like = nd.jaccard(sets[i], sets[j]) >= 0.8
+            unlike = [nd.jaccard(sets[0], sets[k]) < 0.8 for k in (i, j)]
+            if not like or not any(unlike):
+                continue
+            d = [bags[k] ^ bags[0] for k in (i, j)]
+            n, m, r = [len(bags[k]) for k in (i, j)], len(bags[0]), 1 / 9
+            order = {e: (rng.random(), e) for e in sorted(d[0] | d[1])}
+            strict = [len(d[k]) - math.floor((len(d[k]) + r * (m - n[k])) / 2 - 1e-9) for k in (0, 1)]
+            loose = [len(d[k]) - max(1, math.ceil((len(d[k]) - r * (n[k] + m)) / 2 - 1e-9)) + 1 for k in (0, 1)]
+            for k in (0, 1):
+                if not unlike[k]:
+                    continue
+                own = loose[k] if not unlike[1 - k] else strict[k]
+                tops = [set(sorted(d[q], key=order.get)[:own if q == k else strict[q]]) for q in (0, 1)]
+                assert tops[0] & tops[1]
+                met += 1
+    assert met > 50
+
+
 def test_representatives(spark):
     df = spark.createDataFrame([(i, t, "x", "y") for i, t in ODD], DOCS + ", __id string, id string")
     kept = nd.representatives(df)
