@@ -354,6 +354,26 @@ def q_j2(spark, sf):
                                          "mitre_technique_id")
 
 
+@register("j2_merge_saved", O.with_(MERGED, f"""select {KEYS}, final_verdict, is_malicious, beacon_type from m"""))
+def q_j2_saved(spark, sf):
+    """Results and truth saved by flow key, reloaded, joined where their buckets lie."""
+    from beatline.operators.evaluate import merge_with_truth
+    from beatline.sources.bucketed import load_bucketed, save_bucketed
+    saved = [save_bucketed(df, _scratch(spark, "j2-saved"), 16) for df in (_results_off(spark, sf), td.ground_truth(spark, sf))]
+    results, truth = (load_bucketed(spark, path) for path in saved)
+    return merge_with_truth(results, truth).select(*FLOW_KEY, "final_verdict", "is_malicious", "beacon_type")
+
+
+@register("p9_saved_drilldown", O.with_(O.base_ctes(), """select flow_id, ts_us, packet_size from cx
+  where src_ip = '10.0.0.1' and dst_ip = '45.33.0.1' and dst_port = 443"""))
+def q_p9_saved(spark, sf):
+    """One flow's records from connections saved by flow key."""
+    from beatline.operators.explore import flow_drilldown
+    from beatline.sources.bucketed import load_bucketed, save_bucketed
+    path = save_bucketed(_cx(spark, sf), _scratch(spark, "p9-saved"), 16)
+    return flow_drilldown(load_bucketed(spark, path), "10.0.0.1", "45.33.0.1", 443).select("flow_id", "ts_us", "packet_size")
+
+
 _RATES = f"""select method, tn, fp, fn, tp, {_rate_sql('tp', 'tp + fp')} as precision,
   {_rate_sql('tp', 'tp + fn')} as recall, {_rate_sql('2 * tp', '2 * tp + fp + fn')} as f1,
   {_rate_sql('fp', 'fp + tn')} as fp_rate from cells"""

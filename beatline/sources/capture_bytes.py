@@ -219,7 +219,7 @@ class _Bytes:
         self.b = np.frombuffer(buf, dtype=np.uint8)
 
     def u8(self, at: np.ndarray) -> np.ndarray:
-        return self.b[np.minimum(at, len(self.b) - 1)].astype(np.int64)
+        return self.b.take(at, mode="clip").astype(np.int64)
 
     def be16(self, at: np.ndarray) -> np.ndarray:
         return self.u8(at) << 8 | self.u8(at + 1)
@@ -228,7 +228,7 @@ class _Bytes:
         return _u32(self.b, np.minimum(at, len(self.b) - 4), order)
 
     def rows(self, at: np.ndarray, width: int) -> np.ndarray:
-        return self.b[np.minimum(at[:, None] + np.arange(width), len(self.b) - 1)]
+        return self.b.take(at[:, None] + np.arange(width), mode="clip")
 
 
 def _micros(ticks: np.ndarray, units: np.ndarray) -> np.ndarray:
@@ -285,15 +285,15 @@ def _network(b: _Bytes, at: np.ndarray, size: np.ndarray, link: np.ndarray) -> t
 
 def _addresses(b: _Bytes, at: np.ndarray, version: np.ndarray) -> pa.Array:
     """Address texts, each distinct value formatted once."""
-    out = np.zeros(len(at), dtype=object)
+    code, texts = np.zeros(len(at), np.int64), []
     for v, width, kind in ((4, 4, ipaddress.IPv4Address), (6, 16, ipaddress.IPv6Address)):
-        m = version == v
-        if m.any():
-            raw = np.ascontiguousarray(b.rows(at[m], width)).view(f"V{width}").reshape(-1)
-            coded = pa.array([x.tobytes() for x in raw] if width == 16 else raw.view("<u4")).dictionary_encode()
-            each = [str(kind(x if width == 16 else int(x).to_bytes(4, "little"))) for x in coded.dictionary.to_pylist()]
-            out[m] = np.array(each, dtype=object)[coded.indices.to_numpy()]
-    return pa.array(out, pa.string())
+        m = np.flatnonzero(version == v)
+        if len(m):
+            raw = pa.Array.from_buffers(pa.binary(width), len(m), [None, pa.py_buffer(b.rows(at[m], width).tobytes())])
+            coded = raw.dictionary_encode()
+            code[m] = coded.indices.to_numpy() + len(texts)
+            texts += [str(kind(x)) for x in coded.dictionary.to_pylist()]
+    return pc.take(pa.array(texts, pa.string()), pa.array(code))
 
 
 NAMES = pa.array([PROTOCOL_NAMES.get(k, f"OTHER({k})") for k in range(256)])

@@ -93,7 +93,7 @@ def read_range(path: str, lo: int, hi: int):
 # --- decoding -------------------------------------------------------------------
 
 def _batch(n: int, path: str, kind: str, **columns) -> pa.RecordBatch:
-    fixed = {"kind": pa.array([kind] * n), "file": pa.array([path] * n, pa.string())}
+    fixed = {"kind": pa.repeat(kind, n), "file": pa.repeat(path, n)}
     return pa.RecordBatch.from_arrays(
         [(fixed | columns)[c].cast(t) if c in fixed or c in columns else pa.nulls(n, t) for c, t in _ARROW.items()],
         names=list(_ARROW))

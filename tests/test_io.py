@@ -160,3 +160,37 @@ def test_shared_checkpoint_folder_is_required_off_local_mode():
             master = "spark://host:7077"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         checkpoint_dir(Fake)
+
+
+def test_saved_by_flow_key_joins_without_a_shuffle_and_skips_row_groups(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from beatline.operators.evaluate import merge_with_truth
+    from beatline.operators.explore import flow_drilldown
+    from beatline.sources.bucketed import load_bucketed, save_bucketed
+    flows = spark.range(4000).select(
+        F.concat(F.lit("10.0."), (F.col("id") % 40).cast("string"), F.lit("."), (F.col("id") % 97).cast("string")).alias("src_ip"),
+        F.concat(F.lit("45.33.0."), (F.col("id") % 200).cast("string")).alias("dst_ip"), (F.col("id") % 7 + 440).cast("int").alias("dst_port"),
+        F.col("id").alias("flow_id"), (F.col("id") * 1000).alias("ts_us"), F.rand(3).alias("deterministic_score"))
+    one = flows.dropDuplicates(["src_ip", "dst_ip", "dst_port"]).checkpoint()
+    truth = one.where("flow_id % 3 = 0").select("src_ip", "dst_ip", "dst_port", (F.col("flow_id") % 2).cast("int").alias("is_malicious"))
+    truth = truth.unionByName(truth.where("is_malicious = 1"))                 # repeated truth rows
+    paths = [save_bucketed(df, f"{tmp_path}/{k}", 8) for k, df in enumerate((one, truth, flows.where("src_ip is not null")))]
+    results, known, records = (load_bucketed(spark, p) for p in paths)
+    assert results.schema["deterministic_score"].dataType.simpleString() == "double" and results.count() == one.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        merged = merge_with_truth(results, known)
+        got = sorted(map(tuple, merged.collect()))
+        assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+        assert got == sorted(map(tuple, merge_with_truth(one, truth).select(*merged.columns).collect())) and got
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    key = flows.where("flow_id = 5").first()
+    found = flow_drilldown(records, key.src_ip, key.dst_ip, key.dst_port)
+    assert found.count() == flow_drilldown(flows, key.src_ip, key.dst_ip, key.dst_port).count()
+    missing = records.where("src_ip = '10.0.5.55x'")          # between the least and the largest address: the bloom filters tell
+    assert missing.collect() == []
+    leaves = missing._jdf.queryExecution().executedPlan().collectLeaves()
+    read = [leaves.apply(k).metrics().get("numOutputRows") for k in range(leaves.size())]
+    assert sum(m.get().value() for m in read if m.isDefined()) < 400
