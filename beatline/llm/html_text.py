@@ -65,8 +65,8 @@ OUTER_NAMES = frozenset("header banner notice notices alert topbar search".split
 STATE_FIRST = frozenset("no not non has have with without is hide allow allows".split())
 STATE_LAST = frozenset("open opened closed off on free less layout enabled disabled allowed".split())
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*>
-|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:"[^"]*"|'[^']*'|[^>"'])*+|[^>]*)>""", re.S | re.X)
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+_MARK = re.compile("[>\"']")
 _ATTR = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""")
 
 
@@ -86,61 +86,177 @@ class Node:
         return {k.lower(): entities.unescape((v or "").strip("\"'")) for k, v in _ATTR.findall(self.attrs)}
 
 
-def parse(page: str) -> Node:
-    """The element tree of a page; unclosed elements end where HTML ends them, or with their parent."""
-    root = here = Node("#root", "", None)
-    at, size = 0, len(page)
-
-    def text(s: str) -> None:
-        if s:
-            here.children.append(s)
-
-    while at < size:
-        m = _TOKEN.search(page, at)
-        if not m:
-            text(entities.unescape(page[at:]))
-            break
-        text(entities.unescape(page[at:m.start()]))
-        at = m.end()
-        if m["cdata"]:
-            text(m["cdata"])
-        if not m["tag"]:
-            continue
-        tag = m["tag"].lower()
-        if m["end"]:
-            here = _close(here, tag)
-            continue
-        if tag in CLOSES_P:
-            here = _end(here, {"p"}, BLOCK - {"p"} | CELL)
-        if tag in ENDED_BY:
-            here = _end(here, *ENDED_BY[tag])
-        node = Node(tag, m["attrs"] or "", here)
-        here.children.append(node)
-        if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
-            at = end.end() if end else size
-        elif tag not in VOID and not (m["attrs"] or "").endswith("/"):
-            here = node
-    return root
+class Scanner:
+    """Comments, sections, declarations and tags of a page, found in one pass.
+
+    A tag ends at the first ``>`` outside quotes, or at the first one where its quotes do not
+    close.  What lies behind a place is looked up once: the next ``>`` and the next mark (``>`` or a quote) are
+    kept while they are ahead, and where a scan outside quotes ends is kept for every mark on its way.
+    """
+
+    def __init__(self, page: str):
+        self.page = page
+        self.marks = {}              # mark met outside quotes -> where the scan ends, -1 if nowhere
+        self.mark = self.end = -1    # next mark, next '>'; -1: not looked up, len(page): none
+
+    def _next_mark(self, at: int) -> int:
+        if self.mark < at:
+            m = _MARK.search(self.page, at)
+            self.mark = m.start() if m else len(self.page)
+        return self.mark
+
+    def _next_end(self, at: int) -> int:
+        if self.end < at:
+            found = self.page.find(">", at)
+            self.end = found if found >= 0 else len(self.page)
+        return self.end
+
+    def _outside(self, at: int) -> int:
+        """The first ``>`` outside quotes from ``at`` on, -1 if a quote before it does not close."""
+        page, way, found = self.page, [], -1
+        q = self._next_mark(at)
+        while q < len(page):
+            if q in self.marks:
+                found = self.marks[q]
+                break
+            way.append(q)
+            if page[q] == ">":
+                found = q
+                break
+            closing = page.find(page[q], q + 1)
+            if closing < 0:
+                break
+            m = _MARK.search(page, closing + 1)
+            q = m.start() if m else len(page)
+        for w in way:
+            self.marks[w] = found
+        return found
+
+    def tokens(self):
+        """(start, end, kind, tag or text, attributes): kind is '' for what holds nothing, 'cdata', '<' and '</'."""
+        page, size, at = self.page, len(self.page), 0
+        while (start := page.find("<", at)) >= 0:
+            at = start + 1
+            head = page[at:at + 1]
+            if head in ("!", "?"):
+                if page.startswith("!--", at):
+                    end = page.find("-->", at + 3)
+                    at = size if end < 0 else end + 3
+                    yield start, at, "", None, None
+                elif page.startswith("![CDATA[", at):
+                    end = page.find("]]>", at + 8)
+                    inner = page[at + 8:size if end < 0 else end]
+                    at = size if end < 0 else end + 3
+                    yield start, at, "cdata", inner, None
+                elif (end := self._next_end(at + 1)) < size:
+                    at = end + 1
+                    yield start, at, "", None, None
+                continue
+            m = _TAG.match(page, at)
+            if not m:
+                continue
+            if self._next_end(m.end()) == size:     # no tag can end any more: what is left is text, or open to the end
+                rest = [k for k in (page.find("<!--", at), page.find("<![CDATA[", at)) if k >= 0]
+                if not rest:
+                    return
+                at = min(rest)
+                continue
+            end = self._outside(m.end())
+            if end < 0:
+                end = self.end
+            at = end + 1
+            jump = yield start, at, "</" if m[1] else "<", m[2].lower(), page[m.end():end]
+            if jump is not None:
+                at = jump
+
+
+class Path:
+    """The open elements, and where each kind of them is open."""
+
+    def __init__(self, root: "Node"):
+        self.nodes, self.places, self.blocks = [root], {}, []
+
+    def push(self, node: "Node") -> None:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.places.setdefault(node.tag, []).append(at)
+        if node.tag in BLOCK or node.tag in CELL:
+            self.blocks.append(at)
+
+    def leave(self, at: int) -> None:
+        """Close the element at ``at`` and all inside."""
+        while len(self.nodes) > at:
+            node = self.nodes.pop()
+            self.places[node.tag].pop()
+            if self.blocks and self.blocks[-1] == len(self.nodes):
+                self.blocks.pop()
+
+    def nearest(self, tags) -> int:
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+    def end(self, tags, limit) -> None:
+        """Leave the nearest open element of ``tags``, unless one of ``limit`` is nearer."""
+        at = self.nearest(tags)
+        if at and at >= self.nearest(limit):
+            self.leave(at)
+
+    def end_paragraph(self) -> None:
+        if self.blocks and self.nodes[self.blocks[-1]].tag == "p":
+            self.leave(self.blocks[-1])
+
+    def close(self, tag: str) -> None:
+        """An end tag; an inline one does not close a block, most do not leave a table or its cell."""
+        places = self.places.get(tag)
+        if not places:
+            return
+        if tag not in BLOCK and tag not in CELL:
+            if not self.blocks or places[-1] > self.blocks[-1]:
+                self.leave(places[-1])
+        elif tag in TABLE_PARTS:
+            self.leave(places[-1])
+        else:
+            self.end((tag,), TABLE_LIMITS)
 
 
-def _end(here: Node, tags: set, limit) -> Node:
-    """Leave the nearest open element of ``tags``, unless one of ``limit`` is nearer."""
-    n = here
-    while n.parent is not None:
-        if n.tag in tags:
-            return n.parent
-        if n.tag in limit:
-            return here
-        n = n.parent
-    return here
+TABLE_PARTS = frozenset("table tbody thead tfoot tr td th body html".split())
+TABLE_LIMITS = ("table", "td", "th")
 
 
-def _close(here: Node, tag: str) -> Node:
-    limit = {"table", "td", "th"} if tag not in ("table", "tbody", "thead", "tfoot", "tr", "td", "th", "body", "html") else set()
-    if tag not in BLOCK and tag not in CELL:
-        limit = BLOCK | CELL       # an inline end tag does not close a block
-    return _end(here, {tag}, limit - {tag})
+def parse(page: str) -> Node:
+    """The element tree of a page; unclosed elements end where HTML ends them, or with their parent."""
+    root = Node("#root", "", None)
+    path, at, size = Path(root), 0, len(page)
+    tokens = Scanner(page).tokens()
+    token = next(tokens, None)
+    while token is not None:
+        start, end, kind, tag, attrs = token
+        if start > at:
+            path.nodes[-1].children.append(entities.unescape(page[at:start]))
+        at, jump = end, None
+        if kind == "cdata":
+            if tag:
+                path.nodes[-1].children.append(tag)
+        elif kind == "</":
+            path.close(tag)
+        elif kind == "<":
+            if tag in CLOSES_P:
+                path.end_paragraph()
+            if tag in ENDED_BY:
+                path.end(*ENDED_BY[tag])
+            node = Node(tag, attrs, path.nodes[-1])
+            path.nodes[-1].children.append(node)
+            if tag in RAW:
+                m = re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
+                at = jump = m.end() if m else size
+            elif tag not in VOID and not attrs.endswith("/"):
+                path.push(node)
+        try:
+            token = tokens.send(jump)
+        except StopIteration:
+            token = None
+    if at < size:
+        path.nodes[-1].children.append(entities.unescape(page[at:]))
+    return root
 
 
 def _unwanted(n: Node, in_article: bool) -> bool:
