@@ -11,7 +11,9 @@ Lexicon, exceptions and the probability curve are learned from labelled rows
 (`fit`): the weight of a term is its log odds ratio between the classes; an
 exception is a pair of a matched word and its neighbour that occurs almost only
 in harmless texts.  A null or empty text has no match; its score is the curve's
-value at zero, the base rate of unmatched texts.
+value at zero, the base rate of unmatched texts.  Every row gets a score, repeated ones
+and those without an id too; these are never held out nor learned from.  An empty table
+gives no rows; columns besides doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,6 +41,7 @@ LOOK_ALIKE = dict(zip("аеорсухіјѕԁһӏмтнвкг" "αοεινκτρ
 LEET = dict(zip("0134578@$!|", "oieastbasil"))
 _LEET = re.compile(r"(?:(?<=[^\W\d_])[0134578@$!|]+|(?<!\w)[0134578@$]+)(?=[^\W\d_])")   # between letters, or before one
 _LEET_TABLE = str.maketrans(LEET)
+_RUN = re.compile(r"\S+")
 _SIGNS = re.compile("[0134578@$!|]")
 LOOK_ALIKE_TABLE = str.maketrans(LOOK_ALIKE)
 
@@ -101,15 +105,20 @@ def terms(folded: str) -> set[str]:
     return out
 
 
-def _shielded(folded: str, at: int, shields: dict[str, list[tuple[list[str], int]]]) -> bool:
-    """Does the word after the blank at ``at`` stand in an exception phrase?"""
-    after = folded[at:at + 200].split()[:6]
-    found = shields.get(after[0], ())
-    before = folded[max(0, at - 200):at].split()[-5:] if found else []
-    for words, k in found:
-        if before[len(before) - k:] == words[:k] and after[:len(words) - k] == words[k:]:
-            return True
-    return False
+class _Shields:
+    """Exception phrases around the words of one folded text."""
+
+    def __init__(self, folded: str, phrases: dict[str, list[tuple[list[str], int]]]):
+        self.phrases = phrases
+        self.words = [(m.start(), m[0]) for m in _RUN.finditer(folded)]
+
+    def __call__(self, at: int) -> bool:
+        """Does the word after the blank at ``at`` stand in an exception phrase?  Any blanks may lie between words."""
+        i = bisect_left(self.words, (at, ""))
+        for words, k in self.phrases.get(self.words[i][1], ()) if i < len(self.words) else ():
+            if i >= k and [w for _, w in self.words[i - k:i - k + len(words)]] == words:
+                return True
+        return False
 
 
 @dataclass
@@ -154,8 +163,8 @@ class ToxicityModel:
             for end, (term, weight) in auto.iter(strip(folded)):
                 if term.isascii():
                     hits.setdefault(end - len(term) + 1, (term, weight))
-        return [(s, s + len(t.strip()), t, w) for s, (t, w) in sorted(hits.items())
-                if not shields or not _shielded(folded, s, shields)]
+        shielded = _Shields(folded, shields) if shields and hits else lambda at: False
+        return [(s, s + len(t.strip()), t, w) for s, (t, w) in sorted(hits.items()) if not shielded(s)]
 
     def features(self, text: str) -> tuple[float, float]:
         """Total weight by the square root of length in words, and whether anything matched (soft)."""
