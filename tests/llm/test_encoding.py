@@ -102,3 +102,25 @@ def test_round_trip_over_table(spark):
     full = digest(spark.read.parquet(f"{SF}/documents.parquet"), PIECES)
     assert full.count() == 200 and full.where("not round_trip or n_pieces = 0").count() == 0
     assert list(itertools.islice(full.columns, 3)) == ["doc_id", "n_pieces", "ids_crc32"]
+
+
+def test_first_two_equal_the_search(spark):
+    c = codec(PIECES, 5)
+    rng = random.Random(12)
+    parts = ["".join(rng.choice("▁ethanioséx.#") for _ in range(rng.randrange(1, 14))) for _ in range(400)] + ["▁", "日", "aaaaaaaaaaaa"]
+    for p in parts:
+        found = c.part_nbest(p, 2)
+        ids, score, loss = c.first_two(p)
+        assert (tuple(ids), score) == (found[0][1], found[0][0])
+        assert loss == (found[0][0] - found[1][0] if len(found) > 1 else float("inf"))
+    marks = spark.createDataFrame([(1, "x▁y"), (2, "x y"), (3, None)], "doc_id long, text string")
+    assert {r.doc_id: r.round_trip for r in digest(marks, PIECES).collect()} == {1: False, 2: True, 3: True}
+
+
+def test_generations_of_the_part_cache(monkeypatch):
+    from beatline.llm import sentencepiece_codec as sc
+    monkeypatch.setattr(sc, "CACHE_PARTS", 40)
+    small, whole = sc.Codec(PIECES), codec(PIECES)
+    texts = [f"the {k}th of word{k % 7} and more" for k in range(200)]
+    assert [small.packed(t) for t in texts] == [whole.packed(t) for t in texts]
+    assert len(small.cache) + len(small.old) < 80
