@@ -18,13 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Cut the lineage: write ``df`` to the shared folder and read it back.
 
     The folder is ``spark.checkpoint.dir``, so the rows outlive any executor.
+    ``options`` go to the Parquet writer.
     """
     path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -37,6 +38,14 @@ def small_batches(df: DataFrame, limit: int = 8 << 20) -> DataFrame:
     return df
 
 
+def own_prefix(df: DataFrame) -> str:
+    """A beginning that no column of ``df`` has, for columns added on the way."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def code_points(text: Column) -> Column:
     """Length in code points, 0 for null."""
     return F.coalesce(F.char_length(text), F.lit(0)).cast("long")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beatline.llm.common import materialize, small_side
+from beatline.llm.common import materialize, own_prefix, small_side
 
 WINDOW = 10
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -137,10 +137,10 @@ def contamination(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> Data
 def decontaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """Rows of ``docs`` without any occurrence of a window, columns unchanged."""
     bad = phrase_matches(docs, items, size).select("d", "h").distinct()
-    text = F.col("text").cast("string")
-    return (docs.withColumn("__d", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
-            .withColumn("__h", F.xxhash64(F.col("doc_id").isNull(), text))
-            .join(bad.select(F.col("d").alias("__d"), F.col("h").alias("__h")), ["__d", "__h"], "left_anti")
+    text, p = F.col("text").cast("string"), own_prefix(docs)
+    return (docs.withColumn(f"{p}d", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))))
+            .withColumn(f"{p}h", F.xxhash64(F.col("doc_id").isNull(), text))
+            .join(bad.select(F.col("d").alias(f"{p}d"), F.col("h").alias(f"{p}h")), [f"{p}d", f"{p}h"], "left_anti")
             .select(*[F.col(f"`{c}`") for c in docs.columns]))
 
 

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import materialize, small_batches
+from beatline.llm.common import materialize, own_prefix, small_batches
 
 MIN_WORDS = 25
 NULL_ID = -(1 << 63)
@@ -253,15 +253,15 @@ def dedup(docs: DataFrame, least: int = MIN_WORDS, count: str | None = None) ->
 
     With ``count`` a column of that name tells how many lines went.
     """
-    names = docs.columns
+    names, p = docs.columns, own_prefix(docs)
     d, h = _key()
-    blocks = removed_blocks(docs, least).select(F.col("d").alias("__d"), F.col("h").alias("__h"), F.col("blocks").alias("__b"))
-    rows = docs.withColumn("__d", d).withColumn("__h", h).join(blocks, ["__d", "__h"], "left")
-    rows = rows.withColumn("__lines", F.split(F.col("text").cast("string"), "\n"))
-    kept = F.filter("__lines", lambda _, i: ~F.exists("__b", lambda b: (b["first"] <= i) & (i <= b["last"])))
-    rows = rows.withColumn("__kept", F.when(F.col("__b").isNotNull(), kept))
-    text = F.when(F.col("__b").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n"))
+    blocks = removed_blocks(docs, least).select(F.col("d").alias(f"{p}d"), F.col("h").alias(f"{p}h"), F.col("blocks").alias(f"{p}b"))
+    rows = docs.withColumn(f"{p}d", d).withColumn(f"{p}h", h).join(blocks, [f"{p}d", f"{p}h"], "left")
+    rows = rows.withColumn(f"{p}lines", F.split(F.col("text").cast("string"), "\n"))
+    kept = F.filter(f"{p}lines", lambda _, i: ~F.exists(f"{p}b", lambda b: (b["first"] <= i) & (i <= b["last"])))
+    rows = rows.withColumn(f"{p}kept", F.when(F.col(f"{p}b").isNotNull(), kept))
+    text = F.when(F.col(f"{p}b").isNull(), F.col("text")).otherwise(F.array_join(f"{p}kept", "\n"))
     out = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in names]
     if count:
-        out.append(F.coalesce(F.size("__lines") - F.size("__kept"), F.lit(0)).cast("long").alias(count))
+        out.append(F.coalesce(F.size(f"{p}lines") - F.size(f"{p}kept"), F.lit(0)).cast("long").alias(count))
     return rows.select(*out)

@@ -8,7 +8,9 @@ classes and a linear hinge-loss model is fitted by dual coordinate descent: the
 sample is dealt into shards by hash, each shard is one task, and the models are
 averaged.  Margins become probabilities by a logistic curve.
 
-A null or empty text has no indicator; its margin is the bias.
+A null or empty text has no indicator; its margin is the bias.  Every row gets a score,
+repeated ones and those without an id too; these are never held out nor learned from.
+An empty table gives no rows; columns of any name pass through ``keep_good``.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from beatline.llm.common import materialize, small_batches
+from beatline.llm.common import materialize, own_prefix, small_batches
 from beatline.llm.training import fit_logistic, sigmoid, split_remainder, training_sample
 
 BITS = 18
@@ -185,4 +187,5 @@ def scored_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows of ``docs`` that the classifier does not reject, columns unchanged."""
     model = fit(training_sample(docs, labels, "quality", 4, 2))
-    return score(docs, model, "__quality").where(F.col("__quality") >= THRESHOLD).drop("__quality")
+    name = f"{own_prefix(docs)}quality"
+    return score(docs, model, name).where(F.col(name) >= THRESHOLD).drop(name)
