@@ -9,6 +9,9 @@
 Every stage gets what its predecessor kept, written as Parquet in the shared folder
 and read again.  All but the last return the columns of ``documents``.  Whole texts
 are used throughout.
+
+Null texts are empty texts and null ids documents of their own, as the stages' modules say;
+columns of any name pass through the first four stages.  An empty table gives no rows.
 """
 
 from __future__ import annotations
