@@ -89,9 +89,11 @@ def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document written as directly addressable codes and read back."""
+    import public_tokenizers
+
     from beatline.llm.token_store import read_token_files, write_token_files
     out = scratch_path(spark, f"op9-{uuid.uuid4().hex}")
-    write_token_files(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), out)
+    write_token_files(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), out)
     return read_token_files(spark, out)
 
 

@@ -15,14 +15,22 @@ Shard layout (little-endian)::
 Shards are rows of a Parquet table in the shared store (Spark's committer makes
 the write safe against lost executors); ``payload`` alone is a complete file.
 
-Documents are ordered by ``doc_id`` (nulls first), rows of one id by text.  A
-null text is an empty text; every document ends with ``END_ID``.  An empty
-table gives no shards and no rows.  Extra columns are ignored.
+Texts are encoded where they are read, before any exchange, and written as
+(id, hash of the text, ids); only these are dealt by ranges of ``doc_id``, and the
+shards are packed by workers that have let go of the tokenizer.  So the tokenizer
+and its words never stand beside shuffle buffers.
+
+Documents are ordered by ``doc_id`` (nulls first), rows of one id by the SHA-256 of
+their text (null texts first).  A null text is an empty text; every document ends with
+``END_ID``.  An empty table gives no shards and no rows.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -35,14 +43,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from beatline.llm.common import small_batches
+from beatline.llm.common import materialize, small_batches
 
 MAGIC = b"DAC1"
 END_ID = 2
 WIDTH = 8
 RANK_BITS = 512
 SHARD_TOKENS = 1 << 19
-CACHE_WORDS = 250_000
+CACHE_BYTES = 48 << 20
+ENTRY_BYTES = 150     # of a kept word besides its text and ids: two objects and a place in the table
 SLICE_BYTES = 2 << 20
 LAST_LATIN = "\u024f"
 ENDED = "([A-Za-zÀ-ÖØ-öø-ɏ])([.,]+)( |$)"     # stops and commas after a Latin letter, at a word's end
@@ -51,7 +60,7 @@ SPECIAL = "<|"
 #: Shards are large values: a page is closed after each one that fills it (Parquet looks at the
 #: size of a page every 100 rows otherwise), and none repeats, so no dictionary is tried.
 PARQUET = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1",
-           "parquet.enable.dictionary": "false"}
+           "parquet.enable.dictionary": "false", "compression": "zstd"}
 SHARD_SCHEMA = "part int, seq int, n_docs long, n_tokens long, payload binary"
 
 
@@ -142,9 +151,11 @@ class WordEncoder:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"     # one thread a worker
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {}
+        self.held = 0
         self.closes = np.zeros(self.tok.get_vocab_size(), dtype=bool)
         for token, i in self.tok.get_vocab().items():
             self.closes[i] = token.endswith("</w>")
@@ -160,9 +171,13 @@ class WordEncoder:
                 others = others + line
                 continue
             for w, a, b in zip(line, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                self.words[w] = ids[a:b].tobytes()
+                self._keep(w, ids[a:b].tobytes())
         for w, e in zip(others, self.tok.encode_batch_fast(others, add_special_tokens=False)):
-            self.words[w] = np.array(e.ids, dtype="<u4").tobytes()
+            self._keep(w, np.array(e.ids, dtype="<u4").tobytes())
+
+    def _keep(self, word: str, ids: bytes) -> None:
+        self.words[word] = ids
+        self.held += ENTRY_BYTES + len(word) + len(ids)
 
     def _learn(self, missing: list[str]) -> None:
         stems = [w for w in missing if w.isalpha() and max(w) <= LAST_LATIN]
@@ -188,8 +203,8 @@ class WordEncoder:
         lists = pc.split_pattern(pc.ascii_lower(flat), " ")
         words = lists.flatten().dictionary_encode()
         names = words.dictionary.to_pylist()
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
+        if self.held > CACHE_BYTES:
+            self.words, self.held = {}, 0
         missing = [w for w in names if w not in self.words]
         if missing:
             self._learn(missing)
@@ -227,30 +242,65 @@ def encoder(path: str) -> WordEncoder:
     return _ENCODERS[path]
 
 
-def _shards(path: str, shard_tokens: int):
+def release() -> None:
+    """Give the tokenizer and its words back to the system."""
+    if _ENCODERS:
+        _ENCODERS.clear()
+        gc.collect()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):      # another C library: memory goes back when it sees fit
+            pass
+
+
+def id_type(path: str) -> str:
+    """The narrowest little-endian integers that hold every id of a tokenizer."""
+    from tokenizers import Tokenizer
+    return "<u2" if Tokenizer.from_file(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
+def _encoded(path: str, kind: str):
+    """(doc_id, hash, ids) of rows (doc_id, hash, text); ids as integers of ``kind``."""
+    size = np.dtype(kind).itemsize
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        enc = encoder(path)
+        for rows in itertools.chain.from_iterable(slices(b, 2) for b in batches):
+            ids, lengths = enc.batch(rows.column(2))
+            cuts = np.concatenate([[0], np.cumsum(lengths) * size]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [rows.column(0), rows.column(1), pa.Array.from_buffers(
+                    pa.binary(), len(lengths), [None, pa.py_buffer(cuts.tobytes()), pa.py_buffer(ids.astype(kind).tobytes())])],
+                names=["doc_id", "hash", "ids"])
+    return run
+
+
+def _shards(kind: str, shard_tokens: int):
+    size = np.dtype(kind).itemsize
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part, seq = encoder(path), TaskContext.get().partitionId(), 0
+        release()
+        part, seq = TaskContext.get().partitionId(), 0
         docs: list = []
-        parts: list[np.ndarray] = []
-        sizes: list[np.ndarray] = []
+        parts: list[bytes] = []
         held = 0
 
         def flush() -> pa.RecordBatch:
-            ids, lengths = np.concatenate(parts), np.concatenate(sizes)
+            lengths = np.array([len(p) // size for p in parts])
+            ids = np.frombuffer(b"".join(parts), dtype=kind)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([len(docs)], pa.int64()),
                  pa.array([len(ids)], pa.int64()), pa.array([pack(ids, lengths, docs)], pa.binary())],
                 names=["part", "seq", "n_docs", "n_tokens", "payload"])
 
-        for rows in itertools.chain.from_iterable(slices(b, 1) for b in batches):
-            ids, lengths = enc.batch(rows.column(1))
-            docs += rows.column(0).to_pylist()
-            parts.append(ids)
-            sizes.append(lengths)
-            held += len(ids)
-            if held >= shard_tokens:
-                yield flush()
-                docs, parts, sizes, held, seq = [], [], [], 0, seq + 1
+        for b in batches:
+            for doc, ids in zip(b.column(0).to_pylist(), b.column(1)):
+                docs.append(doc)
+                parts.append(ids.as_py())
+                held += len(parts[-1]) // size
+                if held >= shard_tokens:
+                    yield flush()
+                    docs, parts, held, seq = [], [], 0, seq + 1
         if docs:
             yield flush()
     return run
@@ -259,13 +309,14 @@ def _shards(path: str, shard_tokens: int):
 def write_token_files(docs: DataFrame, tokenizer_path: str, out: str, shard_tokens: int = SHARD_TOKENS) -> None:
     """Encode ``docs`` (doc_id, text) in ascending ``doc_id`` and write the shards to ``out``.
 
-    One exchange (by range of doc_id).  Shards are numbered by (part, seq); a
-    shard closes at the first run of rows that reaches ``shard_tokens``.
+    One exchange, of the ids (by range of doc_id).  Shards are numbered by (part, seq); a
+    shard closes at the first document that reaches ``shard_tokens``.
     """
-    (small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-     .repartitionByRange(F.col("doc_id"), F.col("text"))
-     .sortWithinPartitions("doc_id", "text")
-     .mapInArrow(_shards(tokenizer_path, shard_tokens), SHARD_SCHEMA)
+    text, kind = F.col("text").cast("string"), id_type(tokenizer_path)
+    rows = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.sha2(text, 256).alias("hash"), text.alias("text"))
+    encoded = materialize(rows.mapInArrow(_encoded(tokenizer_path, kind), "doc_id long, hash string, ids binary"), "token-ids", compression="zstd")
+    (encoded.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash").select("doc_id", "ids")
+     .mapInArrow(_shards(kind, shard_tokens), SHARD_SCHEMA)
      .write.options(**PARQUET).parquet(out))
 
 
@@ -280,6 +331,7 @@ def shard_starts(shards: DataFrame) -> DataFrame:
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         for k in range(batch.num_rows):
             part, seq, payload = (batch.column(i)[k].as_py() for i in range(3))
