@@ -6,8 +6,8 @@ Reading::
     plan = save_plan(spark, "/data/captures", "/shared/plan")        # once
     spark.read.format("captures").option("plan", plan).load().where("kind = 'packet' and dst_port = 443")
 
-Each planned range of a file is a partition.  Without a plan ``load(directory)`` takes whole
-files, one a partition.  These filters are pushed into the scan: ``kind`` and ``file``
+A partition holds planned ranges of about ``PIECE_BYTES`` in all, fewer while there are few
+partitions.  Without a plan ``load(directory)`` takes whole files.  These filters are pushed into the scan: ``kind`` and ``file``
 (``=``, ``in``; partitions of other files are never opened), and on packets ``ts_us`` and
 ``dst_port`` (comparisons, ``=``, ``in``) and ``protocol`` (``=``, ``in``), which drop
 packets before any text is made of them; a scan without ``dns`` rows reads no DNS message.
@@ -64,6 +64,7 @@ from beatline.sources.captures import (
 
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 COMPARISONS = {GreaterThan: np.greater, GreaterThanOrEqual: np.greater_equal, LessThan: np.less, LessThanOrEqual: np.less_equal}
+PARTITIONS = 64                  # of a scan that PIECE_BYTES alone would cut into fewer
 _LINK, _SNAP = cb.ETHERNET, 1 << 18
 
 
@@ -103,7 +104,7 @@ class CaptureSource(DataSource):
 
 
 @dataclass
-class CaptureRange(InputPartition):
+class CaptureRange:
     path: str
     length: int
     hi: int
@@ -113,6 +114,28 @@ class CaptureRange(InputPartition):
     broken: bool
     base: int
 
+    @property
+    def size(self) -> int:
+        return 0 if self.first is None else max(0, self.hi - self.first)
+
+
+@dataclass
+class CaptureRanges(InputPartition):
+    ranges: list                 # CaptureRange
+
+
+def packed(ranges: list[CaptureRange]) -> list[CaptureRanges]:
+    """Ranges in their order, in partitions of about ``PIECE_BYTES``, or of a share of a smaller input."""
+    share = min(PIECE_BYTES, sum(r.size for r in ranges) // PARTITIONS)
+    out, held = [], 0
+    for r in ranges:
+        if not out or held and held + r.size > share:
+            out.append(CaptureRanges([]))
+            held = 0
+        out[-1].ranges.append(r)
+        held += r.size
+    return out
+
 
 @dataclass(frozen=True)
 class Wanted:
@@ -163,9 +186,9 @@ class CaptureReader(DataSourceReader):
             return False
         return True
 
-    def partitions(self) -> list[CaptureRange]:
+    def partitions(self) -> list[CaptureRanges]:
         found = self._planned() if self.plan else self._listed()
-        return [r for r in found if self.files is None or r.path in self.files]
+        return packed([r for r in found if self.files is None or r.path in self.files])
 
     def _planned(self) -> Iterator[CaptureRange]:
         import pyarrow.parquet as pq
@@ -181,13 +204,13 @@ class CaptureReader(DataSourceReader):
                 name = f"file:{info.path}" if is_local(self.path) else f"{urlparse(self.path).scheme}://{info.path}"
                 yield CaptureRange(name, info.size, info.size, -1, None, None, False, 0)
 
-    def read(self, partition: CaptureRange) -> Iterator[pa.RecordBatch]:
-        r = partition
-        if r.first == -1:                                   # not planned: the whole file
-            first, end, context, _, _, broken = plan_range(r.path, r.length, 0, r.length)
-            r = CaptureRange(r.path, r.length, r.hi, first, end, context, broken, 0)
+    def read(self, partition: CaptureRanges) -> Iterator[pa.RecordBatch]:
         keep = Wanted(self.tests) if self.tests else None
-        yield from decode_range(r.path, r.length, r.hi, r.first, r.next, r.context, r.broken, r.base, self.kinds, keep)
+        for r in partition.ranges:
+            if r.first == -1:                               # not planned: the whole file
+                first, end, context, _, _, broken = plan_range(r.path, r.length, 0, r.length)
+                r = CaptureRange(r.path, r.length, r.hi, first, end, context, broken, 0)
+            yield from decode_range(r.path, r.length, r.hi, r.first, r.next, r.context, r.broken, r.base, self.kinds, keep)
 
 
 # --- sink -----------------------------------------------------------------------
@@ -266,14 +289,14 @@ class CaptureWriter(DataSourceArrowWriter):
 def write_captures(frames: DataFrame, directory: str, order: list[str]) -> None:
     """Write rows (file, ts_us, frame) as one capture per ``file``, packets by ``order``.
 
-    A capture is one sequence of bytes, so each is written by one task; rows go by ranges of the
-    file name.  Rows without a time or a frame cannot be written and raise.
+    A capture is one sequence of bytes, so each is written by one task; rows are dealt by the
+    file name's hash, which needs no first pass over the frames.  Rows without a time or a frame cannot be written and raise.
     """
     register(frames.sparkSession)
     checked = frames.select("file", F.when(F.col("ts_us").isNull() | F.col("frame").isNull(), F.raise_error(
         F.lit("captures: a packet needs a time and bytes"))).otherwise(F.col("ts_us")).alias("ts_us"), "frame", *[
             F.col(c).alias(f"_order{k}") for k, c in enumerate(order)])
-    (checked.repartitionByRange("file").sortWithinPartitions("file", *[f"_order{k}" for k in range(len(order))])
+    (checked.repartition("file").sortWithinPartitions("file", *[f"_order{k}" for k in range(len(order))])
      .select("file", "ts_us", "frame").write.format("captures").mode("append").save(directory))
 
 

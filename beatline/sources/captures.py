@@ -36,6 +36,7 @@ from beatline.sources.files import is_directory
 
 log = logging.getLogger(__name__)
 PIECE_BYTES = 128 << 20
+TASKS_PER_CORE = 4
 HEAD_BYTES = 1 << 16
 LOGGED_FILES = 20
 ROWS_PER_BATCH = 65_536
@@ -209,8 +210,13 @@ def _plan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _spread(ranges: DataFrame) -> DataFrame:
-    """A task per range."""
-    return ranges.repartitionByRange(max(1, ranges.count()), "path", "split")
+    """Ranges in file order, dealt to tasks of about ``PIECE_BYTES``, smaller ones while a core has few tasks.
+
+    A task costs more than reading a small range, so small ranges and files share one.
+    """
+    n, held = ranges.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("hi") - F.col("lo")), F.lit(0))).first()
+    tasks = max(-(-held // PIECE_BYTES), TASKS_PER_CORE * ranges.sparkSession.sparkContext.defaultParallelism)
+    return ranges.repartitionByRange(max(1, min(n, tasks)), "path", "split")
 
 
 def _written(df: DataFrame, name: str) -> DataFrame:
@@ -285,7 +291,7 @@ def list_captures(spark: SparkSession, directory: str) -> DataFrame:
 
 
 def decode(files: DataFrame, by_path: bool = True, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """Decoded rows of every capture, one range of a file per task.
+    """Decoded rows of every capture, by ranges of files.
 
     ``by_path``: captures that every executor can open (mounted, or through Arrow's file
     systems), cut into ranges of ``piece_bytes``.  Otherwise the bytes come through Spark

@@ -203,3 +203,32 @@ def test_written_captures_read_back(spark):
         assert [r["ts_us"] for r in got] == [own[r["packet_idx"]][2] for r in got]
     with pytest.raises(Exception, match="time and bytes"):
         source.write_captures(frames.withColumn("ts_us", source.F.lit(None).cast("long")), d + "2", ["place"])
+
+
+def test_small_ranges_share_tasks(spark):
+    contents = {f"f{k}.pcap{'ng' * (k % 2)}": (pcapng if k % 2 else pcap)([(T + i, eth(0x0800, ipv4(
+        "10.0.0.1", "10.0.0.2", 6, tcp(1, i)))) for i in range(20)]) for k in range(60)}
+    d = folder(contents)
+    plan = source.save_plan(spark, d, tempfile.mkdtemp(prefix="beatline-plan-"), 400)
+    n_ranges = spark.read.parquet(plan).count()
+    assert n_ranges > 200
+    rows = cap.decode(cap.list_captures(spark, d), piece_bytes=400)
+    assert rows.rdd.getNumPartitions() <= cap.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    scan = source.CaptureReader(None, plan).partitions()
+    assert len(scan) <= 2 * source.PARTITIONS and sum(len(p.ranges) for p in scan) == n_ranges
+    source.register(spark)
+    scanned = spark.read.format("captures").option("plan", plan).load()
+    assert scanned.rdd.getNumPartitions() == len(scan)
+    for kind, n in (("packet", 1200), ("stats", n_ranges)):
+        assert scanned.where(f"kind = '{kind}'").count() == rows.where(f"kind = '{kind}'").count() == n
+
+
+def test_ranges_are_packed_by_bytes(monkeypatch):
+    def at(first, hi):
+        return source.CaptureRange("x", 10_000, hi, first, hi, None, False, 0)
+    monkeypatch.setattr(source, "PIECE_BYTES", 100)
+    sizes = [60, 30, 20, 200, 0, 50, 51]
+    ranges = [at(1000, 1000 + s) for s in sizes] + [at(None, 5)]
+    monkeypatch.setattr(source, "PARTITIONS", 1)
+    assert [[r.size for r in p.ranges] for p in source.packed(ranges)] == [[60, 30], [20], [200], [0, 50], [51, 0]]
+    assert source.packed([]) == []
