@@ -99,7 +99,7 @@ def op9_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Best segmentation of every document: size, digest, scores, exact round trip."""
+    """Two best segmentations of every document: size, digest and score of both, exact round trip of the best."""
     from beatline.llm.sentencepiece_codec import digest
     return digest(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 

@@ -21,7 +21,9 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +39,18 @@ NBEST = 2
 IDS = "<i4"
 
 
+def pack(ids: tuple[int, ...] | list[int]) -> bytes:
+    """Ids as little-endian 32-bit integers."""
+    out = array("i", ids)
+    if sys.byteorder == "big":
+        out.byteswap()
+    return out.tobytes()
+
+
+def unpack(ids: bytes) -> list[int]:
+    return np.frombuffer(ids, IDS).tolist()
+
+
 class Codec:
     """A model's pieces and scores; ``nbest``, ``encode`` and ``decode`` of whole texts."""
 
@@ -55,13 +69,14 @@ class Codec:
             if not control and i not in as_byte:
                 self.pieces[p] = ((i,), model.get_score(i))
         self.unknown = min(s for _, s in self.pieces.values()) - 10.0
-        # the pieces letter by letter; what ends at a node stands under ""
+        # the pieces letter by letter: a letter leads to [its followers, the piece that ends there]
         self.trie: dict = {}
         for p, hit in self.pieces.items():
-            node = self.trie
+            followers = self.trie
             for c in p:
-                node = node.setdefault(c, {})
-            node[""] = hit
+                node = followers.setdefault(c, [{}, None])
+                followers = node[0]
+            node[1] = hit
         after_letter = {b for p in self.pieces for a, b in zip(p, p[1:]) if a.isalpha()}
         marks = "".join(re.escape(c) for c in ".,;:!?|#$%*&" if c not in after_letter)
         if any(SPACE in p.lstrip(SPACE) for p in self.pieces) or any("\n" in p for p in self.pieces):
@@ -70,7 +85,6 @@ class Codec:
         self.cut = re.compile(f"{SPACE}*[^\\W\\d_]+{end}|{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
         self.cache: dict[str, tuple[bytes, float, float]] = {}
         self.old: dict[str, tuple[bytes, float, float]] = {}      # the generation before
-        self.lossy: set[str] = set()          # parts that do not decode to themselves
 
     def lattice(self, part: str) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
         """Nodes (start, ids, score) per end position, and the best score up to every position.
@@ -82,13 +96,14 @@ class Codec:
         ends: list[list] = [[] for _ in range(n + 1)]
         best = [0.0] + [float("-inf")] * n
         for i in range(n):
-            here, node, single = best[i], trie, False
+            here, followers, single = best[i], trie, False
             for j in range(i, n):
-                node = node.get(part[j])
+                node = followers.get(part[j])
                 if node is None:
                     break
-                if "" in node:
-                    ids, score = node[""]
+                followers, hit = node
+                if hit is not None:
+                    ids, score = hit
                     ends[j + 1].append((i, ids, score))
                     if here + score > best[j + 1]:
                         best[j + 1] = here + score
@@ -124,29 +139,11 @@ class Codec:
                 push(queue, (-(best[i] + behind + s), i, tick, behind + s, (piece, path)))
         return found
 
-    def first_two(self, part: str) -> tuple[list[int], float, float]:
-        """Ids and score of the best segmentation, and what the second best lacks (inf if there is none).
-
-        :meth:`part_nbest` for two: with an exact heuristic the search walks straight back
-        along the best path (among equals to the nearest start), and the key of the next
-        result is the best of the steps that it passed by.
-        """
-        ends, best = self.lattice(part)
-        j, behind, passed, steps = len(part), 0.0, float("-inf"), []
-        while j:
-            wanted, taken = float("-inf"), None
-            for step in ends[j]:
-                f = best[step[0]] + behind + step[2]
-                if f > wanted:
-                    if wanted > passed:
-                        passed = wanted
-                    wanted, taken = f, step
-                elif f > passed:
-                    passed = f
-            steps.append(taken[1])
-            behind += taken[2]
-            j = taken[0]
-        return [i for ids in reversed(steps) for i in ids], best[-1], best[-1] - passed
+    def first_two(self, part: str) -> tuple[tuple[int, ...], float, float]:
+        """Ids and score of the best segmentation, and what the second best lacks (inf if there is none)."""
+        found = self.part_nbest(part, 2)
+        score, ids = found[0]
+        return ids, score, score - found[1][0] if len(found) > 1 else float("inf")
 
     def parts(self, text: str) -> list[str]:
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
@@ -170,24 +167,21 @@ class Codec:
 
     def _learn(self, part: str) -> tuple[bytes, float, float]:
         ids, score, loss = self.first_two(part)
-        hit = np.array(ids, dtype=IDS).tobytes(), score, loss
-        if b"".join(map(self.bytes_of.__getitem__, ids)) != part.replace(SPACE, " ").encode("utf-8", "surrogatepass"):
-            self.lossy.add(part)
+        hit = pack(ids), score, loss
         if len(part) <= CACHED_LENGTH:
             self.cache[part] = hit
         return hit
 
-    def nbest(self, text: str | None) -> list[tuple[float, list[int]]]:
-        """The best segmentations (score, ids) of a whole text, best first.
+    def combined(self, parts: list[str]) -> list[tuple[float, bytes]]:
+        """The best segmentations (score, packed ids) of a text cut into ``parts``, best first.
 
         Any of the N best differs from the best path in fewer than N parts, and
         only in parts whose own loss is among the N - 1 smallest.
         """
-        parts = self.parts(text or "")
         found = self.lookup(parts)
-        total = sum(f[1] for f in found)
-        open_parts = heapq.nsmallest(self.n - 1, (i for i, f in enumerate(found) if f[2] < float("inf")),
-                                     key=lambda i: (found[i][2], i))
+        total = sum([f[1] for f in found])
+        losses = heapq.nsmallest(self.n - 1, zip([f[2] for f in found], range(len(found))))
+        open_parts = [i for loss, i in losses if loss < float("inf")]
         choices = {i: self.part_nbest(parts[i], self.n) for i in open_parts}
         ways: list[tuple[float, dict[int, int]]] = [(0.0, {})]
         for i in open_parts:
@@ -198,31 +192,35 @@ class Codec:
         for loss, changes in ways:
             chosen = [f[0] for f in found]
             for i, k in changes.items():
-                chosen[i] = np.array(choices[i][k][1], dtype=IDS).tobytes()
-            out.append((total - loss, np.frombuffer(b"".join(chosen), IDS).tolist()))
+                chosen[i] = pack(choices[i][k][1])
+            out.append((total - loss, b"".join(chosen)))
         return out
 
+    def nbest(self, text: str | None) -> list[tuple[float, list[int]]]:
+        """The best segmentations (score, ids) of a whole text, best first."""
+        return [(score, unpack(ids)) for score, ids in self.combined(self.parts(text or ""))]
+
     def encode(self, text: str | None) -> list[int]:
-        return np.frombuffer(self.packed(text or "")[0], IDS).tolist()
+        return self.best(text or "")[0]
 
-    def packed(self, text: str) -> tuple[bytes, float, float | None, bool]:
-        """Ids (little-endian 32-bit) and score of the best segmentation, the score of the second best,
-        and whether the ids decode to the text: if every part does and the parts make up the text."""
-        parts = self.parts(text)
-        found = self.lookup(parts)
-        total = sum([f[1] for f in found])
-        gap = min([f[2] for f in found], default=float("inf"))
-        whole = not text or "".join(parts) == SPACE + text.replace(" ", SPACE)
-        exact = whole and SPACE not in text and (not self.lossy or self.lossy.isdisjoint(parts))
-        return b"".join([f[0] for f in found]), total, total - gap if gap < float("inf") else None, exact
+    def packed(self, text: str) -> tuple[bytes, float, float | None, bool, bytes | None]:
+        """Ids and score of the best segmentation, the score of the second best, whether the best
+        decodes to the text, and the ids of the second best; ids little-endian 32-bit."""
+        found = self.combined(self.parts(text))
+        (score, ids), (second, others) = found[0], found[1] if len(found) > 1 else (None, None)
+        return ids, score, second, self.raw(unpack(ids)) == (f" {text}" if text else "").encode("utf-8", "surrogatepass"), others
 
     def best(self, text: str) -> tuple[list[int], float, float | None]:
         """Ids and score of the best segmentation, and the score of the second best."""
-        ids, total, second, _ = self.packed(text)
-        return np.frombuffer(ids, IDS).tolist(), total, second
+        ids, score, second, *_ = self.packed(text)
+        return unpack(ids), score, second
+
+    def raw(self, ids: list[int]) -> bytes:
+        """The bytes that ids stand for, with the blank that was put in front."""
+        return b"".join(map(self.bytes_of.__getitem__, ids))
 
     def decode(self, ids: list[int]) -> str:
-        raw = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "surrogatepass")
+        raw = self.raw(ids).decode("utf-8", "surrogatepass")
         return raw[1:] if raw.startswith(" ") else raw
 
 
@@ -235,19 +233,23 @@ def codec(path: str, nbest: int = NBEST) -> Codec:
     return _CODECS[path, nbest]
 
 
-def _segmented(docs: DataFrame, model_path: str, key: str, names: list[str], kinds: str, columns) -> DataFrame:
-    """Rows (key, ``columns`` of the packed ids, score, second_score, round_trip) of every row of ``docs``."""
+def _segmented(docs: DataFrame, model_path: str, key: str, names: list[str], kinds: str, columns,
+               more_names: tuple[str, ...] = (), more=lambda ids: []) -> DataFrame:
+    """Rows (key, ``columns`` of the packed ids, score, second_score, round_trip, ``more`` of the second best
+    ids: longs) of every row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 piece = batch.slice(k, 256)
-                ids, score, second, exact = (list(x) for x in zip(*[c.packed(t or "") for t in piece.column(1).to_pylist()]))
+                ids, score, second, exact, others = (list(x) for x in zip(*[c.packed(t or "") for t in piece.column(1).to_pylist()]))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), *columns(ids), pa.array(score, pa.float64()), pa.array(second, pa.float64()),
-                     pa.array(exact, pa.bool_())], names=[key, *names, "score", "second_score", "round_trip"])
+                     pa.array(exact, pa.bool_()), *more(others)],
+                    names=[key, *names, "score", "second_score", "round_trip", *more_names])
     return small_batches(docs).select(f"`{key}`", docs["text"].cast("string").alias("text")).mapInArrow(
-        run, f"`{key}` {dict(docs.dtypes)[key]}, {kinds}, score double, second_score double, round_trip boolean")
+        run, f"`{key}` {dict(docs.dtypes)[key]}, {kinds}, score double, second_score double, round_trip boolean"
+        + "".join(f", {n} long" for n in more_names))
 
 
 def _lists(ids: list[bytes]) -> list[pa.Array]:
@@ -255,8 +257,8 @@ def _lists(ids: list[bytes]) -> list[pa.Array]:
     return [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), IDS)))]
 
 
-def _sums(ids: list[bytes]) -> list[pa.Array]:
-    return [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(list(map(zlib.crc32, ids)), pa.int64())]
+def _sums(ids: list[bytes | None]) -> list[pa.Array]:
+    return [pa.array([None if x is None else f(x) for x in ids], pa.int64()) for f in (lambda x: len(x) // 4, zlib.crc32)]
 
 
 def encode(docs: DataFrame, model_path: str, key: str = "doc_id") -> DataFrame:
@@ -276,5 +278,7 @@ def decode(encoded: DataFrame, model_path: str, key: str = "doc_id") -> DataFram
 
 
 def digest(docs: DataFrame, model_path: str, key: str = "doc_id") -> DataFrame:
-    """As :func:`encode`, with the ids reduced to their number and CRC-32 (little-endian uint32)."""
-    return _segmented(docs, model_path, key, ["n_pieces", "ids_crc32"], "n_pieces long, ids_crc32 long", _sums)
+    """As :func:`encode`, with the ids reduced to their number and CRC-32 (little-endian uint32), and the same
+    of the second best ids (null if there are none)."""
+    return _segmented(docs, model_path, key, ["n_pieces", "ids_crc32"], "n_pieces long, ids_crc32 long", _sums,
+                      ("second_pieces", "second_crc32"), _sums)

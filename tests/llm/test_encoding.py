@@ -124,3 +124,23 @@ def test_generations_of_the_part_cache(monkeypatch):
     texts = [f"the {k}th of word{k % 7} and more" for k in range(200)]
     assert [small.packed(t) for t in texts] == [whole.packed(t) for t in texts]
     assert len(small.cache) + len(small.old) < 80
+
+
+def test_query_rows_come_from_the_search(spark, monkeypatch):
+    from beatline.llm import sentencepiece_codec as sc
+    c, texts = sc.Codec(PIECES), ["the cat", "a.b é", "no1, x."]
+    searched, decoded = [], []
+    search, raw = c.part_nbest, c.raw
+    monkeypatch.setattr(c, "part_nbest", lambda part, n: searched.append(part) or search(part, n))
+    monkeypatch.setattr(c, "raw", lambda ids: decoded.append(ids) or raw(ids))
+    for t in texts:
+        c.packed(t)
+        assert set(c.parts(t)) <= set(searched)
+    assert decoded[:3] == [c.encode(t) for t in texts]
+    rows = digest(spark.createDataFrame(list(enumerate([*texts, None])), "doc_id long, text string"), PIECES).collect()
+    for r in sorted(rows)[:3]:
+        (s1, i1), (s2, i2) = codec(PIECES, 2).nbest(texts[r.doc_id])
+        assert (r.score, r.n_pieces, r.ids_crc32) == (s1, len(i1), zlib.crc32(np.array(i1, "<i4").tobytes()))
+        assert (r.second_score, r.second_pieces, r.second_crc32) == (s2, len(i2), zlib.crc32(np.array(i2, "<i4").tobytes()))
+    none = [r for r in rows if r.doc_id == 3][0]
+    assert (none.second_score, none.second_pieces, none.second_crc32) == (None, None, None) and none.round_trip
