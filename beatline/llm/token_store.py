@@ -52,7 +52,7 @@ RANK_BITS = 512
 SHARD_TOKENS = 1 << 19
 CACHE_BYTES = 48 << 20
 ENTRY_BYTES = 150     # of a kept word besides its text and ids: two objects and a place in the table
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 8 << 20
 LAST_LATIN = "\u024f"
 ENDED = "([A-Za-zÀ-ÖØ-öø-ɏ])([.,]+)( |$)"     # stops and commas after a Latin letter, at a word's end
 SPECIAL = "<|"
@@ -153,36 +153,61 @@ class WordEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"     # one thread a worker
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
         self.tok = Tokenizer.from_file(path)
+        self.bare = Tokenizer(self.tok.model)      # the same merges, for words that need no preparation
+        self.bare.pre_tokenizer = WhitespaceSplit()
         self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}            # the generation before
         self.held = 0
         self.closes = np.zeros(self.tok.get_vocab_size(), dtype=bool)
         for token, i in self.tok.get_vocab().items():
             self.closes[i] = token.endswith("</w>")
 
-    def _encode(self, stems: list[str], others: list[str]) -> None:
-        """Ids of new words.  Stems are letters only, one pre-token each: many go through one
-        call, and the ids are cut behind every token that closes a word."""
+    def _encode(self, tok, stems: list[str]) -> list[str]:
+        """Ids of new words of letters only, one pre-token each: many go through one call, and
+        the ids are cut behind every token that closes a word.  The words of lines that do not
+        come out so are returned."""
+        left = []
         lines = [stems[k:k + 200] for k in range(0, len(stems), 200)]
-        for line, e in zip(lines, self.tok.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
+        for line, e in zip(lines, tok.encode_batch_fast([" ".join(x) for x in lines], add_special_tokens=False)):
             ids = np.array(e.ids, dtype="<u4")
-            cuts = np.flatnonzero(self.closes[ids]) + 1
+            cuts = ((np.flatnonzero(self.closes[ids]) + 1) * 4).tolist()
             if len(cuts) != len(line):
-                others = others + line
+                left += line
                 continue
-            for w, a, b in zip(line, [0, *cuts[:-1].tolist()], cuts.tolist()):
-                self._keep(w, ids[a:b].tobytes())
-        for w, e in zip(others, self.tok.encode_batch_fast(others, add_special_tokens=False)):
-            self._keep(w, np.array(e.ids, dtype="<u4").tobytes())
+            raw = ids.tobytes()
+            self._keep(line, [raw[a:b] for a, b in zip([0, *cuts], cuts)])
+        return left
 
-    def _keep(self, word: str, ids: bytes) -> None:
-        self.words[word] = ids
-        self.held += ENTRY_BYTES + len(word) + len(ids)
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        self.words.update(zip(words, ids))
+        self.held += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
     def _learn(self, missing: list[str]) -> None:
-        stems = [w for w in missing if w.isalpha() and max(w) <= LAST_LATIN]
-        known = set(stems)
-        self._encode(stems, [w for w in missing if w not in known])
+        """Words of a-z alone come out of normalizer and pre-tokenizer as they are; the rest goes through both."""
+        plain, stems, others = [], [], []
+        for w in missing:
+            (others if not w.isalpha() else plain if w.isascii() else stems if max(w) <= LAST_LATIN else others).append(w)
+        others += self._encode(self.tok, stems + self._encode(self.bare, plain))
+        self._keep(others, [np.array(e.ids, dtype="<u4").tobytes()
+                            for e in self.tok.encode_batch_fast(others, add_special_tokens=False)])
+
+    def _find(self, names: list[str]) -> list[bytes]:
+        """Ids of every word.  A full cache becomes the generation before; its words come back when met."""
+        if self.held > CACHE_BYTES:
+            self.old, self.words, self.held = self.words, {}, 0
+        found = list(map(self.words.get, names))
+        missing = [k for k, ids in enumerate(found) if ids is None]
+        if missing:
+            words = [names[k] for k in missing]
+            known = list(map(self.old.get, words))
+            kept = [(w, ids) for w, ids in zip(words, known) if ids is not None]
+            self._keep([w for w, _ in kept], [ids for _, ids in kept])
+            self._learn([w for w, ids in zip(words, known) if ids is None])
+            for k, w in zip(missing, words):
+                found[k] = self.words[w]
+        return found
 
     def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, ``END_ID`` after each; the lengths."""
@@ -202,13 +227,7 @@ class WordEncoder:
         flat = pc.replace_substring_regex(pc.replace_substring(flat, "\n", " "), ENDED, r"\1 \2\3")
         lists = pc.split_pattern(pc.ascii_lower(flat), " ")
         words = lists.flatten().dictionary_encode()
-        names = words.dictionary.to_pylist()
-        if self.held > CACHE_BYTES:
-            self.words, self.held = {}, 0
-        missing = [w for w in names if w not in self.words]
-        if missing:
-            self._learn(missing)
-        found = [self.words[w] for w in names]
+        found = self._find(words.dictionary.to_pylist())
         pool = np.frombuffer(b"".join(found), dtype="<u4")
         size = np.fromiter(map(len, found), np.int32, len(found)) >> 2
         begin = np.cumsum(size, dtype=np.int32) - size

@@ -144,3 +144,24 @@ def test_query_rows_come_from_the_search(spark, monkeypatch):
         assert (r.second_score, r.second_pieces, r.second_crc32) == (s2, len(i2), zlib.crc32(np.array(i2, "<i4").tobytes()))
     none = [r for r in rows if r.doc_id == 3][0]
     assert (none.second_score, none.second_pieces, none.second_crc32) == (None, None, None) and none.round_trip
+
+
+def test_words_outlive_a_full_cache(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(ts, "CACHE_BYTES", 6000)
+    enc, learned = ts.WordEncoder(WORDS), []
+    learn = enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda words: learned.extend(words) or learn(words))
+    for k in range(60):
+        texts = [f"The {k}th cat, wordé{k % 7} don't x{k}y"] + [t for t in ODD if "<|" not in (t or "")]
+        ids, lengths = enc.batch(pa.array(texts))
+        assert len(lengths) == len(texts) and ids.tolist() == [i for x in direct(texts) for i in x]
+    assert enc.old and len(enc.words) + len(enc.old) < 150
+    assert learned.count("the") == 1 and learned.count("x7y") == 1
+
+
+def test_plain_words_need_no_preparation():
+    enc = ts.WordEncoder(WORDS)
+    words = ["a", "the", "zzzzqx", "antidisestablishmentarianism", "s", "ll", "don", "aaaa" * 60]
+    assert enc._encode(enc.bare, words) == []
+    assert [np.frombuffer(enc.words[w], "<u4").tolist() + [ts.END_ID] for w in words] == direct(words)
