@@ -10,6 +10,10 @@ paths leave the queue in order of score.  The N best segmentations of the text
 combine those of its parts.  Characters without a piece become bytes, at the
 score of an unknown piece (lowest score less 10).
 
+New parts of a run of rows are segmented together: :class:`Lattices` builds the lattices
+of many parts as arrays and takes the forward pass and the A* search through all of them
+in step.  It keeps the order of the search part by part, ties included.
+
 A null or empty text has no ids, score 0 and decodes to the empty text.  Ties are
 broken by the lattice's own order, so results do not depend on the order of rows.  Rows
 are kept as they are, repeated ones and those without an id too; an empty table gives no
@@ -20,6 +24,7 @@ to blanks there (``round_trip`` is false).
 from __future__ import annotations
 
 import heapq
+import itertools
 import re
 import sys
 import zlib
@@ -31,11 +36,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from beatline.llm.common import small_batches
+from beatline.llm.token_store import slices
 
 SPACE = "▁"
 CACHE_PARTS = 500_000
 CACHED_LENGTH = 64
 NBEST = 2
+SLICE_BYTES = 1 << 20    # of texts whose new parts are segmented together
+TOGETHER = 8192          # parts whose lattices are held at once
 IDS = "<i4"
 
 
@@ -51,6 +59,123 @@ def unpack(ids: bytes) -> list[int]:
     return np.frombuffer(ids, IDS).tolist()
 
 
+class Lattices:
+    """Lattices of many parts at once, as arrays: the two best segmentations of each.
+
+    The vertices are the positions of all parts, one part after the other; an edge is a
+    piece from the position it starts at to the one it ends at.
+    """
+
+    def __init__(self, pieces: dict[str, tuple[tuple[int], float]]):
+        letters = sorted({c for p in pieces for c in p})
+        self.letter = np.zeros(0x110000, np.int32)
+        self.letter[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        self.base = len(letters) + 1
+        self.longest = max(map(len, pieces))
+        nodes = {"": 0}
+        steps = {}
+        for p in pieces:
+            for k in range(len(p)):
+                to = nodes.setdefault(p[:k + 1], len(nodes))
+                steps[nodes[p[:k]] * self.base + int(self.letter[ord(p[k])])] = to
+        self.steps = np.array(sorted(steps), np.int64)
+        self.to = np.array([steps[k] for k in self.steps.tolist()], np.int64)
+        self.first = np.full(self.base, -1, np.int64)              # the nodes behind single letters
+        self.first[self.steps[self.steps < self.base]] = self.to[self.steps < self.base]
+        self.piece, self.score = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
+        for p, ((i,), score) in pieces.items():
+            self.piece[nodes[p]], self.score[nodes[p]] = i, score
+
+    def covered(self, parts: list[str]) -> np.ndarray:
+        """Parts all of whose letters are pieces of their own, so that no bytes are needed."""
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        first = self.first[self._letters(parts)]
+        single = (first >= 0) & (self.piece[first] >= 0)
+        return np.logical_and.reduceat(single, np.cumsum(size) - size)
+
+    def _letters(self, parts: list[str]) -> np.ndarray:
+        return self.letter[np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4")]
+
+    def _follow(self, node: np.ndarray, letter: np.ndarray) -> np.ndarray:
+        """The trie's nodes behind ``letter``, -1 where there is none."""
+        key = node * self.base + letter
+        at = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+        return np.where(self.steps[at] == key, self.to[at], -1)
+
+    def edges(self, parts: list[str]) -> tuple[np.ndarray, ...]:
+        """Root vertex and length of the parts; start, node of the trie and, by vertex, first and number
+        of the edges that end there (by ascending start); the best score up to every vertex."""
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        code = self._letters(parts)
+        begin = np.cumsum(size) - size
+        part = np.repeat(np.arange(len(parts)), size)
+        left = np.repeat(begin + size, size) - np.arange(len(code))
+        at, node = np.arange(len(code)), np.zeros(len(code), np.int64)
+        found = []
+        for step in range(1, self.longest + 1):
+            node = self._follow(node, code[at + step - 1]) if step > 1 else self.first[code]
+            ok = node >= 0
+            at, node = at[ok], node[ok]
+            hit = self.piece[node] >= 0
+            found.append((at[hit] + part[at[hit]], node[hit], np.full(int(hit.sum()), step)))
+            more = left[at] > step
+            at, node = at[more], node[more]
+            if not len(at):
+                break
+        start, node, length = (np.concatenate(x) for x in zip(*found))
+        root = begin + np.arange(len(parts))
+        depth = np.zeros(len(code) + len(parts), np.int64)
+        depth[np.arange(len(code)) + part + 1] = np.arange(len(code)) - begin[part] + 1
+        end = start + length
+        order = np.argsort((depth[end] * len(depth) + end) * (self.longest + 1) - length)
+        start, node, end = start[order], node[order], end[order]
+        number = np.bincount(end, minlength=len(depth))
+        first = np.flatnonzero(np.diff(end, prepend=-1))           # the edges of one vertex stand together
+        at_vertex = np.zeros(len(depth), np.int64)
+        at_vertex[end[first]] = first
+        best = np.zeros(len(depth))
+        bounds = np.searchsorted(depth[end[first]], np.arange(1, int(size.max()) + 2))
+        for lo, hi in zip(bounds, bounds[1:]):
+            a, b = first[lo], first[hi] if hi < len(first) else len(start)
+            best[end[first[lo:hi]]] = np.maximum.reduceat(best[start[a:b]] + self.score[node[a:b]], first[lo:hi] - a)
+        return root, size, start, node, at_vertex, number, best
+
+    def first_two(self, parts: list[str]) -> list[tuple[bytes, float, float]]:
+        """Packed ids and score of the best segmentation, and what the second best lacks (inf if there is
+        none), of parts that are ``covered``: the search of ``Codec.part_nbest`` in all parts in step.
+
+        As the heuristic is exact, the best entry an expansion puts into the queue leads to the best
+        result, whichever entries wait; so of these only the first can lead to the second result, and
+        its estimate is that result's score.  Among equal entries the one nearest to its start goes first.
+        """
+        root, size, start, node, first, number, best = self.edges(parts)
+        n = len(parts)
+        score, piece = self.score[node], self.piece[node]
+        waiting = np.full(n, np.inf)
+        part, vertex, behind = np.arange(n), root + size, np.zeros(n)
+        owners, ids = [], []
+        while len(part):
+            many = number[vertex]
+            group = np.cumsum(many) - many
+            edge = np.arange(int(many.sum())) + np.repeat(first[vertex] - group, many)
+            cost = -(best[start[edge]] + np.repeat(behind, many) + score[edge])
+            least = np.flatnonzero(cost == np.repeat(np.minimum.reduceat(cost, group), many))
+            head = least[np.searchsorted(least, group)]
+            cost[head] = np.inf
+            waiting[part] = np.minimum(waiting[part], np.minimum.reduceat(cost, group))
+            taken = edge[head]
+            owners.append(part)
+            ids.append(piece[taken])
+            behind, vertex = behind + score[taken], start[taken]
+            on = np.flatnonzero(vertex > root[part])
+            part, vertex, behind = part[on], vertex[on], behind[on]
+        owner, flat = np.concatenate(owners[::-1]), np.concatenate(ids[::-1])      # the search goes backward
+        packed = flat[np.argsort(owner, kind="stable")].astype(IDS).tobytes()
+        ends = (np.cumsum(np.bincount(owner, minlength=n)) * 4).tolist()
+        top = best[root + size]
+        return [(packed[a:b], s, lack) for a, b, s, lack in zip([0, *ends], ends, top.tolist(), (top + waiting).tolist())]
+
+
 class Codec:
     """A model's pieces and scores; ``nbest``, ``encode`` and ``decode`` of whole texts."""
 
@@ -85,6 +210,7 @@ class Codec:
         self.cut = re.compile(f"{SPACE}*[^\\W\\d_]+{end}|{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
         self.cache: dict[str, tuple[bytes, float, float]] = {}
         self.old: dict[str, tuple[bytes, float, float]] = {}      # the generation before
+        self.lattices = Lattices(self.pieces)
 
     def lattice(self, part: str) -> tuple[list[list[tuple[int, tuple[int, ...], float]]], list[float]]:
         """Nodes (start, ids, score) per end position, and the best score up to every position.
@@ -148,15 +274,39 @@ class Codec:
     def parts(self, text: str) -> list[str]:
         return self.cut.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
+    def lookup_all(self, texts: list[list[str]]) -> list[list[tuple[bytes, float, float]]]:
+        """As ``lookup``, of many texts (cut into parts): the new parts are segmented together."""
+        flat = list(itertools.chain.from_iterable(texts))
+        out = list(map(self.cache.get, flat))
+        missing = [k for k, hit in enumerate(out) if hit is None]
+        if missing:
+            if len(self.cache) > CACHE_PARTS // 2:
+                self.old, self.cache = self.cache, {}
+            self._learn_all(sorted({p for p in map(flat.__getitem__, missing) if len(p) <= CACHED_LENGTH and not self._kept(p)}))
+            for k in missing:
+                p = flat[k]
+                out[k] = self.cache.get(p) or self._kept(p) or self._learn(p)
+        ends = list(itertools.accumulate(map(len, texts), initial=0))
+        return [out[a:b] for a, b in zip(ends, ends[1:])]
+
+    def _learn_all(self, parts: list[str]) -> None:
+        """Cache the segmentations of parts that need no bytes."""
+        if parts:
+            parts = list(itertools.compress(parts, self.lattices.covered(parts).tolist()))
+        for k in range(0, len(parts), TOGETHER):
+            some = parts[k:k + TOGETHER]
+            self.cache.update(zip(some, self.lattices.first_two(some)))
+
     def lookup(self, parts: list[str]) -> list[tuple[bytes, float, float]]:
         """Ids (little-endian 32-bit), score and loss of the second best (inf if there is none) of every part."""
         out = list(map(self.cache.get, parts))
-        if None in out:
+        missing = [k for k, hit in enumerate(out) if hit is None]
+        if missing:
             if len(self.cache) > CACHE_PARTS // 2:
                 self.old, self.cache = self.cache, {}
-            for k, p in enumerate(parts):
-                if out[k] is None:
-                    out[k] = self.cache.get(p) or self._kept(p) or self._learn(p)
+            for k in missing:
+                p = parts[k]
+                out[k] = self.cache.get(p) or self._kept(p) or self._learn(p)
         return out
 
     def _kept(self, part: str) -> tuple[bytes, float, float] | None:
@@ -172,15 +322,16 @@ class Codec:
             self.cache[part] = hit
         return hit
 
-    def combined(self, parts: list[str]) -> list[tuple[float, bytes]]:
-        """The best segmentations (score, packed ids) of a text cut into ``parts``, best first.
+    def combined(self, parts: list[str], found: list[tuple[bytes, float, float]] | None = None) -> list[tuple[float, bytes]]:
+        """The best segmentations (score, packed ids) of a text cut into ``parts``, best first;
+        ``found`` is what ``lookup`` gives for them.
 
         Any of the N best differs from the best path in fewer than N parts, and
         only in parts whose own loss is among the N - 1 smallest.
         """
-        found = self.lookup(parts)
-        total = sum([f[1] for f in found])
-        losses = heapq.nsmallest(self.n - 1, zip([f[2] for f in found], range(len(found))))
+        packed, scores, lacks = zip(*(self.lookup(parts) if found is None else found)) if parts else ((), (), ())
+        total = sum(scores)
+        losses = heapq.nsmallest(self.n - 1, zip(lacks, range(len(lacks))))
         open_parts = [i for loss, i in losses if loss < float("inf")]
         choices = {i: self.part_nbest(parts[i], self.n) for i in open_parts}
         ways: list[tuple[float, dict[int, int]]] = [(0.0, {})]
@@ -190,7 +341,7 @@ class Codec:
                                    key=lambda w: (w[0], sorted(w[1].items())))
         out = []
         for loss, changes in ways:
-            chosen = [f[0] for f in found]
+            chosen = list(packed)
             for i, k in changes.items():
                 chosen[i] = pack(choices[i][k][1])
             out.append((total - loss, b"".join(chosen)))
@@ -203,11 +354,11 @@ class Codec:
     def encode(self, text: str | None) -> list[int]:
         return self.best(text or "")[0]
 
-    def packed(self, text: str) -> tuple[bytes, float, float | None, bool, bytes | None]:
+    def packed(self, text: str, parts: list[str] | None = None, found: list | None = None) -> tuple[bytes, float, float | None, bool, bytes | None]:
         """Ids and score of the best segmentation, the score of the second best, whether the best
         decodes to the text, and the ids of the second best; ids little-endian 32-bit."""
-        found = self.combined(self.parts(text))
-        (score, ids), (second, others) = found[0], found[1] if len(found) > 1 else (None, None)
+        ways = self.combined(self.parts(text) if parts is None else parts, found)
+        (score, ids), (second, others) = ways[0], ways[1] if len(ways) > 1 else (None, None)
         return ids, score, second, self.raw(unpack(ids)) == (f" {text}" if text else "").encode("utf-8", "surrogatepass"), others
 
     def best(self, text: str) -> tuple[list[int], float, float | None]:
@@ -240,9 +391,10 @@ def _segmented(docs: DataFrame, model_path: str, key: str, names: list[str], kin
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model_path)
         for batch in batches:
-            for k in range(0, batch.num_rows, 256):
-                piece = batch.slice(k, 256)
-                ids, score, second, exact, others = (list(x) for x in zip(*[c.packed(t or "") for t in piece.column(1).to_pylist()]))
+            for piece in slices(batch, 1, SLICE_BYTES):
+                texts = [t or "" for t in piece.column(1).to_pylist()]
+                parts = [c.parts(t) for t in texts]
+                ids, score, second, exact, others = (list(x) for x in zip(*map(c.packed, texts, parts, c.lookup_all(parts))))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), *columns(ids), pa.array(score, pa.float64()), pa.array(second, pa.float64()),
                      pa.array(exact, pa.bool_()), *more(others)],

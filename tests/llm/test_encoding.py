@@ -146,6 +146,51 @@ def test_query_rows_come_from_the_search(spark, monkeypatch):
     assert (none.second_score, none.second_pieces, none.second_crc32) == (None, None, None) and none.round_trip
 
 
+def test_parts_searched_together_equal_the_search():
+    c = codec(PIECES, 5)
+    rng = random.Random(21)
+    parts = {"".join(rng.choice("▁ethanioséx.#") for _ in range(rng.randrange(1, 30))) for _ in range(3000)}
+    parts = sorted(parts | {"▁", "a" * 64, "▁the", "日", "▁x\x00", "\n", "\x00"})
+    some = [p for p, ok in zip(parts, c.lattices.covered(parts)) if ok]
+    assert set(parts) - set(some) == {"▁x\x00", "\n", "\x00"}
+    for p, (ids, score, loss) in zip(some, c.lattices.first_two(some), strict=True):
+        found = c.part_nbest(p, 2)
+        assert (tuple(np.frombuffer(ids, "<i4").tolist()), score) == (found[0][1], found[0][0]), p
+        assert loss == (found[0][0] - found[1][0] if len(found) > 1 else float("inf")), p
+
+
+def test_ties_are_broken_as_in_the_search():
+    from beatline.llm.sentencepiece_codec import Codec, Lattices, pack
+    rng = random.Random(8)
+    c = object.__new__(Codec)
+    for _ in range(40):
+        words = {"".join(rng.choice("ab") for _ in range(rng.randrange(2, 5))) for _ in range(6)} | {"a", "b"}
+        c.pieces = {w: ((i,), float(rng.randrange(-3, 0))) for i, w in enumerate(sorted(words))}
+        c.unknown, c.trie = -13.0, {}
+        for p, hit in c.pieces.items():
+            followers = c.trie
+            for x in p:
+                node = followers.setdefault(x, [{}, None])
+                followers = node[0]
+            node[1] = hit
+        parts = sorted({"".join(rng.choice("ab") for _ in range(rng.randrange(1, 12))) for _ in range(60)})
+        want = [c.first_two(p) for p in parts]
+        assert Lattices(c.pieces).first_two(parts) == [(pack(ids), score, loss) for ids, score, loss in want]
+
+
+def test_new_parts_of_a_run_of_rows_are_learned_together(monkeypatch):
+    from beatline.llm import sentencepiece_codec as sc
+    c, texts = sc.Codec(PIECES), ["the cat", "a.b é", "\x00 no1, x.", "", "x" * 100]
+    parts, together, single = [c.parts(t) for t in texts], [], []
+    many, one = c.lattices.first_two, c.first_two
+    monkeypatch.setattr(c.lattices, "first_two", lambda parts: together.extend(parts) or many(parts))
+    monkeypatch.setattr(c, "first_two", lambda part: single.append(part) or one(part))
+    found = c.lookup_all(parts)
+    assert set(single) == {"▁\x00", "▁" + "x" * 100} and set(together) == {p for x in parts for p in x} - set(single)
+    assert c.lookup_all([[], []]) == [[], []] and c.lookup_all([]) == []
+    assert [c.packed(*x) for x in zip(texts, parts, found)] == [sc.Codec(PIECES).packed(t) for t in texts]
+
+
 def test_words_outlive_a_full_cache(monkeypatch):
     import pyarrow as pa
     monkeypatch.setattr(ts, "CACHE_BYTES", 6000)
