@@ -147,6 +147,7 @@ class Lattices:
         As the heuristic is exact, the best entry an expansion puts into the queue leads to the best
         result, whichever entries wait; so of these only the first can lead to the second result, and
         its estimate is that result's score.  Among equal entries the one nearest to its start goes first.
+        Scores that are no whole numbers may differ from the other search's in their last bits.
         """
         root, size, start, node, first, number, best = self.edges(parts)
         n = len(parts)
